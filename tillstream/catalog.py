@@ -225,8 +225,8 @@ _ORDER_TABLES = ("order_detail", "order_detail_activity", "order_detail_coupon",
 
 
 def _details(spark, sf) -> DataFrame:
-    return facts.order_detail(samples.changes(spark, sf, *_ORDER_TABLES), samples.dictionary(spark, sf),
-                              samples.DATABASE)
+    return facts.order_detail(samples.changes(spark, sf, *_ORDER_TABLES),
+                              samples.dictionary(spark, sf), samples.DATABASE)
 
 
 @query
@@ -262,10 +262,14 @@ def paid_orders_in_span(spark, sf):
                           samples.dictionary(spark, sf), span="400 days").drop("pt")
 
 
+def _refunded(spark, sf) -> DataFrame:
+    return facts.refunds(samples.changes(spark, sf, "order_refund_info", "order_info"),
+                         samples.dictionary(spark, sf))
+
+
 @query
 def order_refunds(spark, sf):
-    return facts.refunds(samples.changes(spark, sf, "order_refund_info", "order_info"), samples.dictionary(spark, sf)) \
-        .drop("row_op_ts")
+    return _refunded(spark, sf).drop("row_op_ts")
 
 
 @query
@@ -440,7 +444,8 @@ def login_window(spark, sf):
 
 @query
 def register_window(spark, sf):
-    return windows.registrations(facts.registrations(samples.changes(spark, sf, "user_info"))).drop("ts")
+    users = facts.registrations(samples.changes(spark, sf, "user_info"))
+    return windows.registrations(users).drop("ts")
 
 
 @query
@@ -479,8 +484,7 @@ def spu_order_window(spark, sf):
 
 @query
 def refund_window(spark, sf):
-    refunded = facts.refunds(samples.changes(spark, sf, "order_refund_info", "order_info"), samples.dictionary(spark, sf))
-    return windows.refunds(refunded, samples.dimensions(spark, sf), DAY).drop("ts")
+    return windows.refunds(_refunded(spark, sf), samples.dimensions(spark, sf), DAY).drop("ts")
 
 
 @query

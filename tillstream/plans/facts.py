@@ -75,8 +75,9 @@ def order_detail(changes: DataFrame, dictionary: DataFrame, database: str | None
         return route(changes, table, *types, database=database)
 
     lines = payload(of("order_detail", "insert"), "order_detail", _seconds().alias("_lt"))
-    lines = lines.withColumnsRenamed({"id": "order_detail_id", "create_time": "order_create_time"}) \
-        .withColumn("split_original_amount", times(F.col("sku_num"), F.col("order_price")))
+    lines = (lines.withColumnsRenamed({"id": "order_detail_id",
+                                       "create_time": "order_create_time"})
+             .withColumn("split_original_amount", times(F.col("sku_num"), F.col("order_price"))))
     activity = payload(of("order_detail_activity", "insert"), "order_detail_activity",
                        _seconds().alias("_at")) \
         .select(F.col("order_detail_id").alias("_activity_line"), "activity_id",
