@@ -351,7 +351,7 @@ def sku_chain_five(spark, sf):
 
 @query
 def new_flag_repair(spark, sf):
-    return state.repair_new_flag(samples.pages(spark, sf), list(EVENT)).select(
+    return state.repair_new_flag(samples.pages(spark, sf)).select(
         "event_id", "mid", "is_new", "ts")
 
 

@@ -12,6 +12,8 @@ DATE = "yyyy-MM-dd"
 DATE_TIME = "yyyy-MM-dd HH:mm:ss"
 DAY_NUMBER = "yyyyMMdd"
 MONEY = "decimal(16,2)"
+# wide enough for a sum of sums
+TOTAL = "decimal(26,2)"
 DAY_MS = 24 * 60 * 60 * 1000
 
 

@@ -10,23 +10,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
-# Fixed patterns: a run of CJK ideographs, or a run of other letters and digits.
+# Fixed patterns: CJK ideographs, and runs of other letters and digits.
 CJK = r"\x{4e00}-\x{9fff}"
-RUNS = rf"[{CJK}]+|[\p{{L}}\p{{N}}&&[^{CJK}]]+"
+WORD = rf"[\p{{L}}\p{{N}}&&[^{CJK}]]+"
+PAIR = rf"(?=([{CJK}]{{2}}))"
+SINGLE = rf"(?<![{CJK}])[{CJK}](?![{CJK}])"
 
 
 def words(text: Column) -> Column:
-    """Array of words of a text. A CJK run gives its two-character pairs, or itself if shorter."""
-    runs = F.regexp_extract_all(F.lower(text), F.lit(RUNS), F.lit(0))
+    """Array of words of a text: first the plain words, then the CJK pairs and lone characters.
 
-    def pairs(run: Column) -> Column:
-        many = run.rlike(rf"^[{CJK}]{{2,}}$")
-        # length - 1 pairs; the sequence is only read where it is at least one long
-        starts = F.sequence(F.lit(1), F.greatest(F.length(run) - 1, F.lit(1)))
-        return F.when(many, F.transform(starts, lambda i: F.substring(run, i, F.lit(2)))) \
-                .otherwise(F.array(run))
+    A CJK run gives its overlapping two-character pairs, or itself if it is one character.
+    """
+    lower = F.lower(text)
+
+    def every(pattern: str, group: int) -> Column:
+        return F.regexp_extract_all(lower, F.lit(pattern), F.lit(group))
 
-    found = F.flatten(F.transform(runs, pairs))
+    plain = every(WORD, 0)
+    found = F.when(lower.rlike(f"[{CJK}]"), F.concat(plain, every(PAIR, 1), every(SINGLE, 0))) \
+        .otherwise(plain)
     # a text without any word stays whole, as when segmentation fails
     return F.when(F.size(found) > 0, found).otherwise(F.array(text))
 

@@ -48,29 +48,31 @@ def first_per_day(df: DataFrame, keys: list[str], order: list[str],
     return _one_per(dated, [*keys, "_day"], [F.asc(c) for c in order]).drop("_day")
 
 
-def repair_new_flag(df: DataFrame, order: list[str], key: str = "mid", flag: str = "is_new",
+def repair_new_flag(df: DataFrame, ms: str = "ts", key: str = "mid", flag: str = "is_new",
                     parts: int = 8, event_time: str | None = None) -> DataFrame:
     """Set the new-visitor flag to 0 on every day but the key's first day.
 
-    A key first seen without the flag counts as first seen the day before.
+    A key first seen without the flag counts as first seen the day before. Of rows at the same
+    moment the one without the flag comes first.
     """
-    day = day_of(order[0])
     if df.isStreaming:
-        return streams.repair_new_flag(df, order, day, key, flag, event_time)
+        return streams.repair_new_flag(df, ms, day_of(ms), key, flag, event_time)
     is_new = F.coalesce(F.col(flag) == "1", F.lit(False))
-    # One small row per key, and only of keys with something to repair.
+    # Only numbers are aggregated, so this is a hash aggregate with a small map-side result. It
+    # keeps one row per key, and only of keys with something to repair.
     stale = (df.groupBy(key)
-             .agg(F.min_by(F.struct(day.alias("d"), is_new.alias("n")),
-                           F.struct(*order)).alias("f"),
-                  F.max(F.when(is_new, day)).alias("last_new"),
-                  F.min(F.when(is_new, day)).alias("first_new"))
-             .withColumn("_first", F.when(F.col("f.n"), F.col("f.d"))
-                         .otherwise(F.date_sub("f.d", 1)))
-             .filter((F.col("last_new") != F.col("_first"))
-                     | (F.col("first_new") != F.col("_first")))
+             .agg(F.min(F.when(is_new, F.col(ms))).alias("new_ms"),
+                  F.max(F.when(is_new, F.col(ms))).alias("last_ms"),
+                  F.min(F.when(~is_new, F.col(ms))).alias("old_ms"))
+             .filter("new_ms is not null")
+             .withColumn("_first", F.when(F.coalesce(F.col("old_ms") <= F.col("new_ms"),
+                                                     F.lit(False)),
+                                          F.date_sub(day_of("old_ms"), 1))
+                         .otherwise(day_of("new_ms")))
+             .filter(day_of("last_ms") != F.col("_first"))
              .select(key, "_first"))
-    joined = spread_join(df, stale, key, "left", order, parts)
-    wrong = is_new & (day_of(order[0]) != F.col("_first"))
+    joined = spread_join(df, stale, key, "left", [ms], parts)
+    wrong = is_new & (day_of(ms) != F.col("_first"))
     return joined.withColumn(flag, F.when(wrong, "0").otherwise(F.col(flag))).drop("_first")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.scalars import DATE_TIME, emission_ms, money, text_time
+from tillstream.functions.scalars import DATE_TIME, TOTAL, emission_ms, text_time
 
 WINDOW = "10 seconds"
 DELAY = "2 seconds"
@@ -48,8 +48,8 @@ def total(column: str | Column, out: str) -> Column:
 
 def total_money(column: str, out: str) -> Column:
     """Sum of an amount: added as decimals, given as double, so order does not matter."""
-    return F.sum(F.coalesce(money(column), F.lit(0).cast("decimal(16,2)"))) \
-        .cast("decimal(18,2)").cast("double").alias(out)
+    amount = F.col(column).try_cast(TOTAL)
+    return F.sum(F.coalesce(amount, F.lit(0).cast(TOTAL))).cast("double").alias(out)
 
 
 def traffic_rows(pages: DataFrame, unique: DataFrame, bounced: DataFrame) -> DataFrame:

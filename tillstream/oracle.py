@@ -375,9 +375,9 @@ def oracle_sql() -> dict[str, str]:
             {_text('l_partkey')} AS sku_id, {CHAIN}
             FROM lineitem LEFT JOIN sku ON sku.sku_id = {_text('l_partkey')}""",
         "new_flag_repair": f"""WITH {PAGES}, oldest AS (SELECT mid,
-              min(struct_pack(ts := ts, event_id := event_id)) AS v FROM page_log GROUP BY mid),
-            since AS (SELECT p.mid, CASE WHEN is_new = '1' THEN d ELSE d - 1 END AS fd
-              FROM oldest o JOIN page_log p ON p.event_id = o.v.event_id)
+              min(struct_pack(ts := ts, is_new := is_new, d := d)) AS v FROM page_log GROUP BY mid),
+            since AS (SELECT mid, CASE WHEN v.is_new = '1' THEN v.d ELSE v.d - 1 END AS fd
+              FROM oldest)
             SELECT event_id, p.mid, CASE WHEN is_new = '1' AND d = fd THEN '1' ELSE '0' END AS is_new,
               ts FROM page_log p JOIN since s ON p.mid = s.mid""",
         "unique_visitors": f"WITH {PAGES}, {VISITORS} SELECT event_id, mid, ts FROM visits",

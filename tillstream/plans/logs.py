@@ -10,11 +10,11 @@ from tillstream.operators import filters, state
 from tillstream.operators.windows import DELAY, event_time
 
 
-def repaired_events(events: DataFrame, order: tuple[str, ...] = ("ts", "is_new")) -> DataFrame:
+def repaired_events(events: DataFrame) -> DataFrame:
     """Log events with the new-visitor flag corrected per device."""
     flat = events.select("*", F.col("common.mid").alias("mid"),
                          F.col("common.is_new").alias("is_new"))
-    fixed = state.repair_new_flag(flat, list(order))
+    fixed = state.repair_new_flag(flat)
     return (fixed.withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
             .drop("mid", "is_new"))
 

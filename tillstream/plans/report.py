@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.functions.scalars import TOTAL
+
 
 def gmv(windows: DataFrame, date: int = 0) -> DataFrame:
     """Total order amount of a day given as yyyyMMdd; 0 is today. Null where no rows are.
@@ -15,5 +17,5 @@ def gmv(windows: DataFrame, date: int = 0) -> DataFrame:
     first, after = (F.concat(d.cast("string"), F.lit(" 00:00:00"))
                     for d in (day, F.date_add(day, 1)))
     return (windows.filter((F.col("stt") >= first) & (F.col("stt") < after))
-            .agg(F.sum(F.col("order_amount").cast("decimal(18,2)"))
+            .agg(F.sum(F.col("order_amount").cast(TOTAL))
                  .cast("double").alias("order_amount")))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.functions.scalars import money
 from tillstream.functions.tokens import explode_words
 from tillstream.operators import filters, state
 from tillstream.operators.joins import FIVE_HOPS, enrich, enrich_sku
@@ -84,10 +85,13 @@ def orders(details: DataFrame, size: str = WINDOW, delay: str = DELAY,
                if compat else
                ("split_activity_amount", "split_coupon_amount", "split_original_amount"))
     timed = event_time_of(details, "order_create_time", delay=delay)
-    timed = timed.select("order_detail_id", "user_id", "rt", *amounts,
-                         F.unix_millis("rt").alias("ms"))
-    flagged = state.unique_and_new(timed, ["ms", "order_detail_id"], F.to_date("rt"),
-                                   "order_detail_id", event_time="rt")
+    timed = timed.select("order_detail_id", "user_id", "rt", *amounts)
+    if details.isStreaming:
+        flagged = state.unique_and_new(
+            timed.withColumn("ms", F.unix_millis("rt")), ["ms", "order_detail_id"],
+            F.to_date("rt"), "order_detail_id", event_time="rt")
+    else:
+        flagged = _user_windows(timed, amounts, size)
     out = tumble(flagged, [], [
         total("is_unique", "order_unique_user_count"), total("is_new", "order_new_user_count"),
         total_money(amounts[0], "order_activity_reduce_amount"),
@@ -96,6 +100,21 @@ def orders(details: DataFrame, size: str = WINDOW, delay: str = DELAY,
     return out.select(*WINDOW_COLUMNS["order"])
 
 
+def _user_windows(timed: DataFrame, amounts: tuple[str, ...], size: str) -> DataFrame:
+    """Amounts per user, day and window, flagged on a user's first window of a day and ever.
+
+    Lines are summed before the users are compared, so a hot user leaves one row per window.
+    """
+    per_user = timed.groupBy("user_id", F.to_date("rt").alias("day"),
+                             F.window("rt", size).start.alias("rt")) \
+        .agg(*[F.sum(money(a)).alias(a) for a in amounts])
+    before = F.lag("day").over(Window.partitionBy("user_id").orderBy("day", "rt"))
+    return (per_user.withColumn("_before", before)
+            .withColumn("is_new", F.col("_before").isNull().cast("long"))
+            .withColumn("is_unique", F.coalesce(F.col("_before") != F.col("day"), F.lit(True))
+                        .cast("long")).drop("_before"))
+
+
 def payments(paid: DataFrame, size: str = WINDOW, delay: str = DELAY) -> DataFrame:
     """Paying users and first-time payers. Copies of a paid line count once."""
     timed = event_time_of(paid, "callback_time", delay=delay)

@@ -6,8 +6,11 @@ columns. `events` are page views minutes apart; `orders` and `lineitem` are orde
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream.functions.scalars import DATE_TIME
 from tillstream.schemas import CODE_DICTIONARY, ROUTE_CONFIG
@@ -16,8 +19,25 @@ _MAP = "map<string,string>"
 DATABASE = "shop"
 
 
+# tables that grow; the others stay small enough to be read in one task
+_LARGE = {"lineitem", "orders", "events", "documents"}
+
+
+@lru_cache(maxsize=256)
+def _table(spark: SparkSession, path: str) -> tuple[T.StructType, int]:
+    """Schema and number of read tasks, looked up once per session and table."""
+    df = spark.read.parquet(path)
+    return df.schema, df.rdd.getNumPartitions()
+
+
 def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A sample table. A large one that comes as fewer splits than there are cores, such as one
+    file with a single row group, is spread; with enough splits it is read as it is."""
+    path = f"{sf}/{name}.parquet"
+    schema, tasks = _table(spark, path)
+    df = spark.read.schema(schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in _LARGE and tasks < cores else df
 
 
 def _text(c: str | Column) -> Column:

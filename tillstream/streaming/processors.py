@@ -135,7 +135,7 @@ class NewFlagRepair(_Rule):
         if known is None:
             # Only a key's first micro-batch is held, to find its oldest row.
             rows = list(rows)
-            oldest = min(rows, key=lambda r: _place(r, self.order))
+            oldest = min(rows, key=lambda r: (r[self.order[0]], r[self.flag] == "1"))
             day = oldest["_day"] if oldest[self.flag] == "1" else oldest["_day"] - 1
             self.first.update((day,))
         else:

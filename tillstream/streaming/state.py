@@ -35,10 +35,10 @@ def first_per_day(df: DataFrame, keys: list[str], order: list[str], day: Column,
                 p.FirstPerDay(order, df.columns, keep), _plus(df.schema), event_time)
 
 
-def repair_new_flag(df: DataFrame, order: list[str], day: Column, key: str, flag: str,
+def repair_new_flag(df: DataFrame, ms: str, day: Column, key: str, flag: str,
                     event_time: str | None = None) -> DataFrame:
     return _run(df.withColumn("_day", _days(day)), [key],
-                p.NewFlagRepair(order, df.columns, flag), _plus(df.schema), event_time)
+                p.NewFlagRepair([ms, flag], df.columns, flag), _plus(df.schema), event_time)
 
 
 def daily_and_returning(df: DataFrame, order: list[str], day: Column, key: str, away_days: int,
