@@ -1,8 +1,9 @@
 """Fact joins and dimension lookups.
 
-No join carries a broadcast hint. Spark broadcasts a side only while its size, estimated or
-measured at run time, is under spark.sql.autoBroadcastJoinThreshold, and otherwise sort-merges
-with adaptive splitting of skewed partitions.
+Fact and dimension joins carry no broadcast hint: Spark broadcasts a side only while its size is
+under spark.sql.autoBroadcastJoinThreshold, and otherwise sort-merges with adaptive splitting of
+skewed partitions. Code and control tables, whose few keys would gather the whole fact in a few
+tasks and whose source often reports no size, are counted first and broadcast if small.
 """
 
 from __future__ import annotations
@@ -11,6 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def if_small(side: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """The side marked for broadcast if a count proves it small, else as it is."""
+    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
+
+
 def enrich(df: DataFrame, dim: DataFrame, key: str, columns: dict[str, str],
            dim_key: str = "id", how: str = "left") -> DataFrame:
     """Add dimension columns by key. A missing dimension row gives nulls (`how="left"`).
@@ -25,7 +31,8 @@ def enrich(df: DataFrame, dim: DataFrame, key: str, columns: dict[str, str],
 def decode(df: DataFrame, dictionary: DataFrame, key: str, name: str,
            how: str = "left") -> DataFrame:
     """Add a code's name. With `how="inner"` a row with an unknown code is dropped."""
-    return enrich(df, dictionary, key, {name: "dic_name"}, dim_key="dic_code", how=how)
+    side = if_small(dictionary.select("dic_code", "dic_name"))
+    return enrich(df, side, key, {name: "dic_name"}, dim_key="dic_code", how=how)
 
 
 # One hop of a chain: (dimension, key column of the row, {new column: dimension column}).
@@ -80,7 +87,7 @@ def latest_routes(config: DataFrame, version: str | None = None) -> DataFrame:
 
 def route_rows(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Give each change event its sink table; events of unlisted tables are dropped."""
-    side = config.select("source_table", "sink_table", "sink_columns", "sink_pk")
+    side = if_small(config.select("source_table", "sink_table", "sink_columns", "sink_pk"))
     return changes.join(side, changes["table"] == side["source_table"]).drop("source_table")
 
 

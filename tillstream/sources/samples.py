@@ -360,15 +360,17 @@ def changes(spark: SparkSession, sf: str, *tables: str) -> DataFrame:
 
 def dictionary(spark: SparkSession, sf: str) -> DataFrame:
     """Codes of priority, return flag and line status; one code of each is left out."""
-    def codes(table: str, column: str, parent: str, without: str) -> DataFrame:
-        rows = load(spark, sf, table).select(F.col(column).alias("dic_code")).distinct()
-        return rows.filter(F.col("dic_code") != without).select(
+    def codes(rows: DataFrame, column: str, parent: str, without: str) -> DataFrame:
+        codes = rows.select(F.col(column).alias("dic_code")).distinct()
+        return codes.filter(F.col("dic_code") != without).select(
             "dic_code", _join("name of ", F.col("dic_code")).alias("dic_name"),
             F.lit(parent).alias("parent_code"), F.lit(None).cast("timestamp").alias("create_time"),
             F.lit(None).cast("timestamp").alias("operate_time"))
-    rows = (codes("orders", "o_orderpriority", "priority", "4-NOT SPECIFIED")
-            .unionByName(codes("lineitem", "l_returnflag", "flag", "N"))
-            .unionByName(codes("lineitem", "l_linestatus", "status", "O")))
+    flags = load(spark, sf, "lineitem").select("l_returnflag", "l_linestatus").distinct()
+    priorities = load(spark, sf, "orders")
+    rows = (codes(priorities, "o_orderpriority", "priority", "4-NOT SPECIFIED")
+            .unionByName(codes(flags, "l_returnflag", "flag", "N"))
+            .unionByName(codes(flags, "l_linestatus", "status", "O")))
     return rows.select(*CODE_DICTIONARY.fieldNames())
 
 
