@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions import scalars
-from tillstream.functions.parsing import page_rows, split_log
+from tillstream.functions.parsing import split_changes, split_log
 from tillstream.functions.tokens import explode_words
 from tillstream.operators import filters, joins, state
-from tillstream.operators.windows import traffic_rows
-from tillstream.plans import facts, logs, report, windows
+from tillstream.operators.windows import event_time, traffic_rows
+from tillstream.plans import dim, facts, logs, report, windows
 from tillstream.session import prepare, work_dir
 from tillstream.sources import readers, samples, sinks
 from tillstream.sources.keyed import KeyedTable
 from tillstream.sources.samples import VERSION, load
 from tillstream.schemas import WINDOW_COLUMNS, strings
 from tillstream.streaming import run
+from tillstream.streaming import state as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 ZONE = "UTC"
@@ -544,3 +545,171 @@ def window_table_sink(spark, sf):
     write = sinks.window_batch(columns, "parquet", path=path)
     write(windows.registrations(users, "10 minutes"), 0)
     return spark.read.parquet(path).drop("batch")
+
+
+# -- streams: the same rules fed by a stream, drained and read back ---------------
+
+def _streamed(spark, sf, name: str) -> DataFrame:
+    file = f"{name}.parquet"
+    schema = spark.read.parquet(f"{sf}/{file}").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(sf)
+
+
+def _drained(spark, df: DataFrame, name: str) -> DataFrame:
+    path = work_dir(spark, name)
+    run.to_folder(df, f"{path}/out", f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/out")
+
+
+def _topic(spark, rows: DataFrame, name: str) -> DataFrame:
+    """Rows written as JSON texts to a topic folder, and that topic as a text stream."""
+    path = work_dir(spark, name)
+    sinks.append_batch(path)(rows, 0)
+    return readers.text_topic(spark, "text", path=f"{path}/batch=0")
+
+
+def _stream_pages(spark, sf) -> DataFrame:
+    return samples.pages_of(_streamed(spark, sf, "events"))
+
+
+@query
+def stream_new_flag_repair(spark, sf):
+    out = state.repair_new_flag(_stream_pages(spark, sf))
+    return _drained(spark, out, "flags").select("event_id", "mid", "is_new", "ts")
+
+
+@query
+def stream_unique_visitors(spark, sf):
+    out = logs.unique_visitors(_stream_pages(spark, sf), EVENT)
+    return _drained(spark, out, "visitors").select("event_id", "mid", "ts")
+
+
+@query
+def stream_daily_page_firsts(spark, sf):
+    out = state.daily_page_counters(_stream_pages(spark, sf), list(EVENT))
+    return _drained(spark, out, "page_firsts").select("event_id", "mid", "home_uv_ct",
+                                                      "good_detail_uv_ct")
+
+
+@query
+def stream_returning_users(spark, sf):
+    entries = filters.logged_in_entries(_stream_pages(spark, sf))
+    out = state.daily_and_returning(entries, list(EVENT))
+    return _drained(spark, out, "returning").select("event_id", "uid", "uu_ct", "back_ct")
+
+
+@query
+def stream_ordering_users(spark, sf):
+    orders = _streamed(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("user_id"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ms"))
+    out = state.unique_and_new(orders, ["ms", "o_orderkey"], state.day_of("ms"), "o_orderkey")
+    return _drained(spark, out, "ordering").select("o_orderkey", "user_id", "is_unique", "is_new")
+
+
+@query
+def stream_latest_lines(spark, sf):
+    """Newest versions of the lines whose wait the watermark has passed."""
+    lines = _streamed(spark, sf, "lineitem").select(
+        samples.line_id().alias("order_detail_id"), "l_partkey", "l_suppkey",
+        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ts"), "l_extendedprice")
+    out = streams.latest_per_key(event_time(lines), "order_detail_id",
+                                 ["ts", "l_partkey", "l_suppkey", "l_extendedprice"],
+                                 event_time=True)
+    return _drained(spark, out, "latest").drop("rt")
+
+
+@query
+def stream_first_copies(spark, sf):
+    lines = _streamed(spark, sf, "lineitem").select(
+        samples.line_id().alias("order_detail_id"),
+        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ts"))
+    out = state.first_per_key(event_time(lines), "order_detail_id", ["ts"])
+    return _drained(spark, out, "copies").select("order_detail_id")
+
+
+@query
+def stream_bounced_visits(spark, sf):
+    """Bounces whose gap the watermark has passed."""
+    out = logs.bounce_details(_stream_pages(spark, sf), EVENT, SIX_HOURS_MS)
+    return _drained(spark, out, "bounces").select("event_id", "mid", "ts")
+
+
+@query
+def stream_log_pages(spark, sf):
+    """Raw texts split five ways from a stream; the page output."""
+    text = _topic(spark, samples.raw_log(spark, sf), "raw_log")
+    path = work_dir(spark, "log_split")
+    writers = {name: sinks.append_batch(f"{path}/{name}", "parquet") for name in logs.OUTPUTS}
+    good, _ = split_log(text)
+    run.drain(logs.repaired_events(good), f"{path}/checkpoint",
+              sinks.multi_way(filters.split_events, writers))
+    return spark.read.parquet(f"{path}/page").select(
+        "common.*", "page.*", F.col("err")["error_code"].alias("error_code"), "ts")
+
+
+@query
+def stream_keyword_window(spark, sf):
+    """Closed windows of searched words."""
+    pages = _topic(spark, samples.searches(spark, sf), "searches")
+    rows = pages.select(F.from_json("value", "item string, last_page_id string, "
+                                             "item_type string, ts bigint").alias("r")).select("r.*")
+    return _drained(spark, windows.keywords(rows), "keywords").drop("ts")
+
+
+@query
+def stream_login_window(spark, sf):
+    """Closed windows; the per-user rule feeds the window in one query."""
+    return _drained(spark, windows.logins(_stream_pages(spark, sf), HOUR, EVENT),
+                    "logins").drop("ts")
+
+
+@query
+def stream_traffic_window(spark, sf):
+    """Closed windows over three streams: page views, unique visitors and bounces."""
+    def back(df: DataFrame, name: str) -> DataFrame:
+        path = work_dir(spark, name)
+        df.write.parquet(path)
+        return spark.readStream.schema(df.schema).parquet(path)
+
+    _, unique, bounced = _traffic_parts(spark, sf)
+    out = windows.traffic(_stream_pages(spark, sf), back(unique, "uv"), back(bounced, "uj"), HOUR)
+    return _drained(spark, out, "traffic").drop("ts")
+
+
+@query
+def stream_province_window(spark, sf):
+    """Closed windows of order lines with a looked-up province name."""
+    path = work_dir(spark, "lines")
+    lines = _latest(spark, sf)
+    lines.write.parquet(path)
+    rows = spark.readStream.schema(lines.schema).parquet(path)
+    out = windows.provinces(rows, samples.dimensions(spark, sf)["base_province"])
+    return _drained(spark, out, "provinces").drop("ts")
+
+
+@query
+def stream_paid_orders(spark, sf):
+    """Payments joined to order lines, both streams, at most 400 days apart."""
+    path = work_dir(spark, "details")
+    details = _details(spark, sf)
+    details.write.parquet(path)
+    rows = spark.readStream.schema(details.schema).parquet(path)
+    texts = _topic(spark, samples.changes(spark, sf, "payment_info").drop("pt"), "payments")
+    changes, _ = split_changes(texts)
+    out = facts.payments(changes, rows, samples.dictionary(spark, sf), span="400 days")
+    return _drained(spark, out, "paid").drop("pt")
+
+
+@query
+def stream_dimension_sync(spark, sf):
+    """Raw change texts from a stream to dimension tables, config re-read per micro-batch."""
+    changes = samples.changes(spark, sf, "sku_info", "base_province", "not_listed")
+    path = work_dir(spark, "dim_stream")
+    run.drain(_topic(spark, changes.drop("pt"), "dim_topic"), f"{path}/checkpoint",
+              dim.sync_batch(lambda: samples.routes(spark), path,
+                             sinks.append_batch(f"{path}/bad")))
+    sku = sinks.dimension_table(spark, path, "dim_sku_info", "id,sku_name,tm_id")
+    place = sinks.dimension_table(spark, path, "dim_base_province", "id,name", "id")
+    return (sku.read().select("id", F.col("sku_name").alias("name"), F.lit("sku").alias("dim"))
+            .unionByName(place.read().withColumn("dim", F.lit("province"))))

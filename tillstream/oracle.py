@@ -251,7 +251,65 @@ SEARCHES = """searched AS (SELECT text AS item, 1704067200000 + doc_id * 7000 AS
   WHERE length(text) % 3 <> 0 AND lang <> 'de' AND text IS NOT NULL)"""
 
 
+def _closed(size_ms: int, delay_ms: int, rows: str) -> str:
+    """Windows that end at or before the watermark."""
+    return (f"(ts // {size_ms} + 1) * {size_ms} <= (SELECT max(ts) - {delay_ms} FROM {rows})")
+
+
 def oracle_sql() -> dict[str, str]:
+    tables = _table_sql()
+    same = {"stream_new_flag_repair": "new_flag_repair",
+            "stream_unique_visitors": "unique_visitors",
+            "stream_daily_page_firsts": "daily_page_firsts",
+            "stream_returning_users": "returning_users", "stream_log_pages": "log_pages",
+            "stream_paid_orders": "paid_orders_in_span",
+            "stream_dimension_sync": "dimension_sync"}
+    return {**tables, **{stream: tables[name] for stream, name in same.items()}, **_stream_sql()}
+
+
+def _stream_sql() -> dict[str, str]:
+    """Streams whose last rows stay open until the watermark passes them."""
+    return {
+        "stream_ordering_users": """WITH o AS (SELECT o_orderkey, o_custkey AS user_id,
+              CAST(o_orderdate AS DATE) AS d FROM orders),
+            h AS (SELECT user_id, d, min(o_orderkey) AS head FROM o GROUP BY ALL),
+            f AS (SELECT user_id, min(d) AS d FROM o GROUP BY ALL)
+            SELECT o_orderkey, o.user_id, CAST(h.head IS NOT NULL AS BIGINT) AS is_unique,
+              CAST(h.head IS NOT NULL AND f.d IS NOT NULL AS BIGINT) AS is_new
+            FROM o LEFT JOIN h ON o_orderkey = h.head
+              LEFT JOIN f ON o.user_id = f.user_id AND o.d = f.d""",
+        "stream_latest_lines": """WITH b AS (SELECT l_orderkey * 10 + l_linenumber AS id,
+              max(struct_pack(ts := epoch_ms(l_shipdate), l_partkey := l_partkey,
+                l_suppkey := l_suppkey, l_extendedprice := l_extendedprice)) AS v
+              FROM lineitem GROUP BY ALL HAVING min(epoch_ms(l_shipdate)) + 2000
+                <= (SELECT max(epoch_ms(l_shipdate)) - 2000 FROM lineitem))
+            SELECT id AS order_detail_id, unnest(v) FROM b""",
+        "stream_first_copies": """SELECT DISTINCT l_orderkey * 10 + l_linenumber AS order_detail_id
+            FROM lineitem""",
+        "stream_bounced_visits": f"""WITH {PAGES}, {BOUNCED} SELECT event_id, mid, ts FROM bounced
+            WHERE ts + 21600000 <= (SELECT max(ts) - 2000 FROM page_log)""",
+        "stream_keyword_window": f"""WITH {SEARCHES}, w AS (SELECT unnest({_words('item')}) AS keyword,
+              ts FROM searched WHERE {_closed(TEN_S, 2000, 'searched')})
+            SELECT {_bounds('ts', TEN_S)}, 'search' AS source, keyword, count(*) AS keyword_count
+            FROM w GROUP BY ALL""",
+        "stream_login_window": f"""WITH {PAGES}, {LOGINS} SELECT {_bounds('ts', HOUR)},
+            CAST(sum(back_ct) AS BIGINT) AS back_ct, CAST(sum(uu_ct) AS BIGINT) AS uu_ct
+            FROM logins WHERE {_closed(HOUR, 2000, 'entries')} GROUP BY ALL""",
+        "stream_traffic_window": f"""WITH {PAGES}, {VISITORS}, {BOUNCED}, {UNION}
+            SELECT {_bounds('ts', HOUR)}, vc, ch, ar, is_new, CAST(sum(uv_ct) AS BIGINT) AS uv_ct,
+            CAST(sum(sv_ct) AS BIGINT) AS sv_ct, CAST(sum(pv_ct) AS BIGINT) AS pv_ct,
+            CAST(sum(dur_sum) AS BIGINT) AS dur_sum, CAST(sum(uj_ct) AS BIGINT) AS uj_ct
+            FROM rows WHERE {_closed(HOUR, 13000, 'rows')} GROUP BY ALL""",
+        "stream_province_window": f"""WITH {LATEST}, open AS (SELECT ms AS ts, * EXCLUDE (ts)
+              FROM latest)
+            SELECT {_bounds('ts', TEN_S)}, province_id, n_name AS province_name,
+              count(*) AS order_count, {_sum('amount')} AS order_amount
+            FROM open JOIN nation ON province_id = CAST(n_nationkey AS VARCHAR)
+            WHERE {_closed(TEN_S, 2000, 'open')} GROUP BY ALL""",
+    }
+
+
+def _table_sql() -> dict[str, str]:
     return {
         "scalar_amounts": f"""SELECT l_orderkey, l_linenumber, l_partkey,
             CAST(CAST(CAST(l_quantity AS DECIMAL(16,2)) * CAST(l_extendedprice AS DECIMAL(16,2))

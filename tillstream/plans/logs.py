@@ -10,6 +10,10 @@ from tillstream.operators import filters, state
 from tillstream.operators.windows import DELAY, event_time
 
 
+# the outputs of a split log event
+OUTPUTS = ("page", "start", "display", "action", "error")
+
+
 def repaired_events(events: DataFrame) -> DataFrame:
     """Log events with the new-visitor flag corrected per device."""
     flat = events.select("*", F.col("common.mid").alias("mid"),

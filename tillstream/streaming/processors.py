@@ -148,44 +148,56 @@ class NewFlagRepair(_Rule):
 
 
 class LatestVersion(_Rule):
-    """Keep the newest version of a key; emit it once, a fixed time after the first arrived.
+    """Keep the newest version of a key; emit it once, a fixed time after the first one.
 
-    What was emitted is kept as a mark that expires, so later copies stay silent.
+    A mark stays for a while after that, so later copies are silent. Time is the watermark and
+    the rows' own ms if `event_time`, else the clock.
     """
 
     def __init__(self, order: list[str], columns: list[str], row_schema: str, wait_ms: int,
-                 silent_ms: int):
+                 silent_ms: int, event_time: bool):
         super().__init__(order, columns)
         self.row_schema, self.wait_ms, self.silent_ms = row_schema, wait_ms, silent_ms
+        self.event_time = event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.best = handle.getValueState("best", self.row_schema)
-        self.done = handle.getValueState("done", "done boolean", ttlDurationMs=self.silent_ms)
+        # the newest version, or only the mark once that was emitted; one state saves round trips
+        self.best = handle.getValueState("best", self.row_schema + ", _done boolean")
+
+    def _now(self, timerValues) -> int:
+        return (timerValues.getCurrentWatermarkInMs() if self.event_time
+                else timerValues.getCurrentProcessingTimeInMs())
 
     def handleInputRows(self, key, rows, timerValues):
-        if self.done.exists():
+        held = self.best.get()
+        if held and held[-1]:
             for _ in rows:
                 pass
             return
-        held = self.best.get()
         best = Row(**dict(zip(self.columns, held))) if held else None
+        first = None
         for row in rows:
             if best is None or _place(row, self.order) >= _place(best, self.order):
                 best = row
-        if best is None:
+            first = row[self.order[0]] if first is None else min(first, row[self.order[0]])
+        if first is None:
             return
-        self.best.update(tuple(best[c] for c in self.columns))
+        self.best.update((*(best[c] for c in self.columns), False))
         if held is None:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
+            start = max(first, self._now(timerValues)) if self.event_time \
+                else self._now(timerValues)
+            self.handle.registerTimer(start + self.wait_ms)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         held = self.best.get()
-        if held:
-            self.best.clear()
-            self.done.update((True,))
+        if held and not held[-1]:
+            self.best.update((*(None for _ in self.columns), True))
+            self.handle.registerTimer(self._now(timerValues) + self.silent_ms)
             yield Row(**dict(zip(self.columns, held)))
+        else:
+            self.best.clear()
 
 
 class Bounce(_Rule):

@@ -20,7 +20,7 @@ def start(df: DataFrame, checkpoint: str, writer: BatchWriter, mode: str = "appe
 
 
 def drain(df: DataFrame, checkpoint: str, writer: BatchWriter, mode: str = "append",
-          timeout: int = 600) -> None:
+          timeout: int = 3600) -> None:
     """Process what is there now, then stop."""
     query = start(df, checkpoint, writer, mode, available_now=True)
     if not query.awaitTermination(timeout):
@@ -29,7 +29,7 @@ def drain(df: DataFrame, checkpoint: str, writer: BatchWriter, mode: str = "appe
 
 
 def to_folder(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-              timeout: int = 600) -> None:
+              timeout: int = 3600) -> None:
     """Drain into a parquet folder with Spark's own exactly-once file sink."""
     query = (df.writeStream.outputMode(mode).format("parquet")
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
