@@ -31,7 +31,7 @@ def words(text: Column) -> Column:
     found = F.when(lower.rlike(f"[{CJK}]"), F.concat(plain, every(PAIR, 1), every(SINGLE, 0))) \
         .otherwise(plain)
     # a text without any word stays whole, as when segmentation fails
-    return F.when(F.size(found) > 0, found).otherwise(F.array(text))
+    return F.when(F.size(found) > 0, found).when(text.isNotNull(), F.array(text))
 
 
 def explode_words(df: DataFrame, text: str, out: str = "word",

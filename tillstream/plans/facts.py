@@ -14,7 +14,7 @@ from tillstream.operators import filters
 from tillstream.operators.filters import payload, route
 from tillstream.operators.joins import decode
 from tillstream.schemas import STATUS_PAID, STATUS_REFUNDING
-from tillstream.streaming.joins import interval_join
+from tillstream.streaming.joins import interval_join, watermarked
 
 SPAN = "15 minutes"
 
@@ -55,10 +55,11 @@ def _seconds(column: str = "ts") -> Column:
 
 def _near(left: DataFrame, right: DataFrame, on: tuple[str, str], how: str,
           span: str | None, times: tuple[str, str] = ("_lt", "_rt")) -> DataFrame:
-    """Equi-join, bounded in time on streams; the right key and time are dropped."""
+    """Equi-join, bounded in time on streams; the right key and time are dropped. Each input
+    stream was given its watermark before its first join."""
     if left.isStreaming or span:
         span = span or SPAN
-        joined = interval_join(left, right, on, times, span, span, how)
+        joined = interval_join(left, right, on, times, span, span, how, delay=None)
     else:
         joined = left.join(right, F.col(on[0]) == F.col(on[1]), how)
     return joined.drop(on[1], times[1])
@@ -74,20 +75,22 @@ def order_detail(changes: DataFrame, dictionary: DataFrame, database: str | None
     def of(table: str, *types: str) -> DataFrame:
         return route(changes, table, *types, database=database)
 
-    lines = payload(of("order_detail", "insert"), "order_detail", _seconds().alias("_lt"))
+    lines = watermarked(payload(of("order_detail", "insert"), "order_detail",
+                                _seconds().alias("_lt")), "_lt")
     lines = (lines.withColumnsRenamed({"id": "order_detail_id",
                                        "create_time": "order_create_time"})
              .withColumn("split_original_amount", times(F.col("sku_num"), F.col("order_price"))))
-    activity = payload(of("order_detail_activity", "insert"), "order_detail_activity",
-                       _seconds().alias("_at")) \
+    activity = watermarked(payload(of("order_detail_activity", "insert"),
+                                   "order_detail_activity", _seconds().alias("_at")), "_at") \
         .select(F.col("order_detail_id").alias("_activity_line"), "activity_id",
                 "activity_rule_id", F.col("create_time").alias("activity_create_time"), "_at")
-    coupon = payload(of("order_detail_coupon", "insert"), "order_detail_coupon",
-                     _seconds().alias("_ct")) \
+    coupon = watermarked(payload(of("order_detail_coupon", "insert"), "order_detail_coupon",
+                                 _seconds().alias("_ct")), "_ct") \
         .select(F.col("order_detail_id").alias("_coupon_line"), "coupon_id", "coupon_use_id",
                 F.col("create_time").alias("coupon_create_time"), "_ct")
-    orders = payload(of("order_info", "insert", "update"), "order_info", "type", "old",
-                     _seconds().alias("_ot")).withColumnRenamed("id", "_order")
+    orders = watermarked(payload(of("order_info", "insert", "update"), "order_info", "type",
+                                 "old", _seconds().alias("_ot")), "_ot") \
+        .withColumnRenamed("id", "_order")
 
     wide = _near(lines, activity, ("order_detail_id", "_activity_line"), "left", span,
                  ("_lt", "_at"))
@@ -128,7 +131,9 @@ def payments(changes: DataFrame, details: DataFrame, dictionary: DataFrame,
     paid = payload(paid, "payment_info").select(
         F.col("order_id").alias("_paid_order"), F.col("payment_type").alias("payment_type_code"),
         "callback_time", F.to_timestamp("callback_time").alias("_paid"))
-    lines = details.drop("pt", "ts").withColumn("_made", F.to_timestamp("order_create_time")) \
+    paid = watermarked(paid, "_paid")
+    lines = watermarked(details.drop("pt", "ts").withColumn(
+        "_made", F.to_timestamp("order_create_time")), "_made") \
         .withColumnRenamed("split_total_amount", "split_payment_amount")
     joined = _near(paid, lines, ("_paid_order", "order_id"), "inner", span, ("_paid", "_made")) \
         .withColumnRenamed("_paid_order", "order_id")
@@ -139,13 +144,14 @@ def payments(changes: DataFrame, details: DataFrame, dictionary: DataFrame,
 def refunds(changes: DataFrame, dictionary: DataFrame, span: str | None = None,
             database: str | None = None) -> DataFrame:
     """Refunded order lines with their order's province and both code names."""
-    asked = payload(route(changes, "order_refund_info", "insert", database=database),
-                    "order_refund_info", "ts", _seconds().alias("_lt"))
+    asked = watermarked(payload(route(changes, "order_refund_info", "insert", database=database),
+                                "order_refund_info", "ts", _seconds().alias("_lt")), "_lt")
     orders = route(changes, "order_info", "update", database=database).filter(
         (F.col("data")["order_status"] == STATUS_REFUNDING) & filters.in_old("order_status"))
     orders = orders.select(F.col("data")["id"].alias("_order"),
                            F.col("data")["province_id"].alias("province_id"),
                            _seconds().alias("_rt"))
+    orders = watermarked(orders, "_rt")
     wide = _near(asked, orders, ("order_id", "_order"), "left", span)
     wide = wide.withColumnsRenamed({"refund_type": "refund_type_code",
                                     "refund_reason_type": "refund_reason_type_code"})
