@@ -153,3 +153,18 @@ def test_order_window_sums_before_it_compares_users(spark):
     text = plan(windows.orders(details.repartition(2)))
     window = text.index("Window [lag(")
     assert "partial_sum" in text[window:]
+
+
+def test_reading_a_keyed_table_does_not_shuffle_its_base(spark, folder):
+    from tillstream.schemas import strings
+    from tillstream.sources.keyed import KeyedTable
+    table = KeyedTable(spark, folder, "id", strings("id", "v"))
+    rows = spark.range(100).selectExpr("cast(id as string) id", "cast(id as string) v")
+    table.upsert(rows, 0)
+    table.compact()
+    table.upsert(rows.limit(3), 1)
+    text = plan(table.read())
+    anti = text[text.index("LeftAnti"):]
+    base = anti[:anti.index("FileScan")]
+    assert "Broadcast" in text.split("LeftAnti")[0] and "Exchange hash" not in base
+    assert table.read().count() == 100

@@ -49,7 +49,7 @@ class Feed:
 
     def drain(self, make, name="q", timeout=120):
         run.to_folder(make(self.stream()), f"{self.folder}/out-{name}",
-                      f"{self.folder}/checkpoint-{name}", timeout=timeout)
+                      f"{self.folder}/checkpoint-{name}", timeout=timeout, partitions=3)
         return self.spark.read.parquet(f"{self.folder}/out-{name}")
 
 
@@ -179,7 +179,7 @@ def test_left_interval_join_gives_unmatched_rows_once(spark, folder):
     add(right, ("none", at(600)))
     joined = interval_join(left.stream(), right.stream(), ("k", "j"), ("lt", "rt"), "10 seconds",
                            "10 seconds", "left")
-    run.to_folder(joined, f"{folder}/out", f"{folder}/checkpoint", timeout=120)
+    run.to_folder(joined, f"{folder}/out", f"{folder}/checkpoint", timeout=120, partitions=3)
     got = bag(spark.read.parquet(f"{folder}/out"), "k", "j")
     assert got == Counter({("a", "a"): 1, ("b", None): 1, ("c", None): 1})
 
@@ -243,7 +243,7 @@ def test_dimension_sync_sees_config_changes(spark, folder):
         writer = dim.sync_batch(readers.rereading(spark, "parquet", f"{folder}/config"),
                                 f"{folder}/dims", sinks.append_batch(f"{folder}/bad"))
         run.drain(readers.text_topic(spark, "text", path=f"{folder}/in"), f"{folder}/checkpoint",
-                  writer, timeout=120)
+                  writer, timeout=120, partitions=3)
     a = sinks.dimension_table(spark, f"{folder}/dims", "dim_a", "id,name")
     b = sinks.dimension_table(spark, f"{folder}/dims", "dim_b", "code", "code")
     assert bag(a.read(), "id", "name") == Counter({("1", "new"): 1})

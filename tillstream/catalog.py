@@ -328,8 +328,8 @@ def customer_provinces(spark, sf):
 def coded_priorities(spark, sf):
     orders = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     codes = samples.dictionary(spark, sf)
-    named = joins.decode(orders, codes, "o_orderpriority", "priority_name", how="inner")
-    return joins.decode(named, codes, "o_orderstatus", "status_name")
+    named = joins.decode(orders, codes, {"o_orderpriority": "priority_name"}, how="inner")
+    return joins.decode(named, codes, {"o_orderstatus": "status_name"})
 
 
 def _sku_lines(spark, sf) -> DataFrame:

@@ -28,11 +28,16 @@ def enrich(df: DataFrame, dim: DataFrame, key: str, columns: dict[str, str],
     return df.join(side, df[key] == side["_key"], how).drop("_key")
 
 
-def decode(df: DataFrame, dictionary: DataFrame, key: str, name: str,
+def decode(df: DataFrame, dictionary: DataFrame, names: dict[str, str],
            how: str = "left") -> DataFrame:
-    """Add a code's name. With `how="inner"` a row with an unknown code is dropped."""
+    """Add the names of codes, `names` mapping code columns to new name columns.
+
+    With `how="inner"` a row with an unknown code is dropped.
+    """
     side = if_small(dictionary.select("dic_code", "dic_name"))
-    return enrich(df, side, key, {name: "dic_name"}, dim_key="dic_code", how=how)
+    for code, name in names.items():
+        df = enrich(df, side, code, {name: "dic_name"}, dim_key="dic_code", how=how)
+    return df
 
 
 # One hop of a chain: (dimension, key column of the row, {new column: dimension column}).

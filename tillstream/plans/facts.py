@@ -96,7 +96,7 @@ def order_detail(changes: DataFrame, dictionary: DataFrame, database: str | None
                  ("_lt", "_at"))
     wide = _near(wide, coupon, ("order_detail_id", "_coupon_line"), "left", span, ("_lt", "_ct"))
     wide = _near(wide, orders, ("order_id", "_order"), "inner", span, ("_lt", "_ot"))
-    wide = decode(wide, dictionary, "source_type", "dic_name", how="inner")
+    wide = decode(wide, dictionary, {"source_type": "dic_name"}, how="inner")
     return (wide.withColumns({c: money(c) for c in ORDER_AMOUNTS})
             .withColumn("pt", F.current_timestamp()).withColumn("ts", F.current_timestamp())
             .select(*ORDER_DETAIL))
@@ -118,7 +118,7 @@ def cart_adds(changes: DataFrame, dictionary: DataFrame,
     rows = rows.withColumn("_quantity", quantity)
     cart = payload(rows, "cart_info", "_quantity").withColumn("sku_num", F.col("_quantity")) \
         .drop("_quantity").withColumn("cart_price", money("cart_price"))
-    return decode(cart, dictionary, "source_type", "dic_name", how="inner")
+    return decode(cart, dictionary, {"source_type": "dic_name"}, how="inner")
 
 
 def payments(changes: DataFrame, details: DataFrame, dictionary: DataFrame,
@@ -137,8 +137,8 @@ def payments(changes: DataFrame, details: DataFrame, dictionary: DataFrame,
         .withColumnRenamed("split_total_amount", "split_payment_amount")
     joined = _near(paid, lines, ("_paid_order", "order_id"), "inner", span, ("_paid", "_made")) \
         .withColumnRenamed("_paid_order", "order_id")
-    return (decode(joined, dictionary, "payment_type_code", "payment_type_name", how="inner")
-            .withColumn("pt", F.current_timestamp()).select(*PAYMENT))
+    named = decode(joined, dictionary, {"payment_type_code": "payment_type_name"}, how="inner")
+    return (named.withColumn("pt", F.current_timestamp()).select(*PAYMENT))
 
 
 def refunds(changes: DataFrame, dictionary: DataFrame, span: str | None = None,
@@ -155,8 +155,8 @@ def refunds(changes: DataFrame, dictionary: DataFrame, span: str | None = None,
     wide = _near(asked, orders, ("order_id", "_order"), "left", span)
     wide = wide.withColumnsRenamed({"refund_type": "refund_type_code",
                                     "refund_reason_type": "refund_reason_type_code"})
-    wide = decode(wide, dictionary, "refund_type_code", "refund_type_name")
-    wide = decode(wide, dictionary, "refund_reason_type_code", "refund_reason_type_name")
+    wide = decode(wide, dictionary, {"refund_type_code": "refund_type_name",
+                                     "refund_reason_type_code": "refund_reason_type_name"})
     return (wide.withColumn("date_id", date_text(F.col("create_time")))
             .withColumn("refund_amount", money("refund_amount"))
             .withColumn("row_op_ts", F.current_timestamp()).select(*REFUND))
@@ -199,7 +199,7 @@ def favours(changes: DataFrame, database: str | None = None) -> DataFrame:
 def comments(changes: DataFrame, dictionary: DataFrame, database: str | None = None) -> DataFrame:
     rows = payload(route(changes, "comment_info", "insert", database=database), "comment_info",
                    "ts")
-    named = decode(rows, dictionary, "appraise", "appraise_name")
+    named = decode(rows, dictionary, {"appraise": "appraise_name"})
     return named.select("id", "user_id", "sku_id", "order_id",
                         date_text(F.col("create_time")).alias("date_id"), "create_time",
                         F.col("appraise").alias("appraise_code"), "appraise_name", "ts")

@@ -1,7 +1,7 @@
 """Keyed tables on plain parquet: an append log of batches, and a compacted base.
 
-A write costs what its batch costs, never the table. Reading takes the newest row per key over
-the base and the batches after it. Every write is a whole-folder overwrite named after its
+A write costs what its batch costs, never the table. Reading takes the newest row per key of the
+batches after the base, and the base's rows of all other keys. Every write is a whole-folder overwrite named after its
 batch, so a repeated batch replaces itself; a base counts only once the manifest names it.
 """
 
@@ -58,25 +58,27 @@ class KeyedTable:
         last = log.agg(F.max(_BATCH)).first()[0] if log is not None else None
         if last is None or (base is not None and last <= base):
             return -1 if base is None else base
-        (self._current().filter(f"not {DELETED}").drop(_BATCH)
+        (self._current().filter(f"not {DELETED}")
          .write.mode("overwrite").parquet(self._base_path(last)))
         self._commit(last)
         return last
 
     def _current(self) -> DataFrame:
-        base = self._manifest()
-        parts = []
-        if base is not None:
-            parts.append(self.spark.read.schema(self._stored).parquet(self._base_path(base))
-                         .withColumn(_BATCH, F.lit(base).cast("long")))
-        log = self._log()
+        """Newest row per key, deletes included. The base has each key once, so it is not
+        shuffled: it only loses the keys the log holds, which Spark broadcasts while they are
+        few."""
+        base, log = self._manifest(), self._log()
         if log is not None:
-            parts.append(log if base is None else log.filter(F.col(_BATCH) > base))
-        if not parts:
-            return self.spark.createDataFrame(
-                [], T.StructType(self._stored.fields + [T.StructField(_BATCH, T.LongType())]))
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return latest_per_key(rows, self.key, [_BATCH])
+            newer = log if base is None else log.filter(F.col(_BATCH) > base)
+            newest = latest_per_key(newer, self.key, [_BATCH]).drop(_BATCH)
+        if base is None:
+            return newest if log is not None else self.spark.createDataFrame([], self._stored)
+        old = self.spark.read.schema(self._stored).parquet(self._base_path(base))
+        if log is None:
+            return old
+        touched = newer.select(F.col(self.key).alias("_key"))
+        kept = old.join(touched, old[self.key].eqNullSafe(touched["_key"]), "left_anti")
+        return kept.unionByName(newest)
 
     def _log(self) -> DataFrame | None:
         # _batch is the partition folder, so a base prunes the batches it already holds.

@@ -2,37 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.sources.sinks import BatchWriter
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """Start a query with so many state partitions, by default one per core of the cluster.
+
+    The number holds for the life of the checkpoint; each partition keeps a store per operator.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(partitions or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def start(df: DataFrame, checkpoint: str, writer: BatchWriter, mode: str = "append",
-          every: str | None = None, available_now: bool = False) -> StreamingQuery:
+          every: str | None = None, available_now: bool = False,
+          partitions: int | None = None) -> StreamingQuery:
     out = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
            .foreachBatch(writer))
     if available_now:
         out = out.trigger(availableNow=True)
     elif every:
         out = out.trigger(processingTime=every)
-    return out.start()
+    with _state_partitions(df.sparkSession, partitions):
+        return out.start()
 
 
 def drain(df: DataFrame, checkpoint: str, writer: BatchWriter, mode: str = "append",
-          timeout: int = 3600) -> None:
+          timeout: int = 3600, partitions: int | None = None) -> None:
     """Process what is there now, then stop."""
-    query = start(df, checkpoint, writer, mode, available_now=True)
+    query = start(df, checkpoint, writer, mode, available_now=True, partitions=partitions)
     if not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream not drained within {timeout} s")
 
 
 def to_folder(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-              timeout: int = 3600) -> None:
+              timeout: int = 3600, partitions: int | None = None) -> None:
     """Drain into a parquet folder with Spark's own exactly-once file sink."""
-    query = (df.writeStream.outputMode(mode).format("parquet")
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
+    out = (df.writeStream.outputMode(mode).format("parquet")
+           .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    with _state_partitions(df.sparkSession, partitions):
+        query = out.start(path)
     if not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream not drained within {timeout} s")
