@@ -76,3 +76,10 @@ def test_upsert_writer_compacts_as_it_goes(spark, table):
               batch)
     assert rows(table) == [("a", "3")] and table._manifest() == 3
     assert table.read().filter(F.col("v").isNull()).count() == 0
+
+
+def test_records_of_an_upserted_topic(spark):
+    df = spark.createDataFrame([("a", "1", False), ("b", None, True), ("c", None, None)],
+                               f"id string, v string, {DELETED} boolean")
+    out = [tuple(r) for r in sinks.as_keyed_text(df, "id").collect()]
+    assert out == [("a", '{"id":"a","v":"1"}'), ("b", None), ("c", '{"id":"c"}')]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from tillstream.functions.parsing import split_log
-from tillstream.operators import filters, state
+from tillstream.operators import filters, joins, state
 from tillstream.operators.windows import event_time, tumble
 from tillstream.plans import dim, facts, logs, windows
 from tillstream.schemas import CODE_DICTIONARY
@@ -249,3 +249,19 @@ def test_dimension_sync_sees_config_changes(spark, folder):
     assert bag(a.read(), "id", "name") == Counter({("1", "new"): 1})
     assert bag(b.read(), "code") == Counter({("kept",): 1})
     assert spark.read.text(f"{folder}/bad").count() == 1
+
+
+def test_changed_lookup_is_seen_by_the_next_batch(spark, folder):
+    schema = "code string"
+    feed = Feed(spark, folder, spark.createDataFrame([], schema).schema)
+    writer = sinks.with_lookup(
+        readers.rereading(spark, "parquet", f"{folder}/codes"),
+        lambda df, codes: joins.decode(df, codes, {"code": "name"}),
+        sinks.append_batch(f"{folder}/out", "parquet"))
+    for name in ("before", "after"):
+        spark.createDataFrame([("c", name)], "dic_code string, dic_name string") \
+            .write.mode("overwrite").parquet(f"{folder}/codes")
+        feed.add(spark.createDataFrame([("c",)], schema))
+        run.drain(feed.stream(), f"{folder}/checkpoint", writer, timeout=120)
+    assert bag(spark.read.parquet(f"{folder}/out"), "name") == Counter(
+        {("before",): 1, ("after",): 1})

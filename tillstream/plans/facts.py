@@ -65,9 +65,9 @@ def _near(left: DataFrame, right: DataFrame, on: tuple[str, str], how: str,
     return joined.drop(on[1], times[1])
 
 
-def order_detail(changes: DataFrame, dictionary: DataFrame, database: str | None = None,
+def joined_lines(changes: DataFrame, database: str | None = None,
                  span: str | None = None) -> DataFrame:
-    """Order lines with their order, activity, coupon and source name.
+    """Order lines with their order, activity and coupon, not yet with their source's name.
 
     Activity and coupon come first: they share the line key, so the lines are shuffled once for
     both while they are still narrow, and once more for the order.
@@ -96,12 +96,23 @@ def order_detail(changes: DataFrame, dictionary: DataFrame, database: str | None
                  ("_lt", "_at"))
     wide = _near(wide, coupon, ("order_detail_id", "_coupon_line"), "left", span, ("_lt", "_ct"))
     wide = _near(wide, orders, ("order_id", "_order"), "inner", span, ("_lt", "_ot"))
-    wide = decode(wide, dictionary, {"source_type": "dic_name"}, how="inner")
-    return (wide.withColumns({c: money(c) for c in ORDER_AMOUNTS})
-            .withColumn("pt", F.current_timestamp()).withColumn("ts", F.current_timestamp())
+    return wide.withColumns({c: money(c) for c in ORDER_AMOUNTS}).drop("_lt")
+
+
+def named_lines(wide: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Joined lines with their source's name; a line of an unknown source is dropped."""
+    named = decode(wide, dictionary, {"source_type": "dic_name"}, how="inner")
+    return (named.withColumn("pt", F.current_timestamp()).withColumn("ts", F.current_timestamp())
             .select(*ORDER_DETAIL))
 
 
+def order_detail(changes: DataFrame, dictionary: DataFrame, database: str | None = None,
+                 span: str | None = None) -> DataFrame:
+    """The wide order fact. A stream whose dictionary changes should write `joined_lines`
+    through sinks.with_lookup and `named_lines`."""
+    return named_lines(joined_lines(changes, database, span), dictionary)
+
+
 def placed_orders(fact: DataFrame) -> DataFrame:
     return filters.placed(fact)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 from tillstream.operators.filters import keep_columns, loaded
 from tillstream.operators.joins import route_rows
 from tillstream.schemas import strings
-from tillstream.sources.keyed import KeyedTable
+from tillstream.sources.keyed import DELETED, KeyedTable
 
 BatchWriter = Callable[[DataFrame, int], None]
+Lookup = TypeVar("Lookup")
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -20,6 +22,27 @@ def as_text(df: DataFrame) -> DataFrame:
     return df if df.columns == ["value"] else df.select(F.to_json(F.struct("*")).alias("value"))
 
 
+def as_keyed_text(df: DataFrame, key: str) -> DataFrame:
+    """Rows as topic records of an upserted table: key, and JSON text or null for a delete."""
+    columns = [c for c in df.columns if c != DELETED]
+    value = F.to_json(F.struct(*columns))
+    if DELETED in df.columns:
+        value = F.when(~F.coalesce(F.col(DELETED), F.lit(False)), value)
+    return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
+
+
+def with_lookup(read: Callable[[], Lookup], join: Callable[[DataFrame, Lookup], DataFrame],
+                writer: BatchWriter) -> BatchWriter:
+    """Join each micro-batch to lookup tables read at that moment, then write it.
+
+    For lookups that change while the stream runs. `join` must need no state of the stream:
+    a fact without joins of its own, or the naming of rows already joined or summed.
+    """
+    def write(df: DataFrame, batch_id: int) -> None:
+        writer(join(df, read()), batch_id)
+    return write
+
+
 def topic_stream(df: DataFrame, checkpoint: str, format: str = "kafka", **options: str):
     """A started-by-the-caller stream writer of JSON texts to a topic or to files."""
     return (as_text(df).writeStream.format(format).options(**options)
