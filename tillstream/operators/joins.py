@@ -90,9 +90,16 @@ def latest_routes(config: DataFrame, version: str | None = None) -> DataFrame:
             .select("source_table", "c.*"))
 
 
-def route_rows(changes: DataFrame, config: DataFrame) -> DataFrame:
-    """Give each change event its sink table; events of unlisted tables are dropped."""
+def route_rows(changes: DataFrame, config: DataFrame, max_tables: int = 1_000) -> DataFrame:
+    """Give each change event its sink table; events of unlisted tables are dropped.
+
+    The listed names, as long as they are few, also filter the events by value, which prunes
+    files and partitions of an event archive and comes before any work on the payload.
+    """
     side = if_small(config.select("source_table", "sink_table", "sink_columns", "sink_pk"))
+    listed = config.select("source_table").distinct().limit(max_tables + 1).collect()
+    if len(listed) <= max_tables:
+        changes = changes.filter(F.col("table").isin([r.source_table for r in listed]))
     return changes.join(side, changes["table"] == side["source_table"]).drop("source_table")
 
 

@@ -29,10 +29,10 @@ ORDER_DETAIL = [
     "original_total_amount", "feight_fee", "feight_fee_reduce", "type", "old", "activity_id",
     "activity_rule_id", "activity_create_time", "coupon_id", "coupon_use_id",
     "coupon_create_time", "dic_name", "ts"]
-ORDER_AMOUNTS = ["order_price", "split_total_amount", "split_activity_amount",
-                 "split_coupon_amount", "total_amount", "activity_reduce_amount",
-                 "coupon_reduce_amount", "original_total_amount", "feight_fee",
-                 "feight_fee_reduce"]
+LINE_AMOUNTS = ["order_price", "split_total_amount", "split_activity_amount",
+                "split_coupon_amount"]
+ORDER_AMOUNTS = ["total_amount", "activity_reduce_amount", "coupon_reduce_amount",
+                 "original_total_amount", "feight_fee", "feight_fee_reduce"]
 
 # Fixed columns of the paid order fact.
 PAYMENT = [
@@ -69,7 +69,8 @@ def joined_lines(changes: DataFrame, database: str | None = None,
                  span: str | None = None) -> DataFrame:
     """Order lines with their order, activity and coupon, not yet with their source's name.
 
-    Activity and coupon come first: they share the line key, so the lines are shuffled once for
+    Amounts become decimals before the joins, once per line and per order. Activity and coupon
+    come first: they share the line key, so the lines are shuffled once for
     both while they are still narrow, and once more for the order.
     """
     def of(table: str, *types: str) -> DataFrame:
@@ -79,6 +80,7 @@ def joined_lines(changes: DataFrame, database: str | None = None,
                                 _seconds().alias("_lt")), "_lt")
     lines = (lines.withColumnsRenamed({"id": "order_detail_id",
                                        "create_time": "order_create_time"})
+             .withColumns({c: money(c) for c in LINE_AMOUNTS})
              .withColumn("split_original_amount", times(F.col("sku_num"), F.col("order_price"))))
     activity = watermarked(payload(of("order_detail_activity", "insert"),
                                    "order_detail_activity", _seconds().alias("_at")), "_at") \
@@ -90,13 +92,13 @@ def joined_lines(changes: DataFrame, database: str | None = None,
                 F.col("create_time").alias("coupon_create_time"), "_ct")
     orders = watermarked(payload(of("order_info", "insert", "update"), "order_info", "type",
                                  "old", _seconds().alias("_ot")), "_ot") \
-        .withColumnRenamed("id", "_order")
+        .withColumnRenamed("id", "_order").withColumns({c: money(c) for c in ORDER_AMOUNTS})
 
     wide = _near(lines, activity, ("order_detail_id", "_activity_line"), "left", span,
                  ("_lt", "_at"))
     wide = _near(wide, coupon, ("order_detail_id", "_coupon_line"), "left", span, ("_lt", "_ct"))
     wide = _near(wide, orders, ("order_id", "_order"), "inner", span, ("_lt", "_ot"))
-    return wide.withColumns({c: money(c) for c in ORDER_AMOUNTS}).drop("_lt")
+    return wide.drop("_lt")
 
 
 def named_lines(wide: DataFrame, dictionary: DataFrame) -> DataFrame:
