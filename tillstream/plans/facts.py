@@ -70,8 +70,8 @@ def joined_lines(changes: DataFrame, database: str | None = None,
     """Order lines with their order, activity and coupon, not yet with their source's name.
 
     Amounts become decimals before the joins, once per line and per order. Activity and coupon
-    come first: they share the line key, so the lines are shuffled once for
-    both while they are still narrow, and once more for the order.
+    come first: they share the line key, so the lines are shuffled once for both while they are
+    still narrow, and once more for the order.
     """
     def of(table: str, *types: str) -> DataFrame:
         return route(changes, table, *types, database=database)

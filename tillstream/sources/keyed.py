@@ -1,8 +1,9 @@
 """Keyed tables on plain parquet: an append log of batches, and a compacted base.
 
 A write costs what its batch costs, never the table. Reading takes the newest row per key of the
-batches after the base, and the base's rows of all other keys. Every write is a whole-folder overwrite named after its
-batch, so a repeated batch replaces itself; a base counts only once the manifest names it.
+batches after the base, and the base's rows of all other keys. Every write is a whole-folder
+overwrite named after its batch, so a repeated batch replaces itself; a base counts only once
+the manifest names it.
 """
 
 from __future__ import annotations
