@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstream.llm import packing
+from tillstream.llm import packing, token_files
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,14 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@query
+def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = token_files.fresh_folder(spark)
+    token_files.write(table(spark, sf, "documents"), path)
+    return (token_files.read(spark, path)
+            .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
