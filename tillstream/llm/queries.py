@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import packing, token_files
+from tillstream.llm import licenses, packing, token_files
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
             .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
 
 
+@query
+def op6_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents"))
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
