@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import licenses, packing, token_files
+from tillstream.llm import licenses, ngram_join, packing, token_files
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,12 @@ def op6_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(table(spark, sf, "documents"))
 
 
+@query
+def op7_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return (ngram_join.join(table(spark, sf, "documents"))
+            .select("doc_id", "class_id", "n_links", "n_texts"))
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
