@@ -13,8 +13,8 @@ import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
-# Entries of the word table in each Python worker; at the bound it starts anew.
-WORDS = 500_000
+# Entries of the word table in each Python worker (about 200 bytes each); at the bound it starts anew.
+WORDS = 1_500_000
 # Characters that are split and looked up at a time.
 SPAN = 2_000_000
 # Neighbouring white space by any Unicode version's count.
@@ -35,27 +35,23 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # of each word behind a space
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
-
-    def _split(self, text: str) -> list[str]:
-        if DOUBLE_SPACE.search(text) or self.added.search(text):
-            return [text]
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
 
     def _span(self, texts: list[str]) -> list[bytes]:
-        parts = [self._split(t) for t in texts]
+        plain = [not DOUBLE_SPACE.search(t) and not self.added.search(t) for t in texts]
+        parts = [t.split(" ") if p else [t] for t, p in zip(texts, plain)]
+        starts = self.whole([p[0] for p in parts])  # up to the first space, or whole
+        rest = [p[1:] for p in parts]
         if len(self.words) > WORDS:
             self.words = {}
-        new = list({w for p in parts for w in p if w not in self.words})
-        words = dict(zip(new, self.whole(new)))
-        out = [b"".join([words.get(w) or self.words.get(w, b"") for w in p]) for p in parts]
-        self.words.update((w, b) for w, b in words.items() if len(w) < 64)
-        return out
+        words = self.words
+        new = list(set().union(*rest) - words.keys())
+        words.update(zip(new, self.whole([" " + w for w in new])))
+        return [start + b"".join(map(words.__getitem__, r)) for start, r in zip(starts, rest)]
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text in turn; a missing text has none."""
