@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import licenses, ngram_join, packing, token_files
+from tillstream.llm import licenses, ngram_join, packing, quality, token_files
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(table(spark, sf, "documents"))
+
+
 @query
 def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = token_files.fresh_folder(spark)
