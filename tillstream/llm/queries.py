@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import licenses, ngram_join, packing, quality, token_files
+from tillstream.llm import licenses, ngram_join, packing, quality, token_files, topk
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,20 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
+
+
+@query
+def op10_threshold_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.search(table(spark, sf, "embeddings"))
+
+
+_SQL["op10_threshold_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
