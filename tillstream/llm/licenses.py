@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -238,7 +240,9 @@ def scan(docs: DataFrame) -> DataFrame:
                     first.cast("long").alias("first_word"), last.cast("long").alias("last_word"),
                     F.coalesce(F.transform("base", lambda x: x["label"]), F.array().cast("array<string>")).alias("own"),
                     F.when(gate, F.md5("words")).alias("key"))
-            .withColumn("n_words", F.when(F.trim("words") == "", F.lit(0)).otherwise(F.col("spaces"))))
+            .withColumn("n_words", F.when(F.trim("words") == "", F.lit(0)).otherwise(F.col("spaces")))
+            .withColumn("words", F.when(F.col("key").isNotNull(), F.col("words"))))
+    rows = stored(rows, "words")  # texts are read once; those without a gate word aren't kept
     flagged = rows.where(F.col("key").isNotNull()).select("key", "words").dropDuplicates(["key"])
     trust = F.element_at(F.array(*map(F.lit, TRUST)), F.col("priority") + 1)
     per_text = (detections(flagged).where("kept").groupBy("key")
