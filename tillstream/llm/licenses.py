@@ -26,7 +26,7 @@ BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("c
 
 # A text without any of these has no detection: each signature below holds one of them.
 GATES = ["licen", "cc by", "cc0", "creative commons", "creativecommons", "public domain", "copyleft",
-         "gpl", "all rights reserved", "copyright", "redistribution", "wtfpl", "as is"]
+         "gpl", "all rights reserved", "copyright", "redistribution", "wtfpl", "express or implied"]
 
 # (label, keyword, name, short name, versions); names are patterns over words.
 FAMILIES = [
@@ -128,7 +128,7 @@ SINGLE = [
     ("isc", "permission to use", "permission to use copy modify and or distribute this software for any purpose with or without fee", 1),
     ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted", 1),
     ("bsd-3-clause", "copyright", "neither the name of the copyright holders? nor the names of its contributors", 1),
-    ("zlib", "as is", "this software is provided as is without any express or implied warranty", 2),
+    ("zlib", "express or implied", "this software is provided as is without any express or implied warranty", 2),
     ("apache-2.0", "apache", "www apache org licen[sc]es licen[sc]e 2 0", 0),
     ("gpl", "gnu", "www gnu org licen[sc]es gpl(?: \\d \\d)?", 0),
     ("lgpl", "gnu", "www gnu org licen[sc]es lgpl(?: \\d \\d)?", 0),
