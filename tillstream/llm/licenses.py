@@ -12,6 +12,8 @@ later", a name with version, grants that name the license, the name alone, the s
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -184,10 +186,10 @@ def _marked(text: Column, pattern: Column) -> Column:
 
 
 def _rules() -> Column:
-    rows = [F.struct(F.lit(k).alias("rule"), F.lit(label).alias("label"), F.lit(keyword).alias("keyword"),
-                     F.lit(pattern).alias("pattern"), F.lit(priority).alias("priority"))
+    rows = [{"rule": k, "label": label, "keyword": keyword, "pattern": pattern, "priority": priority}
             for k, (label, keyword, pattern, priority) in enumerate(SIGNATURES)]
-    return F.array(*rows)
+    return F.from_json(F.lit(json.dumps(rows)),
+                       "array<struct<rule: int, label: string, keyword: string, pattern: string, priority: int>>")
 
 
 def detections(texts: DataFrame) -> DataFrame:
@@ -220,36 +222,40 @@ def scan(docs: DataFrame) -> DataFrame:
     score 0. Equal texts get equal results; an empty table gives no rows. The score is the trust in
     the strongest detection that stays.
     """
-    words = F.col("words")
-    found = F.array(*[F.struct(F.lit(label).alias("label"), _marked(words, F.lit(phrase)).alias("pieces"))
-                      for phrase, label in BASE])
-    base = F.when(F.rlike(words, F.lit(" (?:" + "|".join(p for p, _ in BASE) + ") ")),
-                  F.filter(found, lambda x: F.size(x["pieces"]) > 1))
-    first = F.array_min(F.transform("base", lambda x: _spaces(x["pieces"][0]) - 1))
-    last = F.array_max(F.transform("base", lambda x: F.aggregate(
-        F.transform(F.slice(x["pieces"], 1, F.size(x["pieces"]) - 1), _spaces), F.lit(-1), lambda a, b: a + b)))
     gate = F.lit(False)
     for word in GATES:
-        gate = gate | F.contains(words, F.lit(word))
+        gate = gate | F.contains(F.col("words"), F.lit(word))
     rows = (docs.select(F.col("doc_id"), words_text(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("words"))
-            .withColumn("base", base)
-            .select("doc_id", "words",
-                    F.greatest(_spaces(words) - 1, F.lit(0)).cast("long").alias("spaces"),
-                    F.coalesce(F.aggregate("base", F.lit(0), lambda a, x: a + F.size(x["pieces"]) - 1),
-                               F.lit(0)).cast("long").alias("n_base"),
-                    first.cast("long").alias("first_word"), last.cast("long").alias("last_word"),
-                    F.coalesce(F.transform("base", lambda x: x["label"]), F.array().cast("array<string>")).alias("own"),
-                    F.when(gate, F.md5("words")).alias("key"))
-            .withColumn("n_words", F.when(F.trim("words") == "", F.lit(0)).otherwise(F.col("spaces")))
-            .withColumn("words", F.when(F.col("key").isNotNull(), F.col("words"))))
+            .select("doc_id", F.when(F.trim("words") == "", F.lit(0)).otherwise(_spaces(F.col("words")) - 1)
+                    .cast("long").alias("n_words"), F.when(gate, F.col("words")).alias("words"))
+            .select("doc_id", "n_words", "words", F.md5("words").alias("key")))
     rows = stored(rows, "words")  # texts are read once; those without a gate word aren't kept
-    flagged = rows.where(F.col("key").isNotNull()).select("key", "words").dropDuplicates(["key"])
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    flagged = (rows.where(F.col("key").isNotNull()).select("key", "words")
+               .repartition(tasks, "key").dropDuplicates(["key"]))  # few bytes, but much work for each
     trust = F.element_at(F.array(*map(F.lit, TRUST)), F.col("priority") + 1)
     per_text = (detections(flagged).where("kept").groupBy("key")
                 .agg(F.collect_set("label").alias("labels"), F.max(trust).alias("score")))
-    joined = rows.drop("words").join(per_text, "key", "left")
+    none = F.array().cast("array<string>")
+    joined = rows.drop("words").join(phrases(flagged), "key", "left").join(per_text, "key", "left")
     return joined.select(
-        "doc_id", "n_words", "n_base", "first_word", "last_word",
-        F.array_join(F.array_sort(F.array_distinct("own")), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union("own", F.coalesce("labels", F.array().cast("array<string>")))), ",").alias("labels"),
+        "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
+        F.array_join(F.array_sort(F.coalesce("own", none)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(F.coalesce("own", none), F.coalesce("labels", none))), ",").alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
+def phrases(texts: DataFrame) -> DataFrame:
+    """(key, n_base, first_word, last_word, own) of the texts that hold a base phrase.
+
+    Every base phrase holds a gate word, so no other text can have one.
+    """
+    found = (texts.select("key", F.explode(F.array(*[
+        F.struct(F.lit(label).alias("label"), _marked(F.col("words"), F.lit(phrase)).alias("pieces"))
+        for phrase, label in BASE])).alias("x")).where(F.size("x.pieces") > 1))
+    spaces = F.transform(F.slice("x.pieces", 1, F.size("x.pieces") - 1), _spaces)
+    return (found.select("key", "x.label", (F.size("x.pieces") - 1).alias("n"),
+                         (_spaces(F.get("x.pieces", F.lit(0))) - 1).cast("long").alias("first"),
+                         F.aggregate(spaces, F.lit(-1), lambda a, b: a + b).cast("long").alias("last"))
+            .groupBy("key").agg(F.sum("n").alias("n_base"), F.min("first").alias("first_word"),
+                                F.max("last").alias("last_word"), F.collect_set("label").alias("own")))
