@@ -23,7 +23,8 @@ def difference(df, con, sql: str) -> str | None:
     mine, theirs = sorted(df.columns), sorted(result.columns)
     if mine != theirs:
         return f"columns {sorted(set(mine) ^ set(theirs))}"
-    names = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+    names = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+             "boolean": "BOOLEAN"}
     kinds = dict(zip(result.columns, map(str, result.types)))
     off = [(c, t, kinds[c]) for c, t in df.dtypes if names.get(t) != kinds[c]]
     if off:
