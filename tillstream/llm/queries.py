@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import licenses, ngram_join, packing, quality, token_files, topk
+from tillstream.llm import licenses, mixing, ngram_join, packing, quality, token_files, topk
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,41 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@query
+def op1_pfair_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents").select("doc_id", "source"))
+
+
+_SQL["op1_pfair_mixing"] = """
+WITH RECURSIVE docs AS (SELECT doc_id, source, coalesce(source, '') AS src FROM documents),
+n AS (SELECT src, count(*) AS n_docs FROM docs GROUP BY src),
+size AS (SELECT greatest(1000, count(*)) AS size, count(*) AS many, sum(pow(n_docs, 0.7)) AS total FROM n),
+shares AS (SELECT src, n_docs, size, many, (size - many) * pow(n_docs, 0.7) / total AS share FROM n, size),
+parts AS (SELECT src, n_docs, size AS period,
+              CAST(1 + floor(share) + CASE WHEN row_number() OVER (ORDER BY floor(share) - share, src)
+                   <= size - many - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS BIGINT) AS parts FROM shares),
+lists AS (SELECT list(src ORDER BY src) AS srcs, list(parts ORDER BY src) AS p, max(period) AS period,
+              min(CAST(floor(floor(n_docs / 8) * period / parts) AS BIGINT)) AS horizon FROM parts),
+run AS (
+  SELECT CAST(0 AS BIGINT) AS t, list_transform(p, lambda x: CAST(1 AS BIGINT)) AS nxt, CAST(NULL AS BIGINT) AS j,
+      CAST(NULL AS BIGINT) AS nth FROM lists
+  UNION ALL
+  SELECT t + 1, list_transform(nxt, lambda x, i: CASE WHEN i = m.j THEN x + 1 ELSE x END), m.j, nxt[m.j]
+  FROM (SELECT t, nxt, period, list_min(list_transform(nxt, lambda x, i: CASE WHEN floor((x - 1) * period / p[i]) <= t
+            THEN {'d': CAST(ceil(x * period / p[i]) AS BIGINT), 'j': i} END)) AS m
+        FROM run, lists) WHERE t < period),
+slots AS (SELECT srcs[j] AS src, nth, t - 1 AS slot, CAST(floor((nth - 1) * period / p[j]) AS BIGINT) AS release,
+              CAST(ceil(nth * period / p[j]) AS BIGINT) AS deadline, horizon FROM run, lists WHERE j IS NOT NULL),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS r
+          FROM docs),
+blocks AS (SELECT doc_id, source, src, r, r // 8 AS block, parts, period FROM ranks JOIN parts USING (src))
+SELECT doc_id, source, block, release + (block // parts) * period AS release,
+    deadline + (block // parts) * period AS deadline, slot + (block // parts) * period AS slot, r % 8 AS place,
+    slot + (block // parts) * period < horizon AS in_mix
+FROM blocks JOIN slots ON blocks.src = slots.src AND block % parts + 1 = nth
+"""
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
