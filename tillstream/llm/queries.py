@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import licenses, mixing, ngram_join, packing, quality, token_files, topk
+from tillstream.llm import html_text, licenses, mixing, ngram_join, packing, quality, token_files, topk
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,11 @@ def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
 
 
+@query
+def op9_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(table(spark, sf, "pages"))
+
+
 @query
 def op10_threshold_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return topk.search(table(spark, sf, "embeddings"))
