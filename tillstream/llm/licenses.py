@@ -237,7 +237,10 @@ def scan(docs: DataFrame) -> DataFrame:
     per_text = (detections(flagged).where("kept").groupBy("key")
                 .agg(F.collect_set("label").alias("labels"), F.max(trust).alias("score")))
     none = F.array().cast("array<string>")
-    joined = rows.drop("words").join(phrases(flagged), "key", "left").join(per_text, "key", "left")
+    # Rows without a key have nothing to join with, and would meet in one task.
+    joined = (rows.drop("words").where(F.col("key").isNotNull())
+              .join(phrases(flagged), "key", "left").join(per_text, "key", "left")
+              .unionByName(rows.drop("words").where(F.col("key").isNull()), allowMissingColumns=True))
     return joined.select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
         F.array_join(F.array_sort(F.coalesce("own", none)), ",").alias("base_labels"),
