@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import html_text, licenses, mixing, ngram_join, packing, quality, token_files, topk
+from tillstream.llm import html_text, licenses, line_dedup, mixing, ngram_join, packing, quality, token_files, topk
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,12 @@ FROM blocks JOIN slots ON blocks.src = slots.src AND block % parts + 1 = nth
 """
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return (line_dedup.dedup(table(spark, sf, "documents"))
+            .select("doc_id", "n_lines", "n_equal", "n_near", "removed", F.length("text").cast("long").alias("n_chars_left")))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
