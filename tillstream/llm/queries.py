@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import html_text, licenses, line_dedup, mixing, ngram_join, packing, quality, token_files, topk
+from tillstream.llm import html_text, licenses, line_dedup, mixing, ngram_join, packing, quality, token_files, topk, toxicity
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,11 @@ def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = token_files.fresh_folder(spark)
