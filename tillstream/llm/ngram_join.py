@@ -18,7 +18,7 @@ from hashlib import md5
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import stored
@@ -232,7 +232,7 @@ def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     bands, rows = banding(similarity, recall)
     spark = docs.sparkSession
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]).alias("row_key"),
+                        _row_key(docs).alias("row_key"),
                         F.col("text").cast("string").alias("text"))
     signed = stored(whole.mapInPandas(
         _signed(bands, rows, words),
@@ -247,16 +247,18 @@ def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     buckets = met.groupBy("band").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high")
     members = met.join(buckets.select("band"), "band")
     one_each = texts.groupBy("k1").agg(F.min("signature").alias("signature"))
-    pairs = in_blocks(members.join(one_each, "k1").withColumn("one", F.lit(1)), "band", "k1", "one",
-                      CHUNK_TEXTS, _alike(similarity - MARGIN), "a long, b long")
+    pairs = stored(in_blocks(members.join(one_each, "k1").withColumn("one", F.lit(1)), "band", "k1", "one",
+                             CHUNK_TEXTS, _alike(similarity - MARGIN), "a long, b long"), "alike")
     roots = components(pairs)
 
     heads = stored(nodes.join(roots.withColumnRenamed("node", "k1"), "k1"), "candidates")
     wanted = heads.select("k1", "k2", "copies", "root", F.col("head.doc_id").alias("head_id"),
                           F.col("head.row_key").alias("head_key"))
-    given = (whole.join(wanted, F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("row_key") == F.col("head_key")))
+    # Texts move once, by the same plan at every size.
+    same_row = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("row_key") == F.col("head_key"))
+    given = (whole.hint("merge").join(wanted, same_row)
              .select("k1", "k2", "copies", "root", "text").withColumn("chars", F.length("text") + 8_000)
-             .withColumn("turn", F.row_number().over(_once())).where("turn = 1").drop("turn"))
+             .withColumn("turn", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))).where("turn = 1").drop("turn"))
     checked = stored(in_blocks(given, "root", "k1", "chars", CHUNK_CHARS, _verified(words, similarity),
                                "k1 long, k2 long, root long, group long, cut boolean, texts long, links long"), "links")
     cut = checked.where("cut").select("group").distinct()
@@ -284,6 +286,16 @@ def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     return with_text.unionByName(without)
 
 
-def _once():
-    from pyspark.sql import Window
-    return Window.partitionBy("k1", "k2").orderBy("k1")
+def _row_key(docs: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One row of each class, with all its columns; see join() for which."""
+    first = join(docs).where("first").select(F.coalesce("doc_id", F.lit(-1)).alias("id"), F.col("row_key").alias("key")).distinct()
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"),
+                       _row_key(docs).alias("key"), F.struct(*names).alias("row"))
+    alone = Window.partitionBy("id", "key").orderBy("key")  # rows that are equal throughout
+    return (rows.join(first, ["id", "key"], "left_semi").withColumn("turn", F.row_number().over(alone))
+            .where("turn = 1").select("row.*"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tillstream.llm import html_text, licenses, line_dedup, mixing, ngram_join, packing, quality, token_files, topk, toxicity
 from tillstream.llm.common import table
 
@@ -123,3 +124,8 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
