@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Fewer rows at a time in Python workers: a batch of whole texts must fit in memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, min(rows, int(spark.conf.get(key))))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared work folder and read again: later jobs don't depend on executors."""
     spark = df.sparkSession

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.llm.common import small_batches
+
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -359,6 +361,7 @@ def extract(pages: DataFrame) -> DataFrame:
     Reads page_id and html, whatever else the table has. A null or empty page has the empty text
     and no lines; a null page_id stays null; repeated rows give equal rows; an empty table none.
     """
+    small_batches(pages.sparkSession)
     text = F.pandas_udf(_rendered, "string")(F.col("html").cast("string"))
     return (pages.select("page_id", text.alias("text"))
             .select("page_id", "text", F.length("text").cast("long").alias("n_chars"),

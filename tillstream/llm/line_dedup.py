@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import stored
+from tillstream.llm.common import small_batches, stored
 
 EDITS = 2
 CHARS_AN_EDIT = 20
@@ -263,6 +263,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     one, after all others) are one document: their lines are no copies of each other's. An empty
     table gives no rows.
     """
+    small_batches(docs.sparkSession)
     gone = removals(docs).withColumnRenamed("doc_id", "gone_id")
     added = ["n_lines", "n_equal", "n_near", "removed"]
     passed = [c for c in docs.columns if c.lower() not in added]

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import stored
+from tillstream.llm.common import small_batches, stored
 from tillstream.llm.graphs import components, in_blocks
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.9995
@@ -230,7 +230,7 @@ def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     their own. An empty table gives no rows. Other columns count only for row_key.
     """
     bands, rows = banding(similarity, recall)
-    spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         _row_key(docs).alias("row_key"),
                         F.col("text").cast("string").alias("text"))

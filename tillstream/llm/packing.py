@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import ranked, spread, stored
+from tillstream.llm.common import ranked, small_batches, spread, stored
 from tillstream.llm.tokens import default_path, encoder
 
 CAPACITY = 1024
@@ -118,6 +118,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
     id); a null doc_id stays null; repeated rows are packed as often as they come, and equal
     pieces take their places in any order; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = texts.mapInPandas(_cut(path or default_path(), capacity, end_id), PIECES)

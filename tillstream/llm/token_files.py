@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition,
                                     WriterCommitMessage)
 
+from tillstream.llm.common import small_batches
 from tillstream.llm.tokens import default_path, encoder
 from tillstream.session import work_dir
 
@@ -38,18 +39,6 @@ LEVEL = 3
 MAGIC = b"TOKZ0001"
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("at", "<u8"), ("bytes", "<u4"), ("tokens", "<u8")])
 FOOTER = struct.Struct("<QQQ32s8s")
-ROWS_A_BATCH = 256
-
-
-def _encoded(path: str, end_id: int):
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        end = int(end_id).to_bytes(4, "little")
-        for batch in batches:
-            for a in range(0, len(batch), ROWS_A_BATCH):
-                part = batch.iloc[a:a + ROWS_A_BATCH]
-                ids = [x + end for x in encoder(path).encode(part["text"])]
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "ids": ids})
-    return encode
 
 
 def _trained(path: str, end_id: int, size: int):
@@ -105,8 +94,8 @@ class Shard(WriterCommitMessage, InputPartition):
 
 
 class TokenWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, tokenizer: str, end_id: int):
+        self.path, self.tokenizer, self.end = path, tokenizer, int(end_id).to_bytes(4, "little")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Shard:
         fs, folder = _place(self.path)
@@ -117,7 +106,9 @@ class TokenWriter(DataSourceArrowWriter):
         index, at, tokens = [], 0, 0
         with fs.open_output_stream(f"{folder}/{name}", compression=None) as out:
             for batch in iterator:
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
+                texts = (x.as_py() for x in batch.column("text"))
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(self.tokenizer).encode(texts)):
+                    ids += self.end
                     frame = compressor.compress(ids)
                     out.write(frame)
                     index.append((doc_id or 0, doc_id is not None, at, len(frame), len(ids) // 4))
@@ -158,7 +149,7 @@ class TokenReader(DataSourceReader):
 
 
 class TokenFiles(DataSource):
-    """The folder as a Spark source and sink: rows of (doc_id, start, n_tokens, ids)."""
+    """The folder as a Spark source, of rows (doc_id, start, n_tokens, ids), and sink, of (doc_id, text)."""
 
     @classmethod
     def name(cls) -> str:
@@ -171,7 +162,7 @@ class TokenFiles(DataSource):
         return TokenReader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> TokenWriter:
-        return TokenWriter(self.options["path"])
+        return TokenWriter(self.options["path"], self.options["tokenizer"], int(self.options["end_id"]))
 
 
 def shards(path: str) -> list[Shard]:
@@ -228,12 +219,12 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
     fs, folder = _place(path)
     fs.create_dir(folder, recursive=True)
     _write(fs, f"{folder}/dictionary", train_dictionary(texts, tokenizer, end_id))
+    small_batches(docs.sparkSession)
     docs.sparkSession.dataSource.register(TokenFiles)
     (texts.withColumn("tie", F.xxhash64("text"))
      .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
      .select("doc_id", "text")
-     .mapInPandas(_encoded(tokenizer, end_id), "doc_id long, ids binary")
-     .write.format("token_files").mode("append").save(path))
+     .write.format("token_files").options(tokenizer=tokenizer, end_id=end_id).mode("append").save(path))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

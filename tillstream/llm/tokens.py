@@ -14,9 +14,9 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 # Entries of the word table in each Python worker (about 200 bytes each); at the bound it starts anew.
-WORDS = 1_500_000
+WORDS = 1_000_000
 # Characters that are split and looked up at a time.
-SPAN = 2_000_000
+SPAN = 1_000_000
 # Neighbouring white space by any Unicode version's count.
 DOUBLE_SPACE = re.compile("[\\s᠎​﻿]{2}")
 

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.llm.common import small_batches
+
 # The classifier is fitted on at most so many labelled documents, none longer than so many
 # characters: those with the smallest hash of the doc_id.
 EXAMPLES, EXAMPLE_CHARS = 4_096, 50_000
@@ -238,6 +240,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     without labels of both kinds all scores are the share of the toxic ones. An empty table of
     documents gives no rows.
     """
+    small_batches(docs.sparkSession)
     model = fit(docs, labels)
     udf = F.pandas_udf(_scored(model), "score double, evidence array<struct<doc_id: long, similarity: double, toxic: int>>")
     return (docs.select("doc_id", udf(F.col("text").cast("string")).alias("s"))
