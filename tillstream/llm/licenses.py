@@ -28,7 +28,8 @@ BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("c
 
 # A text without any of these has no detection: each signature below holds one of them.
 GATES = ["licen", "cc by", "cc0", "creative commons", "creativecommons", "public domain", "copyleft",
-         "gpl", "all rights reserved", "copyright", "redistribution", "wtfpl", "express or implied"]
+         "gpl", "all rights reserved", "copyright", "redistribution", "wtfpl", "express or implied", "permission is hereby",
+         "permission to use", "source agreement"]
 
 # (label, keyword, name, short name, versions); names are patterns over words.
 FAMILIES = [
@@ -160,9 +161,9 @@ def _signatures() -> list[tuple[str, str, str, int]]:
             numbered = f"{label}-{version.replace(' ', '.')}"
             out.append((numbered, tag, f"spdx licen[sc]e identifier {tag} {version}(?: only)?", 0))
             out.append((f"{numbered}-or-later", tag, f"spdx licen[sc]e identifier {tag} {version} or later", 0))
-            out.append((numbered, keyword, f"(?:{GRANT} )?{name}(?: version| v)? {version}", 1))
+            out.append((numbered, keyword, f"(?:{GRANT} )?{name}(?: version| v)? v?{version}", 1))
             out.append((f"{numbered}-or-later", keyword,
-                        f"(?:{GRANT} )?{name}(?: version| v)? {version} or(?: at your option)?(?: any)? later(?: version)?", 0))
+                        f"(?:{GRANT} )?{name}(?: version| v)? v?{version} or(?: at your option)?(?: any)? later(?: version)?", 0))
     return sorted(out, key=lambda r: r[3])
 
 

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import small_batches, stored
@@ -79,12 +79,27 @@ def _hash(text: str, seed: int = SEED) -> int:
     return _signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed))
 
 
+def letters(line: str) -> int:
+    """How often characters of each of eight kinds occur, in eight bytes; an edit changes two by one."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
+    return int.from_bytes((np.bincount(codes & 7, minlength=8) & 255).astype(np.uint8).tobytes(), "little")
+
+
+def _letters_apart(a: str, b: str) -> Column:
+    """At least this many single changes of counts lie between two lines."""
+    def apart(k: int) -> Column:
+        count = lambda c: F.shiftrightunsigned(c, 8 * k).bitwiseAND(255)
+        gap = F.abs(count(a) - count(b))
+        return F.least(gap, 256 - gap)
+    return sum((apart(k) for k in range(1, 8)), apart(0))
+
+
 def _postings(places):
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         seen: set[int] = set()
         by_length: dict[int, list] = {}
-        keys, ids, seeds = [], [], {}
+        keys, ids, signs = [], [], []
         for batch in batches:
             for text in batch["text"]:
                 for line in (text or "").split("\n"):
@@ -102,18 +117,20 @@ def _postings(places):
                             by_length.clear()
                         # The seed tells the length and the number of a segment.
                         by_length[size] = [(n * (EDITS + 1) + i, a, b) for n, i, a, b in places(size)]
+                    sign = letters(line)
                     for seed, a, b in by_length[size]:
                         keys.append(xxhash.xxh64_intdigest(line[a:b].encode("utf-8", "surrogatepass"), seed))
                         ids.append(own)
+                        signs.append(sign)
                 if len(keys) >= ROWS:
-                    yield _rows(keys, ids)
-                    keys, ids = [], []
-        yield _rows(keys, ids)
+                    yield _rows(keys, ids, signs)
+                    keys, ids, signs = [], [], []
+        yield _rows(keys, ids, signs)
     return post
 
 
-def _rows(keys: list[int], ids: list[int]) -> pd.DataFrame:
-    return pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "id": np.array(ids, np.uint64).view(np.int64)})
+def _rows(*columns: list[int]) -> pd.DataFrame:
+    return pd.DataFrame({n: np.array(c, np.uint64).view(np.int64) for n, c in zip(("key", "id", "letters"), columns)})
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -124,15 +141,17 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(a, b), a < b: ids of lines that share a segment where they may."""
+    """(a, b), a < b: ids of lines that share a segment where they may, and have about the same letters."""
     texts = docs.select(F.col("text").cast("string").alias("text"))
     both = []
     for places in (index_places, probe_places):
-        posted = texts.mapInPandas(_postings(places), "key long, id long")
+        posted = texts.mapInPandas(_postings(places), "key long, id long, letters long")
         # A line comes at most once from each task; one exchange by key serves this and the join.
         both.append(posted.repartition("key").dropDuplicates(["key", "id"]))
-    index, probes = both[0].withColumnRenamed("id", "a"), both[1].withColumnRenamed("id", "b")
-    return (index.join(probes, "key").where("a <> b")
+    index, probes = both[0].toDF("key", "a", "a_letters"), both[1].toDF("key", "b", "b_letters")
+    # An edit changes at most two counts; texts are only fetched for pairs that this doesn't rule out.
+    near = _letters_apart("a_letters", "b_letters") <= 2 * EDITS
+    return (index.join(probes, (index["key"] == probes["key"]) & (F.col("a") != F.col("b")) & near)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 

@@ -54,7 +54,7 @@ def target_weights(docs: DataFrame, weights: dict[str, float] | None = None, per
 def schedule(weights: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(source, parts, period, horizon, nth, release, deadline, slot) of each block of one period.
 
-    horizon is the first slot at which a source may have no full block left.
+    horizon is the first slot at which a source may have no block left (its last may not be full).
     """
     one = weights.agg(F.array_sort(F.collect_list(F.struct("source", "parts", "n_docs"))).alias("all"),
                       F.sum("parts").alias("period"))
@@ -66,7 +66,7 @@ def schedule(weights: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
         concat(s.picks, array(struct(t AS slot, m.j AS j, s.next[m.j] AS nth))) AS picks))[0]"""
     picked = one.where("period > 0").selectExpr(
         "all", "period",
-        f"array_min(transform(all, x -> CAST(floor(floor(x.n_docs / {block_docs}) * period / x.parts) AS BIGINT))) AS horizon",
+        f"array_min(transform(all, x -> CAST(floor(ceil(x.n_docs / {block_docs}) * period / x.parts) AS BIGINT))) AS horizon",
         f"""aggregate(sequence(0L, period - 1),
         struct(transform(all, x -> 1L) AS next, CAST(array() AS ARRAY<STRUCT<slot: BIGINT, j: INT, nth: BIGINT>>) AS picks),
         (s, t) -> {step}).picks AS picks""")
@@ -81,13 +81,13 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_docs: in
     """The documents with block, release, deadline, slot, place and in_mix.
 
     (slot, place) is the order of the mix. in_mix marks the documents sent before the slot at which
-    some source may have no full block left; up to there the shares are the targets. The rest of
-    each source is in later slots, so no row is lost. Reads doc_id and source; all other columns
+    some source may have no block left; up to there the shares are the targets. The rest of each
+    source is in later slots, so no row is lost. Reads doc_id and source; all other columns
     pass through, except that the added ones replace columns of the same name.
 
     A null source is the same as the empty one. A source without weight has null places and isn't
     in the mix. A null doc_id is a document like any other, repeated rows each have a place, and an
-    empty table gives no rows. Where a source has less than one block, no document is in the mix.
+    empty table gives no rows.
     """
     added = ["block", "release", "deadline", "slot", "place", "in_mix"]
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added])

@@ -34,24 +34,20 @@ MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
             "n_distinct", "n_lettered", "n_stops", "n_shouts"]
 
 
-def _rate(a: str, b: str) -> Column:
-    return F.col(a) / F.greatest(F.col(b), F.lit(1))
-
-
 # name: (measure, bad from, good up to). A vote against where the measure reaches the first, a vote
 # for where it doesn't exceed the second, none between.
 RULES = {
-    "symbols": (_rate("n_symbols", "n_words"), 0.1, 0.02),
-    "capitals": (_rate("n_capitals", "word_chars"), 0.3, 0.1),
-    "repeated_windows": (_rate("n_repeat_words", "n_words"), 0.3, 0.02),
-    "repeated_lines": (_rate("n_dup_lines", "n_lines"), 0.5, 0.0),
+    "symbols": ("n_symbols / greatest(n_words, 1)", 0.1, 0.02),
+    "capitals": ("n_capitals / greatest(word_chars, 1)", 0.3, 0.1),
+    "repeated_windows": ("n_repeat_words / greatest(n_words, 1)", 0.3, 0.02),
+    "repeated_lines": ("n_dup_lines / greatest(n_lines, 1)", 0.5, 0.0),
     # The logarithms' ratio hardly depends on the length of a text.
-    "few_distinct": (1 - F.log1p("n_distinct") / F.log1p(F.col("n_words") + 1), 0.25, 0.15),
-    "no_letters": (1 - _rate("n_lettered", "n_words"), 0.3, 0.1),
-    "word_length": (F.abs(_rate("word_chars", "n_words") - 5.5), 4.5, 1.5),
-    "long_sentences": (F.col("n_words") / (F.col("n_stops") + 1), 80.0, 40.0),
-    "shouting": (_rate("n_shouts", "n_words"), 0.2, 0.02),
-    "too_short": (-F.col("n_words"), -10.0, -40.0),
+    "few_distinct": ("1 - ln(1 + n_distinct) / ln(2 + n_words)", 0.25, 0.15),
+    "no_letters": ("1 - n_lettered / greatest(n_words, 1)", 0.3, 0.1),
+    "word_length": ("abs(word_chars / greatest(n_words, 1) - 5.5)", 4.5, 1.5),
+    "long_sentences": ("n_words / (n_stops + 1)", 80.0, 40.0),
+    "shouting": ("n_shouts / greatest(n_words, 1)", 0.2, 0.02),
+    "too_short": ("-n_words", -10.0, -40.0),
 }
 
 
@@ -94,7 +90,7 @@ def measures(docs: DataFrame, kept: list[str]) -> DataFrame:
 
 
 def votes() -> Column:
-    return F.array(*[F.when(m >= bad, -1).when(m <= good, 1).otherwise(0) for m, bad, good in RULES.values()])
+    return F.array(*[F.when(F.expr(m) >= bad, -1).when(F.expr(m) <= good, 1).otherwise(0) for m, bad, good in RULES.values()])
 
 
 def base_failed() -> Column:

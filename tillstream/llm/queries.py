@@ -43,7 +43,7 @@ parts AS (SELECT src, n_docs, size AS period,
               CAST(1 + floor(share) + CASE WHEN row_number() OVER (ORDER BY floor(share) - share, src)
                    <= size - many - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS BIGINT) AS parts FROM shares),
 lists AS (SELECT list(src ORDER BY src) AS srcs, list(parts ORDER BY src) AS p, max(period) AS period,
-              min(CAST(floor(floor(n_docs / 8) * period / parts) AS BIGINT)) AS horizon FROM parts),
+              min(CAST(floor(ceil(n_docs / 8) * period / parts) AS BIGINT)) AS horizon FROM parts),
 run AS (
   SELECT CAST(0 AS BIGINT) AS t, list_transform(p, lambda x: CAST(1 AS BIGINT)) AS nxt, CAST(NULL AS BIGINT) AS j,
       CAST(NULL AS BIGINT) AS nth FROM lists
