@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public tokenizer file, fast enough for a corpus.
 
-A byte-level BPE splits a text before each space that stands alone, so what lies between two such
-spaces has its own ids, and words that come again are looked up. Texts with two white-space
-characters in a row, or with an added token in them, are encoded whole.
+A byte-level BPE splits a text before each space that stands alone, around a line end that does, and
+between a letter and a mark, so what lies between has its own ids, and words that come again are
+looked up. Texts with two white-space characters in a row, or with an added token in them, are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from functools import lru_cache
 WORDS = 1_000_000
 # Characters that are split and looked up at a time.
 SPAN = 1_000_000
+MARKS = ".,!?;:"
 # Neighbouring white space by any Unicode version's count.
 DOUBLE_SPACE = re.compile("[\\s᠎​﻿]{2}")
 
@@ -36,22 +38,33 @@ class Encoder:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.words: dict[str, bytes] = {}  # of each word behind a space
+        self.heads: dict[str, bytes] = {}  # and at the beginning of a line
+        self.line_end = self.whole(["\n"])[0]
+        self.marks = dict(zip(MARKS, self.whole(list(MARKS))))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
 
+    def _learn(self, table: dict[str, bytes], lead: str, new: set[str]) -> None:
+        """Enter words; one that ends in a mark behind a letter is its parts' ids."""
+        marked = [w for w in new if w[-1:] in self.marks and len(w) > 1 and w[-2] < "\u0250" and w[-2].isalpha()]
+        alone = list(new.difference(marked).union([w[:-1] for w in marked]) - table.keys())
+        table.update(zip(alone, self.whole([lead + w for w in alone])))
+        table.update([(w, table[w[:-1]] + self.marks[w[-1]]) for w in marked])
+
     def _span(self, texts: list[str]) -> list[bytes]:
+        if len(self.words) + len(self.heads) > WORDS:
+            self.words, self.heads = {}, {}
+        words, heads = self.words, self.heads
         plain = [not DOUBLE_SPACE.search(t) and not self.added.search(t) for t in texts]
-        parts = [t.split(" ") if p else [t] for t, p in zip(texts, plain)]
-        starts = self.whole([p[0] for p in parts])  # up to the first space, or whole
-        rest = [p[1:] for p in parts]
-        if len(self.words) > WORDS:
-            self.words = {}
-        words = self.words
-        new = list(set().union(*rest) - words.keys())
-        words.update(zip(new, self.whole([" " + w for w in new])))
-        return [start + b"".join(map(words.__getitem__, r)) for start, r in zip(starts, rest)]
+        whole = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
+        split = [[line.split(" ") for line in t.split("\n")] if p else None for t, p in zip(texts, plain)]
+        lines = [line for text in split if text for line in text]
+        self._learn(heads, "", {line[0] for line in lines} - heads.keys())
+        self._learn(words, " ", set().union(*[line[1:] for line in lines]) - words.keys())
+        return [self.line_end.join([heads[line[0]] + b"".join(map(words.__getitem__, line[1:])) for line in text])
+                if text else next(whole) for text in split]
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text in turn; a missing text has none."""
