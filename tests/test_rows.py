@@ -165,6 +165,10 @@ def test_latest_route_wins(spark):
                                    "source_table string, sink_table string, "
                                    "sink_columns string, v int")
     assert rows(joins.latest_routes(config, "v"), "source_table", "sink_table") == [("t", "new")]
+    events = config.sparkSession.createDataFrame([("t", 1), ("u", 2)], "table string, n int")
+    full = config.withColumn("sink_columns", F.lit("id")).withColumn("sink_pk", F.lit(None).cast("string"))
+    assert rows(joins.route_rows(events, full, "v"), "n", "sink_table") == [(1, "new")]
+    assert joins.route_rows(events, full).count() == 1
 
 
 def test_routing_prunes_columns_and_drops_deletes(spark):

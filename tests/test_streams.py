@@ -265,3 +265,32 @@ def test_changed_lookup_is_seen_by_the_next_batch(spark, folder):
         run.drain(feed.stream(), f"{folder}/checkpoint", writer, timeout=120)
     assert bag(spark.read.parquet(f"{folder}/out"), "name") == Counter(
         {("before",): 1, ("after",): 1})
+
+
+DAYS = [10, 7, 9, 7, 8]
+
+
+@pytest.mark.parametrize("rule, columns", [
+    (lambda d: state.first_per_day(d, ["mid"], ["ts", "event_id"]), ["mid", "day"]),
+    (lambda d: state.daily_and_returning(d, ["ts", "event_id"], key="mid"), ["mid", "day", "uu_ct"]),
+    (lambda d: state.daily_firsts(d, ["ts", "event_id"], state.day_of("ts"), key="mid"), ["mid", "day", "is_unique"]),
+    (lambda d: state.unique_and_new(d, ["ts", "event_id"], state.day_of("ts"), "event_id", key="mid").where("is_unique = 1"),
+     ["mid", "day", "is_unique"]),
+])
+def test_days_out_of_order_across_batches_are_all_kept(spark, folder, rule, columns):
+    rows = [spark.createDataFrame([(f"m{k}", d * 86_400_000 + k + n, 10 * n + k, d) for k in range(3)],
+                                  "mid string, ts long, event_id long, day int") for n, d in enumerate(DAYS)]
+    feed = Feed(spark, folder, rows[0].schema)
+    feed.add(*rows)
+    whole = rows[0]
+    for part in rows[1:]:
+        whole = whole.union(part)
+    assert bag(feed.drain(rule), *columns) == bag(rule(whole), *columns)
+
+
+def test_a_bad_time_does_not_end_a_stream(spark, folder):
+    rows = [(f"{k}", ts) for k, ts in enumerate(["1", "x", None, "", "99999999999999999999", "2"])]
+    feed = Feed(spark, folder, spark.createDataFrame(rows, "id string, ts string").schema)
+    feed.add(*(spark.createDataFrame([r], "id string, ts string") for r in rows))
+    out = feed.drain(lambda d: d.withColumn("at", facts._seconds()))
+    assert Counter(r["at"] is None for r in out.collect()) == Counter({True: 4, False: 2})

@@ -81,25 +81,21 @@ def hops_need_spu(hops: tuple[Hop, ...]) -> bool:
 
 
 def latest_routes(config: DataFrame, version: str | None = None) -> DataFrame:
-    """One config row per source table, the newest where `version` orders them."""
-    if version is None:
-        return config
+    """One config row per source table: the newest by `version`, or else, of several, the one whose
+    columns sort last, so that a repeated row never gives an event twice."""
     columns = [c for c in config.columns if c != "source_table"]
+    by = F.struct(version, *columns) if version else F.struct(*columns)
     return (config.groupBy("source_table")
-            .agg(F.max_by(F.struct(*columns), version).alias("c"))
+            .agg(F.max_by(F.struct(*columns), by).alias("c"))
             .select("source_table", "c.*"))
 
 
-def route_rows(changes: DataFrame, config: DataFrame, max_tables: int = 1_000) -> DataFrame:
+def route_rows(changes: DataFrame, config: DataFrame, version: str | None = None) -> DataFrame:
     """Give each change event its sink table; events of unlisted tables are dropped.
 
-    The listed names, as long as they are few, also filter the events by value, which prunes
-    files and partitions of an event archive and comes before any work on the payload.
+    Each source table has one route, see latest_routes().
     """
-    side = if_small(config.select("source_table", "sink_table", "sink_columns", "sink_pk"))
-    listed = config.select("source_table").distinct().limit(max_tables + 1).collect()
-    if len(listed) <= max_tables:
-        changes = changes.filter(F.col("table").isin([r.source_table for r in listed]))
+    side = latest_routes(config, version).select("source_table", "sink_table", "sink_columns", "sink_pk")
     return changes.join(side, changes["table"] == side["source_table"]).drop("source_table")
 
 

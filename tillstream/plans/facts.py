@@ -50,7 +50,7 @@ REFUND = [
 
 
 def _seconds(column: str = "ts") -> Column:
-    return F.timestamp_seconds(F.col(column).cast("long"))
+    return F.timestamp_seconds(F.col(column).try_cast("long"))
 
 
 def _near(left: DataFrame, right: DataFrame, on: tuple[str, str], how: str,
@@ -143,10 +143,10 @@ def payments(changes: DataFrame, details: DataFrame, dictionary: DataFrame,
     # the payment's own columns get names of their own, the lines keep theirs
     paid = payload(paid, "payment_info").select(
         F.col("order_id").alias("_paid_order"), F.col("payment_type").alias("payment_type_code"),
-        "callback_time", F.to_timestamp("callback_time").alias("_paid"))
+        "callback_time", F.try_to_timestamp("callback_time").alias("_paid"))
     paid = watermarked(paid, "_paid")
     lines = watermarked(details.drop("pt", "ts").withColumn(
-        "_made", F.to_timestamp("order_create_time")), "_made") \
+        "_made", F.try_to_timestamp("order_create_time")), "_made") \
         .withColumnRenamed("split_total_amount", "split_payment_amount")
     joined = _near(paid, lines, ("_paid_order", "order_id"), "inner", span, ("_paid", "_made")) \
         .withColumnRenamed("_paid_order", "order_id")

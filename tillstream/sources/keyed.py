@@ -33,7 +33,7 @@ class KeyedTable:
         """Write a batch; `order` tells which of several rows of a key is the newest."""
         deleted = F.col(DELETED) if DELETED in rows.columns else F.lit(False)
         seq = F.col(order).cast("string") if order else F.lit(None).cast("string")
-        shaped = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
+        shaped = rows.select(*[F.col(f.name).try_cast(f.dataType) for f in self.schema.fields],
                              deleted.alias(DELETED), seq.alias(_SEQ),
                              F.col(order).alias("_by") if order else F.lit(0).alias("_by"))
         newest = latest_per_key(shaped, self.key, ["_by", DELETED, *self.schema.fieldNames()])

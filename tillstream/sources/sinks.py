@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.operators.filters import keep_columns, loaded
-from tillstream.operators.joins import route_rows
+from tillstream.operators.joins import latest_routes, route_rows
 from tillstream.schemas import strings
 from tillstream.sources.keyed import DELETED, KeyedTable
 
@@ -111,6 +111,15 @@ def routed(changes: DataFrame, config: DataFrame) -> DataFrame:
     return keep_columns(route_rows(loaded(changes), config))
 
 
+def _sinks(routes: list) -> dict[str, tuple[str, str]]:
+    """Columns and key of each sink table; sources that share one have all their columns there."""
+    found: dict[str, tuple[dict, str]] = {}
+    for r in sorted(routes, key=lambda r: r.source_table):
+        columns, key = found.setdefault(r.sink_table, ({}, r.sink_pk))
+        columns.update(dict.fromkeys(c.strip() for c in r.sink_columns.split(",")))
+    return {name: (",".join(columns), key) for name, (columns, key) in found.items()}
+
+
 def dimension_batch(config: Callable[[], DataFrame], root: str,
                     order: str = "ts") -> BatchWriter:
     """Upsert each listed source table's rows into its dimension table.
@@ -123,13 +132,13 @@ def dimension_batch(config: Callable[[], DataFrame], root: str,
         routes = config()
         rows = routed(df, routes).persist()
         try:
-            for name, r in {r.sink_table: r for r in routes.collect()}.items():
-                table = dimension_table(spark, root, name, r.sink_columns, r.sink_pk)
+            for name, (columns, key) in _sinks(latest_routes(routes).collect()).items():
+                table = dimension_table(spark, root, name, columns, key)
                 table.create()
                 own = rows.filter(F.col("sink_table") == name)
                 table.upsert(own.select(*[F.col("data")[c].alias(c)
                                           for c in table.schema.fieldNames()],
-                                        F.col(order).cast("long").alias("_order")),
+                                        F.col(order).try_cast("long").alias("_order")),
                              batch_id, "_order")
         finally:
             rows.unpersist()

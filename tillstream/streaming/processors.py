@@ -9,6 +9,9 @@ from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
+DAY_MS = 86_400_000
+
+
 def _place(row: Row, order: list[str]) -> tuple:
     return tuple(row[c] for c in order)
 
@@ -33,46 +36,47 @@ class _Rule(StatefulProcessor):
         pass
 
 
-class FirstPerDay(_Rule):
-    """Emit the first row of a day not seen before. Days older than `keep` are forgotten."""
+class DaySet(_Rule):
+    """State shared by the rules that act on a key's first row of a day: the days it has had.
 
-    def __init__(self, order: list[str], columns: list[str], keep: int = 2):
-        super().__init__(order, columns)
-        self.keep = keep
+    A day is new whatever the order in which days arrive. Where rows carry event time, days before
+    the watermark's are forgotten but for the last, as no row of them can come any more; without,
+    a key keeps one number for each of its days.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.days = handle.getValueState("days", "days array<int>")
-
-    def handleInputRows(self, key, rows, timerValues):
-        known = self.days.get()
-        days = set(known[0]) if known else set()
-        fresh = [r for r in self._day_heads(rows) if r["_day"] not in days
-                 and (not days or r["_day"] > max(days) - self.keep)]
-        if fresh:
-            days.update(r["_day"] for r in fresh)
-            self.days.update((sorted(d for d in days if d > max(days) - self.keep),))
+        self.seen = handle.getValueState("days", "days array<int>")
+
+    def _days(self) -> list[int]:
+        known = self.seen.get()
+        return list(known[0]) if known else []
+
+    def _keep(self, days: list[int], timerValues) -> None:
+        days = sorted(days)
+        passed = (timerValues.getCurrentWatermarkInMs() or 0) // DAY_MS
+        open_from = next((i for i, d in enumerate(days) if d >= passed - 1), len(days))
+        self.seen.update((days[max(0, open_from - 1):],))
+
+    def _new_days(self, rows: Iterator[Row], timerValues) -> Iterator[tuple[Row, list[int]]]:
+        """The first row of each day not seen before, with the days known until then."""
+        days = self._days()
+        fresh = [r for r in self._day_heads(rows) if r["_day"] not in days]
         for row in fresh:
-            yield self._emit(row)
-
+            yield row, days
+            days.append(row["_day"])
+        if fresh:
+            self._keep(days, timerValues)
 
-class LastDay(_Rule):
-    """State shared by the rules that compare a row's day with the key's last counted day."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "day int")
+class FirstPerDay(DaySet):
+    """Emit the first row of a day not seen before."""
 
-    def _new_days(self, rows: Iterator[Row]) -> Iterator[tuple[Row, int | None]]:
-        known = self.last.get()
-        last = known[0] if known else None
-        for row in self._day_heads(rows):
-            if last is None or row["_day"] > last:
-                yield row, last
-                last = row["_day"]
-        if last is not None and (not known or last != known[0]):
-            self.last.update((last,))
+    def handleInputRows(self, key, rows, timerValues):
+        for row, _ in self._new_days(rows, timerValues):
+            yield self._emit(row)
 
 
-class Returning(LastDay):
+class Returning(DaySet):
     """First row of each new day, with the returning-user counter."""
 
     def __init__(self, order: list[str], columns: list[str], away_days: int):
@@ -80,33 +84,32 @@ class Returning(LastDay):
         self.away_days = away_days
 
     def handleInputRows(self, key, rows, timerValues):
-        for row, last in self._new_days(rows):
-            back = last is not None and row["_day"] - last >= self.away_days
+        for row, days in self._new_days(rows, timerValues):
+            before = max((d for d in days if d < row["_day"]), default=None)
+            back = before is not None and row["_day"] - before >= self.away_days
             yield self._emit(row, back_ct=int(back), uu_ct=1)
 
 
-class DailyFirsts(LastDay):
-    """First row of each new day, with is_new on the first day ever."""
+class DailyFirsts(DaySet):
+    """First row of each new day, with is_new on the key's first row ever."""
 
     def handleInputRows(self, key, rows, timerValues):
-        for row, last in self._new_days(rows):
-            yield self._emit(row, is_new=int(last is None), is_unique=1)
+        for row, days in self._new_days(rows, timerValues):
+            yield self._emit(row, is_new=int(not days), is_unique=1)
 
 
-class UniqueAndNew(LastDay):
+class UniqueAndNew(DaySet):
     """Every row, with the day's first row flagged. Only the day heads are held back."""
 
     def handleInputRows(self, key, rows, timerValues):
-        known = self.last.get()
-        last = first_last = known[0] if known else None
-        heads: dict[int, Row] = {}
+        days = self._days()
+        known, heads = set(days), {}
         for row in rows:
             day = row["_day"]
-            if first_last is not None and day <= first_last:
-                yield self._emit(row, is_unique=0, is_new=0)
-                continue
             head = heads.get(day)
-            if head is None:
+            if day in known:
+                yield self._emit(row, is_unique=0, is_new=0)
+            elif head is None:
                 heads[day] = row
             elif _place(row, self.order) < _place(head, self.order):
                 heads[day] = row
@@ -114,10 +117,10 @@ class UniqueAndNew(LastDay):
             else:
                 yield self._emit(row, is_unique=0, is_new=0)
         for day in sorted(heads):
-            yield self._emit(heads[day], is_unique=1, is_new=int(last is None))
-            last = day
+            yield self._emit(heads[day], is_unique=1, is_new=int(not days))
+            days.append(day)
         if heads:
-            self.last.update((last,))
+            self._keep(days, timerValues)
 
 
 class NewFlagRepair(_Rule):

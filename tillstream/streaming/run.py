@@ -40,21 +40,25 @@ def start(df: DataFrame, checkpoint: str, writer: BatchWriter, mode: str = "appe
 
 
 def drain(df: DataFrame, checkpoint: str, writer: BatchWriter, mode: str = "append",
-          timeout: int = 3600, partitions: int | None = None) -> None:
+          timeout: int | None = None, partitions: int | None = None) -> None:
     """Process what is there now, then stop."""
-    query = start(df, checkpoint, writer, mode, available_now=True, partitions=partitions)
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"stream not drained within {timeout} s")
+    _finish(start(df, checkpoint, writer, mode, available_now=True, partitions=partitions), timeout)
 
 
 def to_folder(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-              timeout: int = 3600, partitions: int | None = None) -> None:
+              timeout: int | None = None, partitions: int | None = None) -> None:
     """Drain into a parquet folder with Spark's own exactly-once file sink."""
     out = (df.writeStream.outputMode(mode).format("parquet")
            .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     with _state_partitions(df.sparkSession, partitions):
         query = out.start(path)
-    if not query.awaitTermination(timeout):
+    _finish(query, timeout)
+
+
+def _finish(query: StreamingQuery, timeout: int | None) -> None:
+    """Wait for the end, without a limit unless the caller sets one."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream not drained within {timeout} s")

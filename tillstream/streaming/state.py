@@ -30,9 +30,9 @@ def _plus(schema: T.StructType, *names: str) -> T.StructType:
 
 
 def first_per_day(df: DataFrame, keys: list[str], order: list[str], day: Column,
-                  event_time: str | None = None, keep: int = 2) -> DataFrame:
+                  event_time: str | None = None) -> DataFrame:
     return _run(df.withColumn("_day", _days(day)), keys,
-                p.FirstPerDay(order, df.columns, keep), _plus(df.schema), event_time)
+                p.FirstPerDay(order, df.columns), _plus(df.schema), event_time)
 
 
 def repair_new_flag(df: DataFrame, ms: str, day: Column, key: str, flag: str,
