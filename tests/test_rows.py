@@ -220,6 +220,23 @@ def test_own_segmenter_and_table_function(spark):
     assert rows(got, "word") == [("a",), ("b",), ("c",)]
 
 
+def test_sql_words_are_the_frame_words(spark):
+    df = texts(spark, "Red_Hat x2 新款 手 机壳a", "...", "", "é-É 3", None)
+    register_split(spark)
+    df.createOrReplaceTempView("split_texts")
+    got = spark.sql("select value, word from split_texts, lateral split_words(value)")
+    assert rows(got, "value", "word") == rows(explode_words(df, "value"), "value", "word")
+
+
+def test_a_failed_split_gives_the_text_once(spark):
+    def half(text):
+        yield text[:1]
+        raise ValueError
+    register_split(spark, "half_words", half)
+    texts(spark, "ab").createOrReplaceTempView("half_texts")
+    assert rows(spark.sql("select word from half_texts, lateral half_words(value)"), "word") == [("ab",)]
+
+
 def test_null_duration_counts_as_zero(spark):
     schema = ("vc string, ch string, ar string, is_new string, last_page_id string, "
               "during_time bigint, ts bigint")

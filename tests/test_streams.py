@@ -294,3 +294,10 @@ def test_a_bad_time_does_not_end_a_stream(spark, folder):
     feed.add(*(spark.createDataFrame([r], "id string, ts string") for r in rows))
     out = feed.drain(lambda d: d.withColumn("at", facts._seconds()))
     assert Counter(r["at"] is None for r in out.collect()) == Counter({True: 4, False: 2})
+
+
+def test_joined_streams_need_a_span(spark, folder):
+    feed = Feed(spark, folder, samples.changes(spark, SF, "favor_info").schema)
+    feed.add(samples.changes(spark, SF, "favor_info"))
+    with pytest.raises(ValueError, match="span"):
+        facts.joined_lines(feed.stream())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -45,13 +46,23 @@ def explode_words(df: DataFrame, text: str, out: str = "word",
     return df.withColumn(out, F.explode(found))
 
 
+def _divide(text: str) -> list[str]:
+    """The rule of `words` for one text."""
+    lower, cjk = text.lower(), "[\u4e00-\u9fff]+"
+    plain = [w for run in re.findall(r"[^\W_]+", lower) for w in re.split(cjk, run) if w]
+    runs = re.findall(cjk, lower)
+    pairs = [run[k:k + 2] for run in runs for k in range(len(run) - 1)]
+    return plain + pairs + [run for run in runs if len(run) == 1] or [text]
+
+
 def register_split(spark, name: str = "split_words",
                    split: Callable[[str], Iterator[str]] | None = None) -> None:
     """Register a table function for `LATERAL split_words(text)`.
 
-    For SQL users who need their own splitter; `explode_words` is the fast path.
+    It splits like `words`; for SQL users who need their own splitter, `split` replaces the rule.
+    A text that the splitter fails on stays whole. `explode_words` is the fast path.
     """
-    divide = split or (lambda text: text.lower().split())
+    divide = split or _divide
 
     @udtf(returnType="word string", useArrow=True)
     class SplitWords:
@@ -59,9 +70,10 @@ def register_split(spark, name: str = "split_words",
             if text is None:
                 return
             try:
-                for word in divide(text):
-                    yield (word,)
+                found = list(divide(text))
             except Exception:
-                yield (text,)
+                found = [text]
+            for word in found:
+                yield (word,)
 
     spark.udtf.register(name, SplitWords)

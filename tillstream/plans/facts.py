@@ -1,7 +1,8 @@
 """Transaction, coupon and interaction facts from change events.
 
 On tables the fact joins are unbounded equi-joins. On streams, and on tables when `span` is
-given, matching rows must lie within `span` of each other in event time.
+given, matching rows must lie within `span` of each other in event time; a stream has no default,
+as rows further apart are lost to an inner join and unmatched in a left one.
 """
 
 from __future__ import annotations
@@ -16,8 +17,6 @@ from tillstream.operators.joins import decode
 from tillstream.schemas import STATUS_PAID, STATUS_REFUNDING
 from tillstream.streaming.joins import interval_join, watermarked
 
-SPAN = "15 minutes"
-
 # Fixed columns of the wide order fact.
 ORDER_DETAIL = [
     "order_detail_id", "order_id", "sku_id", "sku_name", "order_price", "sku_num",
@@ -57,8 +56,9 @@ def _near(left: DataFrame, right: DataFrame, on: tuple[str, str], how: str,
           span: str | None, times: tuple[str, str] = ("_lt", "_rt")) -> DataFrame:
     """Equi-join, bounded in time on streams; the right key and time are dropped. Each input
     stream was given its watermark before its first join."""
-    if left.isStreaming or span:
-        span = span or SPAN
+    if left.isStreaming and not span:
+        raise ValueError("a join of streams needs `span`: rows further apart than it don't meet")
+    if span:
         joined = interval_join(left, right, on, times, span, span, how, delay=None)
     else:
         joined = left.join(right, F.col(on[0]) == F.col(on[1]), how)

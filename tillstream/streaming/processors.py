@@ -153,14 +153,14 @@ class NewFlagRepair(_Rule):
 class LatestVersion(_Rule):
     """Keep the newest version of a key; emit it once, a fixed time after the first one.
 
-    A mark stays for a while after that, so later copies are silent. Time is the watermark and
+    A mark of the key stays, so later versions are silent. Time is the watermark and
     the rows' own ms if `event_time`, else the clock.
     """
 
     def __init__(self, order: list[str], columns: list[str], row_schema: str, wait_ms: int,
-                 silent_ms: int, event_time: bool):
+                 event_time: bool):
         super().__init__(order, columns)
-        self.row_schema, self.wait_ms, self.silent_ms = row_schema, wait_ms, silent_ms
+        self.row_schema, self.wait_ms = row_schema, wait_ms
         self.event_time = event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -197,10 +197,7 @@ class LatestVersion(_Rule):
         held = self.best.get()
         if held and not held[-1]:
             self.best.update((*(None for _ in self.columns), True))
-            self.handle.registerTimer(self._now(timerValues) + self.silent_ms)
             yield Row(**dict(zip(self.columns, held)))
-        else:
-            self.best.clear()
 
 
 class Bounce(_Rule):

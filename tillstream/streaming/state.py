@@ -61,15 +61,15 @@ def unique_and_new(df: DataFrame, order: list[str], day: Column, key: str,
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str], wait_ms: int = 2_000,
-                   silent_ms: int = 86_400_000, event_time: bool = False) -> DataFrame:
-    """The newest version of a key within `wait_ms` of its first, emitted once.
+                   event_time: bool = False) -> DataFrame:
+    """The newest version of a key within `wait_ms` of its first, emitted once and never again.
 
     By the clock the query never drains by itself, and its output goes to a window through a
     topic, not in one query. With `event_time`, `order[0]` is the ms of a watermarked column and
     the result depends on the data alone.
     """
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    processor = p.LatestVersion(order, df.columns, ddl, wait_ms, silent_ms, event_time)
+    processor = p.LatestVersion(order, df.columns, ddl, wait_ms, event_time)
     return _run(df, [key], processor, _plus(df.schema), None,
                 "EventTime" if event_time else "ProcessingTime")
 
