@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from llm_rows import banded_reference, jaccard_classes, make, odd, prose  # noqa: F401
 
+import corpus_pipeline
 from tillstream.llm import (html_text, licenses, line_dedup, mixing, ngram_join, packing, quality, token_files,
                             tokens, topk, toxicity)
 
@@ -310,6 +311,20 @@ def test_mixing_odd_rows(odd, none):
     assert {r["slot"] for r in mixing.mix(odd, {"else": 1.0}).collect()} == {None}
 
 
+def test_the_mixing_stage_keeps_every_document(make, spark):
+    docs = make(*[(k, "t", "a" if k % 3 else "b") for k in range(4000)], (4000, "t", "c"), (4001, "t", None)).drop("slot")
+    got = corpus_pipeline.mix_sources(spark, docs, "").select("doc_id", "source").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(4002))
+    order = {r["doc_id"]: (r["slot"], r["place"]) for r in mixing.mix(docs).collect()}
+    assert [order[r["doc_id"]] for r in got] == sorted(order.values())
+    # The single documents are long gone; the two others still alternate by their weights, a block at a time.
+    parts = {r["source"]: r["parts"] for r in mixing.target_weights(docs.where("source IN ('a', 'b')")).collect()}
+    last_b = max(i for i, r in enumerate(got) if r["source"] == "b") + 1
+    for n in range(16, last_b, 8):
+        mine = sum(r["source"] == "a" for r in got[:n])
+        assert abs(mine - n * parts["a"] / sum(parts.values())) < 2 * mixing.BLOCK_DOCS
+
+
 # -- pages --------------------------------------------------------------------------------------------
 
 def test_html_layout():
