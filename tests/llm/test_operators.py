@@ -350,6 +350,24 @@ def test_html_never_fails_and_never_loses_words():
     html_text.render("<div>" * 20_000)
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<style>.card{backface-visibility: hidden}</style><p class=card>a<p style='backface-visibility:hidden'>b", "a\n\nb"),
+    ("<style>@media print{.m{display:none}}@media (max-width:600px){.m{display:none}} .n{display:none}</style><p class=m>a<p class=n>b", "a"),
+    ("<style>@media screen and (min-width:600px){.m{display:none}}</style><style media=print>.n{display:none}</style><p class=m>a<p class=n>b", "b"),
+    ("<style>.a{display:none}.a{display:block}</style><p class=a>a", "a"),
+    ("<style>.a{display:none !important}p{visibility:hidden}.b,#c{visibility:visible}</style><p class=a>a<p class=b>b<p>d<p id=c>c", "b\n\nc"),
+    ("<style>.a{display:none}</style><p class=a style='display:block'>a<p style='color:red;display : none'>b<p hidden>c", "a"),
+    ("<style>.a{visibility:hidden}.b{visibility:visible}</style><div class=a>gone <span class=b>seen</span></div>", "seen"),
+    ("<!doctype html><style>.Main{display:none}@keyframes x{p{display:none}}</style><p class=main>a", "a"),
+    ("x <math><mi>y</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math> z", "x y=2 z"),
+    ("x<svg><title>t</title><defs/><path d='M0'/>no<text x=1>one</text><text>two</text><defs><text>no</text></defs></svg>y", "x one two y"),
+    ("<svg><path><p>after", "after"), ("<map name=m><area href=x><p>in map</map>", "in map"),
+    ("a <select><option>one<option selected>two<option>three</select> b", "a two b"),
+    ("a <select multiple><option>one<option label=2>two</select> b", "a one 2 b"), ("<select><option disabled>x<option>y</select>", "y")])
+def test_html_keeps_what_a_browser_shows(page, text):
+    assert html_text.render(page) == text
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, None, "u"), (2, "", "u"), (None, "<p>x", "u"), (2, "", "u")], "page_id long, html string, text string")
     assert Counter((r["page_id"], r["text"], r["n_lines"]) for r in html_text.extract(pages).collect()) == Counter(

@@ -6,6 +6,10 @@ stray end tags are ignored. Rendering walks the tree and leaves out what a brows
 Blocks start on their own line, paragraphs and headings with an empty line around them; lists get
 markers and indents; table cells are aligned in columns; preformatted text keeps its spaces.
 All visible text is kept, whether article, menu or footer.
+
+Of style sheets and style attributes, display and visibility count, with the weights of the cascade,
+for a screen `WIDTH` pixels wide. Rules under other conditions and selectors other than tags, ids
+and classes of one element aren't applied, whether they hide or show.
 """
 
 from __future__ import annotations
@@ -23,7 +27,14 @@ from tillstream.llm.common import small_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 NOT_SHOWN = frozenset("""head script style template noscript title iframe noembed noframes object video audio
-    canvas svg math datalist select option optgroup map""".split())
+    canvas datalist annotation annotation-xml""".split())
+# Of a drawing, texts and embedded pages are shown, unless they only define something.
+SVG_TEXT = frozenset("text foreignobject".split())
+SVG_UNSEEN = frozenset("defs symbol clippath mask pattern marker metadata desc".split()) | NOT_SHOWN
+# These tags end an open drawing or formula, unless they are where it holds a page's content.
+ENDS_FOREIGN = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img
+    li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var""".split())
+PAGE_WITHIN = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr details".split())
 BLOCK = SPACED | frozenset("""html body div section article aside nav header footer main address form li dt dd
     figcaption legend summary caption center dialog menu search hgroup listing xmp plaintext""".split())
@@ -44,8 +55,13 @@ P_SCOPE = ("table", "td", "th", "caption", "button", "body", "html")
 TAG = re.compile(r"""<(?:!--(?:>|->|.*?(?:--!?>|\Z))|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>)|[!?/][^>]*+>)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 SPACES = re.compile(r"[ \t\n\r\f]+")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+STYLE_TOKEN = re.compile(r"""\"(?:[^"\\]|\\.)*\"?|'(?:[^'\\]|\\.)*'?|[{};]|[^{};"']+""", re.S)
+DECLARED = re.compile(r"\s*(display|visibility)\s*:\s*([a-z][a-z -]*?)\s*(!\s*important\s*)?", re.I)
+COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)")
+MEDIA = re.compile(r"(?:(?:only\s+)?(?:screen|all)|(?=\())(?:(?:\s+and\s+)?\(\s*(?:min|max)-width\s*:\s*\d+(?:\.\d+)?(?:px|r?em)\s*\))*")
+BOUND = re.compile(r"(min|max)-width\s*:\s*(\d+(?:\.\d+)?)(px|r?em)")
+# Style sheets count as on a screen this wide.
+WIDTH = 1_280
 # Columns wider than this aren't padded: alignment costs no more than so many spaces a cell.
 PADDED = 60
 
@@ -68,6 +84,7 @@ def parse(html: str) -> Node:
     root = Node("html", {})
     open_nodes = [root]
     at, end = 0, len(html)
+    foreign = False  # whether there was a drawing or a formula
 
     def close(tags, stops) -> None:
         for i in range(len(open_nodes) - 1, 0, -1):
@@ -113,6 +130,10 @@ def parse(html: str) -> Node:
             continue
         if tag in ("html",):
             continue
+        if foreign and tag in ENDS_FOREIGN:
+            inner = _foreign(open_nodes)
+            if inner:
+                del open_nodes[inner:]
         if tag in BLOCK:
             close(("p",), P_SCOPE)
         if tag in ENDS:
@@ -129,7 +150,8 @@ def parse(html: str) -> Node:
             else:
                 enter("table", {})
         node = enter(tag, _attributes(m[3]))
-        if tag in VOID:
+        foreign = foreign or tag in ("svg", "math")
+        if tag in VOID or foreign and m[3].endswith("/>") and _foreign(open_nodes):
             open_nodes.pop()
         elif tag in RAW:
             stop = re.compile(f"</{tag}(?=[\\s/>])[^>]*>|</{tag}\\Z", re.I).search(html, at)
@@ -150,30 +172,184 @@ def _within(open_nodes: list[Node], tag: str) -> bool:
     return False
 
 
-def _hiding_selectors(html: str) -> frozenset[str]:
-    """Simple selectors (a tag, .class, #id, tag.class) that the page's style sheets hide."""
-    found = set()
-    for sheet in re.findall(r"<style[^>]*>(.*?)</style", html, re.S | re.I):
-        for names, body in RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if HIDING.search(body):
-                found.update(n.strip().lower() for n in names.split(","))
-    return frozenset(n for n in found if re.fullmatch(r"[a-z0-9]*[.#]?[\w-]+", n))
+def _foreign(open_nodes: list[Node]) -> int:
+    """The place of the drawing or formula that the next tag is in, or 0."""
+    for i in range(len(open_nodes) - 1, 0, -1):
+        if open_nodes[i].tag in ("svg", "math"):
+            return i
+        if open_nodes[i].tag in PAGE_WITHIN:
+            return 0
+    return 0
+
+
+def _on_screen(media: str) -> bool:
+    """Whether one of these media queries holds on a screen of the assumed width."""
+    for one in media.lower().split(","):
+        if not one.strip():
+            return not media.strip()
+        if MEDIA.fullmatch(one.strip()):
+            bounds = [(side, float(n) * (1 if unit == "px" else 16)) for side, n, unit in BOUND.findall(one)]
+            if all(WIDTH >= n if side == "min" else WIDTH <= n for side, n in bounds):
+                return True
+    return False
+
+
+def _applies(at_rule: str) -> bool:
+    name, _, condition = at_rule[1:].partition(" ")
+    if name.lower().startswith("media"):
+        return _on_screen(at_rule[len("@media"):])
+    return name.lower() == "layer" or name.lower() == "supports" and "not" not in condition.lower()
+
+
+def _declared(parts: list[str]) -> list[tuple[str, str, bool]]:
+    """(property, value, whether important) of what bears on visibility."""
+    found = (DECLARED.fullmatch(part) for part in parts)
+    return [(m[1].lower(), m[2].lower(), bool(m[3])) for m in found if m]
+
+
+def _rules(sheet: str):
+    """(selectors, declarations) of the rules that count, in order."""
+    sheet = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->", " ", sheet, flags=re.S)
+    blocks: list = []  # open blocks: whether a condition holds, or a rule's selectors and parts
+    now: list[str] = []
+    for token in [*STYLE_TOKEN.findall(sheet), *"}" * (1 + sheet.count("{"))]:
+        inside = blocks and isinstance(blocks[-1], tuple)
+        if token == "{":
+            start = "".join(now).strip()
+            blocks.append(False if inside else _applies(start) if start.startswith("@") else (start, []))
+            now = []
+        elif token == "}":
+            if inside:
+                blocks[-1][1].append("".join(now))
+                if all(x for x in blocks[:-1]):
+                    yield blocks[-1][0], _declared(blocks[-1][1])
+            if blocks:
+                blocks.pop()
+            now = []
+        elif token == ";":
+            if inside:
+                blocks[-1][1].append("".join(now))
+            now = []
+        else:
+            now.append(token)
+
+
+def _styles(root: Node, fold: bool) -> dict[str, list]:
+    """By a tag, .class, #id or *: the rules of the page's style sheets whose selector has it.
+
+    A rule is (tag, ids, classes, weight, declarations); names are in lower case if `fold`.
+    """
+    sheets, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.tag == "style" and _on_screen(node.attrs.get("media", "")):
+            sheets.append("".join(x for x in node.children if isinstance(x, str)))
+        if node.tag != "template":
+            todo.extend(x for x in reversed(node.children) if isinstance(x, Node))
+    found: dict[str, list] = {}
+    for order, (selectors, declared) in enumerate(x for sheet in sheets for x in _rules(sheet)):
+        for one in selectors.split(",") if declared else ():
+            m = COMPOUND.fullmatch(one.strip())
+            if not m or not m[0]:
+                continue
+            tag = "" if m[1] in (None, "*") else m[1].lower()
+            names = re.findall(r"[.#][\w-]+", m[2].lower() if fold else m[2])
+            ids, classes = ([n for n in names if n[0] == kind] for kind in "#.")
+            weight = (len(ids), len(classes), bool(tag), order)
+            found.setdefault((ids + classes + [tag or "*"])[0], []).append((tag, ids, classes, weight, declared))
+    return found
 
 
-def _hidden(node: Node, selectors: frozenset[str]) -> bool:
-    if node.tag in NOT_SHOWN:
-        return True
+def _style(node: Node, styles: dict[str, list], fold: bool) -> dict[str, str]:
+    """What the page says of the element's display and visibility."""
     a = node.attrs
-    if a and ("hidden" in a or "style" in a and HIDING.search(a["style"]) or node.tag == "input"):
-        return True
-    if node.tag == "dialog" and "open" not in a:
-        return True
-    if not selectors:
+    best: dict[str, tuple] = {}
+
+    def say(declared, weight) -> None:
+        for n, (name, value, important) in enumerate(declared):
+            rank = (important, weight, n)
+            if name not in best or rank > best[name][0]:
+                best[name] = rank, value
+
+    if styles:
+        own, names = a.get("id", ""), a.get("class", "")
+        own, names = (own.lower(), names.lower()) if fold else (own, names)
+        held = {f"#{own}", *(f".{c}" for c in names.split())}
+        for key in (*held, node.tag, "*"):
+            for tag, ids, classes, weight, declared in styles.get(key, ()):
+                if (not tag or tag == node.tag) and held.issuperset(ids) and held.issuperset(classes):
+                    say(declared, (0, *weight))
+    if "style" in a:
+        say(_declared(a["style"].split(";")), (1, 0, 0, 0, 0))
+    return {name: value for name, (_, value) in best.items()}
+
+
+def _shown(node: Node, styles: dict[str, list], fold: bool) -> bool | None:
+    """Whether the element is shown; None if it isn't, but elements in it may be."""
+    if node.tag in NOT_SHOWN or node.tag == "input":
         return False
-    names = {node.tag, f"#{a.get('id', '').lower()}", f"{node.tag}#{a.get('id', '').lower()}"}
-    for c in a.get("class", "").lower().split():
-        names |= {f".{c}", f"{node.tag}.{c}"}
-    return bool(names & selectors)
+    a = node.attrs
+    style = _style(node, styles, fold) if styles or "style" in a else {}
+    if style.get("display", "none" if "hidden" in a or node.tag == "dialog" and "open" not in a else "") == "none":
+        return False
+    return None if style.get("visibility") in ("hidden", "collapse") else True
+
+
+def _visible_within(node: Node, styles: dict[str, list], fold: bool) -> list:
+    """Of an invisible element, the elements that are made visible again."""
+    out, todo = [], list(reversed(node.children))
+    while todo:
+        item = todo.pop()
+        if isinstance(item, Node) and _shown(item, styles, fold):
+            if _style(item, styles, fold).get("visibility") == "visible":
+                out += [" ", item, " "]
+            else:
+                todo.extend(reversed(item.children))
+        elif isinstance(item, Node) and _shown(item, styles, fold) is None:
+            todo.extend(reversed(item.children))
+    return out
+
+
+def _texts(node: Node) -> str:
+    """All text in an element."""
+    out, todo = [], [node]
+    while todo:
+        item = todo.pop()
+        if isinstance(item, str):
+            out.append(item)
+        elif item.tag not in NOT_SHOWN:
+            todo.extend(reversed(item.children))
+    return "".join(out)
+
+
+def _drawn(svg: Node) -> list:
+    """The texts of a drawing."""
+    out, todo = [], list(reversed(svg.children))
+    while todo:
+        item = todo.pop()
+        if isinstance(item, Node) and item.tag in SVG_TEXT:
+            out += [" ", item, " "]
+        elif isinstance(item, Node) and item.tag not in SVG_UNSEEN:
+            todo.extend(reversed(item.children))
+    return out
+
+
+def _chosen(select: Node) -> list:
+    """What a closed select shows, its selected option; of a list box, all options and their groups."""
+    options, todo = [], list(reversed(select.children))
+    while todo:
+        item = todo.pop()
+        if isinstance(item, Node) and "hidden" not in item.attrs:
+            if item.tag in ("option", "optgroup"):
+                options.append(item)
+            if item.tag != "option":
+                todo.extend(reversed(item.children))
+    rows = _span(select, "size", 1_000)
+    if "multiple" not in select.attrs and rows == 1:
+        options = [x for x in options if x.tag == "option"]
+        marked = [x for x in options if "selected" in x.attrs]
+        options = marked[-1:] or [x for x in options if "disabled" not in x.attrs][:1]
+    return [y for x in options for y in (" ", x.attrs.get("label") or (_texts(x) if x.tag == "option" else ""), " ")]
 
 
 class Lines:
@@ -263,12 +439,13 @@ def _span(node: Node, name: str, most: int) -> int:
 
 def render(html: str) -> str:
     """The visible text of a page."""
-    selectors = _hiding_selectors(html)
+    root, fold = parse(html), not re.match(r"\s*<!doctype", html, re.I)
+    styles = _styles(root, fold)
     outs = [Lines()]
     tables: list[list] = []
     lists: list[list] = []
     preformatted = 0
-    todo: list = [parse(html)]
+    todo: list = [root]
     while todo:
         item = todo.pop()
         out = outs[-1]
@@ -304,7 +481,10 @@ def render(html: str) -> str:
                 out.block(tag in SPACED and not (tag in ("ul", "ol") and lists))
             continue
         tag = item.tag
-        if _hidden(item, selectors):
+        shown = _shown(item, styles, fold)
+        if not shown:
+            if shown is None:
+                todo.extend(reversed(_visible_within(item, styles, fold)))
             continue
         children = item.children
         if tag == "br":
@@ -315,6 +495,10 @@ def render(html: str) -> str:
             out.now.append("---")
             out.block(True)
             continue
+        if tag == "svg":
+            children = _drawn(item)
+        elif tag == "select":
+            children = _chosen(item)
         if tag == "details" and "open" not in item.attrs:
             children = [x for x in children if isinstance(x, Node) and x.tag == "summary"]
         if tag in ("td", "th", "caption"):
