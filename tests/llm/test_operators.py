@@ -225,6 +225,19 @@ def test_nearest_examples_are_exact_and_scores_tell_toxic_texts(make, spark):
     assert got[900]["score"] == got[901]["score"] and 0 <= got[900]["score"] <= 1 and not got[None]["held_out"]
 
 
+def test_toxicity_neighbours_share_any_words(make, spark):
+    rows = [(k, prose(k, 40)) for k in range(60)]
+    kept = [k for k in range(60) if crc32(str(k).encode()) % 3 != 1]
+    queries = [(1000 + k, " ".join(prose(k, 40).split()[5:] + ["zzz"])) for k in kept]
+    docs, marks = make(*rows, *queries), spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, marks)
+    assert set(model.terms) == {w for k in kept for w in toxicity.words_of(rows[k][1])}
+    got = by_id(toxicity.score(docs, marks))
+    for k in kept:
+        first, *others = got[1000 + k]["evidence"]
+        assert first["doc_id"] == k and 0.8 < first["similarity"] <= 1 and all(e["similarity"] < 0.7 for e in others)
+
+
 def test_toxicity_without_labels(odd, none, no_labels):
     assert {r["score"] for r in toxicity.score(odd, no_labels).collect()} == {0.5}
     assert toxicity.score(none, no_labels).count() == 0

@@ -1,12 +1,15 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine on block-max inverted lists.
 
-The examples are a bounded sample of the labelled documents. Their words, and first letters of
-words, that differ most between the two labels make the vocabulary; everything else a text says is
-one term more, so that a single such word in a long text weighs little. How rare a term is, is
-counted over all documents. Each term has a list of the examples that hold it, in blocks, with the
-largest weight of each block. A query takes blocks from the largest bound down, and stops when no
-block can hold one of its k nearest. The neighbours vote by their distance; a logistic curve, fitted
-on the examples' own votes without themselves, turns the vote into a probability.
+The examples are a bounded sample of the labelled documents. Every word that one of them holds is a
+term; how rare it is, is counted over all documents. A word that no example holds meets nothing and
+is left out of a text's vector. Each term has a list of the examples that hold it, in blocks, with
+the largest weight of each block. A query takes blocks from the largest bound down, and leaves those
+that can't hold one of its k nearest. The neighbours vote by their distance and are the evidence.
+
+A second vote comes from an index of the same kind over only the words, and first letters of words,
+that differ most between the two labels; everything else a text says is one term more there, so that
+a single such word in a long text weighs little. A logistic curve, fitted on the examples' own two
+votes without themselves, turns both into a probability.
 """
 
 from __future__ import annotations
@@ -27,11 +30,15 @@ from tillstream.llm.common import small_batches
 # The classifier is fitted on at most so many labelled documents, none longer than so many
 # characters: those with the smallest hash of the doc_id.
 EXAMPLES, EXAMPLE_CHARS = 4_096, 50_000
-# A term is in the vocabulary if this many examples hold it and its labels differ this much from
-# chance; the strongest come first.
+# A term is in the vocabulary of the second vote if this many examples hold it and its labels differ
+# this much from chance; the strongest come first.
 LEAST_EXAMPLES, LEAST_CHI2, TERMS = 4, 15.0, 4_096
 PREFIX = 5
 NEIGHBOURS, EVIDENCE, BLOCK = 15, 3, 64
+# Blocks a query takes at first, before it knows which others can matter.
+FIRST_BLOCKS = 4
+# Words a task remembers the terms of; at the bound it starts anew.
+SEEN = 200_000
 THRESHOLD = 0.7
 REST = "*"
 WORD = re.compile(r"[^\W\d_]+")
@@ -72,35 +79,61 @@ def vocabulary(texts: list[str], labels: list[int]) -> list[str]:
     return [t for chi, t in sorted(scored) if -chi >= LEAST_CHI2][:TERMS] + [REST]
 
 
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    sizes = ends - starts
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
 @dataclass
 class Model:
     """The examples as inverted lists, what weighs a text's terms, and the curve of the votes."""
     terms: dict[str, int]
     idf: np.ndarray
+    strong: "Model | None" = None  # of the second vote
     ids: list = field(default_factory=list)
     labels: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    lists: list = field(default_factory=list)  # per term: examples, weights, where each block starts
-    most: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))  # per term and block
-    curve: tuple[float, float] = (1.0, 0.0)
+    # Postings by (term, example). A run is a term's postings of one block; the last start is the end.
+    examples: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    weights: np.ndarray = field(default_factory=lambda: np.empty(0))
+    runs: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # per run: its first posting
+    blocks: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # per run
+    most: np.ndarray = field(default_factory=lambda: np.empty(0))  # per run
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # per term: its first run
+    votes: list = field(default_factory=list)  # of the examples as given, each without itself
+    curve: tuple[float, ...] = (0.5, 0.5, 0.0)
     prior: float = 0.5
     cache: dict = field(default_factory=dict)
+    seen: dict = field(default_factory=dict)  # the terms of words looked up before
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the text's terms, ascending, and their weights, of length 1 together."""
-        counts: dict[int, int] = {}
-        rest = 0
-        for word, n in words_of(text).items():
-            known = False
-            for term in (word, word[:PREFIX] + "~") if len(word) > PREFIX else (word,):
-                at = self.terms.get(term)
-                if at is not None:
+        return self.weighed(words_of(text))
+
+    def weighed(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
+        terms = self.terms
+        if REST in terms:
+            counts: dict[int, int] = {}
+            rest = 0
+            for word, n in words.items():
+                own = self.seen.get(word)
+                if own is None:
+                    if len(self.seen) >= SEEN:
+                        self.seen.clear()
+                    both = (word, word[:PREFIX] + "~") if len(word) > PREFIX else (word,)
+                    own = self.seen[word] = tuple(terms[t] for t in both if t in terms)
+                for at in own:
                     counts[at] = counts.get(at, 0) + n
-                    known = True
-            rest += 0 if known else n
-        if rest:
-            counts[self.terms[REST]] = rest
-        at = np.array(sorted(counts), dtype=np.int64)
-        weights = np.array([1 + math.log(counts[i]) for i in at]) * self.idf[at]
+                rest += 0 if own else n
+            if rest:
+                counts[terms[REST]] = rest
+        else:
+            counts = {terms[word]: n for word, n in words.items() if word in terms}
+        at = np.fromiter(counts.keys(), np.int64, len(counts))
+        often = np.fromiter(counts.values(), float, len(counts))
+        order = np.argsort(at)
+        at, often = at[order], often[order]
+        weights = (1 + np.log(often)) * self.idf[at]
         return at, weights / max(float(np.sqrt(weights @ weights)), 1e-12)
 
     def build(self, ids: list, texts: list[str], labels: list[int]) -> "Model":
@@ -110,87 +143,103 @@ class Model:
         order = sorted(range(len(texts)), key=lambda i: (strongest[i], texts[i], str(ids[i])))
         self.ids, self.labels = [ids[i] for i in order], np.array([labels[i] for i in order], np.int64)
         vectors = [vectors[i] for i in order]
-        blocks = -(-len(texts) // BLOCK)
-        postings: list[list] = [[] for _ in self.terms]
-        for example, (at, weights) in enumerate(vectors):
-            for term, weight in zip(at, weights):
-                postings[term].append((example, weight))
-        self.most = np.zeros((len(self.terms), blocks))
-        for term, found in enumerate(postings):
-            examples = np.array([e for e, _ in found], np.int64)
-            weights = np.array([w for _, w in found])
-            np.maximum.at(self.most[term], examples // BLOCK, weights)
-            self.lists.append((examples, weights, np.searchsorted(examples, np.arange(blocks + 1) * BLOCK)))
-        toxics = int(self.labels.sum())
-        self.prior = (toxics + 1) / (len(self.labels) + 2)
-        votes = np.array([self.vote(*self.nearest(at, w, example)) for example, (at, w) in enumerate(vectors)])
-        self.curve = _logistic(votes, self.labels)
+        terms = np.concatenate([np.empty(0, np.int64), *(at for at, _ in vectors)])
+        examples = np.repeat(np.arange(len(vectors)), [len(at) for at, _ in vectors])
+        by_term = np.argsort(terms, kind="stable")
+        terms, self.examples = terms[by_term], examples[by_term]
+        self.weights = np.concatenate([np.empty(0), *(w for _, w in vectors)])[by_term]
+        blocks = self.examples // BLOCK
+        new = np.ones(len(terms), bool)
+        new[1:] = (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])
+        first = np.nonzero(new)[0]
+        self.runs, self.blocks = np.append(first, len(terms)), blocks[first]
+        self.most = np.maximum.reduceat(self.weights, first) if len(first) else np.empty(0)
+        self.starts = np.searchsorted(terms[first], np.arange(len(self.terms) + 1))
+        self.prior = (int(self.labels.sum()) + 1) / (len(self.labels) + 2)
+        self.votes = [0.0] * len(order)
+        for example, (at, w) in enumerate(vectors):
+            self.votes[order[example]] = self.vote(*self.nearest(at, w, example))
+        self.seen.clear()  # isn't sent to the tasks
         return self
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the nearest, ties to the smaller number, without example `but`."""
-        bounds = weights @ self.most[at] if len(at) else np.zeros(self.most.shape[1])
+        low, high = self.starts[at], self.starts[at + 1]
+        runs, own = _ranges(low, high), np.repeat(weights, high - low)
+        in_block = self.blocks[runs]
+        bounds = np.bincount(in_block, own * self.most[runs], minlength=-(-len(self.ids) // BLOCK))
+        order = np.argsort(-bounds, kind="stable")
         best, scores = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == NEIGHBOURS and bounds[block] <= scores[-1] - 1e-12:
-                break
-            sums = np.zeros(BLOCK)
-            for term, weight in zip(at, weights):
-                examples, own, starts = self.lists[term]
-                a, b = starts[block], starts[block + 1]
-                if a < b:
-                    sums[examples[a:b] - block * BLOCK] += weight * own[a:b]
+        for some in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
+            least = scores[-1] - 1e-11 if len(best) == NEIGHBOURS else 0
+            taken = np.zeros(len(bounds), bool)
+            taken[some] = bounds[some] > least
+            mine = taken[in_block]
+            low, high = self.runs[runs[mine]], self.runs[runs[mine] + 1]
+            postings = _ranges(low, high)
+            sums = np.bincount(self.examples[postings], np.repeat(own[mine], high - low) * self.weights[postings])
             met = np.nonzero(sums)[0]
-            found = met + block * BLOCK
-            keep = found != but
-            best, scores = np.concatenate([best, found[keep]]), np.concatenate([scores, sums[met][keep]])
-            order = np.lexsort((best, -np.round(scores, 12)))[:NEIGHBOURS]
-            best, scores = best[order], scores[order]
+            met = met[met != but]
+            best, scores = np.concatenate([best, met]), np.concatenate([scores, sums[met]])
+            if len(best) > NEIGHBOURS:
+                close = scores >= np.partition(scores, -NEIGHBOURS)[-NEIGHBOURS] - 1e-11
+                best, scores = best[close], scores[close]
+            order_of = np.lexsort((best, -np.round(scores, 12)))[:NEIGHBOURS]
+            best, scores = best[order_of], scores[order_of]
+        if len(at) and len(best) < NEIGHBOURS:  # the others have nothing in common with the text
+            others = np.setdiff1d(np.arange(min(len(self.ids), 2 * NEIGHBOURS + 1)), np.append(best, but))[:NEIGHBOURS - len(best)]
+            best, scores = np.concatenate([best, others]), np.concatenate([scores, np.zeros(len(others))])
         return best, scores
 
     def vote(self, best: np.ndarray, scores: np.ndarray) -> float:
-        if not len(best):
+        best, scores = best[scores > 0], scores[scores > 0]
+        if not len(best) or self.labels.min() == self.labels.max():
             return self.prior
         near = 1 / (1.05 - np.minimum(scores, 1))
         return float((near @ self.labels[best] + self.prior) / (near.sum() + 1))
 
-    def score(self, text: str | None) -> tuple[float, list]:
-        """The probability that the text is toxic, and the examples that speak for it most."""
-        at, weights = self.vector(text)
+    def cached_vote(self, words: Counter) -> float:
+        at, weights = self.weighed(words)
         key = (at.tobytes(), np.round(weights, 12).tobytes())
         if key not in self.cache:
             if len(self.cache) >= 50_000:
                 self.cache.clear()
-            best, scores = self.nearest(at, weights)
-            slope, shift = self.curve
-            odds = slope * _logit(self.vote(best, scores)) + shift
-            self.cache[key] = (round(1 / (1 + math.exp(-min(max(odds, -50), 50))), 6), [
-                (self.ids[e], round(float(s), 6), int(self.labels[e])) for e, s in zip(best[:EVIDENCE], scores)])
+            self.cache[key] = self.vote(*self.nearest(at, weights))
         return self.cache[key]
 
+    def score(self, text: str | None) -> tuple[float, list]:
+        """The probability that the text is toxic, and the nearest examples."""
+        words = words_of(text)
+        best, scores = self.nearest(*self.weighed(words))
+        a, b, shift = self.curve
+        odds = a * _logit(self.vote(best, scores)) + b * _logit(self.strong.cached_vote(words)) + shift
+        return round(1 / (1 + math.exp(-min(max(odds, -50), 50))), 6), [
+            (self.ids[e], round(float(s), 6), int(self.labels[e])) for e, s in zip(best[:EVIDENCE], scores) if s > 0]
+
 
 def _logit(p: float) -> float:
     p = min(max(p, 1e-6), 1 - 1e-6)
     return math.log(p / (1 - p))
 
 
-def _logistic(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """(slope, shift) of the labels over the votes' log-odds, by Newton steps with a little ridge."""
-    if not len(labels) or labels.min() == labels.max():
-        return 1.0, 0.0
-    x = np.column_stack([[_logit(v) for v in votes], np.ones(len(votes))])
-    beta = np.array([1.0, 0.0])
+def _logistic(votes: list[tuple[float, float]], labels: list[int]) -> tuple[float, float, float]:
+    """(slopes, shift) of the labels over both votes' log-odds, by Newton steps with a little ridge."""
+    start = np.array([0.5, 0.5, 0.0])
+    if len(set(labels)) < 2:
+        return tuple(start.tolist())
+    x = np.array([[_logit(v), _logit(w), 1.0] for v, w in votes])
+    y, beta = np.array(labels), start
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (labels - p) - 0.1 * (beta - [1.0, 0.0])
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
+        gradient = x.T @ (y - p) - 0.1 * (beta - start)
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(3)
         beta = beta + np.clip(np.linalg.solve(hessian, gradient), -2, 2)
-    return max(float(beta[0]), 0.05), float(beta[1])
+    return max(float(beta[0]), 0.05), max(float(beta[1]), 0.05), float(beta[2])
 
 
 def _holders(terms: dict[str, int]):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Documents of this task that hold each term of the vocabulary."""
+        """Documents of this task that hold each term, and their number."""
         held, docs = np.zeros(len(terms), np.int64), 0
         known = set(terms)
         for batch in batches:
@@ -201,7 +250,8 @@ def _holders(terms: dict[str, int]):
                 found.update(terms[p] for p in {w[:PREFIX] + "~" for w in words if len(w) > PREFIX} & known)
                 held[list(found)] += 1
                 held[terms[REST]] += bool(words)
-        yield pd.DataFrame({"term": np.append(np.arange(len(terms)), -1), "docs": np.append(held, docs)})
+        met = np.nonzero(held)[0]
+        yield pd.DataFrame({"term": np.append(met, -1), "docs": np.append(held[met], docs)})
     return count
 
 
@@ -214,12 +264,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = (texts.where(F.length("text") <= EXAMPLE_CHARS).join(F.broadcast(sample), "doc_id")
             .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id").collect())
     ids, known, marks = ([r[c] for r in rows] for c in ("doc_id", "text", "toxic"))
-    terms = {t: i for i, t in enumerate(vocabulary(known, marks))}
+    words = sorted({w for t in known for w in words_of(t)})
+    strong = vocabulary(known, marks)
+    terms = {t: i for i, t in enumerate([*words, *sorted(set(strong) - set(words))])}
     counted = texts.select("text").mapInPandas(_holders(terms), "term int, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
     held = {r["term"]: r["docs"] for r in counted.collect()}
     total = held.get(-1, 0)
-    idf = np.array([math.log((1 + total) / (1 + held.get(i, 0))) + 1 for i in range(len(terms))])
-    return Model(terms, idf).build(ids, known, marks)
+
+    def index(chosen: list[str]) -> Model:
+        idf = np.array([math.log((1 + total) / (1 + held.get(terms[t], 0))) + 1 for t in chosen])
+        return Model({t: i for i, t in enumerate(chosen)}, idf).build(ids, known, marks)
+
+    model = index(words)
+    model.strong = index(strong)
+    model.curve = _logistic(list(zip(model.votes, model.strong.votes)), marks)
+    return model
 
 
 def _scored(model: Model):
