@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillstream.llm import html_text, licenses, line_dedup, mixing, ngram_join, packing, quality, token_files, topk, toxicity
+from tillstream.llm import (divergence, html_text, licenses, line_dedup, manifest, mixing, ngram_join, packing, quality,
+                            simhash, token_files, topk, toxicity)
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +127,107 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+@query
+def op11_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
+
+
+_SQL["op11_source_divergence"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+words AS (SELECT r, lang, source,
+              unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x{7F}]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS total FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, sum(total)::HUGEINT AS lang_n, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+sizes AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total_n FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+shares AS (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000 * (coalesce(n, 0) + 1)) // (total_n + v) AS p,
+               1 + (1000000000 * (total + 1)) // (lang_n + v) AS q
+           FROM sizes JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+          FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+items AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+          UNION ALL
+          SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM items)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranks WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query
+def op12_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.cluster(table(spark, sf, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return manifest.audit(table(spark, sf, "documents"), manifest.lowered_where(tampered))
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """The tree level by level: enough levels for 16^levels rows of a source, and as many sources."""
+    def field(column: str) -> str:
+        return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+    leaf = "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+    byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))"
+    crc = (f"xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+           f"lambda d: CAST(ascii(d) AS BIGINT)), lambda c, b: {byte}))")
+    small = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def tree(name: str, keys: str, nodes: str) -> str:
+        """CTEs: nodes of each level, and the siblings of each node; a tree of one node stays as it is."""
+        parts = [f"{name}0 AS ({nodes})"]
+        for k in range(1, levels + 1):
+            parts.append(f"""{name}{k} AS (SELECT {keys}, CASE WHEN n > 1 THEN pos // 16 ELSE pos END AS pos,
+                CASE WHEN n > 1 THEN sha256(string_agg(digest, '' ORDER BY pos)) ELSE min(digest) END AS digest,
+                max((n + 15) // 16) AS n FROM {name}{k - 1} GROUP BY {keys}, n, CASE WHEN n > 1 THEN pos // 16 ELSE pos END,
+                CASE WHEN n > 1 THEN 0 ELSE pos END)""")
+        for k in range(levels):
+            run = f"PARTITION BY {keys}, CASE WHEN n > 1 THEN pos // 16 ELSE -1 END ORDER BY pos ROWS BETWEEN"
+            parts.append(f"""{name}s{k} AS (SELECT {keys}, pos, n,
+                coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+        return ",\n".join(parts)
+
+    def climb(name: str, source: str, on: str, pos: str) -> tuple[str, str]:
+        """CTEs that fold a claim level by level and gather its siblings, and the name of the last."""
+        parts, last = [], source
+        for k in range(levels):
+            s = f"{name}s{k}"
+            parts.append(f"""{name}f{k} AS (SELECT x.* EXCLUDE (digest, proof),
+                CASE WHEN {s}.n > 1 THEN sha256({s}.l || digest || {s}.r) ELSE digest END AS digest,
+                proof || {s}.l || {s}.r AS proof
+                FROM {last} x JOIN {s} ON {on.format(t=s)} AND {s}.pos = x.{pos} // {16 ** k})""")
+            last = f"{name}f{k}"
+        return ",\n".join(parts), last
+
+    up, top = climb("d", "start", "{t}.tree = x.tree", "pos")
+    over, last = climb("r", top, "true", "tree_pos")
+    return f"""
+WITH leaves AS (SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS tree, {leaf.format(text="text")} AS leaf,
+    {leaf.format(text=f"(CASE WHEN ({crc}) % 5 = 0 THEN {small} ELSE text END)")} AS claim FROM documents),
+rows AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+{tree("d", "tree", "SELECT tree, pos, leaf AS digest, n FROM rows")},
+tops AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS tree_pos, count(*) OVER () AS m FROM d{levels}),
+{tree("r", "one", "SELECT 1 AS one, tree_pos AS pos, subroot AS digest, m AS n FROM tops")},
+start AS (SELECT doc_id, tree, pos, leaf, subroot, tree_pos, claim AS digest, '' AS proof FROM rows JOIN tops USING (tree)),
+{up},
+{over}
+SELECT doc_id, leaf, subroot, r{levels}.digest AS root, sha256(proof) AS proof_sha256, x.digest AS folded_root,
+    x.digest = r{levels}.digest AS verified
+FROM {last} x JOIN r{levels} ON true
+"""
+
+
+_SQL["op13_merkle_manifest"] = _merkle_sql()
+
+
 @query
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
