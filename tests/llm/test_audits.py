@@ -180,6 +180,9 @@ def test_every_close_pair_meets_in_a_cell(spark):
     met = spark.createDataFrame(pairs).join(one, "a").join(two, ["b", "cell"])
     assert met.select("i").distinct().count() == 400
     assert cells.groupBy("fp").count().agg(F.max("count")).first()[0] <= 3 + 2 * 64
+    # fingerprints that aren't close hardly ever meet: an own cell holds the pair, if anything
+    strange = one.join(two, "cell").where("a <> b").select("a", "b").distinct().count()
+    assert strange <= 2 * 400 + 20
 
 
 def test_large_cells_are_compared_in_chunks(spark, make, monkeypatch):

@@ -80,16 +80,15 @@ def _masks() -> list[int]:
 
 def cells(fps: DataFrame) -> DataFrame:
     """(cell, fp): a fingerprint's own cells and those one step away, leaving out each part once."""
-    near = []
-    for mask in _masks():
+    def around(mask: int) -> list[Column]:
         own = F.col("v").bitwiseAND(F.lit(_signed(mask)))
-        near.append(F.array(own))
         steps = F.array(*[F.lit(_signed(1 << 2 * s)) for s in range(SEGMENTS) if mask >> 2 * s & 1])
         # in a field of two bits 0 and 1, and 1 and 2, are one step apart
-        small = F.filter(steps, lambda s: F.col("v").bitwiseAND(F.shiftleft(s, 1)) == 0)
-        large = F.filter(steps, lambda s: F.col("v").bitwiseAND(s.bitwiseOR(F.shiftleft(s, 1))) != 0)
-        near += [F.transform(small, lambda s, o=own: o.bitwiseXOR(s)),
-                 F.transform(large, lambda s, o=own: o.bitwiseXOR(s.bitwiseOR(F.shiftleft(s, 1))))]
+        small = F.filter(steps, lambda s: own.bitwiseAND(F.shiftleft(s, 1)) == 0)
+        large = F.filter(steps, lambda s: own.bitwiseAND(s.bitwiseOR(F.shiftleft(s, 1))) != 0)
+        return [F.array(own), F.transform(small, lambda s: own.bitwiseXOR(s)),
+                F.transform(large, lambda s: own.bitwiseXOR(s.bitwiseOR(F.shiftleft(s, 1))))]
+    near = [cell for mask in _masks() for cell in around(mask)]
     return (fps.select("fp", counts(F.col("fp")).alias("v"))
             .select(F.explode(F.concat(*near)).alias("cell"), "fp"))
 
