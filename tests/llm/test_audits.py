@@ -70,8 +70,8 @@ def test_divergence_is_what_brute_force_gives(spark, seed, k):
 
 
 def test_divergence_over_many_tiles_and_slots(spark, monkeypatch):
-    """Sources in several blocks, terms in several slots, small pieces of work: the same sums."""
-    for name, value in (("SIDE", 2), ("SLOT_ROWS", 7), ("TERMS", 3), ("PIECE", 16), ("HELD", 5), ("CHUNK", 2)):
+    """Sources in several blocks, terms in several slots, groups in several partitions: the same rows."""
+    for name, value in (("SIDE", 2), ("SLOT_ROWS", 7), ("GROUP_ROWS", 3)):
         monkeypatch.setattr(divergence, name, value)
     rows = corpus(4, docs=80, sources=9)
     assert audited(spark, rows, k=2) == naive_divergence([(r[2], r[3], r[1]) for r in rows], 2)
@@ -83,15 +83,36 @@ def test_a_skyband_drops_only_terms_that_k_others_beat(seed):
     k = rnd.choice([1, 2, 5])
     rows = sorted({(-rnd.randint(1, 6), rnd.randint(1, 9), "".join(rnd.choices("ab", k=rnd.randint(1, 12)))) for _ in range(300)},
                   key=lambda r: (r[0], r[1], r[2].encode()))
-    band, stay = divergence.Skyband(k), []
-    for at in range(0, len(rows), 50):
-        part = rows[at:at + 50]
-        stay += [at + i for i in band.add(np.array([r[1] for r in part]), [r[2].encode() for r in part])]
+    frame = pd.DataFrame([("l", "s", r[2], -r[0], r[1], 0, i) for i, r in enumerate(rows)],
+                         columns=["lang", "source", "term", "n", "total", "value", "row"])
+    cuts = [frame.iloc[at:at + 50] for at in range(0, len(frame), 50)]
+    stay = pd.concat(divergence._skybands(k)(iter(cuts)))["row"].to_list()
     expected = [i for i, (n, total, term) in enumerate(rows) if sum(
         o[0] <= n and o[1] <= total and o[2].encode() < term.encode() for o in rows) < k]
     assert stay == expected
 
 
+@pytest.mark.parametrize("name, value", [("TERMS", 3), ("PIECE", 16), ("HELD", 5)])
+def test_small_pieces_of_work_change_nothing(monkeypatch, name, value):
+    """Long texts in pieces, counts that go out early, a tile's terms worked on a few at a time."""
+    rnd = random.Random(3)
+    docs = pd.DataFrame({"lang": "en", "source": [rnd.choice("ab") for _ in range(40)],
+                         "text": [" ".join(rnd.choices(["one", "Two", "\u00e9", "four"], k=rnd.randint(0, 30))).encode() for _ in range(40)]})
+    rows = pd.DataFrame([("l", 0, 0, 0, f"t{t:02}", i, rnd.randint(1, 10 ** 9), None, None, None)
+                         for t in range(30) for i in sorted(rnd.sample(range(1, 5), rnd.randint(1, 4)))])
+    heads = pd.DataFrame([("l", 0, 0, 0, None, i, 5 * i, f"s{i}", 0, 31) for i in range(1, 5)])
+    tile = pd.concat([heads, rows]).set_axis(["lang", "low", "high", "slot", "term", "index", "p", "source", "side", "terms"], axis=1)
+
+    def both():
+        counts = pd.concat(divergence._count(iter([docs.iloc[:25], docs.iloc[25:]])))
+        sums = pd.concat(divergence._tile_sums(iter([tile.iloc[at:at + 7] for at in range(0, len(tile), 7)])))
+        return counts.groupby(["lang", "source", "term"])[["n", "d"]].sum(), sums.reset_index(drop=True)
+    plain = both()
+    monkeypatch.setattr(divergence, name, value)
+    for one, other in zip(plain, both()):
+        pd.testing.assert_frame_equal(one, other)
+
+
 def test_divergence_of_odd_rows_and_of_no_rows(spark, odd):
     got = sorted(tuple(r) for r in divergence.audit(odd, min_docs=1).collect())
     rows = [(r["lang"], r["source"], r["text"]) for r in odd.collect()]

@@ -9,6 +9,7 @@ the skybands are merged by the same rule, and only what is left is ranked by its
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,11 +24,11 @@ MIN_DOCS, TOP, SCALE = 3, 200, 1_000_000_000
 # Whole texts that a Python worker gets at once, and bytes of one that are split at once.
 TEXTS, PIECE = 500, 1 << 20
 # Different (group, term) counts held before they go out.
-HELD = 300_000
-# Slots of a group whose skybands are merged in one task each.
-SLOTS = 16
-# Rows compared with a skyband at once, and count rows of a tile of source pairs worked on at once.
-CHUNK, TERMS = 512, 8_192
+HELD = 1_000_000
+# Count rows of a group in a partition whose skyband is taken, about.
+GROUP_ROWS = 200_000
+# Count rows of a tile of source pairs worked on at once.
+TERMS = 8_192
 # Sources of a side of a tile, and count rows of a slot of it, about.
 SIDE, SLOT_ROWS = 64, 50_000
 
@@ -52,9 +53,9 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def out() -> Iterator[pd.DataFrame]:
         for (lang, source), (n, d) in counts.items():
-            terms = [None, *n]
-            yield pd.DataFrame({"lang": lang, "source": source, "term": terms, "n": [0, *n.values()],
-                                "d": [0, *(d[t] for t in n)]})
+            numbers = [np.fromiter(x, np.int64, len(n)) for x in (n.values(), map(d.__getitem__, n))]
+            yield pd.DataFrame({"lang": lang, "source": source, "term": [None, *n], "n": np.append(0, numbers[0]),
+                                "d": np.append(0, numbers[1])})
         counts.clear()
 
     for batch in batches:
@@ -95,8 +96,10 @@ def share(count: Column, total: Column, terms: Column, scale: int = SCALE) -> Co
 
     Without any kept term there is nothing to share out, and no row asks for the result.
     """
+    parts = F.greatest(total + terms, F.lit(1))
     wide = (count + 1).cast("decimal(19,0)") * F.lit(scale).cast("decimal(18,0)")
-    return F.lit(1).cast("long") + F.call_function("div", wide, F.greatest(total + terms, F.lit(1)).cast("decimal(20,0)"))
+    return F.lit(1).cast("long") + F.when(count < (1 << 62) // scale, F.call_function("div", (count + 1) * F.lit(scale), parts)) \
+        .otherwise(F.call_function("div", wide, parts.cast("decimal(20,0)")))
 
 
 def excess(p: Column, q: Column) -> Column:
@@ -107,67 +110,72 @@ def excess(p: Column, q: Column) -> Column:
 # -- top terms ----------------------------------------------------------------------------
 
 class Skyband:
-    """Terms of a group dominated by fewer than k others, fed by group count falling, language
-    count rising, term rising: so every dominator of a term comes before it."""
+    """Terms of a group dominated by fewer than k others.
+
+    Fed by group count falling, then language count rising: so all dominators of a term come before
+    it, and a term with k of them also has k among those that stayed. A class of terms equal in both
+    counts loses all terms behind the first one that is out.
+    """
 
     def __init__(self, k: int):
-        self.k, self.terms = k, []
-        self.totals, self.heads = np.empty(0, np.int64), np.empty(0, np.uint64)
-
-    def _dominators(self, total: np.ndarray, head: np.ndarray, terms: list[bytes], start: int) -> np.ndarray:
-        """How many of the kept terms from `start` dominate each; terms are compared by their first
-        eight bytes, and whole where these are equal."""
-        lower = self.totals[None, start:] <= total[:, None]
-        found = (lower & (self.heads[None, start:] < head[:, None])).sum(axis=1)
-        for i, j in zip(*np.nonzero(lower & (self.heads[None, start:] == head[:, None]))):
-            found[i] += self.terms[start + j] < terms[i]
-        return found
-
-    def add(self, totals: np.ndarray, terms: list[bytes]) -> list[int]:
-        """Feeds a chunk; the places in it of those that stay."""
-        heads = np.array([int.from_bytes(t[:8].ljust(8, b"\0"), "big") for t in terms], np.uint64)
-        start = len(self.terms)
-        count = self._dominators(totals, heads, terms, 0)
-        stay = []
-        for i in np.nonzero(count < self.k)[0]:
-            one = slice(i, i + 1)
-            if count[i] + self._dominators(totals[one], heads[one], [terms[i]], start)[0] < self.k:
-                stay.append(int(i))
-                self.terms.append(terms[i])
-                self.totals = np.append(self.totals, totals[i])
-                self.heads = np.append(self.heads, heads[i])
-        return stay
+        self.k = k
+        self.terms: list[str] = []  # those that stay by UTF-8 order, which is that of code points
+        self.totals = np.empty(0, np.int64)
+
+    def add(self, total: int, terms: list[str]) -> int:
+        """Feeds the terms of a class in their order; how many of them, from the first, stay."""
+        rivals = np.flatnonzero(self.totals <= total)[:self.k].tolist()
+        places: list[int] = []
+        for term in terms:
+            place = bisect_left(self.terms, term)
+            if len(places) + bisect_left(rivals, place) >= self.k:
+                break
+            places.append(place)
+        if places:
+            self.totals = np.insert(self.totals, places, total)
+            for back, place in enumerate(reversed(places)):
+                self.terms.insert(place, terms[len(places) - 1 - back])
+        return len(places)
 
 
 def _skybands(k: int):
-    """The skyband of each group among sorted rows (lang, source, term, n, total)."""
+    """The skyband of each group among rows sorted by lang, source, n falling, total, term."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, band = None, Skyband(k)
         for batch in batches:
-            keys = pd.MultiIndex.from_frame(batch[["lang", "source"]])
-            ends = np.append(np.nonzero(keys[1:] != keys[:-1])[0] + 1, len(batch)) if len(batch) else []
-            stay, at = [], 0
-            for end in ends:
-                if keys[at] != group:
-                    group, band = keys[at], Skyband(k)
-                for low in range(at, end, CHUNK):
-                    rows = batch.iloc[low:min(low + CHUNK, end)]
-                    found = band.add(rows["total"].to_numpy(np.int64), [t.encode() for t in rows["term"]])
-                    stay += [low + i for i in found]
-                at = end
+            if not len(batch):
+                continue
+            lang, source = batch["lang"].to_numpy(object), batch["source"].to_numpy(object)
+            n, total = batch["n"].to_numpy(np.int64), batch["total"].to_numpy(np.int64)
+            terms, stay = batch["term"].to_list(), []
+            starts = _starts(lang, source, n, total)
+            for at, end in zip(starts, [*starts[1:], len(terms)]):
+                if (lang[at], source[at]) != group:
+                    group, band = (lang[at], source[at]), Skyband(k)
+                stay += range(at, at + band.add(total[at], terms[at:end]))
             yield batch.iloc[stay]
     return run
 
 
-def skybands(kept: DataFrame, k: int = TOP) -> DataFrame:
-    """(lang, source, term, n, total): of each group, the terms that may be among its k first."""
-    schema = "lang string, source string, term string, n long, total long"
+def _starts(*columns: np.ndarray) -> list[int]:
+    """Where a row differs from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.flatnonzero(new).tolist()
+
+
+def skybands(rows: DataFrame, k: int = TOP) -> DataFrame:
+    """Of each group, the rows (lang, source, term, n, total, value) that may be among its k first.
+
+    `different` tells into how many partitions a group is dealt.
+    """
+    schema = "lang string, source string, term string, n long, total long, value long"
     order = ["lang", "source", F.desc("n"), "total", "term"]
-    rows = kept.where("term is not null and n > 0").select("lang", "source", "term", "n", "total")
-    local = rows.sortWithinPartitions(*order).mapInPandas(_skybands(k), schema)
-    slot = F.pmod(F.xxhash64("term"), F.lit(SLOTS))
-    return (local.repartition("lang", "source", slot).sortWithinPartitions(*order)
-            .mapInPandas(_skybands(k), schema))
+    slot = F.pmod(F.xxhash64("term"), F.ceil((F.col("different") + 1) / GROUP_ROWS))
+    local = (rows.withColumn("slot", slot).select("lang", "source", "term", "n", "total", "value", "slot")
+             .repartition("lang", "source", "slot").drop("slot").sortWithinPartitions(*order)
+             .mapInPandas(_skybands(k), schema))
+    return local.repartition("lang", "source").sortWithinPartitions(*order).mapInPandas(_skybands(k), schema)
 
 
 # -- pairs of sources ---------------------------------------------------------------------
@@ -175,43 +183,45 @@ def skybands(kept: DataFrame, k: int = TOP) -> DataFrame:
 class Tile:
     """Sums of excess over terms, for the pairs of sources across the two sides of a tile."""
 
-    def __init__(self, key: tuple, head: pd.DataFrame, all_terms: int):
+    def __init__(self, key: tuple, head: pd.DataFrame):
         self.lang, low, high, slot = key
-        self.names = head["source"].to_numpy(object)
-        self.zero, self.side = head["p"].to_numpy(np.int64), head["side"].to_numpy()
-        self.place = pd.Index(self.names)
+        self.names, self.index = head["source"].to_numpy(object), head["index"].to_numpy(np.int64)
+        self.zero, side = head["p"].to_numpy(np.int64), head["side"].to_numpy()
         gap = self.zero[:, None] - self.zero[None, :]
         self.base = gap * gap // self.zero[None, :]
         # a term that neither source has adds the base: counted for all terms, by one slot
-        self.sums = self.base * (all_terms if slot == 0 else 0)
+        self.sums = self.base * (int(head["terms"].iloc[0]) if slot == 0 else 0)
         self.wanted = self.names[:, None] != self.names[None, :]
         if low != high:
-            self.wanted &= self.side[:, None] != self.side[None, :]
+            self.wanted &= side[:, None] != side[None, :]
         self.held: list[pd.DataFrame] = []
 
     def add(self, rows: pd.DataFrame) -> None:
-        """Rows (term, source, p) sorted by term; worked on once there are many."""
+        """Rows (term, index, p) sorted by term; worked on once there are many."""
         self.held.append(rows)
         if sum(map(len, self.held)) > TERMS:
             self.work(last=False)
 
     def work(self, last: bool) -> None:
-        if not self.held:
+        rows = pd.concat(self.held) if self.held else []
+        if not len(rows):
             return
-        rows = pd.concat(self.held)
-        term = rows["term"].to_numpy(object)
-        starts = np.append(0, np.nonzero(term[1:] != term[:-1])[0] + 1)
+        starts = _starts(rows["term"].to_numpy(object))
         end = len(rows) if last else starts[-1]  # the last term may go on
         self.held = [rows.iloc[end:]] if end < len(rows) else []
-        number = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(rows))))[:end]
+        number = np.repeat(np.arange(len(starts)), np.diff([*starts, len(rows)]))[:end]
         if not end:
             return
-        who, p = self.place.get_indexer(rows["source"])[:end], rows["p"].to_numpy(np.int64)[:end]
-        shares = np.tile(self.zero, (number[-1] + 1, 1))
-        shares[number, who] = p
+        who, p = np.searchsorted(self.index, rows["index"].to_numpy(np.int64)[:end]), rows["p"].to_numpy(np.int64)[:end]
+        shares = np.tile(self.zero[:, None], number[-1] + 1)  # a row for each source
+        shares[who, number] = p
+        divisors = shares.view(np.uint64)
         for i in range(len(self.names)):
-            gap = shares[:, i:i + 1] - shares
-            self.sums[i] += (gap * gap // shares - self.base[i]).sum(axis=0)
+            gap = shares[i] - shares[i + 1:]
+            square = (gap * gap).view(np.uint64)
+            terms = len(gap[0]) if len(gap) else 0
+            self.sums[i, i + 1:] += (square // divisors[i + 1:]).sum(axis=1).view(np.int64) - terms * self.base[i, i + 1:]
+            self.sums[i + 1:, i] += (square // divisors[i]).sum(axis=1).view(np.int64) - terms * self.base[i + 1:, i]
 
     def out(self) -> pd.DataFrame:
         self.work(last=True)
@@ -222,31 +232,27 @@ class Tile:
 def _tile_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Tiles one after another: first the rows without a term, which name its sources."""
     key, tile, heads = None, None, []
-
-    def opened() -> Tile:
-        head = pd.concat(heads)
-        return Tile(key, head, int(head["terms"].iloc[0]))
-
     for batch in batches:
-        keys = list(zip(batch["lang"], batch["low"], batch["high"], batch["slot"]))
-        starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
-        for at, end in zip(starts, [*starts[1:], len(keys)]):
-            if keys[at] != key:
+        if not len(batch):
+            continue
+        columns = [batch["lang"].to_numpy(object), *(batch[c].to_numpy() for c in ("low", "high", "slot"))]
+        starts, bare = _starts(*columns), batch["term"].isna().to_numpy()
+        for at, end in zip(starts, [*starts[1:], len(batch)]):
+            if tuple(c[at] for c in columns) != key:
                 if key is not None:
-                    yield (tile or opened()).out()
-                key, tile, heads = keys[at], None, []
-            rows = batch.iloc[at:end]
-            bare = rows["term"].isna()
-            if bare.any():
-                heads.append(rows[bare])
-            if not bare.all():
-                tile = tile or opened()
-                tile.add(rows.loc[~bare, ["term", "source", "p"]])
+                    yield (tile or Tile(key, pd.concat(heads))).out()
+                key, tile, heads = tuple(c[at] for c in columns), None, []
+            first = at + int(bare[at:end].sum())
+            if first > at:
+                heads.append(batch.iloc[at:first])
+            if first < end:
+                tile = tile or Tile(key, pd.concat(heads))
+                tile.add(batch.iloc[first:end][["term", "index", "p"]])
     if key is not None:
-        yield (tile or opened()).out()
+        yield (tile or Tile(key, pd.concat(heads))).out()
 
 
-def pair_values(kept: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_values(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value): excess over all kept terms, for each other source of the language.
 
     Sources are dealt into blocks, and a tile holds the rows of two blocks. Its terms are dealt into
@@ -257,17 +263,19 @@ def pair_values(kept: DataFrame, groups: DataFrame) -> DataFrame:
     placed = (groups.join(sizes, "lang")
               .withColumn("side", F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")}))
-    columns = ["lang", "low", "high", "slot", "term", "source", "side", "p", "terms"]
+              .select("lang", "source", "index", "total_n", "terms", "slots", "side",
+                      F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")))
     zero = share(F.lit(0).cast("long"), F.col("total_n"), F.col("terms"))
-    heads = (placed.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-             .withColumns({"term": F.lit(None).cast("string"), "p": zero}))
-    rows = (kept.where("term is not null").select("lang", "source", "term", "n").join(placed, ["lang", "source"])
-            .withColumns({"slot": F.pmod(F.xxhash64("term"), F.col("slots")).cast("int"),
-                          "p": share(F.col("n"), F.col("total_n"), F.col("terms"))}))
+    heads = placed.select("lang", "low", "high", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"),
+                          F.lit(None).cast("string").alias("term"), "index", zero.alias("p"), "source", "side", "terms")
+    none = F.lit(None)
+    counted = (rows.select("lang", "source", "term", "p")
+               .join(placed.select("lang", "source", "index", "slots", "low", "high"), ["lang", "source"])
+               .select("lang", "low", "high", F.pmod(F.xxhash64("term"), F.col("slots")).cast("int").alias("slot"), "term",
+                       "index", "p", none.cast("string").alias("source"), none.cast("int").alias("side"),
+                       none.cast("long").alias("terms")))
     keys = ["lang", "low", "high", "slot"]
-    sums = (heads.select(*columns).union(rows.select(*columns)).repartition(*keys)
-            .sortWithinPartitions(*keys, "term", "source")
+    sums = (heads.union(counted).repartition(*keys).sortWithinPartitions(*keys, "term", "index")
             .mapInPandas(_tile_sums, "lang string, source string, item string, value long"))
     return sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
@@ -293,15 +301,17 @@ def audit(docs: DataFrame, k: int = TOP, min_docs: int = MIN_DOCS) -> DataFrame:
     langs = kept.groupBy("lang").agg(
         F.coalesce(F.sum(F.when(own & F.col("head"), F.col("total"))), F.lit(0)).alias("lang_n"),
         F.count(F.when(own & F.col("head"), 1)).alias("terms"))
+    by_source = Window.partitionBy("lang").orderBy("source")
     groups = stored(kept.groupBy("lang", "source").agg(
         F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias("total_n"),
-        F.count(F.when(own, 1)).alias("different")).join(langs, "lang"), "divergence-groups")
-    pairs = pair_values(kept, groups).withColumn("part", F.lit("pair"))
-    p = share(F.col("n"), F.col("total_n"), F.col("terms"))
-    q = share(F.col("total"), F.col("lang_n"), F.col("terms"))
-    terms = (skybands(kept, k).join(groups, ["lang", "source"]).withColumns({"p": p, "q": q}).where("p > q")
-             .select("lang", "source", F.col("term").alias("item"), excess(F.col("p"), F.col("q")).alias("value"),
-                     F.lit("term").alias("part")))
+        F.count(F.when(own, 1)).alias("different")).join(langs, "lang")
+        .withColumn("index", F.row_number().over(by_source)), "divergence-groups")
+    shares = (kept.where(own).drop("head").join(groups.drop("index"), ["lang", "source"])
+              .withColumns({"p": share(F.col("n"), F.col("total_n"), F.col("terms")),
+                            "q": share(F.col("total"), F.col("lang_n"), F.col("terms"))}))
+    pairs = pair_values(shares, groups).withColumn("part", F.lit("pair"))
+    more = shares.where((F.col("n") > 0) & (F.col("p") > F.col("q"))).withColumn("value", excess(F.col("p"), F.col("q")))
+    terms = skybands(more, k).withColumns({"item": F.col("term"), "part": F.lit("term")})
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return (pairs.withColumn("rank", rank).select(*columns)
