@@ -5,8 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from conftest import SF
+from tillstream import catalog as driver
 from tillstream.operators import joins, state
 from tillstream.plans import report, windows
 
@@ -20,7 +20,8 @@ def lines(df, pattern):
 
 
 BATCH = [name for name in driver.queries() if not name.startswith("stream_")
-         and name not in ("dimension_sync", "upserted_coupons", "topic_round_trip",
+         and name not in ("dimension_sync", "dimension_partial_rows", "upserted_coupons",
+                          "upserted_deletes", "upserted_by_two_streams", "topic_round_trip",
                           "window_table_sink")]
 
 
@@ -155,16 +156,21 @@ def test_order_window_sums_before_it_compares_users(spark):
     assert "partial_sum" in text[window:]
 
 
-def test_reading_a_keyed_table_does_not_shuffle_its_base(spark, folder):
+def test_changes_of_a_keyed_table_are_folded_before_they_are_shuffled(spark, folder):
     from tillstream.schemas import strings
     from tillstream.sources.keyed import KeyedTable
     table = KeyedTable(spark, folder, "id", strings("id", "v"))
-    rows = spark.range(100).selectExpr("cast(id as string) id", "cast(id as string) v")
-    table.upsert(rows, 0)
-    table.compact()
-    table.upsert(rows.limit(3), 1)
+    for batch in range(3):
+        table.upsert(spark.range(100).selectExpr("cast(id as string) id", "cast(id as string) v"), batch)
     text = plan(table.read())
-    anti = text[text.index("LeftAnti"):]
-    base = anti[:anti.index("FileScan")]
-    assert "Broadcast" in text.split("LeftAnti")[0] and "Exchange hash" not in base
+    exchange = text.index("Exchange hashpartitioning(id")
+    assert "partial_max_by" in text[exchange:] and text.count("Exchange") == 1
     assert table.read().count() == 100
+
+
+@pytest.mark.parametrize("name", ["routed_changes", "routed_versions"])
+def test_routing_sends_the_config_and_never_moves_the_topic(spark, name):
+    text = plan(driver.queries()[name](spark, SF))
+    assert "BroadcastHashJoin" in text and "BuildRight" in text and "SortMergeJoin" not in text
+    topic = text[:text.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in topic

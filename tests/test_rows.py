@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillstream.functions import scalars
@@ -160,15 +161,32 @@ def test_missing_middle_hop_gives_nulls_after_it(spark):
                    ("unknown", None, None, None, None, None, None)]
 
 
-def test_latest_route_wins(spark):
-    config = spark.createDataFrame([("t", "old", "id", 1), ("t", "new", "id", 2)],
-                                   "source_table string, sink_table string, "
-                                   "sink_columns string, v int")
-    assert rows(joins.latest_routes(config, "v"), "source_table", "sink_table") == [("t", "new")]
-    events = config.sparkSession.createDataFrame([("t", 1), ("u", 2)], "table string, n int")
-    full = config.withColumn("sink_columns", F.lit("id")).withColumn("sink_pk", F.lit(None).cast("string"))
-    assert rows(joins.route_rows(events, full, "v"), "n", "sink_table") == [(1, "new")]
-    assert joins.route_rows(events, full).count() == 1
+def test_an_event_takes_the_newest_route_not_later_than_it(spark):
+    schema = "source_table string, sink_table string, sink_columns string, sink_pk string, since int"
+    config = spark.createDataFrame([("t", "old", "id", None, 10), ("t", "new", "id", None, 20),
+                                    ("t", "new", "id", None, 20), ("u", "a", "id", None, 5)], schema)
+    events = spark.createDataFrame([("t", "9", 1), ("t", "10", 2), ("t", "19", 3), ("t", "20", 4),
+                                    ("u", "99", 5), ("v", "99", 6), ("t", "x", 7)], "table string, ts string, n int")
+    got = rows(joins.route_rows(events, config, "since"), "n", "sink_table")
+    assert sorted(got) == [(2, "old"), (3, "old"), (4, "new"), (5, "a")]
+
+
+def test_without_versions_equal_routes_count_once_and_different_ones_are_an_error(spark):
+    schema = "source_table string, sink_table string, sink_columns string, sink_pk string"
+    events = spark.createDataFrame([("t", "1", 1)], "table string, ts string, n int")
+    same = spark.createDataFrame([("t", "a", "id", None)] * 2, schema)
+    assert rows(joins.route_rows(events, same), "n", "sink_table") == [(1, "a")]
+    other = spark.createDataFrame([("t", "a", "id", None), ("t", "b", "id", None)], schema)
+    with pytest.raises(Exception, match="several routes and no version of table t"):
+        joins.route_rows(events, other).collect()
+
+
+def test_a_control_table_has_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MAX_ROUTES", 1)
+    schema = "source_table string, sink_table string, sink_columns string, sink_pk string"
+    config = spark.createDataFrame([("t", "a", "id", None), ("u", "b", "id", None)], schema)
+    with pytest.raises(ValueError, match="control table"):
+        joins.route_rows(spark.createDataFrame([], "table string, ts string"), config)
 
 
 def test_routing_prunes_columns_and_drops_deletes(spark):
@@ -278,4 +296,4 @@ def test_order_amounts_compat(spark):
 def test_window_sink_leaves_other_columns_out(spark, folder):
     df = spark.createDataFrame([("a", "b", 1)], "stt string, secret string, n int")
     sinks.window_batch(["stt", "n"], "parquet", path=folder)(df, 3)
-    assert rows(spark.read.parquet(folder), "stt", "n", "batch") == [("a", 1, 3)]
+    assert rows(spark.read.parquet(folder), "stt", "n", "_batch", "_run") == [("a", 1, 3, "batch")]

@@ -216,7 +216,7 @@ def test_log_split_writes_five_outputs_and_quarantine(spark, folder):
     sinks.append_batch(f"{folder}/topic")(samples.raw_log(spark, SF), 0)
 
     def topic():
-        return readers.text_topic(spark, "text", path=f"{folder}/topic/batch=0")
+        return readers.text_topic(spark, "text", path=f"{folder}/topic")
     good, bad = split_log(topic())
     writers = {n: sinks.append_batch(f"{folder}/{n}") for n in logs.OUTPUTS}
     run.drain(logs.repaired_events(good), f"{folder}/c1",
@@ -288,6 +288,45 @@ def test_days_out_of_order_across_batches_are_all_kept(spark, folder, rule, colu
     assert bag(feed.drain(rule), *columns) == bag(rule(whole), *columns)
 
 
+@pytest.mark.parametrize("rule, columns", [
+    (lambda d, t: state.daily_and_returning(d, ["ts", "event_id"], key="mid", away_days=2, event_time=t),
+     ["event_id", "uu_ct", "back_ct"]),
+    (lambda d, t: state.daily_firsts(d, ["ts", "event_id"], state.day_of("ts"), key="mid", event_time=t),
+     ["event_id", "is_unique", "is_new"]),
+    (lambda d, t: state.unique_and_new(d, ["ts", "event_id"], state.day_of("ts"), "event_id", key="mid", event_time=t),
+     ["event_id", "is_unique", "is_new"]),
+])
+def test_flags_of_days_out_of_order_follow_event_time(spark, folder, rule, columns):
+    """Within the watermark's delay the order of arrival decides nothing, neither of days nor of rows."""
+    day_ms, parts = 86_400_000, []
+    for n, d in enumerate([*DAYS, 12, 7]):
+        rows = [(f"m{k}", d * day_ms + (k * 7 + n * 5) % 11, 100 * n + 10 * k + c) for k in range(3) for c in range(1 + n % 2)]
+        parts.append(spark.createDataFrame(rows, "mid string, ts long, event_id long"))
+    last = spark.createDataFrame([("closes", 100 * day_ms, -1)], parts[0].schema)
+    feed = Feed(spark, folder, parts[0].schema)
+    feed.add(*parts, last)
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.union(part)
+    got = feed.drain(lambda d: rule(event_time(d, delay="6 days"), "rt"))
+    assert bag(got.filter("mid <> 'closes'"), *columns) == bag(rule(whole, None), *columns)
+
+
+def test_the_newest_version_goes_into_a_window_of_the_same_query(spark, folder):
+    schema = "id string, at long, version int, amount int"
+    parts = [[("a", 1_000, 1, 1), ("b", 2_000, 1, 10)], [("a", 1_000, 3, 5), ("b", 2_000, 2, 20), ("c", 9_000, 1, 100)],
+             [("a", 1_000, 2, 7)], [("d", 60_000, 1, 1000)], [("e", 61_000, 1, 1)],
+             [("a", 1_000, 9, 99)]]
+    feed = Feed(spark, folder, spark.createDataFrame(parts[0], schema).schema)
+    feed.add(*(spark.createDataFrame(p, schema) for p in parts))
+
+    def make(df):
+        newest = state.latest_per_key(event_time(df, "at", delay="20 seconds"), "id", ["version"], event_time="rt")
+        return tumble(newest, [], [F.sum("amount").alias("amount"), F.count("*").alias("n")], "10 seconds")
+    got = feed.drain(make)
+    assert bag(got, "amount", "n") == Counter({(125, 3): 1})
+
+
 def test_a_bad_time_does_not_end_a_stream(spark, folder):
     rows = [(f"{k}", ts) for k, ts in enumerate(["1", "x", None, "", "99999999999999999999", "2"])]
     feed = Feed(spark, folder, spark.createDataFrame(rows, "id string, ts string").schema)

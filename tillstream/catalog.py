@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,11 +15,11 @@ from tillstream.functions import scalars
 from tillstream.functions.parsing import split_changes, split_log
 from tillstream.functions.tokens import explode_words
 from tillstream.operators import filters, joins, state
-from tillstream.operators.windows import event_time, traffic_rows
+from tillstream.operators.windows import event_time, traffic_rows, tumble
 from tillstream.plans import dim, facts, logs, report, windows
 from tillstream.session import prepare, work_dir
 from tillstream.sources import readers, samples, sinks
-from tillstream.sources.keyed import KeyedTable
+from tillstream.sources.keyed import DELETED, KeyedTable
 from tillstream.sources.samples import VERSION, load
 from tillstream.schemas import WINDOW_COLUMNS, strings
 from tillstream.streaming import run
@@ -175,6 +175,15 @@ def routed_changes(spark, sf):
                        F.array_join(F.array_sort(F.map_keys("data")), ",").alias("keys"))
 
 
+@query
+def routed_versions(spark, sf):
+    """Change events routed by the config as it was at their time."""
+    rows = sinks.routed(samples.changes(spark, sf, "sku_info", "base_province", "not_listed"),
+                        samples.route_versions(spark), "version")
+    return rows.select("table", "type", "sink_table", "ts", F.col("data")["id"].alias("id"),
+                       F.array_join(F.array_sort(F.map_keys("data")), ",").alias("keys"))
+
+
 # -- log split -----------------------------------------------------------------
 
 def _split(spark, sf) -> dict[str, DataFrame]:
@@ -497,34 +506,77 @@ def daily_gmv(spark, sf):
 
 # -- sinks ---------------------------------------------------------------------
 
+def _dimensions(spark, root) -> DataFrame:
+    sku = sinks.dimension_table(spark, root, "dim_sku_info", "id,sku_name,tm_id")
+    place = sinks.dimension_table(spark, root, "dim_base_province", "id,name", "id")
+    return (sku.read().select("id", F.col("sku_name").alias("name"), F.lit("sku").alias("dim"))
+            .unionByName(place.read().withColumn("dim", F.lit("province"))))
+
+
 @query
 def dimension_sync(spark, sf):
-    """Change events, in two batches and one compaction, to dimension tables read back."""
+    """Change events, in two batches, to dimension tables read back."""
     root = work_dir(spark, "dims")
     write = sinks.dimension_batch(lambda: samples.routes(spark), root)
     changes = samples.changes(spark, sf, "sku_info", "base_province", "not_listed")
     write(changes.filter("ts <= 100"), 0)
     write(changes.filter("ts > 100"), 1)
-    sku = sinks.dimension_table(spark, root, "dim_sku_info", "id,sku_name,tm_id")
-    place = sinks.dimension_table(spark, root, "dim_base_province", "id,name", "id")
-    sku.compact()
-    return (sku.read().select("id", F.col("sku_name").alias("name"), F.lit("sku").alias("dim"))
-            .unionByName(place.read().withColumn("dim", F.lit("province"))))
+    return _dimensions(spark, root)
+
+
+@query
+def dimension_partial_rows(spark, sf):
+    """Later changes hold only the id and the name of a part: its other columns stay."""
+    root = work_dir(spark, "dims")
+    write = sinks.dimension_batch(lambda: samples.routes(spark), root)
+    changes = samples.changes(spark, sf, "sku_info")
+    write(changes.filter("type <> 'update'"), 0)
+    named = F.map_filter("data", lambda k, v: k.isin("id", "sku_name"))
+    write(changes.filter("type = 'update'").withColumn("data", named), 1)
+    return sinks.dimension_table(spark, root, "dim_sku_info", "id,sku_name,tm_id").read()
+
+
+def _coupon_table(spark) -> KeyedTable:
+    return KeyedTable(spark, work_dir(spark, "coupons"), "id", strings("id", "user_id", "date_id", "ts"))
 
 
 @query
 def upserted_coupons(spark, sf):
     """Three coupon facts upserted on one key; the last batch to touch a key wins."""
-    table = KeyedTable(spark, work_dir(spark, "coupons"), "id",
-                       strings("id", "user_id", "date_id", "ts"))
+    table = _coupon_table(spark)
     changes = samples.changes(spark, sf, "coupon_use")
-    write = sinks.upsert_batch(table, "ts", compact_every=2)
+    write = sinks.upsert_batch(table, "ts")
     write(facts.coupons_received(changes), 0)
     write(facts.coupons_ordered(changes), 1)
     write(facts.coupons_paid(changes), 2)
     return table.read()
 
 
+@query
+def upserted_deletes(spark, sf):
+    """Paid coupons are deleted; of some of them a part comes back, without a day."""
+    table = _coupon_table(spark)
+    changes = samples.changes(spark, sf, "coupon_use")
+    paid = facts.coupons_paid(changes)
+    table.upsert(facts.coupons_received(changes), 0, "ts")
+    table.upsert(paid.withColumn(DELETED, F.lit(True)), 1, "ts")
+    table.upsert(paid.filter("cast(user_id as long) % 2 = 0").select("id", "user_id"), 2)
+    return table.read().drop("ts")
+
+
+@query
+def upserted_by_two_streams(spark, sf):
+    """Two streams, each with a checkpoint of its own and so its own batch 0, write to one table:
+    received coupons, then, of ordered ones, the day alone."""
+    table = _coupon_table(spark)
+    changes = samples.changes(spark, sf, "coupon_use").drop("pt")
+    for name, fact in (("received", facts.coupons_received),
+                       ("ordered", lambda c: facts.coupons_ordered(c).select("id", "date_id"))):
+        texts, _ = split_changes(_topic(spark, changes, name))
+        run.drain(fact(texts), work_dir(spark, f"{name}-checkpoint"), sinks.upsert_batch(table))
+    return table.read().drop("ts")
+
+
 @query
 def topic_round_trip(spark, sf):
     """Change events written as JSON texts to a topic folder and read back as a table."""
@@ -543,8 +595,11 @@ def window_table_sink(spark, sf):
     columns = [c for c in WINDOW_COLUMNS["register"] if c != "ts"]
     users = facts.registrations(samples.changes(spark, sf, "user_info"))
     write = sinks.window_batch(columns, "parquet", path=path)
-    write(windows.registrations(users, "10 minutes"), 0)
-    return spark.read.parquet(path).drop("batch")
+    early = F.col("user_id").cast("long") % 2 == 0
+    halves = [windows.registrations(users.filter(half), "10 minutes") for half in (early, ~early)]
+    for batch_id, half in enumerate(halves):
+        write(half, batch_id)
+    return (spark.read.parquet(path).groupBy("stt", "edt").agg(F.sum("register_ct").alias("register_ct")))
 
 
 # -- streams: the same rules fed by a stream, drained and read back ---------------
@@ -565,7 +620,7 @@ def _topic(spark, rows: DataFrame, name: str) -> DataFrame:
     """Rows written as JSON texts to a topic folder, and that topic as a text stream."""
     path = work_dir(spark, name)
     sinks.append_batch(path)(rows, 0)
-    return readers.text_topic(spark, "text", path=f"{path}/batch=0")
+    return readers.text_topic(spark, "text", path=path)
 
 
 def _stream_pages(spark, sf) -> DataFrame:
@@ -677,17 +732,67 @@ def stream_traffic_window(spark, sf):
     return _drained(spark, out, "traffic").drop("ts")
 
 
+# Days by which a version of an order line may come late, and the least days it is waited for.
+LATE_DAYS, WAIT = 20, "30 days"
+
+
+def _fed(spark, rows: DataFrame, parts: list[Column], name: str, schema) -> DataFrame:
+    """Rows written as JSON texts to a topic, one part after another, and read as a stream that gets
+    each part as a micro-batch of its own."""
+    path, files = work_dir(spark, name), spark.sparkContext.defaultParallelism
+    write = sinks.append_batch(path)
+    for batch_id, part in enumerate(parts):
+        write(rows.filter(part).repartition(files), batch_id)
+    return readers.json_topic(spark, schema, "text", path=path, maxFilesPerTrigger=files)
+
+
+def _version_feed(spark, sf) -> DataFrame:
+    """Raw versions of order lines from a topic, up to twenty days out of order, in four micro-batches.
+
+    Of a line's versions some come micro-batches after others.
+    """
+    lines = samples.order_lines(spark, sf)
+    late = F.pmod(F.xxhash64("sku_id", "l_suppkey"), F.lit(LATE_DAYS + 1)).cast("int")
+    day = F.date_add(F.to_date("order_create_time"), late)
+    cuts = [F.lit(d).cast("date") for d in ("1994-01-01", "1995-07-01", "1997-01-01")]
+    parts = [day < cuts[0], *[(day >= a) & (day < b) for a, b in zip(cuts, cuts[1:])], day >= cuts[-1]]
+    return windows.latest_details(_fed(spark, lines, parts, "versions", lines.schema), VERSION, WAIT)
+
+
 @query
 def stream_province_window(spark, sf):
-    """Closed windows of order lines with a looked-up province name."""
-    path = work_dir(spark, "lines")
-    lines = _latest(spark, sf)
-    lines.write.parquet(path)
-    rows = spark.readStream.schema(lines.schema).parquet(path)
-    out = windows.provinces(rows, samples.dimensions(spark, sf)["base_province"])
+    """Closed windows from raw line versions: newest versions, windows and names in one query."""
+    out = windows.provinces(_version_feed(spark, sf), samples.dimensions(spark, sf)["base_province"])
     return _drained(spark, out, "provinces").drop("ts")
 
 
+@query
+def stream_order_window(spark, sf):
+    """Closed windows from raw line versions: newest versions, users' first lines of a day and ever,
+    and windows, three stateful steps in one query."""
+    return _drained(spark, windows.orders(_version_feed(spark, sf)), "orders").drop("ts")
+
+
+@query
+def stream_spu_order_window(spark, sf):
+    """Closed windows from raw line versions, by product and user."""
+    out = windows.spu_orders(_version_feed(spark, sf), samples.dimensions(spark, sf))
+    return _drained(spark, out, "spu_orders").drop("ts")
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Views per hour; a third micro-batch brings a tenth of the first one's rows again, all late."""
+    pages = samples.pages(spark, sf).select("event_id", "ts")
+    half = pages.agg(F.expr("(min(ts) + max(ts)) div 2").alias("half"))
+    cut = half.first()[0]
+    again = pages.filter((F.col("ts") < cut - DAY_MS) & (F.col("event_id") % 10 == 0)).withColumn("part", F.lit(2))
+    rows = pages.withColumn("part", (F.col("ts") >= cut).cast("int")).unionByName(again)
+    feed = _fed(spark, rows, [F.col("part") == k for k in range(3)], "late", rows.schema)
+    out = tumble(event_time(feed), [], [F.count("*").alias("pv_ct")], HOUR)
+    return _drained(spark, out, "late_rows").drop("ts")
+
+
 @query
 def stream_paid_orders(spark, sf):
     """Payments joined to order lines, both streams, at most 400 days apart."""
@@ -709,7 +814,4 @@ def stream_dimension_sync(spark, sf):
     run.drain(_topic(spark, changes.drop("pt"), "dim_topic"), f"{path}/checkpoint",
               dim.sync_batch(lambda: samples.routes(spark), path,
                              sinks.append_batch(f"{path}/bad")))
-    sku = sinks.dimension_table(spark, path, "dim_sku_info", "id,sku_name,tm_id")
-    place = sinks.dimension_table(spark, path, "dim_base_province", "id,name", "id")
-    return (sku.read().select("id", F.col("sku_name").alias("name"), F.lit("sku").alias("dim"))
-            .unionByName(place.read().withColumn("dim", F.lit("province"))))
+    return _dimensions(spark, path)

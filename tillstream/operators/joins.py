@@ -8,7 +8,7 @@ tasks and whose source often reports no size, are counted first and broadcast if
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -80,23 +80,42 @@ def hops_need_spu(hops: tuple[Hop, ...]) -> bool:
     return any(table == "spu_info" for table, _, _ in hops)
 
 
-def latest_routes(config: DataFrame, version: str | None = None) -> DataFrame:
-    """One config row per source table: the newest by `version`, or else, of several, the one whose
-    columns sort last, so that a repeated row never gives an event twice."""
-    columns = [c for c in config.columns if c != "source_table"]
-    by = F.struct(version, *columns) if version else F.struct(*columns)
-    return (config.groupBy("source_table")
-            .agg(F.max_by(F.struct(*columns), by).alias("c"))
-            .select("source_table", "c.*"))
+# Rows a control table may have: it is sent to every task.
+MAX_ROUTES = 10_000
 
 
-def route_rows(changes: DataFrame, config: DataFrame, version: str | None = None) -> DataFrame:
+def route_history(config: DataFrame, version: str | None = None) -> DataFrame:
+    """(source_table, routes): the routes of each source table, the newest first.
+
+    Without a version column a table may have one route only, be it in several equal rows: which of
+    different ones is the newer can't be told, so they end the query with an error.
+    """
+    columns = ["sink_table", "sink_columns", "sink_pk"]
+    if version:
+        route = F.struct(F.col(version).try_cast("long").alias("since"), *columns)
+        return config.groupBy("source_table").agg(F.sort_array(F.collect_set(route), asc=False).alias("routes"))
+    found = F.collect_set(F.struct(F.lit(None).cast("long").alias("since"), *columns))
+    unclear = F.raise_error(F.concat(F.lit("several routes and no version of table "), F.col("source_table")))
+    return (config.groupBy("source_table").agg(found.alias("routes"))
+            .withColumn("routes", F.when(F.size("routes") > 1, unclear).otherwise(F.col("routes"))))
+
+
+def route_rows(changes: DataFrame, config: DataFrame, version: str | None = None, time: str = "ts") -> DataFrame:
     """Give each change event its sink table; events of unlisted tables are dropped.
 
-    Each source table has one route, see latest_routes().
+    With a version column, the time from which a route holds, an event takes the newest route that
+    isn't later than its own `time`, and is dropped if there is none. The config, of at most
+    MAX_ROUTES rows, goes to every task; the events stay where they are.
     """
-    side = latest_routes(config, version).select("source_table", "sink_table", "sink_columns", "sink_pk")
-    return changes.join(side, changes["table"] == side["source_table"]).drop("source_table")
+    if config.limit(MAX_ROUTES + 1).count() > MAX_ROUTES:
+        raise ValueError(f"a control table has at most {MAX_ROUTES} rows")
+    side = F.broadcast(route_history(config, version))
+    joined = changes.join(side, changes["table"] == side["source_table"])
+    at = F.col(time).try_cast("long")
+    held = F.filter("routes", lambda r: r["since"] <= at) if version else F.col("routes")
+    return (joined.withColumn("_route", F.try_element_at(held, F.lit(1))).where("_route is not null")
+            .select(*[changes[c] for c in changes.columns],
+                    *[F.col("_route")[c].alias(c) for c in ("sink_table", "sink_columns", "sink_pk")]))
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: str, how: str, spread_by: list[str],
@@ -109,8 +128,3 @@ def spread_join(left: DataFrame, right: DataFrame, on: str, how: str, spread_by:
     return (salted.join(repeated, (salted[on] == repeated["_on"])
                         & (salted["_part"] == repeated["_part"]), how)
             .drop("_on", "_part"))
-
-
-def within(earlier: Column, later: Column, span: str) -> Column:
-    """`later` follows `earlier` by at most `span`."""
-    return (later >= earlier) & (later <= earlier + F.expr(f"interval {span}"))

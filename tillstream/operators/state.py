@@ -31,10 +31,14 @@ def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return _one_per(df, [key], [F.asc(c) for c in order])
 
 
-def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The newest version of each key. `order` ends with a column that leaves no ties."""
+def latest_per_key(df: DataFrame, key: str, order: list[str], event_time: str | None = None) -> DataFrame:
+    """The newest version of each key. `order` ends with a column that leaves no ties.
+
+    On a stream, `event_time` names the watermarked column that all versions of a key share: the
+    newest version is then chosen when the watermark passes it, and can go on into a window.
+    """
     if df.isStreaming:
-        return streams.latest_per_key(df, key, order)
+        return streams.latest_per_key(df, key, order, event_time=event_time or False)
     return _one_per(df, [key], [F.desc(c) for c in order])
 
 

@@ -10,6 +10,8 @@ from tillstream.functions.scalars import DATE_TIME, TOTAL, emission_ms, text_tim
 WINDOW = "10 seconds"
 DELAY = "2 seconds"
 UNION_DELAY = "13 seconds"
+# late rows, and two seconds more for the newest version of a row
+VERSION_DELAY = "4 seconds"
 
 
 def event_time(df: DataFrame, ms: str | Column = "ts", delay: str | None = DELAY,

@@ -233,6 +233,10 @@ PROVINCES = f"""provinces AS (SELECT {_bounds('ms', TEN_S)}, province_id, n_name
   FROM latest JOIN nation ON province_id = CAST(n_nationkey AS VARCHAR)
   GROUP BY ALL)"""
 
+# newest lines at their orders' times, as a stream has them
+OPEN = "open AS (SELECT ms AS ts, * EXCLUDE (ts) FROM latest)"
+THIRTY_DAYS = 30 * 86_400_000
+
 # -- words -----------------------------------------------------------------------
 
 # fixed patterns, as the word rule states them
@@ -300,12 +304,23 @@ def _stream_sql() -> dict[str, str]:
             CAST(sum(sv_ct) AS BIGINT) AS sv_ct, CAST(sum(pv_ct) AS BIGINT) AS pv_ct,
             CAST(sum(dur_sum) AS BIGINT) AS dur_sum, CAST(sum(uj_ct) AS BIGINT) AS uj_ct
             FROM rows WHERE {_closed(HOUR, 13000, 'rows')} GROUP BY ALL""",
-        "stream_province_window": f"""WITH {LATEST}, open AS (SELECT ms AS ts, * EXCLUDE (ts)
-              FROM latest)
+        "stream_province_window": f"""WITH {LATEST}, {OPEN}
             SELECT {_bounds('ts', TEN_S)}, province_id, n_name AS province_name,
               count(*) AS order_count, {_sum('amount')} AS order_amount
             FROM open JOIN nation ON province_id = CAST(n_nationkey AS VARCHAR)
-            WHERE {_closed(TEN_S, 2000, 'open')} GROUP BY ALL""",
+            WHERE {_closed(TEN_S, THIRTY_DAYS, 'open')} GROUP BY ALL""",
+        "stream_spu_order_window": f"""WITH {LATEST}, {OPEN}, {SKU}
+            SELECT {_bounds('ts', TEN_S)}, {CHAIN}, user_id, spu_id, spu_name, count(*) AS order_count,
+              {_sum('amount')} AS order_amount
+            FROM open LEFT JOIN sku ON open.sku_id = sku.sku_id
+            WHERE {_closed(TEN_S, THIRTY_DAYS, 'open')} GROUP BY ALL""",
+        "stream_order_window": f"""WITH {LATEST}, {USERS}, open AS (SELECT ms AS ts, * EXCLUDE (ts) FROM flagged)
+            SELECT {_bounds('ts', TEN_S)}, CAST(sum(is_unique) AS BIGINT) AS order_unique_user_count,
+              CAST(sum(is_new) AS BIGINT) AS order_new_user_count, {_sum('activity')} AS order_activity_reduce_amount,
+              {_sum('coupon')} AS order_coupon_reduce_amount, {_sum('amount')} AS order_original_total_amount
+            FROM open WHERE {_closed(TEN_S, THIRTY_DAYS, 'open')} GROUP BY ALL""",
+        "stream_late_rows": f"""WITH {PAGES} SELECT {_bounds('ts', HOUR)}, count(*) AS pv_ct
+            FROM page_log WHERE {_closed(HOUR, 2000, 'page_log')} GROUP BY ALL""",
     }
 
 
@@ -501,6 +516,21 @@ def _table_sql() -> dict[str, str]:
             SELECT {_text('o_orderkey')} AS id, {_text('o_custkey')} AS user_id,
               strftime(o_orderdate + to_hours(h), '%Y-%m-%d') AS date_id,
               {_text('CAST(epoch(o_orderdate) AS BIGINT) + h * 3600')} AS ts FROM t""",
+        "dimension_partial_rows": """SELECT CAST(p_partkey AS VARCHAR) AS id,
+            CASE WHEN p_size > 25 THEN upper(p_name) ELSE p_name END AS sku_name, p_brand AS tm_id FROM part""",
+        "routed_versions": """
+            SELECT 'sku_info' AS "table", 'bootstrap-insert' AS type, 'dim_sku_first' AS sink_table, '100' AS ts,
+              CAST(p_partkey AS VARCHAR) AS id, 'id,sku_name' AS keys FROM part
+            UNION ALL SELECT 'sku_info', 'update', 'dim_sku_info', '200', CAST(p_partkey AS VARCHAR), 'id,sku_name,tm_id'
+            FROM part WHERE p_size > 25
+            UNION ALL SELECT 'base_province', 'insert', 'dim_base_province', '100', CAST(n_nationkey AS VARCHAR), 'id,name'
+            FROM nation""",
+        "upserted_deletes": f"""SELECT {_text('o_orderkey')} AS id, {_text('o_custkey')} AS user_id,
+              CASE WHEN o_orderpriority <> '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d') END AS date_id
+            FROM orders WHERE o_orderpriority <> '1-URGENT' OR o_custkey % 2 = 0""",
+        "upserted_by_two_streams": f"""SELECT {_text('o_orderkey')} AS id, {_text('o_custkey')} AS user_id,
+              strftime(o_orderdate + to_hours(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 2 ELSE 0 END),
+                       '%Y-%m-%d') AS date_id FROM orders""",
         "topic_round_trip": f"""WITH {K} SELECT {_text('event_id')} AS id, {_text('user_id')} AS user_id,
             {_text('k')} AS sku_id, {_time('ts')} AS create_time,
             CASE WHEN event_type = 'view' THEN '1' ELSE '0' END AS is_cancel,

@@ -11,7 +11,7 @@ from tillstream.functions.scalars import money
 from tillstream.functions.tokens import explode_words
 from tillstream.operators import filters, state
 from tillstream.operators.joins import FIVE_HOPS, enrich, enrich_sku
-from tillstream.operators.windows import (DELAY, UNION_DELAY, WINDOW, event_time, event_time_of,
+from tillstream.operators.windows import (DELAY, UNION_DELAY, VERSION_DELAY, WINDOW, event_time, event_time_of,
                                           total, total_money, traffic_rows, tumble)
 from tillstream.schemas import WINDOW_COLUMNS
 
@@ -69,9 +69,24 @@ def cart_users(carts: DataFrame, size: str = WINDOW, delay: str = DELAY) -> Data
     return out.select(*WINDOW_COLUMNS["cart"])
 
 
-def latest_details(details: DataFrame, order: tuple[str, ...] = ("ts",)) -> DataFrame:
-    """The newest version of each placed order line."""
-    return state.latest_per_key(filters.placed(details), "order_detail_id", list(order))
+def latest_details(details: DataFrame, order: tuple[str, ...] = ("ts",), delay: str = VERSION_DELAY) -> DataFrame:
+    """The newest version of each placed order line; on a stream, with its event time `rt`.
+
+    A line's time is its order's, which no version changes, so a line is final once the watermark
+    passes that: `delay` covers both late rows and the wait for newer versions.
+    """
+    placed = filters.placed(details)
+    if details.isStreaming:
+        placed = event_time_of(placed, "order_create_time", delay=delay)
+        return state.latest_per_key(placed, "order_detail_id", list(order), event_time="rt")
+    return state.latest_per_key(placed, "order_detail_id", list(order))
+
+
+def _order_time(details: DataFrame, delay: str) -> DataFrame:
+    """Event time of order lines; lines that come from `latest_details` of a stream have it."""
+    if details.isStreaming and "rt" in details.columns:
+        return details
+    return event_time_of(details, "order_create_time", delay=delay)
 
 
 def orders(details: DataFrame, size: str = WINDOW, delay: str = DELAY,
@@ -84,7 +99,7 @@ def orders(details: DataFrame, size: str = WINDOW, delay: str = DELAY,
     amounts = (("activity_reduce_amount", "coupon_reduce_amount", "original_total_amount")
                if compat else
                ("split_activity_amount", "split_coupon_amount", "split_original_amount"))
-    timed = event_time_of(details, "order_create_time", delay=delay)
+    timed = _order_time(details, delay)
     timed = timed.select("order_detail_id", "user_id", "rt", *amounts)
     if details.isStreaming:
         flagged = state.unique_and_new(
@@ -130,7 +145,7 @@ def payments(paid: DataFrame, size: str = WINDOW, delay: str = DELAY) -> DataFra
 def provinces(details: DataFrame, province: DataFrame, size: str = WINDOW,
               delay: str = DELAY) -> DataFrame:
     """Order lines and amount by province; names are looked up for the few summed rows."""
-    timed = event_time_of(details, "order_create_time", delay=delay)
+    timed = _order_time(details, delay)
     out = tumble(timed, ["province_id"], [F.count("*").alias("order_count"),
                                           total_money("split_total_amount", "order_amount")], size)
     return enrich(out, province, "province_id", {"province_name": "name"}) \
@@ -140,7 +155,7 @@ def provinces(details: DataFrame, province: DataFrame, size: str = WINDOW,
 def spu_orders(details: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW,
                delay: str = DELAY) -> DataFrame:
     """Order lines and amount by trademark, category, user and product."""
-    timed = event_time_of(details, "order_create_time", delay=delay)
+    timed = _order_time(details, delay)
     wide = enrich_sku(timed.select("sku_id", "user_id", "split_total_amount", "rt"), dims)
     keys = WINDOW_COLUMNS["spu_order"][2:-3]
     out = tumble(wide, keys, [F.count("*").alias("order_count"),

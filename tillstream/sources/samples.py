@@ -406,6 +406,15 @@ def routes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, ROUTE_CONFIG)
 
 
+def route_versions(spark: SparkSession) -> DataFrame:
+    """Routes with the second from which they hold: parts move to another table, and a late one."""
+    rows = [("sku_info", "dim_sku_first", "id,sku_name", None, None, 50),
+            ("sku_info", "dim_sku_info", "id,sku_name,tm_id", None, None, 150),
+            ("base_province", "dim_base_province", "id,name", "id", None, 100),
+            ("not_listed", "dim_too_late", "id", "id", None, 101)]
+    return spark.createDataFrame(rows, T.StructType(ROUTE_CONFIG.fields + [T.StructField("version", T.LongType())]))
+
+
 # -- order lines with versions -------------------------------------------------
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.operators.filters import keep_columns, loaded
-from tillstream.operators.joins import latest_routes, route_rows
-from tillstream.schemas import strings
-from tillstream.sources.keyed import DELETED, KeyedTable
+from tillstream.operators.joins import route_rows
+from tillstream.sources.keyed import DELETED, DimensionTable, KeyedTable, batch_folder, run_of, write_dimensions
 
 BatchWriter = Callable[[DataFrame, int], None]
 Lookup = TypeVar("Lookup")
@@ -50,10 +49,11 @@ def topic_stream(df: DataFrame, checkpoint: str, format: str = "kafka", **option
 
 
 def append_batch(path: str, format: str = "text") -> BatchWriter:
-    """Each micro-batch to its own folder, so a repeated batch replaces itself."""
+    """Each micro-batch to a folder of its run and number: a repeated batch replaces itself, and
+    the batches of a new checkpoint are added."""
     def write(df: DataFrame, batch_id: int) -> None:
         out = as_text(df) if format == "text" else df
-        out.write.mode("overwrite").format(format).save(f"{path}/batch={batch_id}")
+        out.write.mode("overwrite").format(format).save(batch_folder(path, run_of(df), batch_id))
     return write
 
 
@@ -71,13 +71,10 @@ def multi_way(split: Callable[[DataFrame], dict[str, DataFrame]],
     return write
 
 
-def upsert_batch(table: KeyedTable, order: str | None = None,
-                 compact_every: int = 50) -> BatchWriter:
-    """Keep the latest row per key. The log is folded into the base every few batches."""
+def upsert_batch(table: KeyedTable, order: str | None = None) -> BatchWriter:
+    """Add each micro-batch to an upserted table."""
     def write(df: DataFrame, batch_id: int) -> None:
         table.upsert(df, batch_id, order)
-        if compact_every and batch_id % compact_every == compact_every - 1:
-            table.compact()
     return write
 
 
@@ -93,53 +90,30 @@ def window_batch(columns: list[str], format: str = "jdbc", mode: str = "append",
             rows.write.format(format).options(**options).mode(mode).save()
         else:
             rows.write.format(format).mode("overwrite").save(
-                f"{options['path']}/batch={batch_id}")
+                batch_folder(options["path"], run_of(df), batch_id))
     return write
 
 
 # -- dimensions built from config --------------------------------------------
 
 def dimension_table(spark: SparkSession, root: str, sink_table: str, sink_columns: str,
-                    sink_pk: str | None = None) -> KeyedTable:
-    """The keyed all-text table a config row asks for. The key defaults to `id`."""
+                    sink_pk: str | None = None) -> DimensionTable:
+    """The all-text table a config row asks for. The key defaults to `id`."""
     names = [c.strip() for c in sink_columns.split(",")]
-    return KeyedTable(spark, f"{root}/{sink_table}", sink_pk or "id", strings(*names))
+    return DimensionTable(spark, root, sink_table, sink_pk or "id", names)
 
 
-def routed(changes: DataFrame, config: DataFrame) -> DataFrame:
+def routed(changes: DataFrame, config: DataFrame, version: str | None = None) -> DataFrame:
     """Change events with their sink table, deletes and unlisted payload keys dropped."""
-    return keep_columns(route_rows(loaded(changes), config))
+    return keep_columns(route_rows(loaded(changes), config, version))
 
 
-def _sinks(routes: list) -> dict[str, tuple[str, str]]:
-    """Columns and key of each sink table; sources that share one have all their columns there."""
-    found: dict[str, tuple[dict, str]] = {}
-    for r in sorted(routes, key=lambda r: r.source_table):
-        columns, key = found.setdefault(r.sink_table, ({}, r.sink_pk))
-        columns.update(dict.fromkeys(c.strip() for c in r.sink_columns.split(",")))
-    return {name: (",".join(columns), key) for name, (columns, key) in found.items()}
+def dimension_batch(config: Callable[[], DataFrame], root: str, order: str = "ts",
+                    version: str | None = None) -> BatchWriter:
+    """Add each listed source table's changes to its dimension table, all in one write.
 
-
-def dimension_batch(config: Callable[[], DataFrame], root: str,
-                    order: str = "ts") -> BatchWriter:
-    """Upsert each listed source table's rows into its dimension table.
-
-    The config is read anew for every micro-batch; it is a control table of a few rows, one per
-    dimension, and the only thing brought to the driver.
+    The config is read anew for every micro-batch, and nothing of it comes to the driver.
     """
     def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        routes = config()
-        rows = routed(df, routes).persist()
-        try:
-            for name, (columns, key) in _sinks(latest_routes(routes).collect()).items():
-                table = dimension_table(spark, root, name, columns, key)
-                table.create()
-                own = rows.filter(F.col("sink_table") == name)
-                table.upsert(own.select(*[F.col("data")[c].alias(c)
-                                          for c in table.schema.fieldNames()],
-                                        F.col(order).try_cast("long").alias("_order")),
-                             batch_id, "_order")
-        finally:
-            rows.unpersist()
+        write_dimensions(routed(df, config(), version), root, batch_id, order)
     return write

@@ -83,45 +83,166 @@ class Returning(DaySet):
         super().__init__(order, columns)
         self.away_days = away_days
 
+    def _flags(self, day: int, days: list[int]) -> dict[str, int]:
+        before = max((d for d in days if d < day), default=None)
+        return {"back_ct": int(before is not None and day - before >= self.away_days), "uu_ct": 1}
+
     def handleInputRows(self, key, rows, timerValues):
         for row, days in self._new_days(rows, timerValues):
-            before = max((d for d in days if d < row["_day"]), default=None)
-            back = before is not None and row["_day"] - before >= self.away_days
-            yield self._emit(row, back_ct=int(back), uu_ct=1)
+            yield self._emit(row, **self._flags(row["_day"], days))
 
 
 class DailyFirsts(DaySet):
     """First row of each new day, with is_new on the key's first row ever."""
 
+    def _flags(self, day: int, days: list[int]) -> dict[str, int]:
+        return {"is_new": int(not days), "is_unique": 1}
+
     def handleInputRows(self, key, rows, timerValues):
         for row, days in self._new_days(rows, timerValues):
-            yield self._emit(row, is_new=int(not days), is_unique=1)
+            yield self._emit(row, **self._flags(row["_day"], days))
 
 
-class UniqueAndNew(DaySet):
+class UniqueAndNew(DailyFirsts):
     """Every row, with the day's first row flagged. Only the day heads are held back."""
 
     def handleInputRows(self, key, rows, timerValues):
         days = self._days()
         known, heads = set(days), {}
         for row in rows:
-            day = row["_day"]
-            head = heads.get(day)
-            if day in known:
-                yield self._emit(row, is_unique=0, is_new=0)
-            elif head is None:
-                heads[day] = row
-            elif _place(row, self.order) < _place(head, self.order):
-                heads[day] = row
-                yield self._emit(head, is_unique=0, is_new=0)
-            else:
-                yield self._emit(row, is_unique=0, is_new=0)
+            for other in self._to_front(row, known, heads):
+                yield self._emit(other, is_unique=0, is_new=0)
         for day in sorted(heads):
-            yield self._emit(heads[day], is_unique=1, is_new=int(not days))
+            yield self._emit(heads[day], **self._flags(day, days))
             days.append(day)
         if heads:
             self._keep(days, timerValues)
 
+    def _to_front(self, row: Row, known: set[int], heads: dict[int, Row]) -> Iterator[Row]:
+        """Puts a row among the day heads; the row that isn't one, or no longer."""
+        head = heads.get(row["_day"])
+        if row["_day"] in known:
+            yield row
+        elif head is None:
+            heads[row["_day"]] = row
+        elif _place(row, self.order) < _place(head, self.order):
+            heads[row["_day"]] = row
+            yield head
+        else:
+            yield row
+
+
+class _Held(_Rule):
+    """Rules that hold a row until the watermark passes its time, so that what they emit doesn't
+    depend on the order of arrival: no earlier row can come any more. order[0] is epoch ms.
+
+    A row is due one ms early: it is on its way before the operators behind call it late.
+    """
+
+    def __init__(self, order: list[str], columns: list[str], row_schema: str):
+        _Rule.__init__(self, order, columns)
+        self.row_schema = row_schema
+
+    def _stored(self, row: Row) -> tuple:
+        return tuple(row[c] for c in self.columns)
+
+    def _due(self, ms: int) -> None:
+        if ms - 1 not in set(self.handle.listTimers()):
+            self.handle.registerTimer(ms - 1)
+
+
+class _HeldHeads(_Held):
+    """The first row of each day, emitted when its time has passed."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("days", "days array<int>")
+        self.pending = handle.getMapState("heads", "day int", self.row_schema)
+
+    def _heads(self) -> dict[int, Row]:
+        return {k[0]: Row(**dict(zip(self.columns, v)), _day=k[0]) for k, v in self.pending.iterator()} \
+            if self.pending.exists() else {}
+
+    def _hold(self, rows: Iterator[Row]) -> Iterator[Row]:
+        """Keeps the heads of days still open; all other rows come back."""
+        known, heads = set(self._days()), self._heads()
+        before = dict(heads)
+        for row in rows:
+            yield from self._to_front(row, known, heads)
+        for day, row in heads.items():
+            if row is not before.get(day):
+                self.pending.updateValue((day,), self._stored(row))
+                self._due(row[self.order[0]])
+
+    def handleInputRows(self, key, rows, timerValues):
+        for _ in self._hold(rows):
+            pass
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        days, passed = self._days(), expiredTimerInfo.getExpiryTimeInMs() + 1
+        heads = self._heads()
+        due = sorted(d for d, row in heads.items() if row[self.order[0]] <= passed)
+        for day in due:
+            yield self._emit(heads[day], **self._flags(day, days))
+            self.pending.removeKey((day,))
+            days.append(day)
+        if due:
+            self._keep(days, timerValues)
+
+
+class HeldReturning(_HeldHeads, Returning):
+    _to_front = UniqueAndNew._to_front
+
+    def __init__(self, order: list[str], columns: list[str], row_schema: str, away_days: int):
+        _HeldHeads.__init__(self, order, columns, row_schema)
+        self.away_days = away_days
+
+
+class HeldDailyFirsts(_HeldHeads, DailyFirsts):
+    _to_front = UniqueAndNew._to_front
+
+
+class HeldUniqueAndNew(_HeldHeads, UniqueAndNew):
+    """Rows that aren't a day's first go out at once, and so does a head that loses its place."""
+
+    def handleInputRows(self, key, rows, timerValues):
+        for row in self._hold(rows):
+            yield self._emit(row, is_unique=0, is_new=0)
+
+
+class HeldLatest(_Held):
+    """The newest version of a key, emitted when the key's time has passed; then it is forgotten,
+    as later versions of it are late."""
+
+    def __init__(self, order: list[str], columns: list[str], row_schema: str, ms: str):
+        super().__init__(order, columns, row_schema)
+        self.ms = ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState("best", self.row_schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = self.best.get()
+        best = Row(**dict(zip(self.columns, held))) if held else None
+        first = held is None
+        for row in rows:
+            if best is None or _place(row, self.order) >= _place(best, self.order):
+                best = row
+            if first:
+                self._due(row[self.ms])
+                first = False
+        if best is not None:
+            self.best.update(self._stored(best))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        held = self.best.get()
+        if held:
+            self.best.clear()
+            yield Row(**{c: v for c, v in zip(self.columns, held) if c != self.ms})
+
 
 class NewFlagRepair(_Rule):
     """Clear the new-visitor flag on every day but the first."""

@@ -1,7 +1,9 @@
 """Streaming forms of the per-key rules; same names and results as the table forms.
 
 Each rule is one shuffle by key. Chained into a window, pass `event_time` (the watermarked
-column) so that the window downstream still knows its event time.
+column) so that the window downstream still knows its event time. The rules whose flags or choice
+depend on earlier rows then hold a row until the watermark passes its time: what they emit is the
+same in whatever order rows arrive within the watermark's delay.
 """
 
 from __future__ import annotations
@@ -29,6 +31,10 @@ def _plus(schema: T.StructType, *names: str) -> T.StructType:
                         + [T.StructField(n, T.LongType()) for n in names])
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def first_per_day(df: DataFrame, keys: list[str], order: list[str], day: Column,
                   event_time: str | None = None) -> DataFrame:
     return _run(df.withColumn("_day", _days(day)), keys,
@@ -43,33 +49,40 @@ def repair_new_flag(df: DataFrame, ms: str, day: Column, key: str, flag: str,
 
 def daily_and_returning(df: DataFrame, order: list[str], day: Column, key: str, away_days: int,
                         event_time: str | None = None) -> DataFrame:
-    return _run(df.withColumn("_day", _days(day)), [key],
-                p.Returning(order, df.columns, away_days),
-                _plus(df.schema, "back_ct", "uu_ct"), event_time)
+    rule = p.HeldReturning(order, df.columns, _ddl(df), away_days) if event_time \
+        else p.Returning(order, df.columns, away_days)
+    return _run(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "back_ct", "uu_ct"),
+                event_time)
 
 
 def daily_firsts(df: DataFrame, order: list[str], day: Column, key: str,
                  event_time: str | None = None) -> DataFrame:
-    return _run(df.withColumn("_day", _days(day)), [key], p.DailyFirsts(order, df.columns),
-                _plus(df.schema, "is_new", "is_unique"), event_time)
+    rule = p.HeldDailyFirsts(order, df.columns, _ddl(df)) if event_time else p.DailyFirsts(order, df.columns)
+    return _run(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "is_new", "is_unique"),
+                event_time)
 
 
 def unique_and_new(df: DataFrame, order: list[str], day: Column, key: str,
                    event_time: str | None = None) -> DataFrame:
-    return _run(df.withColumn("_day", _days(day)), [key], p.UniqueAndNew(order, df.columns),
-                _plus(df.schema, "is_unique", "is_new"), event_time)
+    rule = p.HeldUniqueAndNew(order, df.columns, _ddl(df)) if event_time else p.UniqueAndNew(order, df.columns)
+    return _run(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "is_unique", "is_new"),
+                event_time)
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str], wait_ms: int = 2_000,
-                   event_time: bool = False) -> DataFrame:
+                   event_time: bool | str = False) -> DataFrame:
     """The newest version of a key within `wait_ms` of its first, emitted once and never again.
 
     By the clock the query never drains by itself, and its output goes to a window through a
-    topic, not in one query. With `event_time`, `order[0]` is the ms of a watermarked column and
-    the result depends on the data alone.
+    topic, not in one query. With `event_time` true, `order[0]` is the ms of a watermarked column
+    and the result depends on the data alone. With the name of the watermarked column, which all
+    versions of a key share, the wait is the watermark's delay, and a window may follow in the
+    same query.
     """
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    processor = p.LatestVersion(order, df.columns, ddl, wait_ms, event_time)
+    if isinstance(event_time, str):
+        timed = df.withColumn("_ms", F.unix_millis(event_time))
+        return _run(timed, [key], p.HeldLatest(order, timed.columns, _ddl(timed), "_ms"), _plus(df.schema), event_time)
+    processor = p.LatestVersion(order, df.columns, _ddl(df), wait_ms, event_time)
     return _run(df, [key], processor, _plus(df.schema), None,
                 "EventTime" if event_time else "ProcessingTime")
 
@@ -81,6 +94,5 @@ def first_per_key(df: DataFrame, key: str) -> DataFrame:
 
 def bounces(df: DataFrame, order: list[str], key: str, entry: Column, gap_ms: int) -> DataFrame:
     """Needs a watermarked column; a row is decided once the watermark is past its gap."""
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return _run(df.withColumn("_entry", entry), [key],
-                p.Bounce(order, df.columns, ddl, gap_ms), _plus(df.schema), None, "EventTime")
+                p.Bounce(order, df.columns, _ddl(df), gap_ms), _plus(df.schema), None, "EventTime")
