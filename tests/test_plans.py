@@ -21,7 +21,7 @@ def lines(df, pattern):
 
 BATCH = [name for name in driver.queries() if not name.startswith("stream_")
          and name not in ("dimension_sync", "dimension_partial_rows", "upserted_coupons",
-                          "upserted_deletes", "upserted_by_two_streams", "topic_round_trip",
+                          "upserted_deletes", "upserted_by_two_streams", "daily_gmv_stored", "topic_round_trip",
                           "window_table_sink")]
 
 
@@ -91,27 +91,61 @@ def _sizes(df):
     return [n for _, n in df.groupBy(F.spark_partition_id()).count().collect()]
 
 
-def test_hot_key_is_spread_over_tasks(spark):
-    """A third of all rows on one key: no task of the repair join gets close to all of them."""
-    rows = 60_000
-    df = spark.range(rows).select(
-        F.col("id").alias("ts"),
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000))
-        .alias("mid"), F.lit("1").alias("is_new"))
-    right = spark.createDataFrame([("hot", 1)], "mid string, x int")
+def _hot(spark, rows, spread_ms):
+    """A third of all rows of one device, all within `spread_ms`; the others over 2,000 devices."""
+    mid = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 2000))
+    return spark.range(0, rows, 1, 8).select(
+        F.col("id").alias("event_id"), mid.alias("mid"), F.pmod(F.xxhash64("id"), F.lit(spread_ms)).alias("ts"),
+        F.when(F.col("id") % 4 == 0, "p").alias("last_page_id"), F.lit("1").alias("is_new"))
+
+
+def _plain_settings(spark, on):
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
                 "spark.sql.shuffle.partitions": "16"}
     for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        spread = max(_sizes(joins.spread_join(df, right, "mid", "left", ["ts"], parts=16)))
-        plain = max(_sizes(df.join(right, "mid", "left")))
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
+        spark.conf.set(key, value) if on else spark.conf.unset(key)
+    if not on:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert plain >= rows / 3 and spread < plain / 2
+
+
+def test_a_heavy_key_is_cut_in_parts_and_others_are_not_copied(spark):
+    """A third of all rows on one key: it is dealt over as many parts as it needs, no other key is."""
+    rows = 60_000
+    df = _hot(spark, rows, 10 ** 9)
+    right = df.groupBy("mid").agg(F.count("*").alias("n"), F.lit(1).alias("x"))
+    _plain_settings(spark, True)
+    try:
+        joined = joins.spread_join(df, right, "mid", "left", ["ts"], "n", part_rows=250)
+        sizes = _sizes(joined)
+        assert sum(sizes) == rows and max(sizes) < 2 * rows / 16
+        assert max(_sizes(df.join(right, "mid"))) >= rows / 3
+        assert joined.filter("x is null").count() == 0 and "n" not in joined.columns
+        heavy = joins.heavy_keys(right, ["mid"], "n", 250)
+        assert [tuple(r) for r in heavy.collect()] == [("hot", 80)]
+    finally:
+        _plain_settings(spark, False)
+
+
+def test_a_heavy_hour_of_a_device_is_cut_and_bounces_stay_exact(spark):
+    """One device with a third of all rows in one hour: no task of the look-ahead window gets more
+    than twice the median, and the bounces are those of uncut slices."""
+    df = _hot(spark, 48_000, 3_600_000)
+    whole = state.bounces(df, ["ts", "event_id"], gap_ms=50)
+    _plain_settings(spark, True)
+    try:
+        cut = state.bounces(df, ["ts", "event_id"], gap_ms=50, part_rows=200)
+        assert sorted(r[0] for r in cut.select("event_id").collect()) == sorted(r[0] for r in whole.select("event_id").collect())
+        widest = state.bounces(df, ["ts", "event_id"], gap_ms=1, entry=F.lit(True), part_rows=200)
+        sizes = sorted(_sizes(widest))
+        assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+    finally:
+        _plain_settings(spark, False)
+
+
+def test_shipped_settings_of_the_flag_repair_copy_no_ordinary_key(spark):
+    text = plan(driver.queries()["new_flag_repair"](spark, SF))
+    assert "TakeOrderedAndProject(limit=10000" in text and "coalesce(_parts#" in text
 
 
 def test_skewed_fact_join_is_split(spark):
@@ -141,10 +175,11 @@ def test_skewed_fact_join_is_split(spark):
 
 
 def test_bounce_slices_split_a_hot_device(spark):
-    """The look-ahead window is keyed by device and time slice, never by device alone."""
+    """The look-ahead window is keyed by device, time slice and part, never by device alone."""
     df = spark.createDataFrame([(1, "m", None, 5)], "id int, mid string, last_page_id string, ts int")
-    exchange, = lines(state.bounces(df, ["ts", "id"]), "Exchange hashpartitioning")
-    assert "mid#" in exchange and "_slice#" in exchange
+    exchanges = lines(state.bounces(df, ["ts", "id"]), "Exchange hashpartitioning")
+    assert any("mid#" in e and "_slice#" in e and "_part#" in e for e in exchanges)
+    assert all("_slice#" in e or "_heavy" in e or "_whole" in e or "FLOOR" in e or "_groupingexpression" in e for e in exchanges)
 
 
 def test_order_window_sums_before_it_compares_users(spark):
@@ -156,6 +191,26 @@ def test_order_window_sums_before_it_compares_users(spark):
     assert "partial_sum" in text[window:]
 
 
+@pytest.mark.parametrize("name", ["spu_order_window", "refund_window"])
+def test_only_sums_meet_the_dimensions(spark, name):
+    """Between the scan of the lines and the join of the sku dimensions lies a whole sum."""
+    text = plan(driver.queries()[name](spark, SF))
+    join = text.index("sku_id#", text.index("Join"))
+    below = text[join:text.index("FileScan parquet [l_")]
+    assert "partial_count" in below and below.index("HashAggregate") < below.index("partial_count")
+
+
+def test_a_report_opens_one_day_of_files(spark, folder):
+    from tillstream.sources import sinks
+    rows = spark.range(100).selectExpr("concat('2024-01-', lpad(id % 20 + 1, 2, '0'), ' 00:00:00') as stt",
+                                       "cast(id as double) as order_amount")
+    sinks.window_batch(["stt", "order_amount"], "parquet", path=folder)(rows, 0)
+    df = report.gmv(spark.read.parquet(folder), 20240103)
+    scan, = lines(df, "FileScan")
+    assert "PartitionFilters: [isnotnull(_day#" in scan and "2024-01-03" in scan
+    assert df.first()[0] == 2 + 22 + 42 + 62 + 82
+
+
 def test_changes_of_a_keyed_table_are_folded_before_they_are_shuffled(spark, folder):
     from tillstream.schemas import strings
     from tillstream.sources.keyed import KeyedTable

@@ -499,11 +499,24 @@ def refund_window(spark, sf):
 
 @query
 def daily_gmv(spark, sf):
-    provinces = windows.provinces(_latest(spark, sf),
+    """A day's sales; only that day's lines are compared and summed."""
+    lines = report.of_day(samples.order_lines(spark, sf), "order_create_time", 19980704)
+    provinces = windows.provinces(windows.latest_details(lines, VERSION),
                                   samples.dimensions(spark, sf)["base_province"])
     return report.gmv(provinces, 19980704)
 
 
+@query
+def daily_gmv_stored(spark, sf):
+    """A day's sales from the stored window table of a month, whose files lie in folders by day."""
+    path = work_dir(spark, "province_window")
+    lines = _latest(spark, sf).filter("order_create_time like '1998-07-%'")
+    provinces = windows.provinces(lines, samples.dimensions(spark, sf)["base_province"])
+    columns = [c for c in WINDOW_COLUMNS["province"] if c != "ts"]
+    sinks.window_batch(columns, "parquet", path=path)(provinces.repartition(F.substring("stt", 1, 10)), 0)
+    return report.gmv(spark.read.parquet(path), 19980704)
+
+
 # -- sinks ---------------------------------------------------------------------
 
 def _dimensions(spark, root) -> DataFrame:
@@ -703,6 +716,26 @@ def stream_log_pages(spark, sf):
         "common.*", "page.*", F.col("err")["error_code"].alias("error_code"), "ts")
 
 
+@query
+def stream_log_job(spark, sf):
+    """Raw texts to five outputs and the quarantine, all in one query: rows of each, and of the
+    quarantine by the field that is wrong. Texts of k = 4 have a word for a time."""
+    raw = samples.raw_log(spark, sf)
+    bad_time = F.get_json_object("value", "$.page.during_time") == "4"
+    text = raw.withColumn("value", F.when(bad_time, F.regexp_replace("value", '"ts":[0-9]+', '"ts":"soon"'))
+                          .otherwise(F.col("value")))
+    path = work_dir(spark, "log_job")
+    writers = {name: sinks.append_batch(f"{path}/{name}", "parquet") for name in (*logs.OUTPUTS, "bad")}
+    run.drain(logs.repaired_log(_topic(spark, text, "job_log")), f"{path}/checkpoint",
+              sinks.multi_way(logs.split_outputs, writers))
+    whole = [spark.read.parquet(f"{path}/{name}").select(F.lit(name).alias("output"), F.lit(None).cast("string").alias("field"))
+             for name in logs.OUTPUTS]
+    wrong = spark.read.parquet(f"{path}/bad").select(F.lit("bad").alias("output"), F.explode("faults.field").alias("field"))
+    for part in whole:
+        wrong = wrong.unionByName(part)
+    return wrong.groupBy("output", "field").agg(F.count("*").alias("n"))
+
+
 @query
 def stream_keyword_window(spark, sf):
     """Closed windows of searched words."""

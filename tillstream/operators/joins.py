@@ -118,13 +118,36 @@ def route_rows(changes: DataFrame, config: DataFrame, version: str | None = None
                     *[F.col("_route")[c].alias(c) for c in ("sink_table", "sink_columns", "sink_pk")]))
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: str, how: str, spread_by: list[str],
-                parts: int = 8) -> DataFrame:
+# Heavy keys that are ever told apart, so the most rows that go to every task. A key behind them
+# holds less than one part of this many of all rows.
+MAX_HEAVY = 10_000
+# Rows of a key that one task may get before the key is cut in parts.
+PART_ROWS = 1_000_000
+
+
+def heavy_keys(sizes: DataFrame, keys: list[str], rows: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """(keys, _parts) of the keys with more than `part_rows` rows: how many parts each is cut in.
+
+    `sizes` has the number of rows of each key. At most MAX_HEAVY come back, the largest ones.
+    """
+    return (sizes.filter(F.col(rows) > part_rows).orderBy(F.desc(rows), *keys).limit(MAX_HEAVY)
+            .select(*keys, F.ceil(F.col(rows) / part_rows).cast("int").alias("_parts")))
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: str, how: str, spread_by: list[str], rows: str,
+                part_rows: int = PART_ROWS) -> DataFrame:
     """Join a large left side, whose hottest key may hold a third of the rows, to one right row
-    per key: rows of a key spread over `parts` tasks, the right row is repeated for each."""
-    salted = left.withColumn("_part", F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int"))
-    repeated = right.withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumnRenamed(on, "_on")
+    per key. `rows` is the right column with the number of left rows of the key.
+
+    A heavy key's rows are dealt into as many parts as they need, and its right row is repeated for
+    each part; any other key's rows and its one right row stay as they are.
+    """
+    heavy = F.broadcast(heavy_keys(right, [on], rows, part_rows).withColumnRenamed(on, "_heavy"))
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int"), F.lit(0))
+    salted = left.join(heavy, F.col(on) == F.col("_heavy"), "left").withColumn("_part", salt).drop("_heavy", "_parts")
+    parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    repeated = (right.drop(rows).join(heavy, F.col(on) == F.col("_heavy"), "left")
+                .withColumn("_part", F.explode(parts)).drop("_heavy", "_parts").withColumnRenamed(on, "_on"))
     return (salted.join(repeated, (salted[on] == repeated["_on"])
                         & (salted["_part"] == repeated["_part"]), how)
-            .drop("_on", "_part"))
+            .drop(repeated["_part"]).drop("_on", "_part"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.operators.joins import spread_join
+from tillstream.operators.joins import PART_ROWS, heavy_keys, spread_join
 from tillstream.streaming import state as streams
 
 
@@ -53,7 +53,7 @@ def first_per_day(df: DataFrame, keys: list[str], order: list[str],
 
 
 def repair_new_flag(df: DataFrame, ms: str = "ts", key: str = "mid", flag: str = "is_new",
-                    parts: int = 8, event_time: str | None = None) -> DataFrame:
+                    part_rows: int = PART_ROWS, event_time: str | None = None) -> DataFrame:
     """Set the new-visitor flag to 0 on every day but the key's first day.
 
     A key first seen without the flag counts as first seen the day before. Of rows at the same
@@ -67,15 +67,16 @@ def repair_new_flag(df: DataFrame, ms: str = "ts", key: str = "mid", flag: str =
     stale = (df.groupBy(key)
              .agg(F.min(F.when(is_new, F.col(ms))).alias("new_ms"),
                   F.max(F.when(is_new, F.col(ms))).alias("last_ms"),
-                  F.min(F.when(~is_new, F.col(ms))).alias("old_ms"))
+                  F.min(F.when(~is_new, F.col(ms))).alias("old_ms"),
+                  F.count(F.lit(1)).alias("_rows"))
              .filter("new_ms is not null")
              .withColumn("_first", F.when(F.coalesce(F.col("old_ms") <= F.col("new_ms"),
                                                      F.lit(False)),
                                           F.date_sub(day_of("old_ms"), 1))
                          .otherwise(day_of("new_ms")))
              .filter(day_of("last_ms") != F.col("_first"))
-             .select(key, "_first"))
-    joined = spread_join(df, stale, key, "left", [ms], parts)
+             .select(key, "_first", "_rows"))
+    joined = spread_join(df, stale, key, "left", [ms], "_rows", part_rows)
     wrong = is_new & (day_of(ms) != F.col("_first"))
     return joined.withColumn(flag, F.when(wrong, "0").otherwise(F.col(flag))).drop("_first")
 
@@ -133,28 +134,46 @@ def unique_and_new(df: DataFrame, order: list[str], day: Column, row_id: str,
 
 
 def bounces(df: DataFrame, order: list[str], key: str = "mid", entry: Column | None = None,
-            gap_ms: int = 10_000, slice_ms: int = 3_600_000) -> DataFrame:
+            gap_ms: int = 10_000, slice_ms: int = 3_600_000, part_rows: int = PART_ROWS) -> DataFrame:
     """Entry views with no further page within the gap: the key's next view is an entry too, or
     comes after `gap_ms` or more, or never.
 
-    Keys are cut into time slices. A row close behind a slice's start is also shown to the slice
-    before, as a look-ahead row only, so every next view within the gap is seen.
+    Keys are cut into time slices, and a slice with more than `part_rows` rows into as many shorter
+    ones, down to the gap. A row close behind a slice's start is also shown to the slice before, as
+    a look-ahead row only, so every next view within the gap is seen.
     """
     ms = F.col(order[0])
     entry = F.col("last_page_id").isNull() if entry is None else entry
     if df.isStreaming:
         return streams.bounces(df, order, key, entry, gap_ms)
     slice_ms = max(slice_ms, gap_ms)
-    own = F.floor(ms / slice_ms)
-    early = ms - own * slice_ms < gap_ms
-    shown = (df.withColumn("_entry", entry)
-             .withColumn("_own", own)
-             .withColumn("_slice", F.explode(F.when(early, F.array(own - 1, own))
-                                             .otherwise(F.array(own)))))
-    ahead = Window.partitionBy(key, "_slice").orderBy(*order)
+    whole = F.floor(ms / slice_ms)
+    sizes = df.groupBy(F.col(key).alias("_key"), whole.alias("_heavy")).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = F.broadcast(heavy_keys(sizes, ["_key", "_heavy"], "_rows", part_rows).withColumn(
+        "_parts", F.least("_parts", F.lit(slice_ms // gap_ms))))
+
+    def parts_of(rows: DataFrame, shift: int, name: str) -> DataFrame:
+        """In how many parts the row's slice is cut, or the slice before it."""
+        side = heavy.withColumnsRenamed({"_key": "_k", "_heavy": "_h", "_parts": "_p"})
+        return (rows.join(side, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_whole") + shift == F.col("_h")), "left")
+                .withColumn(name, F.coalesce("_p", F.lit(1))).drop("_k", "_h", "_p"))
+
+    def place(slice_: Column, part: Column, own: bool) -> Column:
+        return F.struct(slice_.alias("_slice"), part.cast("long").alias("_part"), F.lit(own).alias("_own"))
+    cut = parts_of(parts_of(df.withColumn("_entry", entry).withColumn("_whole", whole), 0, "_parts"), -1, "_before")
+    # part i of n holds the times from i / n to (i + 1) / n of its slice, never less than the gap
+    inside = ms - F.col("_whole") * slice_ms
+    part = F.floor(inside * F.col("_parts") / slice_ms)
+    begin = F.ceil(part * slice_ms / F.col("_parts"))
+    before = F.when(part > 0, place(F.col("_whole"), part - 1, False)) \
+        .otherwise(place(F.col("_whole") - 1, F.col("_before") - 1, False))
+    here = place(F.col("_whole"), part, True)
+    shown = (cut.withColumn("_at", F.explode(F.when(inside - begin < gap_ms, F.array(before, here)).otherwise(F.array(here))))
+             .select("*", "_at.*").drop("_at", "_whole", "_parts", "_before"))
+    ahead = Window.partitionBy(key, "_slice", "_part").orderBy(*order)
     next_ms, next_entry = F.lead(order[0]).over(ahead), F.lead("_entry").over(ahead)
     return (shown.withColumn("_next_ms", next_ms).withColumn("_next_entry", next_entry)
-            .filter((F.col("_slice") == F.col("_own")) & F.col("_entry")
+            .filter(F.col("_own") & F.col("_entry")
                     & (F.col("_next_ms").isNull() | F.col("_next_entry")
                        | (F.col("_next_ms") - ms >= gap_ms)))
-            .drop("_entry", "_own", "_slice", "_next_ms", "_next_entry"))
+            .drop("_entry", "_own", "_slice", "_part", "_next_ms", "_next_entry"))

@@ -33,11 +33,12 @@ def tumble(df: DataFrame, keys: list[str], measures: list[Column], size: str = W
            time: str = "rt", bounds: tuple[str, str] = ("stt", "edt")) -> DataFrame:
     """Measures per window and keys, with the window bounds as text and the emission time.
 
-    Spark aggregates in each input task first, so neither a hot key nor a keyless window
+    `time` is a time, or the window of an earlier sum. Spark aggregates in each input task first, so neither a hot key nor a keyless window
     gathers raw rows in one task.
     """
     start, end = bounds
-    grouped = df.groupBy(F.window(time, size).alias("w"), *keys).agg(*measures)
+    window = F.col(time) if dict(df.dtypes)[time].startswith("struct") else F.window(time, size).alias("w")
+    grouped = df.groupBy(window, *keys).agg(*measures)
     names = [c for c in grouped.columns if c != "w"]
     return grouped.select(F.date_format("w.start", DATE_TIME).alias(start),
                           F.date_format("w.end", DATE_TIME).alias(end),
@@ -48,10 +49,14 @@ def total(column: str | Column, out: str) -> Column:
     return F.sum(column).cast("long").alias(out)
 
 
+def decimal_sum(column: str) -> Column:
+    amount = F.col(column).try_cast(TOTAL)
+    return F.sum(F.coalesce(amount, F.lit(0).cast(TOTAL)))
+
+
 def total_money(column: str, out: str) -> Column:
     """Sum of an amount: added as decimals, given as double, so order does not matter."""
-    amount = F.col(column).try_cast(TOTAL)
-    return F.sum(F.coalesce(amount, F.lit(0).cast(TOTAL))).cast("double").alias(out)
+    return decimal_sum(column).cast("double").alias(out)
 
 
 def traffic_rows(pages: DataFrame, unique: DataFrame, bounced: DataFrame) -> DataFrame:

@@ -267,7 +267,8 @@ def oracle_sql() -> dict[str, str]:
             "stream_daily_page_firsts": "daily_page_firsts",
             "stream_returning_users": "returning_users", "stream_log_pages": "log_pages",
             "stream_paid_orders": "paid_orders_in_span",
-            "stream_dimension_sync": "dimension_sync"}
+            "stream_dimension_sync": "dimension_sync",
+            "daily_gmv_stored": "daily_gmv"}
     return {**tables, **{stream: tables[name] for stream, name in same.items()}, **_stream_sql()}
 
 
@@ -350,6 +351,15 @@ def _table_sql() -> dict[str, str]:
         "log_unreadable": f"""WITH {K} SELECT CASE WHEN k = 1 THEN 'cut' ELSE 'incomplete' END AS kind,
             CASE WHEN k = 3 THEN CAST(user_id AS VARCHAR) END AS mid, count(*) AS n
             FROM ev WHERE k IN (1, 2, 3) GROUP BY ALL""",
+        "stream_log_job": f"""WITH {K}, t AS (SELECT *, CASE WHEN k = 1 THEN 'value' WHEN k = 2 THEN 'common.mid'
+              WHEN k = 3 THEN 'page' WHEN k = 4 AND event_type <> 'signup' THEN 'ts' END AS field FROM ev),
+            o AS (SELECT 'bad' AS output, field, CASE WHEN field IS NULL THEN 0 ELSE 1 END AS n FROM t
+              UNION ALL SELECT 'page', NULL, CASE WHEN field IS NULL AND event_type <> 'signup' THEN 1 ELSE 0 END FROM t
+              UNION ALL SELECT 'start', NULL, CASE WHEN field IS NULL AND event_type = 'signup' THEN 1 ELSE 0 END FROM t
+              UNION ALL SELECT 'error', NULL, CASE WHEN field IS NULL AND event_type = 'error' THEN 1 ELSE 0 END FROM t
+              UNION ALL SELECT 'display', NULL, CASE WHEN field IS NULL AND event_type <> 'signup' THEN k % 4 ELSE 0 END FROM t
+              UNION ALL SELECT 'action', NULL, CASE WHEN field IS NULL AND event_type <> 'signup' THEN k % 3 ELSE 0 END FROM t)
+            SELECT output, field, CAST(sum(n) AS BIGINT) AS n FROM o GROUP BY ALL HAVING sum(n) > 0""",
         "log_readable": f"""WITH {LOG} SELECT mid, uid, vc, ch, ar, flag AS is_new, page_id,
             last_page_id, CASE WHEN event_type <> 'signup' THEN CAST(k AS BIGINT) END AS during_time,
             CASE WHEN event_type = 'signup' THEN 'icon' END AS entry,

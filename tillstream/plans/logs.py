@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.parsing import split_log
+from tillstream.functions.parsing import marked_log, split_log
 from tillstream.operators import filters, state
 from tillstream.operators.windows import DELAY, event_time
 
@@ -32,6 +32,30 @@ def split_click_log(text: DataFrame) -> dict[str, DataFrame]:
     return {**filters.split_events(repaired_events(good)), "bad": bad}
 
 
+def repaired_log(text: DataFrame) -> DataFrame:
+    """Raw log texts parsed once, sound events with the new-visitor flag corrected, the others marked.
+
+    Texts without a device share out over many keys, on which the flag rule has nothing to repair.
+    For a stream that writes all outputs and the quarantine in one query, see split_outputs.
+    """
+    marked = marked_log(text)
+    sound = F.size("faults") == 0
+    spread = F.concat(F.lit("?"), F.pmod(F.xxhash64("value"), F.lit(1024)).cast("string"))
+    flat = marked.select("*", F.when(sound, F.col("common.mid")).otherwise(spread).alias("mid"),
+                         F.when(sound, F.col("common.is_new")).alias("is_new")) \
+        .withColumn("ts", F.when(sound, F.col("ts")).otherwise(F.lit(0)))
+    fixed = state.repair_new_flag(flat)
+    return (fixed.withColumn("common", F.when(sound, F.col("common").withField("is_new", F.col("is_new"))))
+            .drop("mid", "is_new"))
+
+
+def split_outputs(log: DataFrame) -> dict[str, DataFrame]:
+    """The five outputs of `repaired_log`, and `bad`: texts with the fields that are wrong."""
+    sound = F.size("faults") == 0
+    return {**filters.split_events(log.filter(sound).drop("value", "faults")),
+            "bad": log.filter(~sound).select("value", "faults")}
+
+
 def unique_visitors(pages: DataFrame, order: tuple[str, ...] = ("ts",)) -> DataFrame:
     """The first visit start of each device per day."""
     return state.first_per_day(filters.entry_pages(pages), ["mid"], list(order))

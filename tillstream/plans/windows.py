@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.scalars import money
 from tillstream.functions.tokens import explode_words
 from tillstream.operators import filters, state
-from tillstream.operators.joins import FIVE_HOPS, enrich, enrich_sku
-from tillstream.operators.windows import (DELAY, UNION_DELAY, VERSION_DELAY, WINDOW, event_time, event_time_of,
-                                          total, total_money, traffic_rows, tumble)
+from tillstream.operators.joins import FIVE_HOPS, SIX_HOPS, enrich, enrich_sku
+from tillstream.operators.windows import (DELAY, UNION_DELAY, VERSION_DELAY, WINDOW, decimal_sum, event_time,
+                                          event_time_of, total, total_money, traffic_rows, tumble)
 from tillstream.schemas import WINDOW_COLUMNS
 
 
@@ -152,15 +152,25 @@ def provinces(details: DataFrame, province: DataFrame, size: str = WINDOW,
         .select(*WINDOW_COLUMNS["province"])
 
 
+def _summed_then_named(timed: DataFrame, dims: dict[str, DataFrame], hops: tuple, table: str, size: str,
+                       measures: dict[str, Column]) -> DataFrame:
+    """Measures per window, sku and user, named by the sku's dimensions and summed again by the names.
+
+    Only sums meet the dimensions: a row for each window, sku and user, whatever the number of lines.
+    """
+    sums = timed.groupBy(F.window("rt", size).alias("w"), "sku_id", "user_id") \
+        .agg(*[measure.alias(name) for name, measure in measures.items()])
+    keys = WINDOW_COLUMNS[table][2:-1 - len(measures)]
+    return tumble(enrich_sku(sums, dims, hops), keys, [F.sum(name).alias(name) for name in measures], time="w")
+
+
 def spu_orders(details: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW,
                delay: str = DELAY) -> DataFrame:
     """Order lines and amount by trademark, category, user and product."""
-    timed = _order_time(details, delay)
-    wide = enrich_sku(timed.select("sku_id", "user_id", "split_total_amount", "rt"), dims)
-    keys = WINDOW_COLUMNS["spu_order"][2:-3]
-    out = tumble(wide, keys, [F.count("*").alias("order_count"),
-                              total_money("split_total_amount", "order_amount")], size)
-    return out.select(*WINDOW_COLUMNS["spu_order"])
+    timed = _order_time(details, delay).select("sku_id", "user_id", "split_total_amount", "rt")
+    out = _summed_then_named(timed, dims, SIX_HOPS, "spu_order", size,
+                             {"order_count": F.count("*"), "order_amount": decimal_sum("split_total_amount")})
+    return out.withColumn("order_amount", F.col("order_amount").cast("double")).select(*WINDOW_COLUMNS["spu_order"])
 
 
 def refunds(refunded: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW,
@@ -169,7 +179,5 @@ def refunds(refunded: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW,
     timed = event_time_of(refunded, "create_time", delay=delay)
     timed = timed.select("id", "sku_id", "user_id", "rt", F.unix_millis("rt").alias("ms"))
     once = state.first_per_key(timed, "id", ["ms", "sku_id", "user_id"])
-    wide = enrich_sku(once, dims, FIVE_HOPS)
-    keys = WINDOW_COLUMNS["refund"][2:-2]
-    out = tumble(wide, keys, [F.count("*").alias("refund_count")], size)
+    out = _summed_then_named(once, dims, FIVE_HOPS, "refund", size, {"refund_count": F.count("*")})
     return out.select(*WINDOW_COLUMNS["refund"])

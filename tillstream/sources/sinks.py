@@ -12,6 +12,8 @@ from tillstream.operators.filters import keep_columns, loaded
 from tillstream.operators.joins import route_rows
 from tillstream.sources.keyed import DELETED, DimensionTable, KeyedTable, batch_folder, run_of, write_dimensions
 
+# the folder column of window files
+DAY = "_day"
 BatchWriter = Callable[[DataFrame, int], None]
 Lookup = TypeVar("Lookup")
 
@@ -82,14 +84,16 @@ def window_batch(columns: list[str], format: str = "jdbc", mode: str = "append",
                  **options: str) -> BatchWriter:
     """Window rows to a table by column name; columns not listed stay out of the sink.
 
-    Only `jdbc` and other formats without folders are appended to; files get a folder per batch.
+    `jdbc` tables are appended to. Files get a folder per batch, and in it one for each day of the
+    windows' start, so that a report of a day opens that day's files.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         rows = df.select(*columns)
         if format == "jdbc":
             rows.write.format(format).options(**options).mode(mode).save()
         else:
-            rows.write.format(format).mode("overwrite").save(
+            dated = rows.withColumn(DAY, F.substring("stt", 1, 10)) if "stt" in columns else rows
+            dated.write.format(format).mode("overwrite").partitionBy(*[DAY] if "stt" in columns else []).save(
                 batch_folder(options["path"], run_of(df), batch_id))
     return write
 
