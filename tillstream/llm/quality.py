@@ -28,26 +28,31 @@ ROUNDS = 25
 # abstains and votes for a good and a bad one. A bad document has one defect or two, so most rules
 # still vote for it, and a vote against says much more than a vote for.
 PRIOR, SMOOTH = 0.85, 1.0
+# They count in every round like this part of the documents, so a fit is as firm on a small table as
+# on a large one.
+BELIEF = 0.1
 VOTES_IF_GOOD, VOTES_IF_BAD = (0.01, 0.04, 0.95), (0.30, 0.04, 0.66)
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals",
             "n_distinct", "n_lettered", "n_stops", "n_shouts"]
 
 
-# name: (measure, bad from, good up to). A vote against where the measure reaches the first, a vote
-# for where it doesn't exceed the second, none between.
+# name: (measure, bad from, good up to) of one or more parts. A vote against where a part reaches the
+# first, a vote for where none exceeds the second, none between. Measures of one defect are parts of
+# one rule: as rules of their own they would agree on nearly every document, and the estimation would
+# take their defect for the only one there is.
 RULES = {
-    "symbols": ("n_symbols / greatest(n_words, 1)", 0.1, 0.02),
-    "capitals": ("n_capitals / greatest(word_chars, 1)", 0.3, 0.1),
-    "repeated_windows": ("n_repeat_words / greatest(n_words, 1)", 0.3, 0.02),
-    "repeated_lines": ("n_dup_lines / greatest(n_lines, 1)", 0.5, 0.0),
-    # The logarithms' ratio hardly depends on the length of a text.
-    "few_distinct": ("1 - ln(1 + n_distinct) / ln(2 + n_words)", 0.25, 0.15),
-    "no_letters": ("1 - n_lettered / greatest(n_words, 1)", 0.3, 0.1),
-    "word_length": ("abs(word_chars / greatest(n_words, 1) - 5.5)", 4.5, 1.5),
-    "long_sentences": ("n_words / (n_stops + 1)", 80.0, 40.0),
-    "shouting": ("n_shouts / greatest(n_words, 1)", 0.2, 0.02),
-    "too_short": ("-n_words", -10.0, -40.0),
+    "symbols": [("n_symbols / greatest(n_words, 1)", 0.1, 0.02)],
+    "capitals": [("n_capitals / greatest(word_chars, 1)", 0.3, 0.1)],
+    "repetition": [("n_repeat_words / greatest(n_words, 1)", 0.3, 0.02),
+                   ("n_dup_lines / greatest(n_lines, 1)", 0.5, 0.0),
+                   # The logarithms' ratio hardly depends on the length of a text.
+                   ("1 - ln(1 + n_distinct) / ln(2 + n_words)", 0.25, 0.15)],
+    "no_letters": [("1 - n_lettered / greatest(n_words, 1)", 0.3, 0.1)],
+    "word_length": [("abs(word_chars / greatest(n_words, 1) - 5.5)", 4.5, 1.5)],
+    "long_sentences": [("n_words / (n_stops + 1)", 80.0, 40.0)],
+    "shouting": [("n_shouts / greatest(n_words, 1)", 0.2, 0.02)],
+    "too_short": [("-n_words", -10.0, -40.0)],
 }
 
 
@@ -90,7 +95,11 @@ def measures(docs: DataFrame, kept: list[str]) -> DataFrame:
 
 
 def votes() -> Column:
-    return F.array(*[F.when(F.expr(m) >= bad, -1).when(F.expr(m) <= good, 1).otherwise(0) for m, bad, good in RULES.values()])
+    def vote(parts: list[tuple[str, float, float]]) -> Column:
+        against = F.greatest(*[F.expr(m) >= bad for m, bad, _ in parts], F.lit(False))
+        good = F.least(*[F.expr(m) <= good for m, _, good in parts], F.lit(True))
+        return F.when(against, -1).when(good, 1).otherwise(0)
+    return F.array(*[vote(parts) for parts in RULES.values()])
 
 
 def base_failed() -> Column:
@@ -100,7 +109,8 @@ def base_failed() -> Column:
 def fit(voted: DataFrame, rounds: int = ROUNDS) -> tuple[float, list[float]]:
     """(log-odds of a good document, weights) from the column `votes` of all documents.
 
-    weights[3 * rule + vote + 1] is what that vote adds to the log-odds. No documents: the start.
+    weights[3 * rule + vote + 1] is what that vote adds to the log-odds. A vote against never adds,
+    a vote for never takes away. No documents: the start.
     """
     rules = len(RULES)
     patterns = voted.groupBy("votes").agg(F.count(F.lit(1)).cast("double").alias("n"))
@@ -108,13 +118,19 @@ def fit(voted: DataFrame, rounds: int = ROUNDS) -> tuple[float, list[float]]:
     scored = """transform(patterns, x -> struct(x.votes AS votes, x.n AS n,
         1 / (1 + exp(-least(greatest(s.odds + aggregate(transform(x.votes, (v, j) -> s.weights[3 * j + v + 1]),
             CAST(0 AS DOUBLE), (a, w) -> a + w), -50D), 50D))) AS p))"""
-    share = """(aggregate(filter(e, x -> x.votes[CAST(floor(k / 3) AS INT)] = k % 3 - 1), CAST(0 AS DOUBLE),
-        (a, x) -> a + x.n * {p}) + {smooth}) / (aggregate(e, CAST(0 AS DOUBLE), (a, x) -> a + x.n * {p}) + 3 * {smooth})"""
-    good, bad = (share.format(p=p, smooth=f"{SMOOTH}D") for p in ("x.p", "(1 - x.p)"))
-    mean = f"""(aggregate(e, CAST(0 AS DOUBLE), (a, x) -> a + x.n * x.p) + {SMOOTH}D)
-        / (aggregate(e, CAST(0 AS DOUBLE), (a, x) -> a + x.n) + 2 * {SMOOTH}D)"""
+    total = "aggregate(e, CAST(0 AS DOUBLE), (a, x) -> a + x.n)"
+    # (sum + strength * belief) / (all + strength): the beliefs stand for that many more documents
+    share = f"""(aggregate(filter(e, x -> x.votes[CAST(floor(k / 3) AS INT)] = k % 3 - 1), CAST(0 AS DOUBLE),
+        (a, x) -> a + x.n * {{p}}) + ({BELIEF}D * {{part}} * {total} + {SMOOTH}D) * array({{belief}})[k % 3])
+        / (aggregate(e, CAST(0 AS DOUBLE), (a, x) -> a + x.n * {{p}}) + {BELIEF}D * {{part}} * {total} + {SMOOTH}D)"""
+    good, bad = (share.format(p=p, part=f"{part:.6f}D", belief=", ".join(f"{b}D" for b in belief)) for p, part, belief in (
+        ("x.p", PRIOR, VOTES_IF_GOOD), ("(1 - x.p)", 1 - PRIOR, VOTES_IF_BAD)))
+    mean = f"""(aggregate(e, CAST(0 AS DOUBLE), (a, x) -> a + x.n * x.p) + {PRIOR}D * ({BELIEF}D * {total} + {SMOOTH}D))
+        / ({total} + {BELIEF}D * {total} + {SMOOTH}D)"""
     update = f"""transform(array({scored}), e -> struct(ln({mean} / (1 - {mean})) AS odds,
-        transform(sequence(0, {3 * rules - 1}), k -> ln({good} / ({bad}))) AS weights))[0]"""
+        transform(sequence(0, {3 * rules - 1}), k -> CASE k % 3
+            WHEN 0 THEN least(0D, ln({good} / ({bad}))) WHEN 2 THEN greatest(0D, ln({good} / ({bad})))
+            ELSE ln({good} / ({bad})) END) AS weights))[0]"""
     fitted = (patterns.agg(F.array_sort(F.collect_list(F.struct("votes", "n"))).alias("patterns"))
               .select(F.expr(f"""aggregate(sequence(1, {rounds}),
                   struct(ln({PRIOR}D / {1 - PRIOR}D) AS odds, array({start}) AS weights),
