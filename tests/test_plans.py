@@ -21,7 +21,7 @@ def lines(df, pattern):
 
 BATCH = [name for name in driver.queries() if not name.startswith("stream_")
          and name not in ("dimension_sync", "dimension_partial_rows", "upserted_coupons",
-                          "upserted_deletes", "upserted_by_two_streams", "daily_gmv_stored", "topic_round_trip",
+                          "upserted_deletes", "upserted_by_two_streams", "daily_gmv_stored", "order_detail_topic", "topic_round_trip",
                           "window_table_sink")]
 
 
@@ -76,6 +76,27 @@ def test_wide_fact_shuffles_its_lines_twice(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_one_pass_scans_the_topic_once(spark, folder):
+    """Lines and orders come from the same groups; the rows are those of the joins, also where an
+    order has a third of all lines."""
+    from tillstream.plans import facts
+    from tillstream.sources import readers, samples
+    changes = samples.changes(spark, SF, "order_detail", "order_detail_activity", "order_detail_coupon", "order_info")
+    hot = F.pmod(F.xxhash64(F.col("data")["id"]), F.lit(3)) == 0
+    moved = F.map_concat(F.map_filter("data", lambda k, v: k != "order_id"), F.create_map(F.lit("order_id"), F.lit("1")))
+    changes = changes.withColumn("data", F.when((F.col("table") == "order_detail") & hot, moved).otherwise(F.col("data")))
+    changes.drop("pt").select(F.to_json(F.struct("*")).alias("value")).write.text(folder)
+    topic = readers.change_topic(spark, "text", stream=False, path=folder)
+    grouped, joined = (facts.joined_lines(topic, one_pass=one).withColumn("old", F.to_json("old")) for one in (True, False))
+    assert grouped.exceptAll(joined.select(grouped.columns)).count() == 0 and grouped.count() == joined.count()
+    _plain_settings(spark, True)
+    try:
+        text = plan(facts.joined_lines(topic, one_pass=True))
+        assert text.count("FileScan") == 1 and text.count("ReusedExchange") == 1
+    finally:
+        _plain_settings(spark, False)
+
+
 def test_broadcast_only_what_a_count_proves_small(spark):
     side = spark.range(50)
     assert lines(joins.if_small(side, 50), ".*") and \

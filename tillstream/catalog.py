@@ -244,6 +244,15 @@ def order_detail_wide(spark, sf):
     return _fact(_details(spark, sf))
 
 
+@query
+def order_detail_topic(spark, sf):
+    """The wide order fact from the raw topic of change texts, read and parsed once."""
+    path = work_dir(spark, "change_topic")
+    sinks.append_batch(path)(samples.changes(spark, sf, *_ORDER_TABLES).drop("pt"), 0)
+    topic = readers.change_topic(spark, "text", stream=False, path=path)
+    return _fact(facts.order_detail(topic, samples.dictionary(spark, sf), samples.DATABASE, one_pass=True))
+
+
 @query
 def placed_orders(spark, sf):
     return _fact(facts.placed_orders(_details(spark, sf)))

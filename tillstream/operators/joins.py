@@ -105,16 +105,19 @@ def route_rows(changes: DataFrame, config: DataFrame, version: str | None = None
 
     With a version column, the time from which a route holds, an event takes the newest route that
     isn't later than its own `time`, and is dropped if there is none. The config, of at most
-    MAX_ROUTES rows, goes to every task; the events stay where they are.
+    MAX_ROUTES rows, goes to every task, and the names of its tables into a filter that reaches the
+    events' source; the events stay where they are.
     """
-    if config.limit(MAX_ROUTES + 1).count() > MAX_ROUTES:
+    names = [r[0] for r in config.select("source_table").limit(MAX_ROUTES + 1).collect()]
+    if len(names) > MAX_ROUTES:
         raise ValueError(f"a control table has at most {MAX_ROUTES} rows")
     side = F.broadcast(route_history(config, version))
-    joined = changes.join(side, changes["table"] == side["source_table"])
+    listed = changes.filter(F.col("table").isin(sorted({n for n in names if n is not None})))
+    joined = listed.join(side, F.col("table") == F.col("source_table"))
     at = F.col(time).try_cast("long")
     held = F.filter("routes", lambda r: r["since"] <= at) if version else F.col("routes")
     return (joined.withColumn("_route", F.try_element_at(held, F.lit(1))).where("_route is not null")
-            .select(*[changes[c] for c in changes.columns],
+            .select(*[F.col(f"`{c}`") for c in changes.columns],
                     *[F.col("_route")[c].alias(c) for c in ("sink_table", "sink_columns", "sink_pk")]))
 
 

@@ -14,7 +14,7 @@ from tillstream.functions.scalars import date_text, money, times
 from tillstream.operators import filters
 from tillstream.operators.filters import payload, route
 from tillstream.operators.joins import decode
-from tillstream.schemas import STATUS_PAID, STATUS_REFUNDING
+from tillstream.schemas import PAYLOAD, STATUS_PAID, STATUS_REFUNDING
 from tillstream.streaming.joins import interval_join, watermarked
 
 # Fixed columns of the wide order fact.
@@ -66,22 +66,93 @@ def _near(left: DataFrame, right: DataFrame, on: tuple[str, str], how: str,
 
 
 def joined_lines(changes: DataFrame, database: str | None = None,
-                 span: str | None = None) -> DataFrame:
+                 span: str | None = None, one_pass: bool = False) -> DataFrame:
     """Order lines with their order, activity and coupon, not yet with their source's name.
 
-    Amounts become decimals before the joins, once per line and per order. Activity and coupon
-    come first: they share the line key, so the lines are shuffled once for both while they are
-    still narrow, and once more for the order.
+    Amounts become decimals before anything meets, once per line and per order. `one_pass` reads the
+    events once instead of once for each of their four tables: for a topic of texts, whose parse
+    costs more than the grouping. Streams and tables that are cheap to read join the four.
     """
+    if one_pass and changes.isStreaming:
+        raise ValueError("a stream joins its tables: there is no last event of a group")
+    return (_grouped_lines if one_pass else _lines_by_joins)(changes, database, span)
+
+
+def _renamed_line(df: DataFrame) -> DataFrame:
+    return (df.withColumnsRenamed({"id": "order_detail_id", "create_time": "order_create_time"})
+            .withColumns({c: money(c) for c in LINE_AMOUNTS})
+            .withColumn("split_original_amount", times(F.col("sku_num"), F.col("order_price"))))
+
+
+def _grouped_lines(changes: DataFrame, database: str | None, span: str | None) -> DataFrame:
+    """The topic is read and parsed once. Each event goes to the group of its line, or of its order
+    if it is the order's own; a line's group holds what belongs to it, a few events. Lines then meet
+    their orders in one join, whose skewed orders adaptive execution splits.
+
+    Both sides of that join are taken from the groups, so Spark makes the groups once.
+    """
+    is_order, is_line = F.col("table") == "order_info", F.col("table") == "order_detail"
+    line = F.when(is_line, F.col("data")["id"]).otherwise(F.col("data")["order_detail_id"])
+    of_line = F.col("table").isin("order_detail_activity", "order_detail_coupon") & line.isNotNull()
+    keep = (is_order & F.col("type").isin("insert", "update") & F.col("data")["id"].isNotNull()) \
+        | ((is_line | of_line) & (F.col("type") == "insert"))
+    if database is not None:
+        keep &= F.col("database") == database
+    # an order's own events, and a line without an id, which nothing can belong to, have groups apart
+    group = F.when(is_order, F.concat(F.lit("o"), F.col("data")["id"])) \
+        .otherwise(F.coalesce(F.concat(F.lit("l"), line), F.concat(F.lit("n"), F.xxhash64(_list("order_detail")).cast("string"))))
+    values = F.when(is_order, _list("order_info")).when(is_line, _list("order_detail")) \
+        .when(F.col("table") == "order_detail_activity", _list("order_detail_activity")).otherwise(_list("order_detail_coupon"))
+    change = F.when(is_order, F.struct("type", "old"))
+    event = F.struct("table", values.alias("v"), change.alias("change"), _seconds().alias("at"))
+    groups = changes.filter(keep).groupBy(group.alias("group")).agg(F.collect_list(event).alias("events"))
+
+    def of(table: str):
+        return F.filter("events", lambda e: e["table"] == table)
+
+    def near(events, at: Column):
+        if not span:
+            return events
+        away = F.expr(f"interval {span}")
+        return F.filter(events, lambda e: (e["at"] >= at - away) & (e["at"] <= at + away))
+
+    def field(event: str, table: str, name: str) -> Column:
+        return F.col(event)["v"][PAYLOAD[table].index(name)]
+    # only lines with an id have activities and coupons
+    named = F.col("line")["v"][0].isNotNull()
+    lines = groups.select(F.explode(of("order_detail")).alias("line"), "events")
+    for event, table in (("activity", "order_detail_activity"), ("coupon", "order_detail_coupon")):
+        mine = F.when(named, near(of(table), F.col("line")["at"]))
+        lines = lines.select("*", F.explode_outer(mine).alias(event))
+    lines = _renamed_line(lines.select(
+        *[field("line", "order_detail", c).alias(c) for c in PAYLOAD["order_detail"]],
+        *[field("activity", "order_detail_activity", c).alias(c) for c in ("activity_id", "activity_rule_id")],
+        field("activity", "order_detail_activity", "create_time").alias("activity_create_time"),
+        *[field("coupon", "order_detail_coupon", c).alias(c) for c in ("coupon_id", "coupon_use_id")],
+        field("coupon", "order_detail_coupon", "create_time").alias("coupon_create_time"),
+        F.col("line")["at"].alias("_lt")))
+    orders = groups.select(F.explode(of("order_info")).alias("order")).select(
+        field("order", "order_info", "id").alias("_order"),
+        *[(money(field("order", "order_info", c)) if c in ORDER_AMOUNTS else field("order", "order_info", c)).alias(c)
+          for c in PAYLOAD["order_info"] if c != "id"],
+        F.col("order")["change"]["type"].alias("type"), F.col("order")["change"]["old"].alias("old"),
+        F.col("order")["at"].alias("_ot"))
+    return _near(lines, orders, ("order_id", "_order"), "inner", span, ("_lt", "_ot")).drop("_lt")
+
+
+def _list(table: str) -> Column:
+    """A table's payload as an array of texts, in the order of its columns."""
+    return F.array(*[F.col("data")[c] for c in PAYLOAD[table]])
+
+
+def _lines_by_joins(changes: DataFrame, database: str | None, span: str | None) -> DataFrame:
+    """Activity and coupon come first: they share the line key, so the lines are shuffled once for
+    both while they are still narrow, and once more for the order."""
     def of(table: str, *types: str) -> DataFrame:
         return route(changes, table, *types, database=database)
 
-    lines = watermarked(payload(of("order_detail", "insert"), "order_detail",
-                                _seconds().alias("_lt")), "_lt")
-    lines = (lines.withColumnsRenamed({"id": "order_detail_id",
-                                       "create_time": "order_create_time"})
-             .withColumns({c: money(c) for c in LINE_AMOUNTS})
-             .withColumn("split_original_amount", times(F.col("sku_num"), F.col("order_price"))))
+    lines = _renamed_line(watermarked(payload(of("order_detail", "insert"), "order_detail",
+                                              _seconds().alias("_lt")), "_lt"))
     activity = watermarked(payload(of("order_detail_activity", "insert"),
                                    "order_detail_activity", _seconds().alias("_at")), "_at") \
         .select(F.col("order_detail_id").alias("_activity_line"), "activity_id",
@@ -109,10 +180,10 @@ def named_lines(wide: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def order_detail(changes: DataFrame, dictionary: DataFrame, database: str | None = None,
-                 span: str | None = None) -> DataFrame:
+                 span: str | None = None, one_pass: bool = False) -> DataFrame:
     """The wide order fact. A stream whose dictionary changes should write `joined_lines`
     through sinks.with_lookup and `named_lines`."""
-    return named_lines(joined_lines(changes, database, span), dictionary)
+    return named_lines(joined_lines(changes, database, span, one_pass), dictionary)
 
 
 def placed_orders(fact: DataFrame) -> DataFrame:
