@@ -803,6 +803,17 @@ def _version_feed(spark, sf) -> DataFrame:
 
 @query
 def stream_province_window(spark, sf):
+    """Closed windows of newest order lines with a looked-up province name."""
+    path = work_dir(spark, "lines")
+    lines = _latest(spark, sf)
+    lines.write.parquet(path)
+    rows = spark.readStream.schema(lines.schema).parquet(path)
+    out = windows.provinces(rows, samples.dimensions(spark, sf)["base_province"])
+    return _drained(spark, out, "provinces").drop("ts")
+
+
+@query
+def stream_province_versions(spark, sf):
     """Closed windows from raw line versions: newest versions, windows and names in one query."""
     out = windows.provinces(_version_feed(spark, sf), samples.dimensions(spark, sf)["base_province"])
     return _drained(spark, out, "provinces").drop("ts")

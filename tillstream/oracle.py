@@ -306,6 +306,11 @@ def _stream_sql() -> dict[str, str]:
             CAST(sum(dur_sum) AS BIGINT) AS dur_sum, CAST(sum(uj_ct) AS BIGINT) AS uj_ct
             FROM rows WHERE {_closed(HOUR, 13000, 'rows')} GROUP BY ALL""",
         "stream_province_window": f"""WITH {LATEST}, {OPEN}
+            SELECT {_bounds('ts', TEN_S)}, province_id, n_name AS province_name,
+              count(*) AS order_count, {_sum('amount')} AS order_amount
+            FROM open JOIN nation ON province_id = CAST(n_nationkey AS VARCHAR)
+            WHERE {_closed(TEN_S, 2000, 'open')} GROUP BY ALL""",
+        "stream_province_versions": f"""WITH {LATEST}, {OPEN}
             SELECT {_bounds('ts', TEN_S)}, province_id, n_name AS province_name,
               count(*) AS order_count, {_sum('amount')} AS order_amount
             FROM open JOIN nation ON province_id = CAST(n_nationkey AS VARCHAR)

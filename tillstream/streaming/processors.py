@@ -211,39 +211,6 @@ class HeldUniqueAndNew(_HeldHeads, UniqueAndNew):
             yield self._emit(row, is_unique=0, is_new=0)
 
 
-class HeldLatest(_Held):
-    """The newest version of a key, emitted when the key's time has passed; then it is forgotten,
-    as later versions of it are late."""
-
-    def __init__(self, order: list[str], columns: list[str], row_schema: str, ms: str):
-        super().__init__(order, columns, row_schema)
-        self.ms = ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.best = handle.getValueState("best", self.row_schema)
-
-    def handleInputRows(self, key, rows, timerValues):
-        held = self.best.get()
-        best = Row(**dict(zip(self.columns, held))) if held else None
-        first = held is None
-        for row in rows:
-            if best is None or _place(row, self.order) >= _place(best, self.order):
-                best = row
-            if first:
-                self._due(row[self.ms])
-                first = False
-        if best is not None:
-            self.best.update(self._stored(best))
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = self.best.get()
-        if held:
-            self.best.clear()
-            yield Row(**{c: v for c, v in zip(self.columns, held) if c != self.ms})
-
-
 class NewFlagRepair(_Rule):
     """Clear the new-visitor flag on every day but the first."""
 

@@ -76,12 +76,15 @@ def latest_per_key(df: DataFrame, key: str, order: list[str], wait_ms: int = 2_0
     By the clock the query never drains by itself, and its output goes to a window through a
     topic, not in one query. With `event_time` true, `order[0]` is the ms of a watermarked column
     and the result depends on the data alone. With the name of the watermarked column, which all
-    versions of a key share, the wait is the watermark's delay, and a window may follow in the
-    same query.
+    versions of a key share, the newest is an aggregate per key and second: it comes out when the
+    watermark passes that second, so the wait is the watermark's delay, its state goes with it, and
+    a window may follow in the same query. The column then holds the end of the second.
     """
     if isinstance(event_time, str):
-        timed = df.withColumn("_ms", F.unix_millis(event_time))
-        return _run(timed, [key], p.HeldLatest(order, timed.columns, _ddl(timed), "_ms"), _plus(df.schema), event_time)
+        others = [c for c in df.columns if c != event_time]
+        newest = df.groupBy(F.window(event_time, "1 second").alias("_second"), key).agg(
+            F.max_by(F.struct(*others), F.struct(*order)).alias("_newest"))
+        return newest.select("_newest.*", F.window_time("_second").alias(event_time))
     processor = p.LatestVersion(order, df.columns, _ddl(df), wait_ms, event_time)
     return _run(df, [key], processor, _plus(df.schema), None,
                 "EventTime" if event_time else "ProcessingTime")
