@@ -165,18 +165,76 @@ def test_banded_distance():
 
 def test_segments_meet_for_every_close_pair():
     rnd = random.Random(4)
-    for _ in range(1500):
-        a = "".join(rnd.choice("abc") for _ in range(rnd.randint(20, 70)))
-        b = a
-        for _ in range(rnd.randint(1, 2)):
-            k, kind = rnd.randint(0, len(b)), rnd.randint(0, 2)
-            b = b[:k] + ("x" if kind else "") + b[k + (kind != 1):]
-        a, b = sorted((a, b), key=len)
-        if banded_reference(a, b) <= line_dedup.allowed(len(a)):
-            left = {(n, i, a[x:y]) for n, i, x, y in line_dedup.index_places(len(a))}
-            apart = [abs(x - y) for x, y in zip(*(line_dedup.letters(t).to_bytes(8, "little") for t in (a, b)))]
-            assert sum(min(x, 256 - x) for x in apart) <= 2 * line_dedup.EDITS
-            assert left & {(n, i, b[x:y]) for n, i, x, y in line_dedup.probe_places(len(b))}
+    for by_words in (False, True):
+        for size in [*range(20, 90, 3), 240, 250, 300, 640, 700] * 6:
+            a = tuple(rnd.choice("abc") for _ in range(size))
+            b, most = list(a), line_dedup.allowed(by_words, size)
+            for _ in range(rnd.randint(1, most)):
+                k, kind = rnd.randint(0, len(b)), rnd.randint(0, 2)
+                b = b[:k] + (["x"] if kind else []) + b[k + (kind != 1):]
+            a, b = sorted((a, tuple(b)), key=len)
+            if line_dedup.banded([a], [b], line_dedup.MOST)[0] <= line_dedup.allowed(by_words, len(a)):
+                left = {(s, a[x:y]) for s, x, y, role in line_dedup.places(by_words, len(a)) if role & line_dedup.INDEX}
+                assert left & {(s, b[x:y]) for s, x, y, role in line_dedup.places(by_words, len(b)) if role & line_dedup.PROBE}
+
+
+def removed_lines(rows):
+    """Numbers of the lines that go, by comparing all pairs of lines. Rows: (doc_id, text)."""
+    homes = {}
+    for doc, text in rows:
+        for line in text.split("\n"):
+            if line.strip(" "):
+                homes[line] = min(homes.get(line, doc), doc)
+    order = {line: (home, line_dedup._hash(line)) for line, home in homes.items()}
+
+    def close(a, b):
+        (kind, x), (other, y) = sorted((line_dedup.symbols(a), line_dedup.symbols(b)), key=lambda s: len(s[1]))
+        most = line_dedup.allowed(kind, len(x))
+        if kind != other or not most or len(y) - len(x) > most:
+            return False
+        codes = {}
+        return banded_reference(*["".join(chr(codes.setdefault(w, len(codes) + 256)) for w in s) for s in (x, y)]) <= most
+
+    late = {a for a in homes if any(order[b] < order[a] and close(a, b) for b in homes)}
+    out = {}
+    for doc, text in rows:
+        seen, gone = set(), []
+        for k, line in enumerate(text.split("\n")):
+            if line.strip(" "):
+                if line in seen or line in late or homes[line] < doc:
+                    gone.append(k)
+                seen.add(line)
+        out[doc] = gone
+    return out
+
+
+@pytest.mark.parametrize("leaders, block", [(16, 2048), (2, 5)])
+def test_line_dedup_is_that_of_all_pairs(make, monkeypatch, leaders, block):
+    """Changed words, one hot line with many near copies, and different lines that share a passage."""
+    monkeypatch.setattr(line_dedup, "LEADERS", leaders)
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    rnd, lines = random.Random(8), []
+    hot, passage = prose(100, 30), prose(101, 10)
+    for k in range(60):
+        words = hot.split() if k % 3 == 0 else (passage + " " + prose(200 + k, 14)).split() if k % 3 == 1 else prose(300 + k % 20, 9 + k % 30).split()
+        for _ in range(rnd.randint(0, 5)):
+            words[rnd.randrange(len(words))] = rnd.choice(["heron", "stork", "crane"])
+        lines.append(" ".join(words))
+    rows = [(k, "\n".join(rnd.sample(lines, 3) + ["漢字" * 14 + "x" * (k % 3)])) for k in range(40)]
+    got = by_id(line_dedup.dedup(make(*rows)))
+    want = removed_lines(rows)
+    assert {d: list(r["removed"]) for d, r in got.items()} == want and any(want.values())
+
+
+def test_a_replaced_word_is_found_at_any_length(make):
+    rows, rnd = [], random.Random(3)
+    for k in range(60):
+        words = prose(k, 8 + 6 * k).split()
+        changed = list(words)
+        changed[rnd.randrange(len(words))] = "replacement"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(changed))]
+    got = by_id(line_dedup.dedup(make(*rows)))
+    assert all(not got[2 * k]["removed"] and got[2 * k + 1]["n_near"] == 1 for k in range(60))
 
 
 def test_line_dedup(make):

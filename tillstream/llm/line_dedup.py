@@ -1,73 +1,95 @@
 """Line dedup by a segment-partition edit join.
 
-Two lines are copies if they are equal, or if few edits turn one into the other: at most one for
-each `CHARS_AN_EDIT` characters of the shorter, and at most `EDITS`. A line that may differ by k
-edits is cut into k + 1 segments; one of them is untouched in its copy, at a place that the two
-lengths and the segment's number bound. So a line leaves its segments in an index by (length,
-segment number, segment), and probes it with the substrings, for each length and place, that can
-match. Pairs that meet are verified by edit distance in a band, as bit vectors.
+Two lines are copies if they are equal, or if few edits turn one into the other. A line of at least
+`MIN_WORDS` words is a sequence of words, and may differ by one word in `WORDS_AN_EDIT`; any other
+line is a sequence of characters, and may differ by one in `CHARS_AN_EDIT`. Only lines of the same
+kind are compared, by the length of the shorter, and by `MOST` edits at most. A line that may differ
+by k edits is cut into k + 1 segments; one of them is untouched in its copy, at a place that the
+lengths and the segment's number bound. So a line leaves its segments in an index, and probes it
+with the substrings, at each place, that can match. Lines that meet are verified by edit distance
+in a band, as bit vectors.
 
 A line's home is the document with the smallest doc_id that has it; it goes from all others. A line
-with a close copy whose home is earlier (or the same, and its hash smaller) goes as well.
+with a close copy whose home is earlier (or the same, and its hash smaller) goes as well. So only
+"is there an earlier close copy" is asked of each line, never for the pairs of a group: a line meets
+the earliest lines of its group first, and the rest of the group only if none of them is close.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import small_batches, stored
 
-EDITS = 2
-CHARS_AN_EDIT = 20
+MIN_WORDS, WORDS_AN_EDIT, CHARS_AN_EDIT = 8, 8, 20
+# A band of 2 * 31 + 1 diagonals; reached at 248 words, or 620 characters without enough words.
+MOST = 31
+# Earliest lines of a group that every line of it meets first.
+LEADERS = 16
+# Lines, or 200 characters of longer ones, that a block holds of a group, on either side.
+BLOCK, LINE_CHARS = 2048, 200
 # Before texts are moved for verification, lines that no candidate needs are mostly left out: a
 # table of at most so many hash values tells them.
 SIEVE = 1 << 17
 # Lines a task remembers to leave its postings once; at the bound it starts anew.
 SEEN = 500_000
-# Rows a batch that leaves Python; pairs, and their characters, verified at a time.
-ROWS, PAIRS, PAIR_CHARS = 100_000, 512, 4_000_000
+# Rows a batch that leaves Python.
+ROWS = 100_000
 SEED = 42  # of the engine's xxhash64
+NO_ID = 2 ** 63 - 1
+INDEX, PROBE = 1, 2
 
 
-def allowed(length: int) -> int:
-    """Edits between lines of which the shorter has this many characters."""
-    return min(EDITS, length // CHARS_AN_EDIT)
+def symbols(line: str) -> tuple[bool, Sequence[str]]:
+    """Whether a line counts by words, and its words or characters."""
+    words = line.split(" ")
+    return (True, words) if len(words) >= MIN_WORDS else (False, line)
 
 
-def segments(length: int, edits: int) -> list[tuple[int, int]]:
-    """(begin, end) of the segments: as long as each other, or one longer, the longer ones last."""
-    parts = edits + 1
-    edges = [i * (length // parts) + max(0, i - (parts - length % parts)) for i in range(parts + 1)]
-    return list(zip(edges, edges[1:]))
+def allowed(by_words: bool, length: int) -> int:
+    """Edits between lines of which the shorter has this many symbols."""
+    return min(MOST, length // (WORDS_AN_EDIT if by_words else CHARS_AN_EDIT))
 
 
-def index_places(length: int) -> list[tuple[int, int, int, int]]:
-    """(length, number, begin, end) of the segments a line leaves in the index."""
-    edits = allowed(length)
-    return [(length, i, a, b) for i, (a, b) in enumerate(segments(length, edits))] if edits else []
+def geometry(by_words: bool, length: int) -> tuple[int, int, int]:
+    """(edits, size of a segment, least length) of the lines that are cut like one of this length."""
+    rate, edits = WORDS_AN_EDIT if by_words else CHARS_AN_EDIT, allowed(by_words, length)
+    if edits < MOST:
+        return edits, rate * edits // (edits + 1), rate * edits
+    size = length // (edits + 1)
+    return edits, size, max(size * (edits + 1), rate * MOST)
 
 
-def probe_places(length: int) -> list[tuple[int, int, int, int]]:
-    """(indexed length, number, begin, end) of the substrings that can be a shorter line's segment.
+def places(by_words: bool, length: int) -> list[tuple[int, int, int, int]]:
+    """(seed, begin, end, role) of what a line of this length leaves; the seed tells how lines are cut.
 
-    Before segment i there are at most i edits, and behind it at most edits - i: so it is found
-    within i places of where it begins, and, counted from the end, within edits - i.
+    It leaves its segments in the index; what lies behind the last belongs to none. It probes for
+    lines that are not longer. If k edits lie in k + 1 segments and the rest, some segment i is
+    untouched with i edits before it and at most k - i behind it. So it is found within i places of
+    where it begins, and, counted from the end, within k - i.
     """
-    out = []
-    for longer in range(EDITS + 1):
-        edits = allowed(length - longer)
-        if edits < max(longer, 1):
-            continue
-        for i, (a, b) in enumerate(segments(length - longer, edits)):
-            low, high = max(-i, longer - (edits - i)), min(i, longer + (edits - i))
-            out += [(length - longer, i, a + m, b + m) for m in range(low, high + 1)
-                    if a + m >= 0 and b + m <= length]
-    return out
+    found: dict[tuple[int, int, int], int] = {}
+    shorter = length
+    while shorter > 0:
+        edits, size, least = geometry(by_words, shorter)
+        longest_gap = min(length - least, edits)
+        if not edits or length - shorter > edits:
+            break
+        seed = ((edits * 2 + by_words) << 32) + size
+        for i in range(edits + 1):
+            if shorter == length:
+                found[seed, i * size, (i + 1) * size] = found.get((seed, i * size, (i + 1) * size), 0) | INDEX
+            low, high = max(-i, length - shorter - (edits - i)), min(i, longest_gap + edits - i)
+            for begin in range(max(0, i * size + low), min(length - size, i * size + high) + 1):
+                at = seed, begin, begin + size
+                found[at] = found.get(at, 0) | PROBE
+        shorter = least - 1
+    return [(*at, role) for at, role in found.items()]
 
 
 def _signed(value: int) -> int:
@@ -79,173 +101,217 @@ def _hash(text: str, seed: int = SEED) -> int:
     return _signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed))
 
 
-def letters(line: str) -> int:
-    """How often characters of each of eight kinds occur, in eight bytes; an edit changes two by one."""
-    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
-    return int.from_bytes((np.bincount(codes & 7, minlength=8) & 255).astype(np.uint8).tobytes(), "little")
+def _post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(key, id, role) of the different lines of a task."""
+    import xxhash
+    digest = xxhash.xxh64_intdigest
+    seen: set[int] = set()
+    left: dict[tuple[bool, int], list] = {}
+    keys, ids, roles = [], [], []
+    for batch in batches:
+        for text in batch["text"]:
+            for line in (text or "").split("\n"):
+                by_words, parts = symbols(line)
+                if not allowed(by_words, len(parts)):
+                    continue
+                own = digest(line.encode("utf-8", "surrogatepass"), SEED)
+                if own in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(own)
+                kind = by_words, len(parts)
+                if kind not in left:
+                    if len(left) >= 10_000:
+                        left.clear()
+                    left[kind] = places(*kind)
+                for seed, a, b, role in left[kind]:
+                    part = " ".join(parts[a:b]) if by_words else parts[a:b]
+                    keys.append(digest(part.encode("utf-8", "surrogatepass"), seed))
+                    ids.append(own)
+                    roles.append(role)
+            if len(keys) >= ROWS:
+                yield _rows(keys, ids, roles)
+                keys, ids, roles = [], [], []
+    yield _rows(keys, ids, roles)
+
+
+def _rows(keys: list[int], ids: list[int], roles: list[int]) -> pd.DataFrame:
+    return pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "id": np.array(ids, np.uint64).view(np.int64),
+                         "role": np.array(roles, np.int32)})
 
 
-def _letters_apart(a: str, b: str) -> Column:
-    """At least this many single changes of counts lie between two lines."""
-    def apart(k: int) -> Column:
-        count = lambda c: F.shiftrightunsigned(c, 8 * k).bitwiseAND(255)
-        gap = F.abs(count(a) - count(b))
-        return F.least(gap, 256 - gap)
-    return sum((apart(k) for k in range(1, 8)), apart(0))
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc, tie, line, id, id2) of each document's different lines with something in them.
 
+    (doc, tie) is the document: rows without a doc_id come last and are told by their texts.
+    """
+    text = F.col("text").cast("string")
+    tie = F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.lit(0).cast("long"))
+    return (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), tie.alias("tie"),
+                        F.explode(F.array_distinct(F.split(text, "\n"))).alias("line")).where(F.trim("line") != "")
+            .withColumns({"id": F.xxhash64("line"), "id2": F.xxhash64(F.lit(1), F.col("line"))}))
 
-def _postings(places):
-    def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-        seen: set[int] = set()
-        by_length: dict[int, list] = {}
-        keys, ids, signs = [], [], []
-        for batch in batches:
-            for text in batch["text"]:
-                for line in (text or "").split("\n"):
-                    size = len(line)
-                    if size < CHARS_AN_EDIT:
-                        continue
-                    own = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), SEED)
-                    if own in seen:
-                        continue
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(own)
-                    if size not in by_length:
-                        if len(by_length) >= SEEN:
-                            by_length.clear()
-                        # The seed tells the length and the number of a segment.
-                        by_length[size] = [(n * (EDITS + 1) + i, a, b) for n, i, a, b in places(size)]
-                    sign = letters(line)
-                    for seed, a, b in by_length[size]:
-                        keys.append(xxhash.xxh64_intdigest(line[a:b].encode("utf-8", "surrogatepass"), seed))
-                        ids.append(own)
-                        signs.append(sign)
-                if len(keys) >= ROWS:
-                    yield _rows(keys, ids, signs)
-                    keys, ids, signs = [], [], []
-        yield _rows(keys, ids, signs)
-    return post
-
-
-def _rows(*columns: list[int]) -> pd.DataFrame:
-    return pd.DataFrame({n: np.array(c, np.uint64).view(np.int64) for n, c in zip(("key", "id", "letters"), columns)})
 
+def met(docs: DataFrame) -> DataFrame:
+    """(key, id, role): the postings under keys that an index row and a probe of another line share."""
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    posted = texts.mapInPandas(_post, "key long, id long, role int")
+    # A line comes at most once from each task; one exchange by key serves all that follows.
+    once = posted.repartition("key").groupBy("key", "id").agg(F.bit_or("role").alias("role"))
+    key = Window.partitionBy("key")
+    return (once.withColumns({"roles": F.bit_or("role").over(key), "low": F.min("id").over(key), "high": F.max("id").over(key)})
+            .where((F.col("roles") == INDEX | PROBE) & (F.col("low") < F.col("high"))).select("key", "id", "role"))
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, id, id2) of each document's different lines with something in them."""
-    split = F.array_distinct(F.split(F.col("text").cast("string"), "\n"))
-    return (docs.select("doc_id", F.explode(split).alias("line")).where(F.trim("line") != "")
-            .withColumns({"id": F.xxhash64("line"), "id2": F.xxhash64(F.lit(1), F.col("line"))}))
 
+def banded(first: Sequence[Sequence], second: Sequence[Sequence], most: int) -> np.ndarray:
+    """Edit distances of pairs of lines, `most` + 1 where they are larger."""
+    return np.array([_distance(*sorted(pair, key=len), most) for pair in zip(first, second)], np.int64)
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(a, b), a < b: ids of lines that share a segment where they may, and have about the same letters."""
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    both = []
-    for places in (index_places, probe_places):
-        posted = texts.mapInPandas(_postings(places), "key long, id long, letters long")
-        # A line comes at most once from each task; one exchange by key serves this and the join.
-        both.append(posted.repartition("key").dropDuplicates(["key", "id"]))
-    index, probes = both[0].toDF("key", "a", "a_letters"), both[1].toDF("key", "b", "b_letters")
-    # An edit changes at most two counts; texts are only fetched for pairs that this doesn't rule out.
-    near = _letters_apart("a_letters", "b_letters") <= 2 * EDITS
-    return (index.join(probes, (index["key"] == probes["key"]) & (F.col("a") != F.col("b")) & near)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-
-def banded(first: list[str], second: list[str], most: int) -> np.ndarray:
-    """Edit distances of pairs of lines, `most` + 1 where they are larger.
-
-    The bit-parallel recurrence on the 2 * most + 1 diagonals around the main one, for all pairs at
-    once: bit i of a vector is row column - most + i. No line of `second` is shorter than the one of
-    `first`, or longer by more than `most`.
+
+def _distance(a: Sequence, b: Sequence, most: int) -> int:
+    """Edit distance of a sequence and one that is no shorter, `most` + 1 if it is larger.
+
+    Beginnings and ends in common need no edit. Between them runs the bit-parallel recurrence on
+    the 2 * most + 1 diagonals around the main one: bit i of a vector is row column - most + i.
     """
-    n = len(first)
-    short = np.fromiter(map(len, first), np.int64, n)
-    long = np.fromiter(map(len, second), np.int64, n)
+    begin, n, m = 0, len(a), len(b)
+    if m - n > most:
+        return most + 1
+    while begin < n and a[begin] == b[begin]:
+        begin += 1
+    while n > begin and a[n - 1] == b[m - 1]:
+        n, m = n - 1, m - 1
+    n, m = n - begin, m - begin
+    if n == 0:
+        return m
     width = 2 * most + 1
-    columns = int(short.max(initial=0))
-    rows = np.full((n, columns + 2 * width + most), 0xFFFFFFFF, np.uint32)  # row r is at r - 1 + most
-    text = np.full((n, columns), 0xFFFFFFFE, np.uint32)
-    for k in range(n):
-        rows[k, most:most + long[k]] = np.frombuffer(second[k].encode("utf-32-le", "surrogatepass"), "<u4")
-        text[k, :short[k]] = np.frombuffer(first[k].encode("utf-32-le", "surrogatepass"), "<u4")
-    full, one = np.int64((1 << width) - 1), np.int64(1)
+    full = (1 << width) - 1
+    rows: dict = {}  # of each symbol, the rows of `b` that have it; row r is at bit r - 1 + most
+    for r in range(m):
+        symbol = b[begin + r]
+        rows[symbol] = rows.get(symbol, 0) | 1 << (r + most)
     # Column 0 counts up from row 0; the rows above it count down towards it.
-    plus = np.full(n, full & ~np.int64((1 << (most + 1)) - 1), np.int64)
-    minus = np.full(n, (1 << (most + 1)) - 1, np.int64)
-    lowest = np.full(n, most, np.int64)  # the distance at row column + most
-    result = np.where(long <= most, long, most + 1)
-    for j in range(1, columns + 1):
-        match = np.zeros(n, np.int64)
-        for d in range(width):  # row j - most + d
-            match |= (rows[:, j - 1 + d] == text[:, j - 1]).astype(np.int64) << d
+    plus, minus, lowest = full & ~((1 << (most + 1)) - 1), (1 << (most + 1)) - 1, most
+    for j in range(1, n + 1):
+        match = rows.get(a[begin + j - 1], 0) >> (j - 1) & full
         # The band moves down a row: the last column's differences move up by one place.
         above_plus, above_minus = plus >> 1, minus >> 1
         zero = ((((match & above_plus) + above_plus) ^ above_plus) | match | above_minus) & full
         across_plus = above_minus | (~(zero | above_plus) & full)
         across_minus = zero & above_plus
         # Down the diagonal of the band's lowest row the distance stays, or grows by one.
-        lowest += 1 - ((zero >> (width - 1)) & one)
-        across_plus_up, across_minus_up = (across_plus << 1) & full, (across_minus << 1) & full
-        plus = across_minus_up | (~(zero | across_plus_up) & full)
-        minus = across_plus_up & zero
-        for k in np.nonzero(short == j)[0]:  # from the lowest row up to the longer line's last
-            value = int(lowest[k])
-            for bit in range(width - 1, int(long[k]) - j + most, -1):
-                value += int(minus[k] >> bit & 1) - int(plus[k] >> bit & 1)
-            result[k] = value
-    return np.minimum(result, most + 1)
-
-
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        sizes = batch["a_line"].str.len().to_numpy()
-        order = np.argsort(-sizes, kind="stable")
-        batch, sizes, end = batch.iloc[order], sizes[order], 0
-        while end < len(batch):  # the lines of a slice are padded to its longest, the first
-            start, end = end, end + max(1, min(PAIRS, PAIR_CHARS // int(sizes[end] + 1)))
-            part = batch.iloc[start:end]
-            distance = banded(part["a_line"].to_list(), part["b_line"].to_list(), EDITS)
-            most = np.minimum(part["a_line"].str.len().to_numpy() // CHARS_AN_EDIT, EDITS)
-            yield part.loc[distance <= most, ["a", "a2", "b", "b2"]]
-
-
-def near_pairs(docs: DataFrame) -> DataFrame:
-    """(a, a2, b, b2): both hashes of different lines that few edits turn into each other."""
-    pairs = stored(candidates(docs), "line-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        lowest += 1 - (zero >> (width - 1) & 1)
+        if lowest > 2 * most + 1 + most:
+            return most + 1
+        across_plus, across_minus = (across_plus << 1) & full, (across_minus << 1) & full
+        plus, minus = across_minus | (~(zero | across_plus) & full), across_plus & zero
+    for bit in range(width - 1, m - n + most, -1):  # from the lowest row up to the last of `b`
+        lowest += (minus >> bit & 1) - (plus >> bit & 1)
+    return min(lowest, most + 1)
+
+
+def _flag(block: pd.DataFrame) -> pd.DataFrame:
+    """(id, id2) of the tested lines of a block that have an earlier close copy in it."""
+    block = block.sort_values(["doc", "tie", "id", "id2"], kind="stable")
+    parts = [symbols(line) for line in block["line"]]
+    kind = np.array([k for k, _ in parts])
+    size = np.array([len(p) for _, p in parts])
+    role = block["role"].to_numpy()
+    evidence, tested = block["evidence"].to_numpy(), np.nonzero(block["tested"].to_numpy())[0]
+    # How many symbols of each of eight kinds a line has: an edit changes two of the counts by one.
+    counts = np.array([np.bincount([hash(x) & 7 for x in p], minlength=8) for _, p in parts], np.int32)
+    gone = []
+    for at in tested:
+        by_words, own = parts[at]
+        earlier = np.nonzero(evidence[:at] & (kind[:at] == by_words) & ((role[:at] | role[at]) == INDEX | PROBE)
+                             & (np.abs(size[:at] - size[at]) <= MOST))[0]
+        gaps = np.abs(counts[earlier] - counts[at]).sum(1)
+        for other, gap in zip(earlier, gaps):
+            short, long = (own, parts[other][1]) if size[at] <= size[other] else (parts[other][1], own)
+            most = allowed(by_words, len(short))
+            if gap <= 2 * most and _distance(short, long, most) <= most:
+                gone.append(at)
+                break
+    return block.iloc[gone][["id", "id2"]]
+
+
+def _flagged(tested: DataFrame, evidence: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, id2) of tested lines with an earlier close copy among the evidence of the same key.
+
+    Both have (key, id, id2, role, weight). A block is one chunk of a key's tested lines with one of
+    its evidence, so it is bounded whatever the group, and the lines are copied to blocks only.
+    """
+    def sized(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("key").agg(F.ceil(F.sum("weight") / F.lit(float(BLOCK))).cast("int").alias(name))
+
+    def chunk(of: str):
+        return F.pmod(F.xxhash64("id", "id2"), F.col(of)).cast("int")
+
+    def all_of(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    sizes = sized(tested, "t").join(sized(evidence, "e"), "key")
+    row = ["key", "id", "id2", "role"]
+    left = (tested.join(sizes, "key").select(*row, chunk("t").alias("low"), all_of("e").alias("high"),
+                                             F.lit(True).alias("tested"), F.lit(False).alias("evidence")))
+    right = (evidence.join(sizes, "key").select(*row, all_of("t").alias("low"), chunk("e").alias("high"),
+                                                F.lit(False).alias("tested"), F.lit(True).alias("evidence")))
+    block = ["key", "low", "high"]
+    # A line on both sides of a block moves once.
+    placed = (left.union(right).groupBy(*row, "low", "high")
+              .agg(F.max("tested").alias("tested"), F.max("evidence").alias("evidence")))
+    with_text = placed.join(texts.select("id", "id2", "doc", "tie", "line"), ["id", "id2"])
+
+    def by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, current = [], None
+        for batch in batches:
+            for at, part in batch.groupby(block, sort=False):
+                if at != current and held:
+                    yield _flag(pd.concat(held, ignore_index=True))
+                    held = []
+                current = at
+                held.append(part)
+        if held:
+            yield _flag(pd.concat(held, ignore_index=True))
+
+    return (with_text.repartition(*block).sortWithinPartitions(*block)
+            .mapInPandas(by_block, "id long, id2 long").distinct())
+
+
+def late_lines(docs: DataFrame, homes: DataFrame) -> DataFrame:
+    """(id, id2) of the lines that have an earlier close copy; `homes` has (id, id2, doc, tie)."""
+    postings = stored(met(docs), "line-postings")
+    ids = stored(postings.select("id").distinct(), "line-met")
     slot = F.pmod("id", F.lit(SIEVE)).alias("slot")
     sieve = ids.select(slot).distinct()  # at most SIEVE rows
     sifted = _lines(docs).select("id", "id2", "line", slot).join(F.broadcast(sieve), "slot", "left_semi")
-    wanted = stored(sifted.join(ids, "id", "left_semi").select("id", "id2", "line").dropDuplicates(["id", "id2"]), "line-texts")
-    side = lambda x: wanted.select(F.col("id").alias(x), F.col("id2").alias(f"{x}2"), F.col("line").alias(f"{x}_line"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
-    swapped = met.select(*[F.when(F.length("a_line") <= F.length("b_line"), F.col(x)).otherwise(F.col(y)).alias(x)
-                           for x, y in (("a", "b"), ("a2", "b2"), ("a_line", "b_line"), ("b", "a"), ("b2", "a2"), ("b_line", "a_line"))])
-    return (swapped.where(F.length("b_line") - F.length("a_line") <= EDITS)
-            .mapInPandas(_verify, "a long, a2 long, b long, b2 long"))
+    texts = sifted.join(ids, "id", "left_semi").select("id", "id2", "line").dropDuplicates(["id", "id2"])
+    texts = stored(texts.join(homes, ["id", "id2"]), "line-texts")
+    weight = F.greatest(F.lit(1.0), F.length("line") / F.lit(float(LINE_CHARS))).alias("weight")
+    members = stored(postings.join(texts.select("id", "id2", "doc", "tie", weight), "id"), "line-members")
+    order = Window.partitionBy("key").orderBy("doc", "tie", "id", "id2")
+    leaders = stored(members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADERS), "line-leaders")
+    found = stored(_flagged(members, leaders, texts), "line-late")
+    # Under a key of no more lines than leaders nothing is left to compare.
+    full = leaders.where(F.col("place") == LEADERS).select("key")
+    large = members.join(full, "key", "left_semi")
+    open_ = large.join(found, ["id", "id2"], "left_anti")
+    return found.union(_flagged(open_, large, texts)).distinct()
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """(doc_id, equal, near): hashes of the lines that go, for each document with such."""
-    narrow = stored(_lines(docs).select("doc_id", "id", "id2"), "line-ids")
-    homes = narrow.groupBy("id", "id2").agg(F.min("doc_id").alias("home"), F.count(F.lit(1)).alias("n"))
-    pairs = stored(near_pairs(docs), "near-lines")
-    turned = pairs.select(F.col("b").alias("id"), F.col("b2").alias("id2"), F.col("a").alias("o"), F.col("a2").alias("o2"))
-    sides = pairs.toDF("id", "id2", "o", "o2").union(turned)
-    other = homes.select(F.col("id").alias("o"), F.col("id2").alias("o2"), F.coalesce("home", F.lit(2 ** 63 - 1)).alias("other"))
-    own = homes.select("id", "id2", F.coalesce("home", F.lit(2 ** 63 - 1)).alias("own"))
-    late = (sides.join(other, ["o", "o2"]).join(own, ["id", "id2"])
-            .where((F.col("other") < F.col("own")) | ((F.col("other") == F.col("own")) & (F.col("o") < F.col("id"))))
-            .select("id", "id2").distinct().withColumn("near", F.lit(True)))
-    judged = narrow.join(homes.where("n > 1").select("id", "id2", "home"), ["id", "id2"], "left").join(late, ["id", "id2"], "left")
-    equal = F.coalesce((F.col("home") < F.col("doc_id")) | (F.col("doc_id").isNull() & F.col("home").isNotNull()), F.lit(False))
+    """(doc, tie, equal, near): hashes of the lines that go, for each document with such."""
+    narrow = stored(_lines(docs).select("doc", "tie", "id", "id2"), "line-ids")
+    homes = (narrow.groupBy("id", "id2").agg(F.min(F.struct("doc", "tie")).alias("home"), F.count(F.lit(1)).alias("n")))
+    homes = stored(homes.select("id", "id2", "home.doc", "home.tie", "n"), "line-homes")
+    late = stored(late_lines(docs, homes.drop("n")), "late-lines").withColumn("near", F.lit(True))
+    again = homes.where("n > 1").select("id", "id2", F.struct("doc", "tie").alias("home"))
+    judged = narrow.join(again, ["id", "id2"], "left").join(late, ["id", "id2"], "left")
+    equal = F.coalesce(F.col("home") < F.struct("doc", "tie"), F.lit(False))
     return (judged.withColumn("gone", equal).where(F.col("gone") | F.col("near"))
-            .groupBy("doc_id").agg(F.collect_list(F.when(F.col("gone"), F.col("id"))).alias("equal"),
-                                   F.collect_list(F.when(~F.col("gone"), F.col("id"))).alias("near")))
+            .groupBy("doc", "tie").agg(F.collect_set(F.when(F.col("gone"), F.col("id"))).alias("equal"),
+                                       F.collect_set(F.when(~F.col("gone"), F.col("id"))).alias("near")))
 
 
 def _cleaned(text: pd.Series, equal: pd.Series, near: pd.Series) -> pd.DataFrame:
@@ -278,16 +344,19 @@ def dedup(docs: DataFrame) -> DataFrame:
     Lines are what \\n separates; `removed` has the numbers, from 0, of those that went. Lines of
     nothing but spaces are kept and not counted. A line again in the same document goes as equal.
     Reads doc_id and text; other columns pass through, except that the added ones replace columns
-    of the same name. A null text stays null and has no lines. Rows with the same doc_id (null is
-    one, after all others) are one document: their lines are no copies of each other's. An empty
-    table gives no rows.
+    of the same name. A null text stays null and has no lines. Rows with the same doc_id are one
+    document: their lines are no copies of each other's. Rows without one come after all others, and
+    are one document if their texts are equal. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    gone = removals(docs).withColumnRenamed("doc_id", "gone_id")
+    gone = removals(docs)
     added = ["n_lines", "n_equal", "n_near", "removed"]
     passed = [c for c in docs.columns if c.lower() not in added]
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in passed]).alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
-    joined = given.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
+    text = F.col("text").cast("string")
+    tie = F.when(F.col("doc_id").isNull(), F.coalesce(F.xxhash64(text), F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in passed]).alias("row"), text.alias("text"), tie.alias("tie"),
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"))
+    joined = given.join(gone, ["doc", "tie"], "left")
     clean = F.pandas_udf(_cleaned, "text string, n_lines long, n_equal long, n_near long, removed array<int>")
     done = joined.withColumn("new", clean("text", "equal", "near"))
     columns = [F.col("new.text").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in passed]
