@@ -166,7 +166,7 @@ def test_banded_distance():
 def test_segments_meet_for_every_close_pair():
     rnd = random.Random(4)
     for by_words in (False, True):
-        for size in [*range(20, 90, 3), 240, 250, 300, 640, 700] * 6:
+        for size in [*range(20, 90, 3), 240, 250, 300, 619, 620, 640, 700] * 6:
             a = tuple(rnd.choice("abc") for _ in range(size))
             b, most = list(a), line_dedup.allowed(by_words, size)
             for _ in range(rnd.randint(1, most)):

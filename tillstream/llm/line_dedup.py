@@ -1,9 +1,9 @@
 """Line dedup by a segment-partition edit join.
 
 Two lines are copies if they are equal, or if few edits turn one into the other. A line of at least
-`MIN_WORDS` words is a sequence of words, and may differ by one word in `WORDS_AN_EDIT`; any other
-line is a sequence of characters, and may differ by one in `CHARS_AN_EDIT`. Only lines of the same
-kind are compared, by the length of the shorter, and by `MOST` edits at most. A line that may differ
+`MIN_WORDS` words is a sequence of words, and may differ by one word, or by one in `WORDS_AN_EDIT` if
+that is more; any other line is a sequence of characters, and may differ by one in `CHARS_AN_EDIT`.
+Only lines of the same kind are compared, by the length of the shorter, and by `MOST` edits at most. A line that may differ
 by k edits is cut into k + 1 segments; one of them is untouched in its copy, at a place that the
 lengths and the segment's number bound. So a line leaves its segments in an index, and probes it
 with the substrings, at each place, that can match. Lines that meet are verified by edit distance
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.common import small_batches, stored
 
-MIN_WORDS, WORDS_AN_EDIT, CHARS_AN_EDIT = 8, 8, 20
-# A band of 2 * 31 + 1 diagonals; reached at 248 words, or 620 characters without enough words.
+MIN_WORDS, WORDS_AN_EDIT, CHARS_AN_EDIT = 8, 20, 20
+# A band of 2 * 31 + 1 diagonals; reached at 620 words, or 620 characters of a line with few words.
 MOST = 31
 # Earliest lines of a group that every line of it meets first.
 LEADERS = 16
@@ -53,16 +53,19 @@ def symbols(line: str) -> tuple[bool, Sequence[str]]:
 
 def allowed(by_words: bool, length: int) -> int:
     """Edits between lines of which the shorter has this many symbols."""
-    return min(MOST, length // (WORDS_AN_EDIT if by_words else CHARS_AN_EDIT))
+    if by_words:
+        return min(MOST, max(1, length // WORDS_AN_EDIT))
+    return min(MOST, length // CHARS_AN_EDIT)
 
 
 def geometry(by_words: bool, length: int) -> tuple[int, int, int]:
     """(edits, size of a segment, least length) of the lines that are cut like one of this length."""
-    rate, edits = WORDS_AN_EDIT if by_words else CHARS_AN_EDIT, allowed(by_words, length)
-    if edits < MOST:
-        return edits, rate * edits // (edits + 1), rate * edits
-    size = length // (edits + 1)
-    return edits, size, max(size * (edits + 1), rate * MOST)
+    edits = allowed(by_words, length)
+    size = least = length // (edits + 1)
+    least *= edits + 1
+    while allowed(by_words, least) < edits:
+        least += 1
+    return edits, size, least
 
 
 def places(by_words: bool, length: int) -> list[tuple[int, int, int, int]]:
@@ -78,7 +81,7 @@ def places(by_words: bool, length: int) -> list[tuple[int, int, int, int]]:
     while shorter > 0:
         edits, size, least = geometry(by_words, shorter)
         longest_gap = min(length - least, edits)
-        if not edits or length - shorter > edits:
+        if not edits or length - shorter > edits or by_words and shorter < MIN_WORDS:
             break
         seed = ((edits * 2 + by_words) << 32) + size
         for i in range(edits + 1):
@@ -154,14 +157,20 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def met(docs: DataFrame) -> DataFrame:
-    """(key, id, role): the postings under keys that an index row and a probe of another line share."""
+    """(key, id, role): lines that are to be compared, an index row with a probe of the same key.
+
+    Those are the postings under segments that an index row and a probe of another line share. All
+    segments that the same lines share are one key: the hashes of these lines together.
+    """
     texts = docs.select(F.col("text").cast("string").alias("text"))
     posted = texts.mapInPandas(_post, "key long, id long, role int")
     # A line comes at most once from each task; one exchange by key serves all that follows.
     once = posted.repartition("key").groupBy("key", "id").agg(F.bit_or("role").alias("role"))
     key = Window.partitionBy("key")
-    return (once.withColumns({"roles": F.bit_or("role").over(key), "low": F.min("id").over(key), "high": F.max("id").over(key)})
-            .where((F.col("roles") == INDEX | PROBE) & (F.col("low") < F.col("high"))).select("key", "id", "role"))
+    same = F.bit_xor(F.xxhash64("id", "role")).over(key)
+    return (once.withColumns({"roles": F.bit_or("role").over(key), "low": F.min("id").over(key), "high": F.max("id").over(key), "same": same})
+            .where((F.col("roles") == INDEX | PROBE) & (F.col("low") < F.col("high")))
+            .select(F.col("same").alias("key"), "id", "role").distinct())
 
 
 def banded(first: Sequence[Sequence], second: Sequence[Sequence], most: int) -> np.ndarray:
@@ -211,29 +220,55 @@ def _distance(a: Sequence, b: Sequence, most: int) -> int:
     return min(lowest, most + 1)
 
 
-def _flag(block: pd.DataFrame) -> pd.DataFrame:
-    """(id, id2) of the tested lines of a block that have an earlier close copy in it."""
-    block = block.sort_values(["doc", "tie", "id", "id2"], kind="stable")
-    parts = [symbols(line) for line in block["line"]]
-    kind = np.array([k for k, _ in parts])
-    size = np.array([len(p) for _, p in parts])
-    role = block["role"].to_numpy()
-    evidence, tested = block["evidence"].to_numpy(), np.nonzero(block["tested"].to_numpy())[0]
-    # How many symbols of each of eight kinds a line has: an edit changes two of the counts by one.
-    counts = np.array([np.bincount([hash(x) & 7 for x in p], minlength=8) for _, p in parts], np.int32)
+# Rows of a block from which on candidates are sifted as arrays.
+MANY = 64
+
+
+def _late(rows: list[tuple]) -> list[tuple[int, int]]:
+    """(id, id2) of the tested lines of a block, in order, that have an earlier close copy in it.
+
+    Rows are (id, id2, role, tested, evidence, line).
+    """
+    parts = [symbols(row[5]) for row in rows]
+    if len(rows) >= MANY:
+        kind, size, role = np.array([k for k, _ in parts]), np.array([len(p) for _, p in parts]), np.array([r[2] for r in rows])
+        evidence = np.array([r[4] for r in rows])
+        # How many symbols of each of eight kinds a line has: an edit changes two of the counts by one.
+        counts = np.array([np.bincount([hash(x) & 7 for x in p], minlength=8) for _, p in parts], np.int32)
     gone = []
-    for at in tested:
+    for at, (id_, id2, own_role, tested, _, _) in enumerate(rows):
+        if not tested:
+            continue
         by_words, own = parts[at]
-        earlier = np.nonzero(evidence[:at] & (kind[:at] == by_words) & ((role[:at] | role[at]) == INDEX | PROBE)
-                             & (np.abs(size[:at] - size[at]) <= MOST))[0]
-        gaps = np.abs(counts[earlier] - counts[at]).sum(1)
-        for other, gap in zip(earlier, gaps):
-            short, long = (own, parts[other][1]) if size[at] <= size[other] else (parts[other][1], own)
+        if len(rows) >= MANY:
+            gap = np.abs(size[:at] - size[at])
+            earlier = np.nonzero(evidence[:at] & (kind[:at] == by_words) & ((role[:at] | own_role) == INDEX | PROBE) & (gap <= MOST))[0]
+            apart = np.abs(counts[earlier] - counts[at]).sum(1)
+            earlier = earlier[apart <= 2 * allowed(by_words, len(own))]
+        else:
+            earlier = [k for k in range(at) if rows[k][4] and rows[k][2] | own_role == INDEX | PROBE and parts[k][0] == by_words]
+        for k in earlier:
+            other = parts[k][1]
+            short, long = (own, other) if len(own) <= len(other) else (other, own)
             most = allowed(by_words, len(short))
-            if gap <= 2 * most and _distance(short, long, most) <= most:
-                gone.append(at)
+            if _distance(short, long, most) <= most:
+                gone.append((id_, id2))
                 break
-    return block.iloc[gone][["id", "id2"]]
+    return gone
+
+
+def _by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held: list[tuple] = []
+    current, names = None, ["key", "low", "high", "id", "id2", "role", "tested", "evidence", "line"]
+    for batch in batches:
+        gone = []
+        for key, low, high, *row in zip(*(batch[n].tolist() for n in names)):
+            if (key, low, high) != current:
+                gone += _late(held)
+                held, current = [], (key, low, high)
+            held.append(tuple(row))
+        yield pd.DataFrame(gone, columns=["id", "id2"], dtype="int64")
+    yield pd.DataFrame(_late(held), columns=["id", "id2"], dtype="int64")
 
 
 def _flagged(tested: DataFrame, evidence: DataFrame, texts: DataFrame) -> DataFrame:
@@ -263,20 +298,8 @@ def _flagged(tested: DataFrame, evidence: DataFrame, texts: DataFrame) -> DataFr
               .agg(F.max("tested").alias("tested"), F.max("evidence").alias("evidence")))
     with_text = placed.join(texts.select("id", "id2", "doc", "tie", "line"), ["id", "id2"])
 
-    def by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, current = [], None
-        for batch in batches:
-            for at, part in batch.groupby(block, sort=False):
-                if at != current and held:
-                    yield _flag(pd.concat(held, ignore_index=True))
-                    held = []
-                current = at
-                held.append(part)
-        if held:
-            yield _flag(pd.concat(held, ignore_index=True))
-
-    return (with_text.repartition(*block).sortWithinPartitions(*block)
-            .mapInPandas(by_block, "id long, id2 long").distinct())
+    return (with_text.repartition(*block).sortWithinPartitions(*block, "doc", "tie", "id", "id2")
+            .mapInPandas(_by_block, "id long, id2 long").distinct())
 
 
 def late_lines(docs: DataFrame, homes: DataFrame) -> DataFrame:
