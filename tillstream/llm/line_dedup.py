@@ -35,7 +35,7 @@ LEADERS = 16
 BLOCK, LINE_CHARS = 2048, 200
 # Before texts are moved for verification, lines that no candidate needs are mostly left out: a
 # table of at most so many hash values tells them.
-SIEVE = 1 << 17
+SIEVE = 1 << 20
 # Lines a task remembers to leave its postings once; at the bound it starts anew.
 SEEN = 500_000
 # Rows a batch that leaves Python.
@@ -167,10 +167,9 @@ def met(docs: DataFrame) -> DataFrame:
     # A line comes at most once from each task; one exchange by key serves all that follows.
     once = posted.repartition("key").groupBy("key", "id").agg(F.bit_or("role").alias("role"))
     key = Window.partitionBy("key")
-    same = F.bit_xor(F.xxhash64("id", "role")).over(key)
-    return (once.withColumns({"roles": F.bit_or("role").over(key), "low": F.min("id").over(key), "high": F.max("id").over(key), "same": same})
-            .where((F.col("roles") == INDEX | PROBE) & (F.col("low") < F.col("high")))
-            .select(F.col("same").alias("key"), "id", "role").distinct())
+    shared = (once.withColumns({"roles": F.bit_or("role").over(key), "low": F.min("id").over(key), "high": F.max("id").over(key)})
+              .where((F.col("roles") == INDEX | PROBE) & (F.col("low") < F.col("high"))))
+    return shared.select(F.bit_xor(F.xxhash64("id", "role")).over(key).alias("key"), "id", "role").distinct()
 
 
 def banded(first: Sequence[Sequence], second: Sequence[Sequence], most: int) -> np.ndarray:
@@ -306,21 +305,23 @@ def late_lines(docs: DataFrame, homes: DataFrame) -> DataFrame:
     """(id, id2) of the lines that have an earlier close copy; `homes` has (id, id2, doc, tie)."""
     postings = stored(met(docs), "line-postings")
     ids = stored(postings.select("id").distinct(), "line-met")
+    wanted = stored(homes.join(ids, "id", "left_semi"), "line-wanted")
     slot = F.pmod("id", F.lit(SIEVE)).alias("slot")
     sieve = ids.select(slot).distinct()  # at most SIEVE rows
-    sifted = _lines(docs).select("id", "id2", "line", slot).join(F.broadcast(sieve), "slot", "left_semi")
-    texts = sifted.join(ids, "id", "left_semi").select("id", "id2", "line").dropDuplicates(["id", "id2"])
-    texts = stored(texts.join(homes, ["id", "id2"]), "line-texts")
+    sifted = _lines(docs).select("id", "id2", "line", slot).join(F.broadcast(sieve), "slot", "left_semi").drop("slot")
+    texts = stored(sifted.dropDuplicates(["id", "id2"]).join(wanted, ["id", "id2"]), "line-texts")
     weight = F.greatest(F.lit(1.0), F.length("line") / F.lit(float(LINE_CHARS))).alias("weight")
     members = stored(postings.join(texts.select("id", "id2", "doc", "tie", weight), "id"), "line-members")
     order = Window.partitionBy("key").orderBy("doc", "tie", "id", "id2")
     leaders = stored(members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADERS), "line-leaders")
     found = stored(_flagged(members, leaders, texts), "line-late")
-    # Under a key of no more lines than leaders nothing is left to compare.
+    # A leader has met all that are earlier, and so has every line of a key without other lines.
     full = leaders.where(F.col("place") == LEADERS).select("key")
-    large = members.join(full, "key", "left_semi")
-    open_ = large.join(found, ["id", "id2"], "left_anti")
-    return found.union(_flagged(open_, large, texts)).distinct()
+    unsettled = (members.join(full, "key", "left_semi").join(leaders, ["key", "id", "id2"], "left_anti")
+                 .join(found, ["id", "id2"], "left_anti"))
+    unsettled = stored(unsettled, "line-unsettled")
+    rest = members.join(unsettled.select("key").distinct(), "key", "left_semi")
+    return found.union(_flagged(unsettled, rest, texts)).distinct()
 
 
 def removals(docs: DataFrame) -> DataFrame:
