@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm_rows import banded_reference, jaccard_classes, make, odd, prose  # noqa: F401
 
@@ -178,6 +179,23 @@ def test_segments_meet_for_every_close_pair():
                 assert left & {(s, b[x:y]) for s, x, y, role in line_dedup.places(by_words, len(b)) if role & line_dedup.PROBE}
 
 
+def test_shared_segments_do_not_depend_on_the_batches():
+    rnd = random.Random(3)
+    for _ in range(300):
+        rows = sorted({(rnd.randint(0, 5), -rnd.choice((2, 3)), rnd.randint(0, 3)) for _ in range(rnd.randint(0, 14))})
+        rows = [(k, i, -r) for k, r, i in rows for _ in range(rnd.randint(1, 2))]  # tasks repeat a line
+        groups = defaultdict(set)
+        for k, i, r in rows:
+            groups[k].add((i, r))
+        wanted = {(k, i) for k, g in groups.items() if any(r & line_dedup.INDEX for _, r in g) and len({i for i, _ in g}) > 1
+                  for i, _ in g}
+        cuts = sorted(rnd.randint(0, len(rows)) for _ in range(3))
+        parts = [pd.DataFrame(rows[a:b], columns=["key", "id", "role"]).astype({"key": "int64", "id": "int64", "role": "int32"})
+                 for a, b in zip([0, *cuts], [*cuts, len(rows)])]
+        got = {(k, i) for out in line_dedup._shared(iter(parts)) for k, i in zip(out["key"], out["id"])}
+        assert got == wanted
+
+
 def removed_lines(rows):
     """Numbers of the lines that go, by comparing all pairs of lines. Rows: (doc_id, text)."""
     homes = {}

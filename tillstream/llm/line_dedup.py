@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import small_batches, stored
+from tillstream.llm.common import batches_of, small_batches, stored
 
 MIN_WORDS, WORDS_AN_EDIT, CHARS_AN_EDIT = 8, 20, 20
 # A band of 2 * 31 + 1 diagonals; reached at 620 words, or 620 characters of a line with few words.
@@ -38,11 +38,14 @@ BLOCK, LINE_CHARS = 2048, 200
 SIEVE = 1 << 20
 # Lines a task remembers to leave its postings once; at the bound it starts anew.
 SEEN = 500_000
+# Rows a batch on the way to the index; Spark also bounds its bytes.
+POSTINGS = 5000
 # Rows a batch that leaves Python.
 ROWS = 100_000
 SEED = 42  # of the engine's xxhash64
 NO_ID = 2 ** 63 - 1
 INDEX, PROBE = 1, 2
+POSTING = "key long, id long, role int"
 
 
 def symbols(line: str) -> tuple[bool, Sequence[str]]:
@@ -109,39 +112,88 @@ def _post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import xxhash
     digest = xxhash.xxh64_intdigest
     seen: set[int] = set()
-    left: dict[tuple[bool, int], list] = {}
+    left: dict[tuple[bool, int], tuple[list, np.ndarray]] = {}
     keys, ids, roles = [], [], []
     for batch in batches:
         for text in batch["text"]:
             for line in (text or "").split("\n"):
-                by_words, parts = symbols(line)
-                if not allowed(by_words, len(parts)):
+                whole = line.encode("utf-8", "surrogatepass")
+                words = whole.count(b" ") + 1
+                kind = (True, words) if words >= MIN_WORDS else (False, len(line))
+                if not allowed(*kind):
                     continue
-                own = digest(line.encode("utf-8", "surrogatepass"), SEED)
+                own = digest(whole, SEED)
                 if own in seen:
                     continue
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(own)
-                kind = by_words, len(parts)
                 if kind not in left:
                     if len(left) >= 10_000:
                         left.clear()
-                    left[kind] = places(*kind)
-                for seed, a, b, role in left[kind]:
-                    part = " ".join(parts[a:b]) if by_words else parts[a:b]
-                    keys.append(digest(part.encode("utf-8", "surrogatepass"), seed))
-                    ids.append(own)
-                    roles.append(role)
+                    found = places(*kind)
+                    left[kind] = [at[:3] for at in found], np.array([role for *_, role in found], np.int32)
+                cuts, own_roles = left[kind]
+                if kind[0]:
+                    # Where each word begins among the bytes; a word ends one before the next begins.
+                    spaces = np.flatnonzero(np.frombuffer(whole, np.uint8) == 32)
+                    starts = [0, *(spaces + 1).tolist(), len(whole) + 1]
+                    keys += [digest(whole[starts[a]:starts[b] - 1], seed) for seed, a, b in cuts]
+                else:
+                    keys += [digest(line[a:b].encode("utf-8", "surrogatepass"), seed) for seed, a, b in cuts]
+                ids.append(own)
+                roles.append(own_roles)
             if len(keys) >= ROWS:
                 yield _rows(keys, ids, roles)
                 keys, ids, roles = [], [], []
-    yield _rows(keys, ids, roles)
+    if keys:
+        yield _rows(keys, ids, roles)
 
 
-def _rows(keys: list[int], ids: list[int], roles: list[int]) -> pd.DataFrame:
-    return pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "id": np.array(ids, np.uint64).view(np.int64),
-                         "role": np.array(roles, np.int32)})
+def _rows(keys: list[int], ids: list[int], roles: list[np.ndarray]) -> pd.DataFrame:
+    id_ = np.repeat(np.array(ids, np.uint64).view(np.int64), [len(r) for r in roles])
+    return pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "id": id_, "role": np.concatenate(roles)})
+
+
+def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows, sorted by key, role downwards and id, of the keys with an index row and a row of another line.
+
+    A segment is also a probe, at its own place, so a key's first row tells if it is in the index.
+    Of the key that goes on into the next batch only that first row and whether another line has
+    come are held, whatever the number of its rows.
+    """
+    key = first = None  # of the last batch's last key: its first line, or none if it is not in the index
+    shared, last = False, ()
+    for batch in batches:
+        rows = [batch[c].to_numpy() for c in ("key", "id", "role")]
+        # Every task that has a line leaves its rows: one of them is enough.
+        again = np.zeros(len(batch), bool)
+        again[1:] = np.logical_and.reduce([r[1:] == r[:-1] for r in rows])
+        again[:1] = tuple(r[0] for r in rows if len(r)) == last
+        batch = batch[~again]
+        if not len(batch):
+            continue
+        keys, ids, roles = (r[~again] for r in rows)
+        last = keys[-1], ids[-1], roles[-1]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        sizes = np.diff(np.r_[starts, len(keys)])
+        firsts, indexed = ids[starts], roles[starts] & INDEX > 0
+        waiting = None
+        if key is not None and keys[0] == key:
+            indexed[0] = first is not None
+            firsts[0] = first if first is not None else 0
+            waiting = first if first is not None and not shared else None
+        others = np.add.reduceat((ids != np.repeat(firsts, sizes)).astype(np.int64), starts) > 0
+        if key is not None and keys[0] == key:
+            others[0] |= shared
+        good = indexed & others
+        out = batch[np.repeat(good, sizes)]
+        # The first line of a key whose other lines come in a later batch is one row, left then.
+        if waiting is not None and good[0]:
+            out = pd.concat([out, pd.DataFrame({"key": [key], "id": [waiting], "role": np.array([INDEX | PROBE], np.int32)})])
+        key, first, shared = keys[-1], firsts[-1] if indexed[-1] else None, bool(others[-1])
+        if len(out):
+            yield out
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -163,13 +215,11 @@ def met(docs: DataFrame) -> DataFrame:
     segments that the same lines share are one key: the hashes of these lines together.
     """
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    posted = texts.mapInPandas(_post, "key long, id long, role int")
-    # A line comes at most once from each task; one exchange by key serves all that follows.
-    once = posted.repartition("key").groupBy("key", "id").agg(F.bit_or("role").alias("role"))
-    key = Window.partitionBy("key")
-    shared = (once.withColumns({"roles": F.bit_or("role").over(key), "low": F.min("id").over(key), "high": F.max("id").over(key)})
-              .where((F.col("roles") == INDEX | PROBE) & (F.col("low") < F.col("high"))))
-    return shared.select(F.bit_xor(F.xxhash64("id", "role")).over(key).alias("key"), "id", "role").distinct()
+    # The rows of a key come together, those of the index first; few keys are shared, so little leaves.
+    posted = texts.mapInPandas(_post, POSTING).repartition("key").sortWithinPartitions("key", F.desc("role"), "id")
+    shared = posted.mapInPandas(_shared, POSTING).groupBy("key", "id").agg(F.bit_or("role").alias("role"))
+    same = F.bit_xor(F.xxhash64("id", "role")).over(Window.partitionBy("key"))
+    return shared.select(same.alias("key"), "id", "role").distinct()
 
 
 def banded(first: Sequence[Sequence], second: Sequence[Sequence], most: int) -> np.ndarray:
@@ -303,7 +353,8 @@ def _flagged(tested: DataFrame, evidence: DataFrame, texts: DataFrame) -> DataFr
 
 def late_lines(docs: DataFrame, homes: DataFrame) -> DataFrame:
     """(id, id2) of the lines that have an earlier close copy; `homes` has (id, id2, doc, tie)."""
-    postings = stored(met(docs), "line-postings")
+    with batches_of(docs.sparkSession, POSTINGS):
+        postings = stored(met(docs), "line-postings")
     ids = stored(postings.select("id").distinct(), "line-met")
     wanted = stored(homes.join(ids, "id", "left_semi"), "line-wanted")
     slot = F.pmod("id", F.lit(SIEVE)).alias("slot")
@@ -317,10 +368,10 @@ def late_lines(docs: DataFrame, homes: DataFrame) -> DataFrame:
     found = stored(_flagged(members, leaders, texts), "line-late")
     # A leader has met all that are earlier, and so has every line of a key without other lines.
     full = leaders.where(F.col("place") == LEADERS).select("key")
-    unsettled = (members.join(full, "key", "left_semi").join(leaders, ["key", "id", "id2"], "left_anti")
-                 .join(found, ["id", "id2"], "left_anti"))
+    unsettled = (members.join(found, ["id", "id2"], "left_anti").join(leaders, ["key", "id", "id2"], "left_anti")
+                 .join(full, "key", "left_semi"))
     unsettled = stored(unsettled, "line-unsettled")
-    rest = members.join(unsettled.select("key").distinct(), "key", "left_semi")
+    rest = stored(members.join(unsettled.select("key").distinct(), "key", "left_semi"), "line-rest")
     return found.union(_flagged(unsettled, rest, texts)).distinct()
 
 
