@@ -189,6 +189,17 @@ refunded AS (SELECT {_text('l_orderkey * 10 + l_linenumber')} AS id, {_text('l_s
     LEFT JOIN dic a ON l_returnflag = a.code LEFT JOIN dic b ON l_linestatus = b.code
   WHERE l_returnflag = 'R')"""
 
+# On a stream a refund meets its order's update within 400 days, or comes without one when the
+# watermark, the lesser of both sides', is past that.
+REFUNDS_IN_SPAN = """marked AS (SELECT r.* REPLACE (CASE WHEN o.o_orderkey IS NOT NULL THEN province_id END AS province_id),
+    o.o_orderkey IS NOT NULL AS met
+  FROM refunded r LEFT JOIN orders o ON r.order_id = CAST(o.o_orderkey AS VARCHAR) AND o.o_orderstatus = 'P'
+    AND r.l_shipdate BETWEEN o.o_orderdate + INTERVAL 60 SECOND - INTERVAL 400 DAY
+      AND o.o_orderdate + INTERVAL 60 SECOND + INTERVAL 400 DAY),
+come AS (SELECT * FROM marked WHERE met OR l_shipdate + INTERVAL 400 DAY < least(
+    (SELECT max(l_shipdate) FROM lineitem WHERE l_returnflag = 'R'),
+    (SELECT max(o_orderdate) + INTERVAL 60 SECOND FROM orders WHERE o_orderstatus = 'P')) - INTERVAL 2 SECOND)"""
+
 # -- lookups ---------------------------------------------------------------------
 
 SKU = """sku AS (SELECT CAST(p_partkey AS VARCHAR) AS sku_id, p_type AS spu_id,
@@ -325,6 +336,30 @@ def _stream_sql() -> dict[str, str]:
               CAST(sum(is_new) AS BIGINT) AS order_new_user_count, {_sum('activity')} AS order_activity_reduce_amount,
               {_sum('coupon')} AS order_coupon_reduce_amount, {_sum('amount')} AS order_original_total_amount
             FROM open WHERE {_closed(TEN_S, THIRTY_DAYS, 'open')} GROUP BY ALL""",
+        "stream_home_detail_window": f"""WITH {PAGES}, {PAGE_FIRSTS}, f AS (SELECT v.ts AS ts, page_id FROM firsts)
+            SELECT {_bounds('ts', HOUR)}, count(*) FILTER (page_id = 'home') AS home_uv_ct,
+              count(*) FILTER (page_id <> 'home') AS good_detail_uv_ct
+            FROM f WHERE {_closed(HOUR, 2000, 'page_log')} GROUP BY ALL""",
+        "stream_cart_window": f"""WITH {CARTS}, m AS (SELECT user_id, epoch_ms(date_trunc('second', moment)) AS ts,
+              CAST(moment AS DATE) AS d FROM carts), f AS (SELECT user_id, min(ts) AS ts FROM m GROUP BY user_id, d)
+            SELECT {_bounds('ts', HOUR)}, count(*) AS cart_add_uu_ct
+            FROM f WHERE {_closed(HOUR, 2000, 'm')} GROUP BY ALL""",
+        "stream_payment_window": f"""WITH {PAID}, p AS (SELECT user_id, CAST(paid_at AS DATE) AS d,
+              epoch_ms(paid_at) AS ts FROM paid
+              WHERE l_shipdate BETWEEN paid_at - INTERVAL 400 DAY AND paid_at + INTERVAL 400 DAY),
+            u AS (SELECT user_id, d, min(ts) AS ts FROM p GROUP BY ALL),
+            n AS (SELECT user_id, min(d) AS d FROM u GROUP BY user_id)
+            SELECT {_bounds('ts', DAY)}, count(*) AS payment_suc_unique_user_count,
+              count(n.d) AS payment_suc_new_user_count
+            FROM u LEFT JOIN n ON u.user_id = n.user_id AND u.d = n.d
+            WHERE {_closed(DAY, 2000, 'p')} GROUP BY ALL""",
+        "stream_order_refunds": f"""WITH {REFUNDS}, {REFUNDS_IN_SPAN}
+            SELECT * EXCLUDE (l_shipdate, l_partkey, met) FROM come""",
+        "stream_refund_window": f"""WITH {REFUNDS}, {REFUNDS_IN_SPAN}, {SKU},
+            f AS (SELECT DISTINCT epoch_ms(l_shipdate) AS ts, id, sku_id AS sku, user_id FROM come)
+            SELECT {_bounds('ts', DAY)}, {CHAIN}, user_id, count(*) AS refund_count
+            FROM f LEFT JOIN sku ON f.sku = sku.sku_id
+            WHERE {_closed(DAY, 2000, 'f')} GROUP BY ALL""",
         "stream_late_rows": f"""WITH {PAGES} SELECT {_bounds('ts', HOUR)}, count(*) AS pv_ct
             FROM page_log WHERE {_closed(HOUR, 2000, 'page_log')} GROUP BY ALL""",
     }
