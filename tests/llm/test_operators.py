@@ -332,6 +332,52 @@ def test_license_scan(make, odd):
     assert len(licenses.SIGNATURES) > 200 and licenses.scan(odd).count() == odd.count()
 
 
+# Sentences as people write them, and the label that each must get.
+LICENSED = [
+    ("You may use this under GPLv3", "gpl-3"), ("released under LGPL 2.1", "lgpl-2.1"), ("This work is BSD licensed", "bsd"),
+    ("Licence MIT", "mit"), ("License: MPL 2.0", "mpl-2.0"), ("It is MIT-licensed.", "mit"), ("licensed under the EPL 2.0", "epl-2.0"),
+    ("GPL v2 or later", "gpl-2-or-later"), ("AGPL version 3", "agpl-3"), ("All of it is GPL.", "gpl"), ("License: Apache 2.0", "apache-2.0"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License", "gpl"),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", "gpl-2.0-with-classpath-exception"),
+    ("Apache License v2.0 with LLVM Exceptions", "apache-2.0-with-llvm-exception"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    ("Redistributions of source code must retain the above copyright notice", "bsd"), ("Licensed under CDDL 1.0", "cddl-1.0"),
+    ("The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", "mit"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"), ("License is ISC", "isc"),
+    ("Everyone is permitted to copy and distribute verbatim or modified copies of this license document", "wtfpl"),
+    ("GNU Lesser General Public License, version 2.1 or later", "lgpl-2.1-or-later"), ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+]
+UNLICENSED = ["A driving licence is needed here.", "The mit of the epl is at mpl 2.", "Permission was hereby denied.", "copyright office", "gplus"]
+
+
+def test_licenses_as_people_write_them(make):
+    got = by_id(licenses.scan(make(*enumerate([*[t for t, _ in LICENSED], *UNLICENSED]))))
+    assert [label for k, (_, label) in enumerate(LICENSED) if label not in got[k]["labels"].split(",")] == []
+    assert [got[k]["labels"] for k in range(len(LICENSED), len(got))] == [""] * len(UNLICENSED)
+
+
+def license_reference(text):
+    """(labels, score) by every rule on its own and all pairs of detections."""
+    plain = " " + re.sub(licenses.GAP, " ", text.translate(str.maketrans(licenses.UPPER, licenses.LOWER))).strip() + " "
+    found = []
+    for k, (label, keyword, pattern, priority) in enumerate(licenses.SIGNATURES):
+        for m in re.finditer(f"(?<= )(?:{pattern})(?= )", plain) if keyword in plain else ():
+            first = plain[:m.start()].count(" ") - 1
+            found.append((first, -first - m[0].count(" "), priority, k, label))
+    stay = [d for d in found if not any(e < d and e[1] <= d[1] and e[2] <= d[2] for e in found)]
+    base = {label for phrase, label in licenses.BASE if f" {phrase} " in plain}
+    return ",".join(sorted(base | {d[4] for d in stay})), max([licenses.TRUST[d[2]] for d in stay], default=0.0)
+
+
+def test_license_scan_is_that_of_all_rules(make):
+    rnd = random.Random(11)
+    parts = [*[t for t, _ in LICENSED], *UNLICENSED, *[p for p, _ in licenses.BASE], "or later", "version 2.0", "4.0", "GNU", "licensed", "-", "\n"]
+    texts = [rnd.choice((" ", ". ", "\n")).join(rnd.choice(parts) for _ in range(rnd.randint(0, 7))) for _ in range(250)]
+    got = by_id(licenses.scan(make(*enumerate(texts))))
+    for k, text in enumerate(texts):
+        assert (got[k]["labels"], got[k]["score"]) == license_reference(text), text
+
+
 def test_every_signature_holds_a_gate_word_and_its_keyword():
     for label, keyword, pattern, _ in licenses.SIGNATURES:
         sample = re.sub(r"licen\[sc\]e", "license", pattern)

@@ -7,7 +7,8 @@ license inside its full citation doesn't count again; those that only overlap al
 
 Rules are written per license family: its name, its short name, its versions. Templates make the
 signatures from these, from the strongest to the weakest: SPDX tags, a name with version and "or
-later", a name with version, grants that name the license, the name alone, the short name.
+later", a name with version, grants that name the license, the name alone, the short name. Notices,
+sentences of the licenses' own texts and exceptions are rules of their own.
 """
 
 from __future__ import annotations
@@ -30,6 +31,11 @@ BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("c
 GATES = ["licen", "cc by", "cc0", "creative commons", "creativecommons", "public domain", "copyleft",
          "gpl", "all rights reserved", "copyright", "redistribution", "wtfpl", "express or implied", "permission is hereby",
          "permission to use", "source agreement"]
+# Labels that people use as a name: "MPL licensed", "License: MIT", "licensed under EPL 2.0". Those of
+# BARE also stand alone: "GPLv3", "LGPL 2.1".
+CALLED = ["gpl", "lgpl", "agpl", "mpl", "epl", "cddl", "eupl", "apache", "mit", "isc", "bsd", "bsd 2 clause", "bsd 3 clause",
+          "zlib", "wtfpl", "unlicense", "cecill"]
+BARE = ["gpl", "lgpl", "agpl"]
 
 # (label, keyword, name, short name, versions); names are patterns over words.
 FAMILIES = [
@@ -139,6 +145,33 @@ SINGLE = [
     ("mpl-2.0", "mozilla", "mozilla org mpl 2 0 licen[sc]e", 0),
     ("mit", "opensource", "opensource org licen[sc]es mit", 0),
     ("bsd-3-clause", "opensource", "opensource org licen[sc]es bsd 3 clause", 0),
+    # Notices and sentences of the licenses' own texts.
+    ("gpl", "free software", "free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e", 1),
+    ("lgpl", "free software", "free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e", 1),
+    ("agpl", "free software", "free software you can redistribute it and or modify it under the terms of the gnu affero general public licen[sc]e", 1),
+    ("gpl", "verbatim", "everyone is permitted to copy and distribute verbatim copies of this licen[sc]e document but changing it is not allowed", 2),
+    ("wtfpl", "verbatim", "everyone is permitted to copy and distribute verbatim or modified copies of this licen[sc]e document", 1),
+    ("gfdl", "copy distribute", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e", 1),
+    ("apache-2.0", "in compliance", "licen[sc]ed under the apache licen[sc]e version 2 0 the licen[sc]e you may not use this file except in compliance with the licen[sc]e", 0),
+    ("mpl-2.0", "source code form", "this source code form is subject to the terms of the mozilla public licen[sc]e v 2 0", 0),
+    ("mpl-1.1", "mozilla", "the contents of this file are subject to the mozilla public licen[sc]e version 1 1", 0),
+    ("epl", "accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e", 1),
+    ("cddl", "common development", "the contents of this file are subject to the terms of the common development and distribution licen[sc]e", 1),
+    ("bsl-1.0", "permission is hereby", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[sc]e", 0),
+    ("mit", "copyright", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 1),
+    ("isc", "copyright", "provided that the above copyright notice and this permission notice appear in all copies", 1),
+    ("bsd", "copyright", "redistributions of source code must retain the above copyright notice", 2),
+    ("bsd", "copyright", "redistributions in binary form must reproduce the above copyright notice", 2),
+    ("hpnd", "permission to use", "permission to use copy modify and distribute this software and its documentation for any purpose", 1),
+    ("unlicense", "public domain", "this is free and unencumbered software released into the public domain", 0),
+    ("ofl-1.1", "font software", "this font software is licen[sc]ed under the sil open font licen[sc]e version 1 1", 0),
+    ("psf", "python software", "this licen[sc]e agreement is between the python software foundation", 1),
+    # Exceptions to a license.
+    ("gpl-2.0-with-classpath-exception", "classpath", "spdx licen[sc]e identifier gpl 2 0(?: only| or later)? with classpath exception 2 0", 0),
+    ("gpl-2.0-with-classpath-exception", "classpath", "gpl ?v?2(?: 0)?(?: only| or later)? with(?: the)? classpath exception(?: 2 0)?", 1),
+    ("gpl-3.0-with-gcc-exception", "gcc", "gpl ?v?3(?: 0)?(?: only| or later)? with(?: the)? gcc(?: runtime library)? exception(?: 3 1)?", 0),
+    ("apache-2.0-with-llvm-exception", "llvm", "apache(?: licen[sc]e)?(?: v| version)? ?v?2 0 with llvm exceptions?", 0),
+    ("gpl", "exception", "as a special exception to the gnu general public licen[sc]e", 2),
     ("commercial", "commercial licen", "commercial licen[sc]e", 4),
     ("proprietary", "proprietary licen", "proprietary licen[sc]e", 4),
 ]
@@ -157,7 +190,18 @@ def _signatures() -> list[tuple[str, str, str, int]]:
         out.append((label, keyword, f"{GRANT} {name}", 2))
         out.append((label, keyword, name, 3))
         out.append((label, keyword if keyword.split()[0] in short else short.split()[0], short, 3))
+        if tag in CALLED:
+            out.append((label, tag, f"{tag} licen[sc]ed", 3))
+            out.append((label, tag, f"licen[sc]ed? (?:is )?(?:under )?(?:the )?{tag}", 3))
+        if tag in BARE:
+            out.append((label, tag, tag, 4))
         for version in versions:
+            called = f"{tag}(?: version| v)? ?v?{version}"
+            if tag in CALLED:
+                out.append((f"{label}-{version.replace(' ', '.')}", tag, f"licen[sc]ed? (?:is )?(?:under )?(?:the )?{called}", 2))
+            if tag in BARE:
+                out.append((f"{label}-{version.replace(' ', '.')}", tag, called, 2))
+                out.append((f"{label}-{version.replace(' ', '.')}-or-later", tag, f"{called} or(?: at your option)?(?: any)? later", 1))
             numbered = f"{label}-{version.replace(' ', '.')}"
             out.append((numbered, tag, f"spdx licen[sc]e identifier {tag} {version}(?: only)?", 0))
             out.append((f"{numbered}-or-later", tag, f"spdx licen[sc]e identifier {tag} {version} or later", 0))
