@@ -162,12 +162,14 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with all their columns. Texts are scanned twice, never moved."""
-    fitted = fit(measures(docs, []).select(votes().alias("votes")))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    judged = (measures(docs.select(F.struct(*names).alias("_row"), "text"), ["_row"])
-              .withColumns({"votes": votes(), "base_failed": base_failed()})
-              # A filter isn't pushed below this number; else every use of a measure would work it out anew.
-              .withColumn("number", F.monotonically_increasing_id()))
-    good = (F.col("number") >= 0) & ~F.col("base_failed") & (posterior(fitted) >= KEEP)
-    return judged.where(good).select("_row.*")
+    """The documents that are kept, with all their columns.
+
+    Texts are measured once: rows are written with their votes, then filtered by what the votes of
+    all rows give. Odd rows are judged as `judge` does; rows without a doc_id are kept or not by their
+    texts, repeated rows all or none. An empty table gives no rows.
+    """
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    judged = stored(measures(docs.select(whole.alias("_row"), "text"), ["_row"])
+                    .select("_row", votes().alias("votes"), base_failed().alias("base_failed")), "judged")
+    kept = judged.where(~F.col("base_failed") & (posterior(fit(judged.select("votes"))) >= KEEP))
+    return kept.select(*[F.col(f"_row.c{k}").alias(c) for k, c in enumerate(docs.columns)])
