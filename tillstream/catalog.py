@@ -901,6 +901,16 @@ def stream_refund_window(spark, sf):
     return _drained(spark, windows.refunds(refunded, samples.dimensions(spark, sf), DAY), "refund_window").drop("ts")
 
 
+@query
+def stream_topic_sink(spark, sf):
+    """Favourites from a stream of raw change texts, written to a topic by the stream's own sink and read back."""
+    texts, _ = split_changes(_topic(spark, samples.changes(spark, sf, "favor_info").drop("pt"), "favours"))
+    fact, path = facts.favours(texts), work_dir(spark, "favour_topic")
+    sinks.topic_stream(fact, f"{path}/checkpoint", "text", path=f"{path}/topic") \
+        .trigger(availableNow=True).start().awaitTermination()
+    return readers.json_topic(spark, fact.schema, "text", stream=False, path=f"{path}/topic")
+
+
 @query
 def stream_home_detail_window(spark, sf):
     """Closed windows; a device's first home and detail pages of a day feed the window in one query."""

@@ -277,7 +277,7 @@ def oracle_sql() -> dict[str, str]:
             "stream_unique_visitors": "unique_visitors",
             "stream_daily_page_firsts": "daily_page_firsts",
             "stream_returning_users": "returning_users", "stream_log_pages": "log_pages",
-            "stream_paid_orders": "paid_orders_in_span",
+            "stream_paid_orders": "paid_orders_in_span", "stream_topic_sink": "favourites_added",
             "stream_dimension_sync": "dimension_sync",
             "daily_gmv_stored": "daily_gmv", "order_detail_topic": "order_detail_wide"}
     return {**tables, **{stream: tables[name] for stream, name in same.items()}, **_stream_sql()}
