@@ -778,13 +778,27 @@ def stream_traffic_window(spark, sf):
 LATE_DAYS, WAIT = 20, "30 days"
 
 
-def _fed(spark, rows: DataFrame, parts: list[Column], name: str, schema) -> DataFrame:
+def _staged(spark, rows: DataFrame, part: Column, name: str) -> DataFrame:
+    """Rows with the number of their part as `_part`, made once and kept in a folder for each part."""
+    path = work_dir(spark, f"{name}-staged")
+    rows.withColumn("_part", part.cast("int")).write.option("compression", "zstd").partitionBy("_part").parquet(path)
+    return spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_part", T.IntegerType())])).parquet(path)
+
+
+def _part_files(spark, rows: int) -> int:
+    """Files of each part of a feed: one for each core, more for more rows."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // sinks.TEXT_FILES["maxRecordsPerFile"]))
+
+
+def _fed(spark, rows: DataFrame, part: Column, parts: int, name: str, schema) -> DataFrame:
     """Rows written as JSON texts to a topic, one part after another, and read as a stream that gets
-    each part as a micro-batch of its own."""
-    path, files = work_dir(spark, name), spark.sparkContext.defaultParallelism
+    each part as a micro-batch of its own. The rows are made once, then each part is read back."""
+    staged, path = _staged(spark, rows, part, name), work_dir(spark, name)
+    sizes = {r["_part"]: r["count"] for r in staged.groupBy("_part").count().collect()}
+    files = _part_files(spark, max(sizes.values(), default=0))
     write = sinks.append_batch(path)
-    for batch_id, part in enumerate(parts):
-        write(rows.filter(part).repartition(files), batch_id)
+    for k in range(parts):
+        write(staged.filter(F.col("_part") == k).drop("_part").repartition(files), k)
     return readers.json_topic(spark, schema, "text", path=path, maxFilesPerTrigger=files)
 
 
@@ -797,8 +811,9 @@ def _version_feed(spark, sf) -> DataFrame:
     late = F.pmod(F.xxhash64("sku_id", "l_suppkey"), F.lit(LATE_DAYS + 1)).cast("int")
     day = F.date_add(F.to_date("order_create_time"), late)
     cuts = [F.lit(d).cast("date") for d in ("1994-01-01", "1995-07-01", "1997-01-01")]
-    parts = [day < cuts[0], *[(day >= a) & (day < b) for a, b in zip(cuts, cuts[1:])], day >= cuts[-1]]
-    return windows.latest_details(_fed(spark, lines, parts, "versions", lines.schema), VERSION, WAIT)
+    part = sum(((day >= cut).cast("int") for cut in cuts), F.lit(0))
+    feed = _fed(spark, lines.filter(day.isNotNull()), part, len(cuts) + 1, "versions", lines.schema)
+    return windows.latest_details(feed, VERSION, WAIT)
 
 
 @query
@@ -841,7 +856,7 @@ def stream_late_rows(spark, sf):
     cut = half.first()[0]
     again = pages.filter((F.col("ts") < cut - DAY_MS) & (F.col("event_id") % 10 == 0)).withColumn("part", F.lit(2))
     rows = pages.withColumn("part", (F.col("ts") >= cut).cast("int")).unionByName(again)
-    feed = _fed(spark, rows, [F.col("part") == k for k in range(3)], "late", rows.schema)
+    feed = _fed(spark, rows, F.col("part"), 3, "late", rows.schema)
     out = tumble(event_time(feed), [], [F.count("*").alias("pv_ct")], HOUR)
     return _drained(spark, out, "late_rows").drop("ts")
 
@@ -849,7 +864,7 @@ def stream_late_rows(spark, sf):
 def _paid_stream(spark, sf) -> DataFrame:
     path = work_dir(spark, "details")
     details = _details(spark, sf)
-    details.write.parquet(path)
+    details.write.option("compression", "zstd").parquet(path)
     rows = spark.readStream.schema(details.schema).parquet(path)
     texts = _topic(spark, samples.changes(spark, sf, "payment_info").drop("pt"), "payments")
     changes, _ = split_changes(texts)
