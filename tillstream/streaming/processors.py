@@ -1,5 +1,8 @@
 """Stateful processors. Rows of a key come unordered within a micro-batch, so each rule orders
-what it needs by `order` itself. Days arrive as a ready `_day` column (days since epoch)."""
+what it needs by `order` itself. Days arrive as a ready `_day` column (days since epoch).
+
+Every look at state is a round trip to the executor, which takes longer than the rule itself. So but
+for `Bounce` a rule is called for a bucket of keys, and reads and writes the bucket's state at once."""
 
 from __future__ import annotations
 
@@ -23,20 +26,33 @@ class _Rule(StatefulProcessor):
     def _emit(self, row: Row, **added) -> Row:
         return Row(**{c: row[c] for c in self.columns}, **added)
 
-    def _day_heads(self, rows: Iterator[Row]) -> list[Row]:
-        """The first row of each day, oldest day first. Holds one row per day."""
-        heads: dict[int, Row] = {}
-        for row in rows:
-            head = heads.get(row["_day"])
-            if head is None or _place(row, self.order) < _place(head, self.order):
-                heads[row["_day"]] = row
-        return [heads[d] for d in sorted(heads)]
-
     def close(self) -> None:
         pass
 
 
-class DaySet(_Rule):
+class _Bucket(_Rule):
+    """A rule on a bucket of keys. `keys` are (column, type) of the key columns."""
+
+    def __init__(self, keys: list[tuple[str, str]], order: list[str], columns: list[str]):
+        super().__init__(order, columns)
+        self.keys, self.key_schema = [c for c, _ in keys], ", ".join(f"`_k{i}` {t}" for i, (_, t) in enumerate(keys))
+
+    def _key(self, row: Row) -> tuple:
+        return tuple(row[c] for c in self.keys)
+
+    def _keyed(self, stored) -> dict[tuple, tuple]:
+        """Stored rows by key."""
+        n = len(self.keys)
+        return {tuple(s[:n]): tuple(s[n:]) for s in (stored.get() if stored.exists() else ())}
+
+    def _store(self, state, entries: list[tuple]) -> None:
+        if entries:
+            state.put(entries)
+        elif state.exists():
+            state.clear()
+
+
+class DaySet(_Bucket):
     """State shared by the rules that act on a key's first row of a day: the days it has had.
 
     A day is new whatever the order in which days arrive. Where rows carry event time, days before
@@ -45,27 +61,43 @@ class DaySet(_Rule):
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("days", "days array<int>")
+        self.seen = handle.getListState("days", f"{self.key_schema}, _days array<int>")
 
-    def _days(self) -> list[int]:
-        known = self.seen.get()
-        return list(known[0]) if known else []
+    def _days(self) -> dict[tuple, list[int]]:
+        return {k: list(v[0]) for k, v in self._keyed(self.seen).items()}
 
-    def _keep(self, days: list[int], timerValues) -> None:
-        days = sorted(days)
+    def _keep(self, known: dict[tuple, list[int]], changed: set[tuple], timerValues) -> None:
         passed = (timerValues.getCurrentWatermarkInMs() or 0) // DAY_MS
-        open_from = next((i for i, d in enumerate(days) if d >= passed - 1), len(days))
-        self.seen.update((days[max(0, open_from - 1):],))
+        for key in changed:
+            days = sorted(known[key])
+            open_from = next((i for i, d in enumerate(days) if d >= passed - 1), len(days))
+            known[key] = days[max(0, open_from - 1):]
+        if changed:
+            self._store(self.seen, [(*k, v) for k, v in known.items()])
+
+    def _day_heads(self, rows: Iterator[Row]) -> dict[tuple, dict[int, Row]]:
+        """The first row of each key and day. Holds one row for each."""
+        heads: dict[tuple, dict[int, Row]] = {}
+        for row in rows:
+            mine = heads.setdefault(self._key(row), {})
+            head = mine.get(row["_day"])
+            if head is None or _place(row, self.order) < _place(head, self.order):
+                mine[row["_day"]] = row
+        return heads
 
     def _new_days(self, rows: Iterator[Row], timerValues) -> Iterator[tuple[Row, list[int]]]:
-        """The first row of each day not seen before, with the days known until then."""
-        days = self._days()
-        fresh = [r for r in self._day_heads(rows) if r["_day"] not in days]
-        for row in fresh:
-            yield row, days
-            days.append(row["_day"])
-        if fresh:
-            self._keep(days, timerValues)
+        """The first row of each day not seen before, oldest day first, with the days known until then."""
+        known, changed = self._days(), set()
+        for key, heads in self._day_heads(rows).items():
+            days = known.get(key, [])
+            fresh = [d for d in sorted(heads) if d not in days]
+            for day in fresh:
+                yield heads[day], days
+                days.append(day)
+            if fresh:
+                known[key] = days
+                changed.add(key)
+        self._keep(known, changed, timerValues)
 
 
 class FirstPerDay(DaySet):
@@ -79,8 +111,8 @@ class FirstPerDay(DaySet):
 class Returning(DaySet):
     """First row of each new day, with the returning-user counter."""
 
-    def __init__(self, order: list[str], columns: list[str], away_days: int):
-        super().__init__(order, columns)
+    def __init__(self, keys: list[tuple[str, str]], order: list[str], columns: list[str], away_days: int):
+        super().__init__(keys, order, columns)
         self.away_days = away_days
 
     def _flags(self, day: int, days: list[int]) -> dict[str, int]:
@@ -107,72 +139,77 @@ class UniqueAndNew(DailyFirsts):
     """Every row, with the day's first row flagged. Only the day heads are held back."""
 
     def handleInputRows(self, key, rows, timerValues):
-        days = self._days()
-        known, heads = set(days), {}
+        known, heads = self._days(), {}
         for row in rows:
             for other in self._to_front(row, known, heads):
                 yield self._emit(other, is_unique=0, is_new=0)
-        for day in sorted(heads):
-            yield self._emit(heads[day], **self._flags(day, days))
+        changed = set()
+        for (k, day) in sorted(heads, key=lambda place: place[1]):
+            days = known.setdefault(k, [])
+            yield self._emit(heads[k, day], **self._flags(day, days))
             days.append(day)
-        if heads:
-            self._keep(days, timerValues)
+            changed.add(k)
+        self._keep(known, changed, timerValues)
 
-    def _to_front(self, row: Row, known: set[int], heads: dict[int, Row]) -> Iterator[Row]:
+    def _to_front(self, row: Row, known: dict[tuple, list[int]], heads: dict[tuple, Row]) -> Iterator[Row]:
         """Puts a row among the day heads; the row that isn't one, or no longer."""
-        head = heads.get(row["_day"])
-        if row["_day"] in known:
+        key, day = self._key(row), row["_day"]
+        head = heads.get((key, day))
+        if day in known.get(key, ()):
             yield row
         elif head is None:
-            heads[row["_day"]] = row
+            heads[key, day] = row
         elif _place(row, self.order) < _place(head, self.order):
-            heads[row["_day"]] = row
+            heads[key, day] = row
             yield head
         else:
             yield row
 
 
-class _Held(_Rule):
-    """Rules that hold a row until the watermark passes its time, so that what they emit doesn't
-    depend on the order of arrival: no earlier row can come any more. order[0] is epoch ms.
+class _HeldHeads(DaySet):
+    """The first row of each key and day, held until the watermark passes its time, so that what is
+    emitted doesn't depend on the order of arrival: no earlier row can come any more. order[0] is
+    epoch ms.
 
-    A row is due one ms early: it is on its way before the operators behind call it late.
+    A row is due one ms early: it is on its way before the operators behind call it late. A bucket has
+    one timer, of its earliest row; it goes off with all rows that are due by then, and sets the next.
     """
 
-    def __init__(self, order: list[str], columns: list[str], row_schema: str):
-        _Rule.__init__(self, order, columns)
+    def __init__(self, keys: list[tuple[str, str]], order: list[str], columns: list[str], row_schema: str):
+        DaySet.__init__(self, keys, order, columns)
         self.row_schema = row_schema
 
-    def _stored(self, row: Row) -> tuple:
-        return tuple(row[c] for c in self.columns)
-
-    def _due(self, ms: int) -> None:
-        if ms - 1 not in set(self.handle.listTimers()):
-            self.handle.registerTimer(ms - 1)
-
-
-class _HeldHeads(_Held):
-    """The first row of each day, emitted when its time has passed."""
-
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.handle = handle
-        self.seen = handle.getValueState("days", "days array<int>")
-        self.pending = handle.getMapState("heads", "day int", self.row_schema)
+        self.pending = handle.getListState("heads", f"{self.row_schema}, `_day` int")
+
+    def _heads(self) -> dict[tuple, Row]:
+        names = [*self.columns, "_day"]
+        rows = [Row(**dict(zip(names, v))) for v in (self.pending.get() if self.pending.exists() else ())]
+        return {(self._key(row), row["_day"]): row for row in rows}
+
+    def _put(self, heads: dict[tuple, Row]) -> None:
+        self._store(self.pending, [(*(row[c] for c in self.columns), day) for (_, day), row in heads.items()])
 
-    def _heads(self) -> dict[int, Row]:
-        return {k[0]: Row(**dict(zip(self.columns, v)), _day=k[0]) for k, v in self.pending.iterator()} \
-            if self.pending.exists() else {}
+    def _time_next(self, heads: dict[tuple, Row]) -> None:
+        due = min((row[self.order[0]] for row in heads.values()), default=None)
+        set_for = list(self.handle.listTimers())
+        for ms in set_for:
+            if due is None or ms != due - 1:
+                self.handle.deleteTimer(ms)
+        if due is not None and due - 1 not in set_for:
+            self.handle.registerTimer(due - 1)
 
     def _hold(self, rows: Iterator[Row]) -> Iterator[Row]:
         """Keeps the heads of days still open; all other rows come back."""
-        known, heads = set(self._days()), self._heads()
+        known, heads = self._days(), self._heads()
         before = dict(heads)
         for row in rows:
             yield from self._to_front(row, known, heads)
-        for day, row in heads.items():
-            if row is not before.get(day):
-                self.pending.updateValue((day,), self._stored(row))
-                self._due(row[self.order[0]])
+        if any(row is not before.get(place) for place, row in heads.items()):
+            self._put(heads)
+            self._time_next(heads)
 
     def handleInputRows(self, key, rows, timerValues):
         for _ in self._hold(rows):
@@ -180,22 +217,28 @@ class _HeldHeads(_Held):
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        days, passed = self._days(), expiredTimerInfo.getExpiryTimeInMs() + 1
-        heads = self._heads()
-        due = sorted(d for d, row in heads.items() if row[self.order[0]] <= passed)
-        for day in due:
-            yield self._emit(heads[day], **self._flags(day, days))
-            self.pending.removeKey((day,))
+        passed = timerValues.getCurrentWatermarkInMs()
+        known, heads, changed = self._days(), self._heads(), set()
+        for k, day in sorted((p for p, row in heads.items() if row[self.order[0]] <= passed), key=lambda p: p[1]):
+            days = known.setdefault(k, [])
+            yield self._emit(heads.pop((k, day)), **self._flags(day, days))
             days.append(day)
-        if due:
-            self._keep(days, timerValues)
+            changed.add(k)
+        if changed:
+            self._put(heads)
+            self._keep(known, changed, timerValues)
+        # the timer that went off is gone by itself
+        due = min((row[self.order[0]] for row in heads.values()), default=None)
+        if due is not None:
+            self.handle.registerTimer(due - 1)
 
 
 class HeldReturning(_HeldHeads, Returning):
     _to_front = UniqueAndNew._to_front
 
-    def __init__(self, order: list[str], columns: list[str], row_schema: str, away_days: int):
-        _HeldHeads.__init__(self, order, columns, row_schema)
+    def __init__(self, keys: list[tuple[str, str]], order: list[str], columns: list[str], row_schema: str,
+                 away_days: int):
+        _HeldHeads.__init__(self, keys, order, columns, row_schema)
         self.away_days = away_days
 
 
@@ -211,81 +254,115 @@ class HeldUniqueAndNew(_HeldHeads, UniqueAndNew):
             yield self._emit(row, is_unique=0, is_new=0)
 
 
-class NewFlagRepair(_Rule):
+class NewFlagRepair(_Bucket):
     """Clear the new-visitor flag on every day but the first."""
 
-    def __init__(self, order: list[str], columns: list[str], flag: str):
-        super().__init__(order, columns)
+    def __init__(self, keys: list[tuple[str, str]], order: list[str], columns: list[str], flag: str):
+        super().__init__(keys, order, columns)
         self.flag = flag
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", "day int")
+        self.first = handle.getListState("first", f"{self.key_schema}, _first int")
+
+    def _fixed(self, row: Row, day: int) -> Row:
+        out = {c: row[c] for c in self.columns}
+        if row[self.flag] == "1" and row["_day"] != day:
+            out[self.flag] = "0"
+        return Row(**out)
 
     def handleInputRows(self, key, rows, timerValues):
-        known = self.first.get()
-        if known is None:
-            # Only a key's first micro-batch is held, to find its oldest row.
-            rows = list(rows)
-            oldest = min(rows, key=lambda r: (r[self.order[0]], r[self.flag] == "1"))
-            day = oldest["_day"] if oldest[self.flag] == "1" else oldest["_day"] - 1
-            self.first.update((day,))
-        else:
-            day = known[0]
+        known = {k: v[0] for k, v in self._keyed(self.first).items()}
+        fresh: dict[tuple, list[Row]] = {}
         for row in rows:
-            out = {c: row[c] for c in self.columns}
-            if row[self.flag] == "1" and row["_day"] != day:
-                out[self.flag] = "0"
-            yield Row(**out)
+            k = self._key(row)
+            if k in known:
+                yield self._fixed(row, known[k])
+            else:  # only a key's first micro-batch is held, to find its oldest row
+                fresh.setdefault(k, []).append(row)
+        for k, held in fresh.items():
+            oldest = min(held, key=lambda r: (r[self.order[0]], r[self.flag] == "1"))
+            day = oldest["_day"] if oldest[self.flag] == "1" else oldest["_day"] - 1
+            known[k] = day
+            for row in held:
+                yield self._fixed(row, day)
+        if fresh:
+            self.first.appendList([(*k, known[k]) for k in fresh])
 
 
-class LatestVersion(_Rule):
+class LatestVersion(_Bucket):
     """Keep the newest version of a key; emit it once, a fixed time after the first one.
 
     A mark of the key stays, so later versions are silent. Time is the watermark and
     the rows' own ms if `event_time`, else the clock.
     """
 
-    def __init__(self, order: list[str], columns: list[str], row_schema: str, wait_ms: int,
-                 event_time: bool):
-        super().__init__(order, columns)
+    def __init__(self, keys: list[tuple[str, str]], order: list[str], columns: list[str], row_schema: str,
+                 wait_ms: int, event_time: bool):
+        super().__init__(keys, order, columns)
         self.row_schema, self.wait_ms = row_schema, wait_ms
         self.event_time = event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # the newest version, or only the mark once that was emitted; one state saves round trips
-        self.best = handle.getValueState("best", self.row_schema + ", _done boolean")
+        # the newest versions with the time when each is due, and the marks of those emitted
+        self.best = handle.getListState("best", self.row_schema + ", `_due` bigint")
+        self.done = handle.getListState("done", self.key_schema)
 
     def _now(self, timerValues) -> int:
         return (timerValues.getCurrentWatermarkInMs() if self.event_time
                 else timerValues.getCurrentProcessingTimeInMs())
 
+    def _waiting(self) -> dict[tuple, tuple]:
+        """(version, due) of each key, as stored."""
+        places = [self.columns.index(c) for c in self.keys]
+        stored = self.best.get() if self.best.exists() else ()
+        return {tuple(s[p] for p in places): (tuple(s[:-1]), s[-1]) for s in stored}
+
+    def _wait(self, waiting: dict[tuple, tuple]) -> None:
+        self._store(self.best, [(*version, due) for version, due in waiting.values()])
+
     def handleInputRows(self, key, rows, timerValues):
-        held = self.best.get()
-        if held and held[-1]:
-            for _ in rows:
-                pass
-            return
-        best = Row(**dict(zip(self.columns, held))) if held else None
-        first = None
+        done = set(self._keyed(self.done))
+        waiting = self._waiting()
+        places = [self.columns.index(c) for c in self.order]
+        start, timed, touched = self._now(timerValues), min((d for _, d in waiting.values()), default=None), False
+        firsts: dict[tuple, int] = {}
         for row in rows:
-            if best is None or _place(row, self.order) >= _place(best, self.order):
-                best = row
-            first = row[self.order[0]] if first is None else min(first, row[self.order[0]])
-        if first is None:
-            return
-        self.best.update((*(best[c] for c in self.columns), False))
-        if held is None:
-            start = max(first, self._now(timerValues)) if self.event_time \
-                else self._now(timerValues)
-            self.handle.registerTimer(start + self.wait_ms)
+            k = self._key(row)
+            if k in done:
+                continue
+            held, touched = waiting.get(k), True
+            if held is None or k in firsts:
+                ms = row[self.order[0]]
+                firsts[k] = ms if k not in firsts else min(firsts[k], ms)
+            version = tuple(row[c] for c in self.columns)
+            if held is None:
+                waiting[k] = (version, None)
+            elif tuple(version[p] for p in places) >= tuple(held[0][p] for p in places):
+                waiting[k] = (version, held[1])
+        for k, first in firsts.items():
+            waiting[k] = (waiting[k][0], (max(first, start) if self.event_time else start) + self.wait_ms)
+        if touched:
+            self._wait(waiting)
+        # one timer for a bucket, of its earliest key; a timer that goes off sets the next one
+        due = min((waiting[k][1] for k in firsts), default=None)
+        if due is not None and (timed is None or due < timed):
+            if timed is not None:
+                self.handle.deleteTimer(timed)
+            self.handle.registerTimer(due)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = self.best.get()
-        if held and not held[-1]:
-            self.best.update((*(None for _ in self.columns), True))
-            yield Row(**dict(zip(self.columns, held)))
+        now, waiting = self._now(timerValues), self._waiting()
+        due = [k for k, (_, at) in waiting.items() if at < now or at <= expiredTimerInfo.getExpiryTimeInMs()]
+        for k in due:
+            version, _ = waiting.pop(k)
+            yield Row(**dict(zip(self.columns, version)))
+        if due:
+            self._wait(waiting)
+            self.done.appendList(due)
+        if waiting:
+            self.handle.registerTimer(min(at for _, at in waiting.values()))
 
 
 class Bounce(_Rule):

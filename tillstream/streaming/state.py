@@ -1,6 +1,7 @@
 """Streaming forms of the per-key rules; same names and results as the table forms.
 
-Each rule is one shuffle by key. Chained into a window, pass `event_time` (the watermarked
+Each rule is one shuffle by key, but for the bounces' by a bucket of keys: a rule's calls and round
+trips to its state are counted by buckets, not by keys. Chained into a window, pass `event_time` (the watermarked
 column) so that the window downstream still knows its event time. The rules whose flags or choice
 depend on earlier rows then hold a row until the watermark passes its time: what they emit is the
 same in whatever order rows arrive within the watermark's delay.
@@ -26,6 +27,21 @@ def _run(df: DataFrame, keys: list[str], processor, schema: T.StructType,
         processor, schema, "Append", mode, eventTimeColumnName=event_time or "")
 
 
+# Buckets of keys that have their state together. A micro-batch writes the state of the buckets it
+# touches anew, so there are many. The number holds for the life of a checkpoint.
+BUCKETS = 4096
+
+
+def _by_bucket(df: DataFrame, keys: list[str], processor, schema: T.StructType, event_time: str | None,
+               time_mode: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    return _run(bucketed, ["_bucket"], processor, schema, event_time, time_mode)
+
+
+def _types(df: DataFrame, keys: list[str]) -> list[tuple[str, str]]:
+    return [(k, df.schema[k].dataType.simpleString()) for k in keys]
+
+
 def _plus(schema: T.StructType, *names: str) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]
                         + [T.StructField(n, T.LongType()) for n in names])
@@ -37,36 +53,35 @@ def _ddl(df: DataFrame) -> str:
 
 def first_per_day(df: DataFrame, keys: list[str], order: list[str], day: Column,
                   event_time: str | None = None) -> DataFrame:
-    return _run(df.withColumn("_day", _days(day)), keys,
-                p.FirstPerDay(order, df.columns), _plus(df.schema), event_time)
+    return _by_bucket(df.withColumn("_day", _days(day)), keys,
+                      p.FirstPerDay(_types(df, keys), order, df.columns), _plus(df.schema), event_time)
 
 
 def repair_new_flag(df: DataFrame, ms: str, day: Column, key: str, flag: str,
                     event_time: str | None = None) -> DataFrame:
-    return _run(df.withColumn("_day", _days(day)), [key],
-                p.NewFlagRepair([ms, flag], df.columns, flag), _plus(df.schema), event_time)
+    return _by_bucket(df.withColumn("_day", _days(day)), [key],
+                      p.NewFlagRepair(_types(df, [key]), [ms, flag], df.columns, flag), _plus(df.schema), event_time)
 
 
 def daily_and_returning(df: DataFrame, order: list[str], day: Column, key: str, away_days: int,
                         event_time: str | None = None) -> DataFrame:
-    rule = p.HeldReturning(order, df.columns, _ddl(df), away_days) if event_time \
-        else p.Returning(order, df.columns, away_days)
-    return _run(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "back_ct", "uu_ct"),
-                event_time)
+    rule = p.HeldReturning(_types(df, [key]), order, df.columns, _ddl(df), away_days) if event_time \
+        else p.Returning(_types(df, [key]), order, df.columns, away_days)
+    return _by_bucket(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "back_ct", "uu_ct"), event_time)
 
 
 def daily_firsts(df: DataFrame, order: list[str], day: Column, key: str,
                  event_time: str | None = None) -> DataFrame:
-    rule = p.HeldDailyFirsts(order, df.columns, _ddl(df)) if event_time else p.DailyFirsts(order, df.columns)
-    return _run(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "is_new", "is_unique"),
-                event_time)
+    rule = p.HeldDailyFirsts(_types(df, [key]), order, df.columns, _ddl(df)) if event_time \
+        else p.DailyFirsts(_types(df, [key]), order, df.columns)
+    return _by_bucket(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "is_new", "is_unique"), event_time)
 
 
 def unique_and_new(df: DataFrame, order: list[str], day: Column, key: str,
                    event_time: str | None = None) -> DataFrame:
-    rule = p.HeldUniqueAndNew(order, df.columns, _ddl(df)) if event_time else p.UniqueAndNew(order, df.columns)
-    return _run(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "is_unique", "is_new"),
-                event_time)
+    rule = p.HeldUniqueAndNew(_types(df, [key]), order, df.columns, _ddl(df)) if event_time \
+        else p.UniqueAndNew(_types(df, [key]), order, df.columns)
+    return _by_bucket(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "is_unique", "is_new"), event_time)
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str], wait_ms: int = 2_000,
@@ -85,9 +100,9 @@ def latest_per_key(df: DataFrame, key: str, order: list[str], wait_ms: int = 2_0
         newest = df.groupBy(F.window(event_time, "1 second").alias("_second"), key).agg(
             F.max_by(F.struct(*others), F.struct(*order)).alias("_newest"))
         return newest.select("_newest.*", F.window_time("_second").alias(event_time))
-    processor = p.LatestVersion(order, df.columns, _ddl(df), wait_ms, event_time)
-    return _run(df, [key], processor, _plus(df.schema), None,
-                "EventTime" if event_time else "ProcessingTime")
+    processor = p.LatestVersion(_types(df, [key]), order, df.columns, _ddl(df), wait_ms, event_time)
+    return _by_bucket(df, [key], processor, _plus(df.schema), None,
+                      "EventTime" if event_time else "ProcessingTime")
 
 
 def first_per_key(df: DataFrame, key: str) -> DataFrame:
