@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm import line_dedup, mixing, ngram_join, packing, quality
-from tillstream.llm.common import stored, table
+from tillstream.llm.common import as_read, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,14 +30,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, in the order of the mix; a source that has run out leaves its slots to the others."""
+    """Every document, in the order of the mix; a source that has run out leaves its slots to the others.
+    Written to files, the parts and their rows keep that order."""
     mixed = mixing.mix(docs).orderBy("slot", "place")
     return mixed.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its place in a sequence."""
-    return packing.pack(docs)
+    """Every piece of every document with its place in a sequence. Sequences are filled and numbered in
+    the order in which the mix was written."""
+    ordered = as_read(docs, "_place")
+    return packing.pack(docs) if ordered is None else packing.pack(ordered, order=("_place",))
 
 
 STAGES: list[tuple[str, Stage]] = [

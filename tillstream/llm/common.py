@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +42,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def as_read(docs: DataFrame, to: str) -> DataFrame | None:
+    """Adds `to`, the place of each row in the files that were written in order: the number of the part,
+    then the row. None if the rows don't come straight from files."""
+    try:
+        part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).try_cast("long")
+        return docs.withColumn(to, part * 2 ** 40 + F.col("_metadata.row_index"))
+    except AnalysisException:
+        return None
+
+
 def spread(spark: SparkSession, *cols: str) -> Column:
     """A bucket number that splits a hot key over the tasks of a shuffle."""
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -24,6 +24,8 @@ from tillstream.llm.tokens import default_path, encoder
 CAPACITY = 1024
 END_ID = 2
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+# Where documents have an order, places of it that are numbered together.
+ORDER_STEP = 4_000
 
 
 class RoomTree:
@@ -94,34 +96,48 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, i
     return slots
 
 
-def _cut(path: str, capacity: int, end_id: int):
+def _cut(path: str, capacity: int, end_id: int, order: tuple[str, ...]):
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
             out = []
-            for doc_id, ids in zip(batch["doc_id"], encoder(path).encode(batch["text"])):
+            for doc_id, *places, ids in zip(batch["doc_id"], *[batch[c] for c in order], encoder(path).encode(batch["text"])):
                 ids += end
                 total = len(ids) // 4
                 edges = [0, *range(total % capacity or capacity, total + 1, capacity)]
                 for k, (a, b) in enumerate(zip(edges, edges[1:])):
-                    out.append((doc_id, k, a, b - a, crc32(ids[4 * a:4 * b])))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype(
+                    out.append((doc_id, k, a, b - a, crc32(ids[4 * a:4 * b]), *places))
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", *order]).astype(
                 {"doc_id": "Int64"})
     return cut
 
 
+def _in_order(placed: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """Sequences numbered from 0 by the first place in the order that any piece of theirs has."""
+    first = placed.groupBy("sequence_id").agg(F.min(F.struct(*order)).alias("first"))
+    first = first.select("sequence_id", "first.*", F.floor(F.col(order[0]) / ORDER_STEP).alias("bucket"), F.lit(0).alias("all"))
+    numbers = ranked(first, ["all"], "bucket", [*order, "sequence_id"], "number").select("sequence_id", "number")
+    return placed.join(numbers, "sequence_id").withColumn("sequence_id", F.col("number")).drop("number")
+
+
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
-         end_id: int = END_ID) -> DataFrame:
+         end_id: int = END_ID, order: tuple[str, ...] = ()) -> DataFrame:
     """Every piece of every document with its sequence and its place there.
 
+    `order` names whole-number columns by which the documents are meant to be read, such as their
+    places in a mix (null: last). Pieces of one length then fill sequences in that order, and the
+    sequences are numbered by the earliest document they hold; how many there are stays the same.
+
     Reads doc_id and text, whatever else the table has. A null text is empty (one token, the end
     id); a null doc_id stays null; repeated rows are packed as often as they come, and equal
     pieces take their places in any order; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.mapInPandas(_cut(path or default_path(), capacity, end_id), PIECES)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                        *[F.coalesce(F.col(c).cast("long"), F.lit(2 ** 62)).alias(c) for c in order])
+    found = texts.mapInPandas(_cut(path or default_path(), capacity, end_id, order),
+                              ", ".join([PIECES, *[f"{c} long" for c in order]]))
     pieces = stored(found, "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     slots = sorted(best_fit(histogram, capacity)) or [(0, 0, 0, 1, 0)]
@@ -141,7 +157,9 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
         return pd.DataFrame({"sequence_id": first_bins[at] + nth // each[at],
                              "offset": offsets[at] + nth % each[at] * length})
 
-    bucketed = pieces.withColumn("bucket", spread(spark, "doc_id", "piece"))
-    numbered = ranked(bucketed, ["length"], "bucket", ["doc_id", "piece", "ids_crc32"], "rank")
-    return (numbered.withColumn("at", place("length", "rank"))
-            .select("doc_id", "piece", "start", "length", "ids_crc32", "at.sequence_id", "at.offset"))
+    bucket = F.floor(F.col(order[0]) / ORDER_STEP) if order else spread(spark, "doc_id", "piece")
+    numbered = ranked(pieces.withColumn("bucket", bucket), ["length"], "bucket", [*order, "doc_id", "piece", "ids_crc32"], "rank")
+    placed = numbered.withColumn("at", place("length", "rank")) \
+        .select("doc_id", "piece", "start", "length", "ids_crc32", "at.sequence_id", "at.offset", *order)
+    return _in_order(stored(placed, "placed"), order).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset") if order else placed
