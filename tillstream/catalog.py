@@ -632,16 +632,26 @@ def _streamed(spark, sf, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(sf)
 
 
-def _drained(spark, df: DataFrame, name: str) -> DataFrame:
+# Rows of a stream for each part of its state, so that what one task reads and holds stays the same
+# however long the stream is; a searched text gives hundreds of rows.
+EVENTS_A_PART, SEARCHES_A_PART = 500_000, 10_000
+
+
+def _state_parts(spark, sf, table: str, rows: int) -> int:
+    """Parts of the state of a stream made from a table: one for each core, more for more rows."""
+    return max(spark.sparkContext.defaultParallelism, -(-load(spark, sf, table).count() // rows))
+
+
+def _drained(spark, df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
     path = work_dir(spark, name)
-    run.to_folder(df, f"{path}/out", f"{path}/checkpoint")
+    run.to_folder(df, f"{path}/out", f"{path}/checkpoint", partitions=partitions)
     return spark.read.parquet(f"{path}/out")
 
 
-def _topic(spark, rows: DataFrame, name: str) -> DataFrame:
+def _topic(spark, rows: DataFrame, name: str, packed: bool = True) -> DataFrame:
     """Rows written as JSON texts to a topic folder, and that topic as a text stream."""
     path = work_dir(spark, name)
-    sinks.append_batch(path)(rows, 0)
+    sinks.append_batch(path, packed=packed)(rows, 0)
     return readers.text_topic(spark, "text", path=path)
 
 
@@ -720,7 +730,7 @@ def stream_log_pages(spark, sf):
     writers = {name: sinks.append_batch(f"{path}/{name}", "parquet") for name in logs.OUTPUTS}
     good, _ = split_log(text)
     run.drain(logs.repaired_events(good), f"{path}/checkpoint",
-              sinks.multi_way(filters.split_events, writers))
+              sinks.multi_way(filters.split_events, writers), partitions=_state_parts(spark, sf, "events", EVENTS_A_PART))
     return spark.read.parquet(f"{path}/page").select(
         "common.*", "page.*", F.col("err")["error_code"].alias("error_code"), "ts")
 
@@ -736,7 +746,7 @@ def stream_log_job(spark, sf):
     path = work_dir(spark, "log_job")
     writers = {name: sinks.append_batch(f"{path}/{name}", "parquet") for name in (*logs.OUTPUTS, "bad")}
     run.drain(logs.repaired_log(_topic(spark, text, "job_log")), f"{path}/checkpoint",
-              sinks.multi_way(logs.split_outputs, writers))
+              sinks.multi_way(logs.split_outputs, writers), partitions=_state_parts(spark, sf, "events", EVENTS_A_PART))
     whole = [spark.read.parquet(f"{path}/{name}").select(F.lit(name).alias("output"), F.lit(None).cast("string").alias("field"))
              for name in logs.OUTPUTS]
     wrong = spark.read.parquet(f"{path}/bad").select(F.lit("bad").alias("output"), F.explode("faults.field").alias("field"))
@@ -748,17 +758,18 @@ def stream_log_job(spark, sf):
 @query
 def stream_keyword_window(spark, sf):
     """Closed windows of searched words."""
-    pages = _topic(spark, samples.searches(spark, sf), "searches")
+    pages = _topic(spark, samples.searches(spark, sf), "searches", packed=False)
     rows = pages.select(F.from_json("value", "item string, last_page_id string, "
                                              "item_type string, ts bigint").alias("r")).select("r.*")
-    return _drained(spark, windows.keywords(rows), "keywords").drop("ts")
+    return _drained(spark, windows.keywords(rows), "keywords",
+                    _state_parts(spark, sf, "documents", SEARCHES_A_PART)).drop("ts")
 
 
 @query
 def stream_login_window(spark, sf):
     """Closed windows; the per-user rule feeds the window in one query."""
     return _drained(spark, windows.logins(_stream_pages(spark, sf), HOUR, EVENT),
-                    "logins").drop("ts")
+                    "logins", _state_parts(spark, sf, "events", EVENTS_A_PART)).drop("ts")
 
 
 @query
@@ -929,7 +940,8 @@ def stream_topic_sink(spark, sf):
 @query
 def stream_home_detail_window(spark, sf):
     """Closed windows; a device's first home and detail pages of a day feed the window in one query."""
-    return _drained(spark, windows.home_and_detail(_stream_pages(spark, sf), HOUR, EVENT), "home_detail").drop("ts")
+    return _drained(spark, windows.home_and_detail(_stream_pages(spark, sf), HOUR, EVENT), "home_detail",
+                    _state_parts(spark, sf, "events", EVENTS_A_PART)).drop("ts")
 
 
 @query

@@ -43,7 +43,8 @@ def repaired_log(text: DataFrame) -> DataFrame:
     spread = F.concat(F.lit("?"), F.pmod(F.xxhash64("value"), F.lit(1024)).cast("string"))
     flat = marked.select("*", F.when(sound, F.col("common.mid")).otherwise(spread).alias("mid"),
                          F.when(sound, F.col("common.is_new")).alias("is_new")) \
-        .withColumn("ts", F.when(sound, F.col("ts")).otherwise(F.lit(0)))
+        .withColumn("ts", F.when(sound, F.col("ts")).otherwise(F.lit(0))) \
+        .withColumn("value", F.when(~sound, F.col("value")))  # an event's text is not needed any more
     fixed = state.repair_new_flag(flat)
     return (fixed.withColumn("common", F.when(sound, F.col("common").withField("is_new", F.col("is_new"))))
             .drop("mid", "is_new"))

@@ -38,8 +38,8 @@ def traffic(pages: DataFrame, unique: DataFrame, bounced: DataFrame, size: str =
 def home_and_detail(pages: DataFrame, size: str = WINDOW, order: tuple[str, ...] = ("ts",),
                     delay: str = DELAY) -> DataFrame:
     """Daily unique visitors of the home page and of the detail page."""
-    firsts = state.daily_page_counters(event_time(pages, delay=delay), list(order),
-                                       event_time="rt")
+    views = event_time(pages, delay=delay).select("mid", "page_id", *order, "rt")
+    firsts = state.daily_page_counters(views, list(order), event_time="rt")
     out = tumble(firsts, [], [total("home_uv_ct", "home_uv_ct"),
                               total("good_detail_uv_ct", "good_detail_uv_ct")], size)
     return out.select(*WINDOW_COLUMNS["home_detail"])
@@ -48,7 +48,7 @@ def home_and_detail(pages: DataFrame, size: str = WINDOW, order: tuple[str, ...]
 def logins(pages: DataFrame, size: str = WINDOW, order: tuple[str, ...] = ("ts",),
            delay: str = DELAY) -> DataFrame:
     """Daily unique users and users back after eight days or more."""
-    entries = event_time(filters.logged_in_entries(pages), delay=delay)
+    entries = event_time(filters.logged_in_entries(pages), delay=delay).select("uid", *order, "rt")
     firsts = state.daily_and_returning(entries, list(order), event_time="rt")
     out = tumble(firsts, [], [total("back_ct", "back_ct"), total("uu_ct", "uu_ct")], size)
     return out.select(*WINDOW_COLUMNS["login"])

@@ -20,6 +20,9 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Changelog checkpoints: a commit uploads the changes, not the whole store.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A compressed topic isn't split, so files of small size are put together to a task's share: ten
+    # times as much text as this, which must fit the task's sorts.
+    "spark.sql.files.maxPartitionBytes": "16m",
     # State of wide rows is most of a stream's disk: pack it well, locally and in the checkpoint.
     "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
     "spark.sql.streaming.stateStore.compression.codec": "zstd",

@@ -52,11 +52,12 @@ def topic_stream(df: DataFrame, checkpoint: str, format: str = "kafka", **option
             .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
-def append_batch(path: str, format: str = "text") -> BatchWriter:
+def append_batch(path: str, format: str = "text", packed: bool = True) -> BatchWriter:
     """Each micro-batch to a folder of its run and number: a repeated batch replaces itself, and
-    the batches of a new checkpoint are added. Texts are compressed, as JSON repeats its names."""
+    the batches of a new checkpoint are added. Texts are compressed, as JSON repeats its names, unless
+    `packed` is false: few long texts are better left to be split by the reader."""
     def write(df: DataFrame, batch_id: int) -> None:
-        out, options = (as_text(df), TEXT_FILES) if format == "text" else (df, {})
+        out, options = (as_text(df), TEXT_FILES if packed else {}) if format == "text" else (df, {})
         out.write.mode("overwrite").format(format).options(**options).save(batch_folder(path, run_of(df), batch_id))
     return write
 

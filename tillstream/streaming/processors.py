@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -255,7 +256,8 @@ class HeldUniqueAndNew(_HeldHeads, UniqueAndNew):
 
 
 class NewFlagRepair(_Bucket):
-    """Clear the new-visitor flag on every day but the first."""
+    """Clear the new-visitor flag on every day but the first. Every row goes in and out again, so rows
+    come as pandas frames. Of a key's rows only those of its first micro-batch are held."""
 
     def __init__(self, keys: list[tuple[str, str]], order: list[str], columns: list[str], flag: str):
         super().__init__(keys, order, columns)
@@ -264,29 +266,35 @@ class NewFlagRepair(_Bucket):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getListState("first", f"{self.key_schema}, _first int")
 
-    def _fixed(self, row: Row, day: int) -> Row:
-        out = {c: row[c] for c in self.columns}
-        if row[self.flag] == "1" and row["_day"] != day:
-            out[self.flag] = "0"
-        return Row(**out)
+    def _fixed(self, rows: pd.DataFrame, keys: pd.Series, days: dict[tuple, int]) -> pd.DataFrame:
+        first = keys.map(days)
+        wrong = (rows[self.flag] == "1") & first.notna() & rows["_day"].notna() & (first != rows["_day"])
+        return rows[self.columns].assign(**{self.flag: rows[self.flag].mask(wrong, "0")})
 
     def handleInputRows(self, key, rows, timerValues):
         known = {k: v[0] for k, v in self._keyed(self.first).items()}
-        fresh: dict[tuple, list[Row]] = {}
-        for row in rows:
-            k = self._key(row)
-            if k in known:
-                yield self._fixed(row, known[k])
-            else:  # only a key's first micro-batch is held, to find its oldest row
-                fresh.setdefault(k, []).append(row)
-        for k, held in fresh.items():
-            oldest = min(held, key=lambda r: (r[self.order[0]], r[self.flag] == "1"))
-            day = oldest["_day"] if oldest[self.flag] == "1" else oldest["_day"] - 1
-            known[k] = day
-            for row in held:
-                yield self._fixed(row, day)
-        if fresh:
-            self.first.appendList([(*k, known[k]) for k in fresh])
+        fresh: list[tuple[pd.DataFrame, pd.Series]] = []
+        days: dict[tuple, tuple] = {}
+        for frame in rows:
+            # names that begin with an underscore don't arrive
+            frame.columns = [*self.columns, "_day", *frame.columns[len(self.columns) + 1:]]
+            keys = pd.Series(list(zip(*(frame[c] for c in self.keys))), index=frame.index, dtype=object)
+            old = keys.isin(known.keys())
+            if old.any():
+                yield self._fixed(frame[old], keys[old], known)
+            if not old.all():
+                frame, keys = frame[~old], keys[~old]
+                fresh.append((frame, keys))
+                flags = frame[self.flag] == "1"
+                timed = frame[self.order[0]].notna()
+                for k, ms, flag, day in zip(keys[timed], frame[self.order[0]][timed], flags[timed], frame["_day"][timed]):
+                    place = (ms, bool(flag), int(day))
+                    days[k] = min(days.get(k, place), place)
+        first = {k: day if flag else day - 1 for k, (_, flag, day) in days.items()}
+        for frame, keys in fresh:
+            yield self._fixed(frame, keys, first)
+        if first:
+            self.first.appendList([(*k, day) for k, day in first.items()])
 
 
 class LatestVersion(_Bucket):

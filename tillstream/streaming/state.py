@@ -21,9 +21,10 @@ def _days(day: Column) -> Column:
 
 
 def _run(df: DataFrame, keys: list[str], processor, schema: T.StructType,
-         event_time: str | None, time_mode: str | None = None) -> DataFrame:
+         event_time: str | None, time_mode: str | None = None, frames: bool = False) -> DataFrame:
     mode = time_mode or ("EventTime" if event_time else "None")
-    return df.groupBy(*keys).transformWithState(
+    grouped = df.groupBy(*keys)
+    return (grouped.transformWithStateInPandas if frames else grouped.transformWithState)(
         processor, schema, "Append", mode, eventTimeColumnName=event_time or "")
 
 
@@ -33,9 +34,19 @@ BUCKETS = 4096
 
 
 def _by_bucket(df: DataFrame, keys: list[str], processor, schema: T.StructType, event_time: str | None,
-               time_mode: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+               time_mode: str | None = None, buckets: int = BUCKETS, frames: bool = False) -> DataFrame:
     bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    return _run(bucketed, ["_bucket"], processor, schema, event_time, time_mode)
+    return _run(bucketed, ["_bucket"], processor, schema, event_time, time_mode, frames)
+
+
+def _is_plain(kind: T.DataType) -> bool:
+    """The type comes back from a JSON text as it was."""
+    if isinstance(kind, T.StructType):
+        return all(_is_plain(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.MapType):
+        return isinstance(kind.keyType, T.StringType) and _is_plain(kind.valueType)
+    return _is_plain(kind.elementType) if isinstance(kind, T.ArrayType) \
+        else isinstance(kind, (T.StringType, T.LongType, T.IntegerType, T.BooleanType))
 
 
 def _types(df: DataFrame, keys: list[str]) -> list[tuple[str, str]]:
@@ -59,8 +70,21 @@ def first_per_day(df: DataFrame, keys: list[str], order: list[str], day: Column,
 
 def repair_new_flag(df: DataFrame, ms: str, day: Column, key: str, flag: str,
                     event_time: str | None = None) -> DataFrame:
-    return _by_bucket(df.withColumn("_day", _days(day)), [key],
-                      p.NewFlagRepair(_types(df, [key]), [ms, flag], df.columns, flag), _plus(df.schema), event_time)
+    """Each row goes through Python and back, where many and nested columns cost the most: those that
+    the rule doesn't look at go as one text."""
+    rest = T.StructType([f for f in df.schema.fields
+                         if f.name not in (ms, key, flag, event_time) and _is_plain(f.dataType)])
+    packed = df.withColumn("_day", _days(day))
+    if len(rest):
+        text = F.to_json(F.struct(*[f"`{c}`" for c in rest.names]), {"ignoreNullFields": "false"})
+        packed = packed.withColumn("_rest", text).drop(*rest.names)
+    packed = packed.select(*[c for c in packed.columns if c != "_day"], "_day")
+    mine = packed.drop("_day")
+    fixed = _by_bucket(packed, [key], p.NewFlagRepair(_types(df, [key]), [ms, flag], mine.columns, flag),
+                       _plus(mine.schema), event_time, frames=True)
+    if len(rest):
+        fixed = fixed.select("*", F.inline(F.array(F.from_json("_rest", rest))))
+    return fixed.select(*[f"`{c}`" for c in df.columns])
 
 
 def daily_and_returning(df: DataFrame, order: list[str], day: Column, key: str, away_days: int,
