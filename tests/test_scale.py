@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from conftest import SF
 from tillstream import catalog
 from tillstream.functions.parsing import split_log
 from tillstream.plans import logs
@@ -137,3 +138,8 @@ def test_streamed_log_events_keep_all_fields_through_the_flag_rule(spark, folder
     assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
     plan = logs.repaired_events(split_log(stream)[0])._jdf.queryExecution().analyzed().toString()
     assert "to_json" in plan  # nothing nested goes to Python and back
+
+
+def test_versions_carry_only_the_columns_their_window_needs(spark):
+    got = catalog._version_feed(spark, SF, "province_id").columns
+    assert "province_id" in got and not {"order_id", "user_id", "original_total_amount", "coupon_reduce_amount"} & set(got)
