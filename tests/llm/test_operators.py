@@ -1,12 +1,15 @@
 """Each operator on odd rows, on an empty table, and against brute force."""
 
+import gc
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from llm_rows import banded_reference, jaccard_classes, make, odd, prose  # noqa: F401
 
@@ -40,6 +43,40 @@ def test_word_look_up_gives_the_ids_of_whole_texts():
     assert list(enc.encode([None, "a"])) == [b"", *enc.whole(["a"])]
 
 
+def test_pieces_that_white_space_or_marks_may_join_have_the_ids_of_whole_texts():
+    enc = tokens.Encoder(tokens.default_path())
+    rnd = random.Random(5)
+    signs = ["a", "Z", "é", "×", "÷", "ɏ", "ɐ", "ª", "漢", "1", *".,!?;:'", " ", " ", " ", "\n", "\xa0", "\t", "\u3000", "\u0301", "ȿ"]
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 9))) for _ in range(5000)]
+    assert list(enc.encode(texts)) == enc.whole(texts)
+    rows = [(k, k + 1, t) for k, t in enumerate(texts[:9])]
+    assert list(enc.encode_rows(iter(rows))) == [(k, n, i) for (k, n, _), i in zip(rows, enc.whole(texts[:9]))]
+
+
+def test_the_table_of_pieces_starts_anew_at_its_bound_and_gives_the_same_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "PIECES", 100)
+    monkeypatch.setattr(tokens, "SPAN", 300)
+    enc = tokens.Encoder(tokens.default_path())
+    rnd = random.Random(6)
+    texts = [" ".join(rnd.choice("abc") * rnd.randint(1, 30) + rnd.choice(["", ",", "."]) for _ in range(20)) for _ in range(200)]
+    assert list(enc.encode(texts)) == enc.whole(texts)
+    assert len(enc.pieces) <= 200
+
+
+def test_what_an_encoder_keeps_of_a_word_is_small():
+    enc = tokens.Encoder(tokens.default_path())
+    texts = [" ".join(f"w{k}x" for k in range(a, a + 1000)) for a in range(0, 100_000, 1000)]
+    list(enc.encode(texts[:1]))
+    gc.collect()
+    tracemalloc.start()
+    arrow = pa.total_allocated_bytes()
+    list(enc.encode(texts))
+    gc.collect()
+    kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    tracemalloc.stop()
+    assert kept < 80 * 100_000  # as Python objects in a dict they take over 150 bytes each
+
+
 def naive_best_fit(histogram, capacity):
     bins = []
     for length in sorted(histogram, reverse=True):

@@ -24,6 +24,8 @@ from tillstream.llm.tokens import default_path, encoder
 CAPACITY = 1024
 END_ID = 2
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+# Pieces that leave a Python worker at a time.
+ROWS = 10_000
 # Where documents have an order, places of it that are numbered together.
 ORDER_STEP = 4_000
 
@@ -97,18 +99,26 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, i
 
 
 def _cut(path: str, capacity: int, end_id: int, order: tuple[str, ...]):
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", *order]
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({c: pd.array(x, dtype="Int64") for c, x in zip(columns, zip(*rows))})
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        end = int(end_id).to_bytes(4, "little")
-        for batch in batches:
-            out = []
-            for doc_id, *places, ids in zip(batch["doc_id"], *[batch[c] for c in order], encoder(path).encode(batch["text"])):
-                ids += end
-                total = len(ids) // 4
-                edges = [0, *range(total % capacity or capacity, total + 1, capacity)]
-                for k, (a, b) in enumerate(zip(edges, edges[1:])):
-                    out.append((doc_id, k, a, b - a, crc32(ids[4 * a:4 * b]), *places))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", *order]).astype(
-                {"doc_id": "Int64"})
+        end, out = int(end_id).to_bytes(4, "little"), []
+        rows = (row for batch in batches for row in zip(
+            batch["doc_id"].astype("Int64"), *[batch[c] for c in order], batch["text"]))
+        for doc_id, *places, ids in encoder(path).encode_rows(rows):
+            ids += end
+            total = len(ids) // 4
+            edges = [0, *range(total % capacity or capacity, total + 1, capacity)]
+            for k, (a, b) in enumerate(zip(edges, edges[1:])):
+                out.append((doc_id, k, a, b - a, crc32(ids[4 * a:4 * b]), *places))
+            if len(out) >= ROWS:
+                yield frame(out)
+                out = []
+        if out:
+            yield frame(out)
     return cut
 
 
