@@ -105,15 +105,14 @@ class TokenWriter(DataSourceArrowWriter):
         name = f"shard-{order:06d}-{uuid.uuid4().hex[:12]}"  # another name for each attempt
         index, at, tokens = [], 0, 0
         with fs.open_output_stream(f"{folder}/{name}", compression=None) as out:
-            for batch in iterator:
-                texts = (x.as_py() for x in batch.column("text"))
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(self.tokenizer).encode(texts)):
-                    ids += self.end
-                    frame = compressor.compress(ids)
-                    out.write(frame)
-                    index.append((doc_id or 0, doc_id is not None, at, len(frame), len(ids) // 4))
-                    at += len(frame)
-                    tokens += len(ids) // 4
+            rows = ((d, t.as_py()) for b in iterator for d, t in zip(b.column("doc_id").to_pylist(), b.column("text")))
+            for doc_id, ids in encoder(self.tokenizer).encode_rows(rows):
+                ids += self.end
+                frame = compressor.compress(ids)
+                out.write(frame)
+                index.append((doc_id or 0, doc_id is not None, at, len(frame), len(ids) // 4))
+                at += len(frame)
+                tokens += len(ids) // 4
             out.write(np.array(index, dtype=INDEX).tobytes())
             out.write(FOOTER.pack(at, len(index), tokens, hashlib.sha256(data).digest(), MAGIC))
         return Shard(order, name, len(index), tokens)
