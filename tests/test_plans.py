@@ -76,6 +76,24 @@ def test_wide_fact_shuffles_its_lines_twice(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("one_pass, key", [(False, "order_detail_id"), (True, "order_id")])
+def test_a_line_of_an_unknown_source_is_never_moved(spark, one_pass, key):
+    """The dictionary is below the lines' first shuffle to a join."""
+    from tillstream.plans import facts
+    from tillstream.sources import samples
+    changes = samples.changes(spark, SF, "order_detail", "order_detail_activity", "order_detail_coupon", "order_info")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(facts.order_detail(changes, samples.dictionary(spark, SF), one_pass=one_pass))
+        assert text.index("BroadcastHashJoin") > text.index(f"Exchange hashpartitioning({key}#")
+        named = facts.joined_lines(changes, one_pass=one_pass, dictionary=samples.dictionary(spark, SF))
+        later = facts.named_lines(facts.joined_lines(changes, one_pass=one_pass), samples.dictionary(spark, SF))
+        columns = [c for c in facts.ORDER_DETAIL if c not in ("pt", "ts", "old")]
+        assert named.count() == later.count() > 0 and named.select(columns).exceptAll(later.select(columns)).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_one_pass_scans_the_topic_once(spark, folder):
     """Lines and orders come from the same groups; the rows are those of the joins, also where an
     order has a third of all lines."""

@@ -65,17 +65,22 @@ def _near(left: DataFrame, right: DataFrame, on: tuple[str, str], how: str,
     return joined.drop(on[1], times[1])
 
 
-def joined_lines(changes: DataFrame, database: str | None = None,
-                 span: str | None = None, one_pass: bool = False) -> DataFrame:
+def joined_lines(changes: DataFrame, database: str | None = None, span: str | None = None,
+                 one_pass: bool = False, dictionary: DataFrame | None = None) -> DataFrame:
     """Order lines with their order, activity and coupon, not yet with their source's name.
 
     Amounts become decimals before anything meets, once per line and per order. `one_pass` reads the
     events once instead of once for each of their four tables: for a topic of texts, whose parse
-    costs more than the grouping. Streams and tables that are cheap to read join the four.
+    costs more than the grouping. Streams and tables that are cheap to read join the four. Given the
+    `dictionary`, lines get their source's name first, so one of an unknown source is never moved.
     """
     if one_pass and changes.isStreaming:
         raise ValueError("a stream joins its tables: there is no last event of a group")
-    return (_grouped_lines if one_pass else _lines_by_joins)(changes, database, span)
+    return (_grouped_lines if one_pass else _lines_by_joins)(changes, database, span, dictionary)
+
+
+def _named(lines: DataFrame, dictionary: DataFrame) -> DataFrame:
+    return decode(lines, dictionary, {"source_type": "dic_name"}, how="inner")
 
 
 def _renamed_line(df: DataFrame) -> DataFrame:
@@ -84,7 +89,8 @@ def _renamed_line(df: DataFrame) -> DataFrame:
             .withColumn("split_original_amount", times(F.col("sku_num"), F.col("order_price"))))
 
 
-def _grouped_lines(changes: DataFrame, database: str | None, span: str | None) -> DataFrame:
+def _grouped_lines(changes: DataFrame, database: str | None, span: str | None,
+                   dictionary: DataFrame | None) -> DataFrame:
     """The topic is read and parsed once. Each event goes to the group of its line, or of its order
     if it is the order's own; a line's group holds what belongs to it, a few events. Lines then meet
     their orders in one join, whose skewed orders adaptive execution splits.
@@ -131,6 +137,8 @@ def _grouped_lines(changes: DataFrame, database: str | None, span: str | None) -
         *[field("coupon", "order_detail_coupon", c).alias(c) for c in ("coupon_id", "coupon_use_id")],
         field("coupon", "order_detail_coupon", "create_time").alias("coupon_create_time"),
         F.col("line")["at"].alias("_lt")))
+    if dictionary is not None:
+        lines = _named(lines, dictionary)
     orders = groups.select(F.explode(of("order_info")).alias("order")).select(
         field("order", "order_info", "id").alias("_order"),
         *[(money(field("order", "order_info", c)) if c in ORDER_AMOUNTS else field("order", "order_info", c)).alias(c)
@@ -145,7 +153,8 @@ def _list(table: str) -> Column:
     return F.array(*[F.col("data")[c] for c in PAYLOAD[table]])
 
 
-def _lines_by_joins(changes: DataFrame, database: str | None, span: str | None) -> DataFrame:
+def _lines_by_joins(changes: DataFrame, database: str | None, span: str | None,
+                    dictionary: DataFrame | None) -> DataFrame:
     """Activity and coupon come first: they share the line key, so the lines are shuffled once for
     both while they are still narrow, and once more for the order."""
     def of(table: str, *types: str) -> DataFrame:
@@ -153,6 +162,8 @@ def _lines_by_joins(changes: DataFrame, database: str | None, span: str | None)
 
     lines = _renamed_line(watermarked(payload(of("order_detail", "insert"), "order_detail",
                                               _seconds().alias("_lt")), "_lt"))
+    if dictionary is not None:
+        lines = _named(lines, dictionary)
     activity = watermarked(payload(of("order_detail_activity", "insert"),
                                    "order_detail_activity", _seconds().alias("_at")), "_at") \
         .select(F.col("order_detail_id").alias("_activity_line"), "activity_id",
@@ -174,16 +185,22 @@ def _lines_by_joins(changes: DataFrame, database: str | None, span: str | None)
 
 def named_lines(wide: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Joined lines with their source's name; a line of an unknown source is dropped."""
-    named = decode(wide, dictionary, {"source_type": "dic_name"}, how="inner")
+    return _stamped(_named(wide, dictionary))
+
+
+def _stamped(named: DataFrame) -> DataFrame:
     return (named.withColumn("pt", F.current_timestamp()).withColumn("ts", F.current_timestamp())
             .select(*ORDER_DETAIL))
 
 
 def order_detail(changes: DataFrame, dictionary: DataFrame, database: str | None = None,
                  span: str | None = None, one_pass: bool = False) -> DataFrame:
-    """The wide order fact. A stream whose dictionary changes should write `joined_lines`
-    through sinks.with_lookup and `named_lines`."""
-    return named_lines(joined_lines(changes, database, span, one_pass), dictionary)
+    """The wide order fact. A table's lines meet the dictionary first, a stream's when they are
+    joined; a stream whose dictionary changes should write `joined_lines` through
+    sinks.with_lookup and `named_lines`."""
+    if changes.isStreaming:
+        return named_lines(joined_lines(changes, database, span, one_pass), dictionary)
+    return _stamped(joined_lines(changes, database, span, one_pass, dictionary))
 
 
 def placed_orders(fact: DataFrame) -> DataFrame:
