@@ -104,7 +104,9 @@ class Model:
     curve: tuple[float, ...] = (0.5, 0.5, 0.0)
     prior: float = 0.5
     cache: dict = field(default_factory=dict)
-    seen: dict = field(default_factory=dict)  # the terms of words looked up before
+    seen: dict = field(default_factory=dict)  # the terms of words looked up before, of those that have some
+    without: set = field(default_factory=set)  # words looked up before that have none
+    tables: tuple = ()  # made where they are used
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the text's terms, ascending, and their weights, of length 1 together."""
@@ -114,21 +116,26 @@ class Model:
         terms = self.terms
         if REST in terms:
             counts: dict[int, int] = {}
-            rest = 0
-            for word, n in words.items():
+            rest = sum(words.values())
+            for word in set(words) - self.without:
                 own = self.seen.get(word)
                 if own is None:
-                    if len(self.seen) >= SEEN:
+                    if len(self.seen) + len(self.without) >= SEEN:
                         self.seen.clear()
+                        self.without.clear()
                     both = (word, word[:PREFIX] + "~") if len(word) > PREFIX else (word,)
-                    own = self.seen[word] = tuple(terms[t] for t in both if t in terms)
+                    own = tuple(terms[t] for t in both if t in terms)
+                    if not own:
+                        self.without.add(word)
+                        continue
+                    self.seen[word] = own
                 for at in own:
-                    counts[at] = counts.get(at, 0) + n
-                rest += 0 if own else n
+                    counts[at] = counts.get(at, 0) + words[word]
+                rest -= words[word]
             if rest:
                 counts[terms[REST]] = rest
         else:
-            counts = {terms[word]: n for word, n in words.items() if word in terms}
+            counts = {at: n for word, n in words.items() if (at := terms.get(word)) is not None}
         at = np.fromiter(counts.keys(), np.int64, len(counts))
         often = np.fromiter(counts.values(), float, len(counts))
         order = np.argsort(at)
@@ -159,25 +166,63 @@ class Model:
         self.votes = [0.0] * len(order)
         for example, (at, w) in enumerate(vectors):
             self.votes[order[example]] = self.vote(*self.nearest(at, w, example))
-        self.seen.clear()  # isn't sent to the tasks
+        self.seen.clear()  # these aren't sent to the tasks
+        self.without.clear()
+        self.tables = ()
         return self
 
+    def _tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the terms that most blocks hold: (row of each term, or -1; a row's largest weight in each
+        block; its run in each block, or -1). So they take as much room as their runs, twice at most."""
+        if not self.tables:
+            sizes, blocks = np.diff(self.starts), -(-len(self.ids) // BLOCK)
+            common = np.nonzero(2 * sizes > blocks)[0]
+            row_of = np.full(len(sizes), -1)
+            row_of[common] = np.arange(len(common))
+            runs = _ranges(self.starts[common], self.starts[common + 1])
+            at = np.repeat(np.arange(len(common)), sizes[common]), self.blocks[runs]
+            most, run_of = np.zeros((len(common), blocks)), np.full((len(common), blocks), -1)
+            most[at], run_of[at] = self.most[runs], runs
+            self.tables = row_of, most, run_of
+        return self.tables
+
+    def _whole_lists(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The cosine of each example up to the last that is met."""
+        low, high = self.runs[self.starts[at]], self.runs[self.starts[at + 1]]
+        lists = list(zip(low.tolist(), high.tolist()))
+        found = np.concatenate([self.weights[a:b] for a, b in lists])
+        found *= np.repeat(weights, high - low)
+        return np.bincount(np.concatenate([self.examples[a:b] for a, b in lists]), found)
+
     def nearest(self, at: np.ndarray, weights: np.ndarray, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the nearest, ties to the smaller number, without example `but`."""
-        low, high = self.starts[at], self.starts[at + 1]
-        runs, own = _ranges(low, high), np.repeat(weights, high - low)
+        row_of, most, run_of = self._tables()
+        rows = row_of[at]
+        low, high = self.starts[at[rows < 0]], self.starts[at[rows < 0] + 1]
+        runs, own = _ranges(low, high), np.repeat(weights[rows < 0], high - low)
+        rows, shared = rows[rows >= 0], weights[rows >= 0]
         in_block = self.blocks[runs]
-        bounds = np.bincount(in_block, own * self.most[runs], minlength=-(-len(self.ids) // BLOCK))
+        bounds = np.bincount(in_block, own * self.most[runs], minlength=-(-len(self.ids) // BLOCK)) + shared @ most[rows]
         order = np.argsort(-bounds, kind="stable")
         best, scores = np.empty(0, np.int64), np.empty(0)
         for some in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
             least = scores[-1] - 1e-11 if len(best) == NEIGHBOURS else 0
             taken = np.zeros(len(bounds), bool)
             taken[some] = bounds[some] > least
-            mine = taken[in_block]
-            low, high = self.runs[runs[mine]], self.runs[runs[mine] + 1]
-            postings = _ranges(low, high)
-            sums = np.bincount(self.examples[postings], np.repeat(own[mine], high - low) * self.weights[postings])
+            whole = 2 * np.count_nonzero(taken) > len(taken)
+            if whole:
+                # Most can matter: whole lists are read in one piece each, with the blocks taken before.
+                best, scores = np.empty(0, np.int64), np.empty(0)
+                sums = self._whole_lists(at, weights)
+            else:
+                mine, common = taken[in_block], run_of[rows][:, taken]
+                which = np.concatenate([runs[mine], common[common >= 0]])
+                by = np.concatenate([own[mine], np.repeat(shared, np.count_nonzero(common >= 0, axis=1))])
+                in_order = np.argsort(which)
+                which, by = which[in_order], by[in_order]
+                low, high = self.runs[which], self.runs[which + 1]
+                postings = _ranges(low, high)
+                sums = np.bincount(self.examples[postings], np.repeat(by, high - low) * self.weights[postings])
             met = np.nonzero(sums)[0]
             met = met[met != but]
             best, scores = np.concatenate([best, met]), np.concatenate([scores, sums[met]])
@@ -186,6 +231,8 @@ class Model:
                 best, scores = best[close], scores[close]
             order_of = np.lexsort((best, -np.round(scores, 12)))[:NEIGHBOURS]
             best, scores = best[order_of], scores[order_of]
+            if whole:
+                break
         if len(at) and len(best) < NEIGHBOURS:  # the others have nothing in common with the text
             others = np.setdiff1d(np.arange(min(len(self.ids), 2 * NEIGHBOURS + 1)), np.append(best, but))[:NEIGHBOURS - len(best)]
             best, scores = np.concatenate([best, others]), np.concatenate([scores, np.zeros(len(others))])
