@@ -351,6 +351,37 @@ def test_toxicity_neighbours_share_any_words(make, spark):
         assert first["doc_id"] == k and 0.8 < first["similarity"] <= 1 and all(e["similarity"] < 0.7 for e in others)
 
 
+def test_toxicity_common_words_are_read_for_a_batch_at_once(monkeypatch):
+    """Few numbers are read text by text, whatever the number of examples with a text's common words."""
+    rnd, common, rare = random.Random(5), [f"c{chr(97 + k)}" for k in range(20)], [f"r{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(676)]
+    texts = [" ".join(rnd.sample(common, 10) + rnd.choices(rare, k=2)) for _ in range(2_000)]
+    words = sorted({w for t in texts for w in toxicity.words_of(t)})
+    model = toxicity.Model({w: k for k, w in enumerate(words)}, np.linspace(1, 2, len(words)))
+    model.build(list(range(2_000)), texts, [k % 2 for k in range(2_000)])
+    read = []
+    ranges = toxicity._ranges
+
+    def counted(starts, ends):
+        read.append(int((ends - starts).sum()))
+        return ranges(starts, ends)
+
+    model.nearest(*model.vector(texts[0]))  # what is made once for all texts
+    monkeypatch.setattr(toxicity, "_ranges", counted)
+    queries = [" ".join(rnd.sample(common, 9) + rnd.choices(rare, k=2)) for _ in range(50)]
+    vectors = [model.vector(t) for t in queries]
+    dense = np.zeros((2_000, len(words)))
+    for e, i in enumerate(model.ids):
+        at, weights = model.vector(texts[i])
+        dense[e, at] = weights
+    for at, weights in vectors:
+        best, scores = model.nearest(at, weights)
+        every = np.round(dense[:, at] @ weights, 12)
+        want = np.lexsort((np.arange(2_000), -every))[:toxicity.NEIGHBOURS]
+        assert list(best) == list(want) and np.allclose(scores, every[want])
+    # A common word is in a thousand examples, a text has nine; a rare one is in six.
+    assert sum(read) < 50 * 100
+
+
 def test_toxicity_without_labels(odd, none, no_labels):
     assert {r["score"] for r in toxicity.score(odd, no_labels).collect()} == {0.5}
     assert toxicity.score(none, no_labels).count() == 0

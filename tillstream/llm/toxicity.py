@@ -3,8 +3,10 @@
 The examples are a bounded sample of the labelled documents. Every word that one of them holds is a
 term; how rare it is, is counted over all documents. A word that no example holds meets nothing and
 is left out of a text's vector. Each term has a list of the examples that hold it, in blocks, with
-the largest weight of each block. A query takes blocks from the largest bound down, and leaves those
-that can't hold one of its k nearest. The neighbours vote by their distance and are the evidence.
+the largest weight of each block. The lists of common terms also stand as rows of a table, and the
+texts of a batch read them together, as one product. That part of the cosines bounds the k nearest
+from below; a text then reads its other lists only in blocks that can hold one of them. The
+neighbours vote by their distance and are the evidence.
 
 A second vote comes from an index of the same kind over only the words, and first letters of words,
 that differ most between the two labels; everything else a text says is one term more there, so that
@@ -17,8 +19,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -35,13 +38,16 @@ EXAMPLES, EXAMPLE_CHARS = 4_096, 50_000
 LEAST_EXAMPLES, LEAST_CHI2, TERMS = 4, 15.0, 4_096
 PREFIX = 5
 NEIGHBOURS, EVIDENCE, BLOCK = 15, 3, 64
-# Blocks a query takes at first, before it knows which others can matter.
-FIRST_BLOCKS = 4
+# The longest lists, so many at most, are rows of a table if they have one in so many of the examples.
+COMMON, COMMON_SHARE = 1_024, 32
+# Texts that read the table together.
+TOGETHER = 128
 # Words a task remembers the terms of; at the bound it starts anew.
 SEEN = 200_000
 THRESHOLD = 0.7
 REST = "*"
 WORD = re.compile(r"[^\W\d_]+")
+SPACED = {c: " " for c in range(128) if not chr(c).isalpha()}
 
 
 def held_out() -> Column:
@@ -49,8 +55,13 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _words(text: str | None) -> list[str]:
+    lower = (text or "").lower()
+    return lower.translate(SPACED).split() if lower.isascii() else WORD.findall(lower)
+
+
 def words_of(text: str | None) -> Counter:
-    return Counter(WORD.findall((text or "").lower()))
+    return Counter(_words(text))
 
 
 def terms_of(words: Counter) -> Counter:
@@ -104,7 +115,9 @@ class Model:
     curve: tuple[float, ...] = (0.5, 0.5, 0.0)
     prior: float = 0.5
     cache: dict = field(default_factory=dict)
-    seen: dict = field(default_factory=dict)  # the terms of words looked up before
+    seen: dict = field(default_factory=dict)  # the terms of words looked up before, of those that have some
+    without: set = field(default_factory=set)  # words looked up before that have none
+    table: tuple | None = None  # made where it is used
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the text's terms, ascending, and their weights, of length 1 together."""
@@ -114,23 +127,30 @@ class Model:
         terms = self.terms
         if REST in terms:
             counts: dict[int, int] = {}
-            rest = 0
-            for word, n in words.items():
+            rest = sum(words.values())
+            for word in set(words) - self.without:
                 own = self.seen.get(word)
                 if own is None:
-                    if len(self.seen) >= SEEN:
+                    if len(self.seen) + len(self.without) >= SEEN:
                         self.seen.clear()
+                        self.without.clear()
                     both = (word, word[:PREFIX] + "~") if len(word) > PREFIX else (word,)
-                    own = self.seen[word] = tuple(terms[t] for t in both if t in terms)
+                    own = tuple(terms[t] for t in both if t in terms)
+                    if not own:
+                        self.without.add(word)
+                        continue
+                    self.seen[word] = own
                 for at in own:
-                    counts[at] = counts.get(at, 0) + n
-                rest += 0 if own else n
+                    counts[at] = counts.get(at, 0) + words[word]
+                rest -= words[word]
             if rest:
                 counts[terms[REST]] = rest
+            at = np.fromiter(counts.keys(), np.int64, len(counts))
+            often = np.fromiter(counts.values(), float, len(counts))
         else:
-            counts = {terms[word]: n for word, n in words.items() if word in terms}
-        at = np.fromiter(counts.keys(), np.int64, len(counts))
-        often = np.fromiter(counts.values(), float, len(counts))
+            at = np.fromiter(map(terms.get, words, repeat(-1)), np.int64, len(words))
+            often = np.fromiter(words.values(), float, len(words))
+            at, often = at[at >= 0], often[at >= 0]
         order = np.argsort(at)
         at, often = at[order], often[order]
         weights = (1 + np.log(often)) * self.idf[at]
@@ -157,36 +177,76 @@ class Model:
         self.starts = np.searchsorted(terms[first], np.arange(len(self.terms) + 1))
         self.prior = (int(self.labels.sum()) + 1) / (len(self.labels) + 2)
         self.votes = [0.0] * len(order)
-        for example, (at, w) in enumerate(vectors):
-            self.votes[order[example]] = self.vote(*self.nearest(at, w, example))
-        self.seen.clear()  # isn't sent to the tasks
+        for example, found in enumerate(self.nearest_of(vectors, range(len(vectors)))):
+            self.votes[order[example]] = self.vote(*found)
+        self.seen.clear()  # these aren't sent to the tasks
+        self.without.clear()
+        self.table = None
         return self
 
-    def nearest(self, at: np.ndarray, weights: np.ndarray, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the nearest, ties to the smaller number, without example `but`."""
+    def _common(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row of each term, or -1; weights by row and example) of the longest lists."""
+        if self.table is None:
+            first = self.runs[self.starts]
+            sizes = np.diff(first)
+            longest = np.argsort(-sizes, kind="stable")[:COMMON]
+            longest = longest[(sizes[longest] > 0) & (sizes[longest] * COMMON_SHARE >= len(self.ids))]
+            rows = np.full(len(sizes), -1)
+            rows[longest] = np.arange(len(longest))
+            weights = np.zeros((len(longest), -(-len(self.ids) // BLOCK) * BLOCK))
+            postings = _ranges(first[longest], first[longest + 1])
+            weights[np.repeat(np.arange(len(longest)), sizes[longest]), self.examples[postings]] = self.weights[postings]
+            self.table = rows, weights
+        return self.table
+
+    def nearest(self, at: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, cosines) of the nearest, ties to the smaller number."""
+        return next(self.nearest_of([(at, weights)]))
+
+    def nearest_of(self, vectors: list, but: Sequence[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The nearest of each vector, in order, without its example of `but`."""
+        rows, table = self._common()
+        for begin in range(0, len(vectors), TOGETHER):
+            some = vectors[begin:begin + TOGETHER]
+            given, others = np.zeros((len(some), len(table))), []
+            for own, (at, weights) in zip(given, some):
+                row = rows[at]
+                common = row >= 0
+                own[row[common]] = weights[common]
+                others.append((at[~common], weights[~common]))
+            sums = given @ table
+            left_out = but[begin:begin + TOGETHER] if but is not None else [-1] * len(some)
+            if but is not None:
+                sums[np.arange(len(some)), left_out] = 0
+            if not sums.size:
+                yield from [(np.empty(0, np.int64), np.empty(0))] * len(some)
+                continue
+            tops = sums.reshape(len(some), -1, BLOCK).max(2)
+            least = np.maximum(np.partition(sums, -NEIGHBOURS, axis=1)[:, -NEIGHBOURS] - 1e-11, 0)
+            for (at, _), other, own, top, bound, example in zip(some, others, sums, tops, least, left_out):
+                yield self._completed(*other, own, top, bound, example) if len(at) else (np.empty(0, np.int64), np.empty(0))
+
+    def _completed(self, at: np.ndarray, weights: np.ndarray, sums: np.ndarray, tops: np.ndarray, least: float,
+                   but: int) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest, from the common terms' part of the cosines and the terms that are left."""
         low, high = self.starts[at], self.starts[at + 1]
         runs, own = _ranges(low, high), np.repeat(weights, high - low)
         in_block = self.blocks[runs]
-        bounds = np.bincount(in_block, own * self.most[runs], minlength=-(-len(self.ids) // BLOCK))
-        order = np.argsort(-bounds, kind="stable")
-        best, scores = np.empty(0, np.int64), np.empty(0)
-        for some in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
-            least = scores[-1] - 1e-11 if len(best) == NEIGHBOURS else 0
-            taken = np.zeros(len(bounds), bool)
-            taken[some] = bounds[some] > least
-            mine = taken[in_block]
-            low, high = self.runs[runs[mine]], self.runs[runs[mine] + 1]
-            postings = _ranges(low, high)
-            sums = np.bincount(self.examples[postings], np.repeat(own[mine], high - low) * self.weights[postings])
-            met = np.nonzero(sums)[0]
-            met = met[met != but]
-            best, scores = np.concatenate([best, met]), np.concatenate([scores, sums[met]])
-            if len(best) > NEIGHBOURS:
-                close = scores >= np.partition(scores, -NEIGHBOURS)[-NEIGHBOURS] - 1e-11
-                best, scores = best[close], scores[close]
-            order_of = np.lexsort((best, -np.round(scores, 12)))[:NEIGHBOURS]
-            best, scores = best[order_of], scores[order_of]
-        if len(at) and len(best) < NEIGHBOURS:  # the others have nothing in common with the text
+        mine = (tops + np.bincount(in_block, own * self.most[runs], minlength=len(tops)) > least)[in_block]
+        runs, own = runs[mine], own[mine]
+        low, high = self.runs[runs], self.runs[runs + 1]
+        postings = _ranges(low, high)
+        sums = sums + np.bincount(self.examples[postings], np.repeat(own, high - low) * self.weights[postings], minlength=len(sums))
+        if but >= 0:
+            sums[but] = 0
+        best = np.nonzero(sums > least)[0]
+        scores = sums[best]
+        if len(best) > NEIGHBOURS:
+            close = scores >= np.partition(scores, -NEIGHBOURS)[-NEIGHBOURS] - 1e-11
+            best, scores = best[close], scores[close]
+        order = np.lexsort((best, -np.round(scores, 12)))[:NEIGHBOURS]
+        best, scores = best[order], scores[order]
+        if len(best) < NEIGHBOURS:  # the others have nothing in common with the text
             others = np.setdiff1d(np.arange(min(len(self.ids), 2 * NEIGHBOURS + 1)), np.append(best, but))[:NEIGHBOURS - len(best)]
             best, scores = np.concatenate([best, others]), np.concatenate([scores, np.zeros(len(others))])
         return best, scores
@@ -198,23 +258,26 @@ class Model:
         near = 1 / (1.05 - np.minimum(scores, 1))
         return float((near @ self.labels[best] + self.prior) / (near.sum() + 1))
 
-    def cached_vote(self, words: Counter) -> float:
-        at, weights = self.weighed(words)
-        key = (at.tobytes(), np.round(weights, 12).tobytes())
-        if key not in self.cache:
-            if len(self.cache) >= 50_000:
-                self.cache.clear()
-            self.cache[key] = self.vote(*self.nearest(at, weights))
-        return self.cache[key]
-
-    def score(self, text: str | None) -> tuple[float, list]:
-        """The probability that the text is toxic, and the nearest examples."""
-        words = words_of(text)
-        best, scores = self.nearest(*self.weighed(words))
+    def cached_votes(self, texts: list[Counter]) -> list[float]:
+        if len(self.cache) >= 50_000:
+            self.cache.clear()
+        vectors = [self.weighed(words) for words in texts]
+        keys = [(at.tobytes(), np.round(weights, 12).tobytes()) for at, weights in vectors]
+        new = {key: vector for key, vector in zip(keys, vectors) if key not in self.cache}
+        for key, found in zip(new, self.nearest_of(list(new.values()))):
+            self.cache[key] = self.vote(*found)
+        return [self.cache[key] for key in keys]
+
+    def scores(self, texts: Sequence[str | None]) -> Iterator[tuple[float, list]]:
+        """The probability that each text is toxic, and the nearest examples."""
         a, b, shift = self.curve
-        odds = a * _logit(self.vote(best, scores)) + b * _logit(self.strong.cached_vote(words)) + shift
-        return round(1 / (1 + math.exp(-min(max(odds, -50), 50))), 6), [
-            (self.ids[e], round(float(s), 6), int(self.labels[e])) for e, s in zip(best[:EVIDENCE], scores) if s > 0]
+        for begin in range(0, len(texts), TOGETHER):
+            words = [words_of(t) for t in texts[begin:begin + TOGETHER]]
+            found = self.nearest_of([self.weighed(w) for w in words])
+            for (best, scores), second in zip(found, self.strong.cached_votes(words)):
+                odds = a * _logit(self.vote(best, scores)) + b * _logit(second) + shift
+                yield round(1 / (1 + math.exp(-min(max(odds, -50), 50))), 6), [
+                    (self.ids[e], round(float(s), 6), int(self.labels[e])) for e, s in zip(best[:EVIDENCE], scores) if s > 0]
 
 
 def _logit(p: float) -> float:
@@ -240,17 +303,17 @@ def _logistic(votes: list[tuple[float, float]], labels: list[int]) -> tuple[floa
 def _holders(terms: dict[str, int]):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Documents of this task that hold each term, and their number."""
-        held, docs = np.zeros(len(terms), np.int64), 0
-        known = set(terms)
+        held, docs = np.zeros(len(terms) + 1, np.int64), 0  # the last is of other words
+        beginnings = {t[:-1]: at for t, at in terms.items() if t.endswith("~")}
         for batch in batches:
             docs += len(batch)
             for text in batch["text"]:
-                words = set(WORD.findall((text or "").lower()))
-                found = {terms[w] for w in words & known}
-                found.update(terms[p] for p in {w[:PREFIX] + "~" for w in words if len(w) > PREFIX} & known)
-                held[list(found)] += 1
+                words = set(_words(text))
+                held[np.fromiter(map(terms.get, words, repeat(-1)), np.int64, len(words))] += 1
+                begun = beginnings.keys() & {w[:PREFIX] for w in words if len(w) > PREFIX}
+                held[[beginnings[w] for w in begun]] += 1
                 held[terms[REST]] += bool(words)
-        met = np.nonzero(held)[0]
+        met = np.nonzero(held[:-1])[0]
         yield pd.DataFrame({"term": np.append(met, -1), "docs": np.append(held[met], docs)})
     return count
 
@@ -283,7 +346,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def _scored(model: Model):
     def score(text: pd.Series) -> pd.DataFrame:
-        found = [model.score(t) for t in text]
+        found = list(model.scores(text.tolist()))
         return pd.DataFrame({"score": [s for s, _ in found], "evidence": [
             [{"doc_id": i, "similarity": s, "toxic": y} for i, s, y in e] for _, e in found]})
     return score
