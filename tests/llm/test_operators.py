@@ -233,6 +233,40 @@ def test_shared_segments_do_not_depend_on_the_batches():
         assert got == wanted
 
 
+@pytest.mark.parametrize("held", [1, 5, 1000])
+def test_sifted_postings_are_all_that_are_shared(monkeypatch, held):
+    monkeypatch.setattr(line_dedup, "HELD", held)
+    rnd = random.Random(7)
+    for _ in range(200):
+        # A line that indexes a key also probes for it.
+        rows = [(rnd.randint(0, 7), rnd.randint(0, 3), rnd.choice((2, 3))) for _ in range(rnd.randint(0, 20))]
+        pieces = []
+        for _ in range(3):
+            some = sorted((k % 2, r == line_dedup.PROBE, k, i, r) for k, i, r in rows if rnd.random() < 0.6)
+            pieces += [(part, probe, np.array([(k, i, r) for p, q, k, i, r in some if (p, q) == (part, probe)], line_dedup.PIECE).tobytes())
+                       for part, probe in sorted({(p, q) for p, q, *_ in some})]
+        rows = [tuple(row) for *_, piece in pieces for row in np.frombuffer(piece, line_dedup.PIECE).tolist()]
+        wanted = {(k, i) for k, i, _ in rows if any(x == k and r & line_dedup.INDEX for x, _, r in rows)
+                  and len({j for x, j, _ in rows if x == k}) > 1}
+        pieces.sort(key=lambda piece: piece[:2])
+        cut = rnd.randint(0, len(pieces))
+        parts = [pd.DataFrame(some, columns=["part", "probe", "piece"]) for some in (pieces[:cut], pieces[cut:])]
+        got = [out for out in line_dedup._sifted(iter(parts)) if len(out)]
+        assert {(k, i) for out in got for k, i in zip(out["key"], out["id"])} == wanted
+
+
+def test_lines_with_few_words_in_common_are_not_measured(monkeypatch):
+    """Lines that share a segment and little else are told apart without their edit distance."""
+    measured = []
+    distance = line_dedup._distance
+    monkeypatch.setattr(line_dedup, "_distance", lambda a, b, most: measured.append(1) or distance(a, b, most))
+    lines = ["one beginning that all of them have " + prose(k, 20) for k in range(40)]
+    near = lines[7].rsplit(" ", 1)[0] + " otherwise"
+    rows = [(k, k, line_dedup.INDEX | line_dedup.PROBE, True, True, line) for k, line in enumerate([*lines, near])]
+    assert line_dedup._late(rows) == [(40, 40)]
+    assert len(measured) <= 40
+
+
 def removed_lines(rows):
     """Numbers of the lines that go, by comparing all pairs of lines. Rows: (doc_id, text)."""
     homes = {}

@@ -18,6 +18,7 @@ the earliest lines of its group first, and the rest of the group only if none of
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -38,14 +39,20 @@ BLOCK, LINE_CHARS = 2048, 200
 SIEVE = 1 << 20
 # Lines a task remembers to leave its postings once; at the bound it starts anew.
 SEEN = 500_000
-# Rows a batch on the way to the index; Spark also bounds its bytes.
+# Rows a batch on the way to the groups; Spark also bounds its bytes.
 POSTINGS = 5000
-# Rows a batch that leaves Python.
-ROWS = 100_000
+# Postings a task gathers before they leave, in one piece for each part of the index.
+ROWS = 500_000
+# Index rows of a part that are held before the shared ones leave.
+HELD = 1_000_000
+# Bytes of lines that are cut together.
+CUT = 1 << 18
 SEED = 42  # of the engine's xxhash64
+BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 NO_ID = 2 ** 63 - 1
 INDEX, PROBE = 1, 2
 POSTING = "key long, id long, role int"
+PIECE = np.dtype([("key", "<i8"), ("id", "<i8"), ("role", "i1")])
 
 
 def symbols(line: str) -> tuple[bool, Sequence[str]]:
@@ -107,13 +114,39 @@ def _hash(text: str, seed: int = SEED) -> int:
     return _signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed))
 
 
-def _post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(key, id, role) of the different lines of a task."""
+def _post(parts: int):
+    def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """(part, probe, piece): the postings of the different lines of a task, by part of the index,
+        those that index apart from those that only probe."""
+        held, size = [], 0
+        for rows in _postings(batches):
+            held.append(rows)
+            size += len(rows)
+            if size >= ROWS:
+                yield _pieces(np.concatenate(held), parts)
+                held, size = [], 0
+        if size:
+            yield _pieces(np.concatenate(held), parts)
+    return post
+
+
+def _pieces(rows: np.ndarray, parts: int) -> pd.DataFrame:
+    place = (rows["key"].view(np.uint64) % np.uint64(parts)).astype(np.int64) * 2 + (rows["role"] & INDEX == 0)
+    order = np.argsort(place, kind="stable")
+    place, rows = place[order], rows[order]
+    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    return pd.DataFrame({"part": (place[starts] // 2).astype(np.int32), "probe": place[starts] % 2 == 1,
+                         "piece": [rows[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(rows)])]})
+
+
+def _postings(batches: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+    """Postings of the different lines of a task."""
     import xxhash
     digest = xxhash.xxh64_intdigest
     seen: set[int] = set()
-    left: dict[tuple[bool, int], tuple[list, np.ndarray]] = {}
-    keys, ids, roles = [], [], []
+    left: dict[tuple[bool, int], tuple[np.ndarray, ...]] = {}
+    held: dict[bool, list[tuple]] = {True: [], False: []}  # lines by words, and by characters
+    size = 0
     for batch in batches:
         for text in batch["text"]:
             for line in (text or "").split("\n"):
@@ -131,28 +164,146 @@ def _post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if kind not in left:
                     if len(left) >= 10_000:
                         left.clear()
-                    found = places(*kind)
-                    left[kind] = [at[:3] for at in found], np.array([role for *_, role in found], np.int32)
-                cuts, own_roles = left[kind]
-                if kind[0]:
-                    # Where each word begins among the bytes; a word ends one before the next begins.
-                    spaces = np.flatnonzero(np.frombuffer(whole, np.uint8) == 32)
-                    starts = [0, *(spaces + 1).tolist(), len(whole) + 1]
-                    keys += [digest(whole[starts[a]:starts[b] - 1], seed) for seed, a, b in cuts]
-                else:
-                    keys += [digest(line[a:b].encode("utf-8", "surrogatepass"), seed) for seed, a, b in cuts]
-                ids.append(own)
-                roles.append(own_roles)
-            if len(keys) >= ROWS:
-                yield _rows(keys, ids, roles)
-                keys, ids, roles = [], [], []
-    if keys:
-        yield _rows(keys, ids, roles)
-
-
-def _rows(keys: list[int], ids: list[int], roles: list[np.ndarray]) -> pd.DataFrame:
-    id_ = np.repeat(np.array(ids, np.uint64).view(np.int64), [len(r) for r in roles])
-    return pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "id": id_, "role": np.concatenate(roles)})
+                    seeds, begins, ends, roles = zip(*places(*kind))
+                    left[kind] = (_mixed(np.array(seeds, np.uint64)), np.array(begins), np.array(ends), np.array(roles, np.int8))
+                held[kind[0]].append((whole, kind[1], own, left[kind]))
+                size += len(whole)
+            if size >= CUT:
+                yield from (_cut(by_words, *zip(*lines)) for by_words, lines in held.items() if lines)
+                held, size = {True: [], False: []}, 0
+    yield from (_cut(by_words, *zip(*lines)) for by_words, lines in held.items() if lines)
+
+
+def _mixed(value: np.ndarray) -> np.ndarray:
+    """All bits of each number depend on all others."""
+    value = (value ^ value >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    value = (value ^ value >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return value ^ value >> np.uint64(31)
+
+
+BYTES = _mixed(np.arange(1, 257, dtype=np.uint64))
+
+
+@cache
+def _powers(base: int, size: int) -> np.ndarray:
+    powers = np.full(size, base, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers)
+
+
+def _cut(by_words: bool, lines: Sequence[bytes], sizes: Sequence[int], ids: Sequence[int], cuts: Sequence[tuple]) -> np.ndarray:
+    """The postings of lines of so many symbols, `cuts` as in `places`.
+
+    A piece of a line is hashed as a polynomial of its bytes modulo 2 ** 64: the difference of two
+    sums, moved to power 0. So equal pieces get the same hash at any place.
+    """
+    text = np.frombuffer(b" ".join(lines) + b" " if by_words else b"".join(lines), np.uint8)
+    # Where each symbol of the lines begins; a word ends one before the next begins.
+    if by_words:
+        starts = np.r_[0, np.flatnonzero(text == 32) + 1]
+    else:
+        starts = np.r_[np.flatnonzero(text & 0xC0 != 0x80), len(text)]
+    size = 1 << len(text).bit_length()
+    sums = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(BYTES[text] * _powers(BASE, size)[:len(text)], out=sums[1:])
+    seeds, begins, ends, roles = (np.concatenate(column) for column in zip(*cuts))
+    often = [len(own_roles) for *_, own_roles in cuts]
+    first = np.repeat(np.cumsum(sizes) - sizes, often)
+    begins, ends = starts[first + begins], starts[first + ends] - by_words
+    rows = np.empty(len(roles), PIECE)
+    rows["key"] = _mixed((sums[ends] - sums[begins]) * _powers(pow(BASE, -1, 1 << 64), size)[begins] ^ seeds).view(np.int64)
+    rows["id"], rows["role"] = np.repeat(np.array(ids, np.uint64), often).view(np.int64), roles
+    return rows
+
+
+def _frame(rows: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"key": rows["key"], "id": rows["id"], "role": rows["role"].astype(np.int32)})
+
+
+class _Part:
+    """The index rows of a part by key. Those of a key with two lines leave, but one is held."""
+
+    def __init__(self) -> None:
+        self.new: list[np.ndarray] = []
+        self.rows, self.many = np.empty(0, PIECE), np.empty(0, bool)  # one line a key; whether its row has left
+
+    def settle(self) -> np.ndarray:
+        """Takes up the new rows; returns those that leave."""
+        rows = np.concatenate([self.rows, *self.new])
+        left = np.concatenate([self.many, np.zeros(len(rows) - len(self.many), bool)])
+        self.new = []
+        order = np.argsort(rows["key"], kind="stable")
+        rows, left = rows[order], left[order]
+        starts = np.flatnonzero(np.r_[True, rows["key"][1:] != rows["key"][:-1]]) if len(rows) else np.empty(0, np.int64)
+        sizes = np.diff(np.r_[starts, len(rows)])
+        group = np.repeat(np.arange(len(starts)), sizes)
+        others = rows["id"] != np.repeat(rows["id"][starts], sizes)
+        many = left[starts] | (np.bincount(group, others, minlength=len(starts)) > 0)
+        self.rows, self.many = rows[starts], many
+        self.keys, self.ids = self.rows["key"].copy(), self.rows["id"].copy()
+        return rows[many[group] & ~left]
+
+    def probed(self, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index rows, probes) that leave: of the keys of which another line is held, or two."""
+        if not len(self.rows):
+            return self.rows, probes[:0]
+        wanted = probes["key"].copy()
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        hit = self.keys[at] == wanted
+        hit[hit] = self.many[at[hit]] | (self.ids[at[hit]] != probes["id"][hit])
+        met = np.unique(at[hit])
+        met = met[~self.many[met]]
+        self.many[met] = True
+        return self.rows[met], probes[hit]
+
+
+def _once(rows: list[np.ndarray]) -> np.ndarray:
+    """The different rows: every task that has a line leaves its postings."""
+    all_rows = np.concatenate([np.empty(0, PIECE), *rows])
+    all_rows = all_rows[np.lexsort((all_rows["role"], all_rows["id"], all_rows["key"]))]
+    new = np.ones(len(all_rows), bool)
+    new[1:] = all_rows[1:] != all_rows[:-1]
+    return all_rows[new]
+
+
+def _sifted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Postings of the keys with an index row and a row of another line.
+
+    Pieces come by part, those of the index first. So the index of one part is held, one row a key,
+    and its probes pass by, whatever their number.
+    """
+    current, part, waiting, out, size = None, _Part(), 0, [], 0
+    for batch in batches:
+        for number, probe, piece in zip(batch["part"].tolist(), batch["probe"].tolist(), batch["piece"]):
+            if number != current:
+                if part.new:
+                    out.append(part.settle())
+                if out:
+                    yield _frame(_once(out))
+                current, part, waiting, out, size = number, _Part(), 0, [], 0
+            rows, leaving = np.frombuffer(piece, PIECE), []
+            if probe:
+                if part.new:
+                    leaving.append(part.settle())
+                leaving += part.probed(rows)
+            else:
+                part.new.append(rows)
+                waiting += len(rows)
+                if waiting > HELD:
+                    leaving.append(part.settle())
+                    waiting = 0
+            out += leaving
+            size += sum(map(len, leaving))
+            if size > HELD:
+                out = [_once(out)]
+                size = len(out[0])
+                if 2 * size > HELD:
+                    yield _frame(out[0])
+                    out, size = [], 0
+    if part.new:
+        out.append(part.settle())
+    if out:
+        yield _frame(_once(out))
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,10 +365,16 @@ def met(docs: DataFrame) -> DataFrame:
     Those are the postings under segments that an index row and a probe of another line share. All
     segments that the same lines share are one key: the hashes of these lines together.
     """
+    spark = docs.sparkSession
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    # The rows of a key come together, those of the index first; few keys are shared, so little leaves.
-    posted = texts.mapInPandas(_post, POSTING).repartition("key").sortWithinPartitions("key", F.desc("role"), "id")
-    shared = posted.mapInPandas(_shared, POSTING).groupBy("key", "id").agg(F.bit_or("role").alias("role"))
+    pieces = texts.mapInPandas(_post(parts), "part int, probe boolean, piece binary")
+    # Few keys are shared, so few postings are left once the pieces of a part have met.
+    sifted = stored(pieces.repartition("part").sortWithinPartitions("part", "probe").mapInPandas(_sifted, POSTING), "line-sifted")
+    with batches_of(spark, POSTINGS):
+        # The rows of a key come together, those of the index first.
+        posted = sifted.repartition("key").sortWithinPartitions("key", F.desc("role"), "id")
+        shared = stored(posted.mapInPandas(_shared, POSTING).groupBy("key", "id").agg(F.bit_or("role").alias("role")), "line-shared")
     same = F.bit_xor(F.xxhash64("id", "role")).over(Window.partitionBy("key"))
     return shared.select(same.alias("key"), "id", "role").distinct()
 
@@ -269,6 +426,27 @@ def _distance(a: Sequence, b: Sequence, most: int) -> int:
     return min(lowest, most + 1)
 
 
+def _close(a: Sequence, b: Sequence, most: int) -> bool:
+    """Whether at most `most` edits lead from a sequence to one that is no shorter.
+
+    What lies between the beginnings and ends in common takes no more edits than it has symbols.
+    An edit takes away one symbol at most, so few can be in only one of the two.
+    """
+    begin, n, m = 0, len(a), len(b)
+    if m - n > most:
+        return False
+    while begin < n and a[begin] == b[begin]:
+        begin += 1
+    while n > begin and a[n - 1] == b[m - 1]:
+        n, m = n - 1, m - 1
+    if m - begin <= most:
+        return True
+    a, b = a[begin:n], b[begin:m]
+    if len(set(a).difference(b)) > most or len(set(b).difference(a)) > most:
+        return False
+    return _distance(a, b, most) <= most
+
+
 # Rows of a block from which on candidates are sifted as arrays.
 MANY = 64
 
@@ -300,7 +478,7 @@ def _late(rows: list[tuple]) -> list[tuple[int, int]]:
             other = parts[k][1]
             short, long = (own, other) if len(own) <= len(other) else (other, own)
             most = allowed(by_words, len(short))
-            if _distance(short, long, most) <= most:
+            if _close(short, long, most):
                 gone.append((id_, id2))
                 break
     return gone
@@ -353,8 +531,7 @@ def _flagged(tested: DataFrame, evidence: DataFrame, texts: DataFrame) -> DataFr
 
 def late_lines(docs: DataFrame, homes: DataFrame) -> DataFrame:
     """(id, id2) of the lines that have an earlier close copy; `homes` has (id, id2, doc, tie)."""
-    with batches_of(docs.sparkSession, POSTINGS):
-        postings = stored(met(docs), "line-postings")
+    postings = stored(met(docs), "line-postings")
     ids = stored(postings.select("id").distinct(), "line-met")
     wanted = stored(homes.join(ids, "id", "left_semi"), "line-wanted")
     slot = F.pmod("id", F.lit(SIEVE)).alias("slot")
@@ -396,6 +573,11 @@ def _cleaned(text: pd.Series, equal: pd.Series, near: pd.Series) -> pd.DataFrame
             out.append((None, 0, 0, 0, []))
             continue
         equal_ids, near_ids = set(e if e is not None else ()), set(n if n is not None else ())
+        if not equal_ids and not near_ids:
+            some = [line for line in t.split("\n") if line.strip(" ")]
+            if len(set(some)) == len(some):
+                out.append((t, len(some), 0, 0, []))
+                continue
         seen, kept, gone, lines, near_gone = set(), [], [], 0, 0
         for k, line in enumerate(t.split("\n")):
             if not line.strip(" "):
