@@ -42,7 +42,7 @@ SEEN = 500_000
 # Rows a batch on the way to the groups; Spark also bounds its bytes.
 POSTINGS = 5000
 # Postings a task gathers before they leave, in one piece for each part of the index.
-ROWS = 500_000
+ROWS = 100_000
 # Index rows of a part that are held before the shared ones leave.
 HELD = 1_000_000
 # Bytes of lines that are cut together.
