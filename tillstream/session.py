@@ -26,6 +26,10 @@ RUNTIME_CONF = {
     # State of wide rows is most of a stream's disk: pack it well, locally and in the checkpoint.
     "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
     "spark.sql.streaming.stateStore.compression.codec": "zstd",
+    # Without a count of its rows a store writes a row without looking for it first.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # Shuffle files of a query that has ended go at once, also those of each micro-batch.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 

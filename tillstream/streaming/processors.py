@@ -2,11 +2,16 @@
 what it needs by `order` itself. Days arrive as a ready `_day` column (days since epoch).
 
 Every look at state is a round trip to the executor, which takes longer than the rule itself. So but
-for `Bounce` a rule is called for a bucket of keys, and reads and writes the bucket's state at once."""
+for `Bounce` a rule is called for a bucket of keys, and reads and writes the bucket's state at once.
+The entries of a bucket lie in it many to a value (`Packed`), as each value is sent by itself."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Iterable, Iterator
+from decimal import Decimal
+from itertools import islice
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Row
@@ -16,41 +21,148 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 DAY_MS = 86_400_000
 
 
-def _place(row: Row, order: list[str]) -> tuple:
-    return tuple(row[c] for c in order)
+# Entries in one value of a bucket's state.
+PACKED = 4096
+
+
+class Packed:
+    """A list state of tuples that are kept in values of up to PACKED each, so that reading and
+    writing a bucket costs by its bytes and hardly by its entries."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str):
+        self.state = handle.getListState(name, "entries binary")
+
+    def get(self) -> Iterator[tuple]:
+        for (value,) in (self.state.get() if self.state.exists() else ()):
+            yield from pickle.loads(value)
+
+    @staticmethod
+    def _values(entries: Iterable[tuple]) -> list[tuple]:
+        rest = iter(entries)
+        return [(pickle.dumps(part, 5),) for part in iter(lambda: list(islice(rest, PACKED)), [])]
+
+    def put(self, entries: Iterable[tuple]) -> None:
+        values = self._values(entries)
+        if values:
+            self.state.put(values)
+        elif self.state.exists():
+            self.state.clear()
+
+    def append(self, entries: Iterable[tuple]) -> None:
+        self.state.appendList(self._values(entries))
 
 
 class _Rule(StatefulProcessor):
     def __init__(self, order: list[str], columns: list[str]):
         self.order, self.columns = order, columns
 
-    def _emit(self, row: Row, **added) -> Row:
-        return Row(**{c: row[c] for c in self.columns}, **added)
-
     def close(self) -> None:
         pass
 
 
 class _Bucket(_Rule):
-    """A rule on a bucket of keys. `keys` are (column, type) of the key columns."""
+    """A rule on a bucket of keys. `keys` are (column, type) of the key columns.
+
+    Rows become plain tuples of `columns` first, as a field of a Row is looked up by its name each time.
+    A `plain` rule, one in a `Framed`, gets and gives tuples.
+    """
+
+    plain, added = False, ()
 
     def __init__(self, keys: list[tuple[str, str]], order: list[str], columns: list[str]):
         super().__init__(order, columns)
-        self.keys, self.key_schema = [c for c, _ in keys], ", ".join(f"`_k{i}` {t}" for i, (_, t) in enumerate(keys))
+        self.keys = [c for c, _ in keys]
+        self.key_at, self.order_at = [columns.index(c) for c in self.keys], [columns.index(c) for c in order]
+        self.ms_at, self.rows_of = self.order_at[0], {}
 
-    def _key(self, row: Row) -> tuple:
-        return tuple(row[c] for c in self.keys)
+    def _key(self, row: tuple) -> tuple:
+        return tuple([row[p] for p in self.key_at])
 
-    def _keyed(self, stored) -> dict[tuple, tuple]:
+    def _place(self, row: tuple) -> tuple:
+        return tuple([row[p] for p in self.order_at])
+
+    def _tuples(self, rows: Iterator, columns: list[str]) -> Iterator[tuple]:
+        if self.plain:
+            yield from rows
+            return
+        take = None
+        for row in rows:
+            if take is None:
+                places = [row.__fields__.index(c) for c in columns]
+                take = itemgetter(*places) if len(places) > 1 else itemgetter(slice(places[0], places[0] + 1))
+            yield take(tuple(row))
+
+    def _row(self, values: tuple, **added) -> Row | tuple:
+        """A row of all columns and the added ones."""
+        if self.plain:
+            return (*values, *[added[c] for c in self.added])
+        names = tuple(added)
+        if names not in self.rows_of:
+            self.rows_of[names] = Row(*self.columns, *names)
+        return self.rows_of[names](*values, *added.values())
+
+    def _emit(self, row: tuple, **added) -> Row | tuple:
+        """A row that ends with its day, without it."""
+        return self._row(row[:-1], **added)
+
+    def _keyed(self, stored: Packed) -> dict[tuple, tuple]:
         """Stored rows by key."""
         n = len(self.keys)
-        return {tuple(s[:n]): tuple(s[n:]) for s in (stored.get() if stored.exists() else ())}
+        return {s[:n]: s[n:] for s in stored.get()}
+
+
+# what the texts of a type are in a rule, where a column's order counts
+ORDERED = {"bigint": int, "int": int, "smallint": int, "tinyint": int, "timestamp": int, "double": float, "float": float,
+           "decimal": Decimal}
+FRAME_ROWS = 50_000
+
+
+class Framed(StatefulProcessor):
+    """A rule whose rows come and go as pandas frames, as a cell of a Row costs more than the rule.
+
+    All cells are texts or null, since a frame's numbers turn to floats where one is null; only a rule's
+    order and day are numbers in it. The column `time` leaves as a time, from its microseconds.
+    """
+
+    def __init__(self, rule: _Bucket, types: list[str], dated: bool, time: str | None):
+        self.rule, self.dated, self.time = rule, dated, time
+        rule.plain = True
+        self.reads = {p: ORDERED[types[p]] for p in rule.order_at if types[p] in ORDERED}
+        if dated:
+            self.reads[len(rule.columns)] = int
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rule.init(handle)
 
-    def _store(self, state, entries: list[tuple]) -> None:
-        if entries:
-            state.put(entries)
-        elif state.exists():
-            state.clear()
+    def close(self) -> None:
+        pass
+
+    def _tuples(self, frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        for frame in frames:
+            cells = [frame.iloc[:, p].tolist() for p in range(len(self.rule.columns) + self.dated)]
+            for p, read in self.reads.items():
+                cells[p] = [None if c is None else read(c) for c in cells[p]]
+            yield from zip(*cells)
+
+    def _frames(self, rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        names = [*self.rule.columns, *self.rule.added]
+        rows = iter(rows)
+        while part := list(islice(rows, FRAME_ROWS)):
+            cells = dict(zip(names, map(list, zip(*part))))
+            for p in self.reads:
+                if p < len(self.rule.columns):
+                    cells[names[p]] = [None if c is None else str(c) for c in cells[names[p]]]
+            columns = {c: pd.Series(v, dtype="int64" if c in self.rule.added else object) for c, v in cells.items()}
+            if self.time:
+                micros = pd.to_numeric(columns[self.time])
+                columns[self.time] = pd.to_datetime(micros, unit="us", utc=True)
+            yield pd.DataFrame(columns)
+
+    def handleInputRows(self, key, rows, timerValues):
+        yield from self._frames(self.rule.handleInputRows(key, self._tuples(rows), timerValues))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._frames(self.rule.handleExpiredTimer(key, timerValues, expiredTimerInfo))
 
 
 class DaySet(_Bucket):
@@ -62,7 +174,7 @@ class DaySet(_Bucket):
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getListState("days", f"{self.key_schema}, _days array<int>")
+        self.seen = Packed(handle, "days")
 
     def _days(self) -> dict[tuple, list[int]]:
         return {k: list(v[0]) for k, v in self._keyed(self.seen).items()}
@@ -74,19 +186,38 @@ class DaySet(_Bucket):
             open_from = next((i for i, d in enumerate(days) if d >= passed - 1), len(days))
             known[key] = days[max(0, open_from - 1):]
         if changed:
-            self._store(self.seen, [(*k, v) for k, v in known.items()])
+            self.seen.put((*k, v) for k, v in known.items())
+
+    def _dated(self, rows: Iterator[Row]) -> Iterator[tuple]:
+        return self._tuples(rows, [*self.columns, "_day"])
 
-    def _day_heads(self, rows: Iterator[Row]) -> dict[tuple, dict[int, Row]]:
+    def _day_heads(self, rows: Iterator[Row]) -> dict[tuple, dict[int, tuple]]:
         """The first row of each key and day. Holds one row for each."""
-        heads: dict[tuple, dict[int, Row]] = {}
-        for row in rows:
+        heads: dict[tuple, dict[int, tuple]] = {}
+        for row in self._dated(rows):
             mine = heads.setdefault(self._key(row), {})
-            head = mine.get(row["_day"])
-            if head is None or _place(row, self.order) < _place(head, self.order):
-                mine[row["_day"]] = row
+            head = mine.get(row[-1])
+            if head is None or self._place(row) < self._place(head):
+                mine[row[-1]] = row
         return heads
 
-    def _new_days(self, rows: Iterator[Row], timerValues) -> Iterator[tuple[Row, list[int]]]:
+    def _others(self, rows: Iterator[Row], known: dict[tuple, list[int]], heads: dict[tuple, tuple]) -> Iterator[tuple]:
+        """Puts rows among the day heads; the rows that aren't one, or no longer."""
+        for row in self._dated(rows):
+            key, day = self._key(row), row[-1]
+            if day in known.get(key, ()):
+                yield row
+                continue
+            head = heads.setdefault((key, day), row)
+            if head is row:
+                continue
+            if self._place(row) < self._place(head):
+                heads[key, day] = row
+                yield head
+            else:
+                yield row
+
+    def _new_days(self, rows: Iterator[Row], timerValues) -> Iterator[tuple[tuple, list[int]]]:
         """The first row of each day not seen before, oldest day first, with the days known until then."""
         known, changed = self._days(), set()
         for key, heads in self._day_heads(rows).items():
@@ -112,6 +243,8 @@ class FirstPerDay(DaySet):
 class Returning(DaySet):
     """First row of each new day, with the returning-user counter."""
 
+    added = ("back_ct", "uu_ct")
+
     def __init__(self, keys: list[tuple[str, str]], order: list[str], columns: list[str], away_days: int):
         super().__init__(keys, order, columns)
         self.away_days = away_days
@@ -122,18 +255,20 @@ class Returning(DaySet):
 
     def handleInputRows(self, key, rows, timerValues):
         for row, days in self._new_days(rows, timerValues):
-            yield self._emit(row, **self._flags(row["_day"], days))
+            yield self._emit(row, **self._flags(row[-1], days))
 
 
 class DailyFirsts(DaySet):
     """First row of each new day, with is_new on the key's first row ever."""
 
+    added = ("is_new", "is_unique")
+
     def _flags(self, day: int, days: list[int]) -> dict[str, int]:
         return {"is_new": int(not days), "is_unique": 1}
 
     def handleInputRows(self, key, rows, timerValues):
         for row, days in self._new_days(rows, timerValues):
-            yield self._emit(row, **self._flags(row["_day"], days))
+            yield self._emit(row, **self._flags(row[-1], days))
 
 
 class UniqueAndNew(DailyFirsts):
@@ -141,9 +276,8 @@ class UniqueAndNew(DailyFirsts):
 
     def handleInputRows(self, key, rows, timerValues):
         known, heads = self._days(), {}
-        for row in rows:
-            for other in self._to_front(row, known, heads):
-                yield self._emit(other, is_unique=0, is_new=0)
+        for other in self._others(rows, known, heads):
+            yield self._emit(other, is_unique=0, is_new=0)
         changed = set()
         for (k, day) in sorted(heads, key=lambda place: place[1]):
             days = known.setdefault(k, [])
@@ -152,20 +286,6 @@ class UniqueAndNew(DailyFirsts):
             changed.add(k)
         self._keep(known, changed, timerValues)
 
-    def _to_front(self, row: Row, known: dict[tuple, list[int]], heads: dict[tuple, Row]) -> Iterator[Row]:
-        """Puts a row among the day heads; the row that isn't one, or no longer."""
-        key, day = self._key(row), row["_day"]
-        head = heads.get((key, day))
-        if day in known.get(key, ()):
-            yield row
-        elif head is None:
-            heads[key, day] = row
-        elif _place(row, self.order) < _place(head, self.order):
-            heads[key, day] = row
-            yield head
-        else:
-            yield row
-
 
 class _HeldHeads(DaySet):
     """The first row of each key and day, held until the watermark passes its time, so that what is
@@ -183,18 +303,13 @@ class _HeldHeads(DaySet):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.handle = handle
-        self.pending = handle.getListState("heads", f"{self.row_schema}, `_day` int")
+        self.pending = Packed(handle, "heads")
 
-    def _heads(self) -> dict[tuple, Row]:
-        names = [*self.columns, "_day"]
-        rows = [Row(**dict(zip(names, v))) for v in (self.pending.get() if self.pending.exists() else ())]
-        return {(self._key(row), row["_day"]): row for row in rows}
+    def _heads(self) -> dict[tuple, tuple]:
+        return {(self._key(row), row[-1]): row for row in self.pending.get()}
 
-    def _put(self, heads: dict[tuple, Row]) -> None:
-        self._store(self.pending, [(*(row[c] for c in self.columns), day) for (_, day), row in heads.items()])
-
-    def _time_next(self, heads: dict[tuple, Row]) -> None:
-        due = min((row[self.order[0]] for row in heads.values()), default=None)
+    def _time_next(self, heads: dict[tuple, tuple]) -> None:
+        due = min((row[self.ms_at] for row in heads.values()), default=None)
         set_for = list(self.handle.listTimers())
         for ms in set_for:
             if due is None or ms != due - 1:
@@ -202,14 +317,13 @@ class _HeldHeads(DaySet):
         if due is not None and due - 1 not in set_for:
             self.handle.registerTimer(due - 1)
 
-    def _hold(self, rows: Iterator[Row]) -> Iterator[Row]:
+    def _hold(self, rows: Iterator[Row]) -> Iterator[tuple]:
         """Keeps the heads of days still open; all other rows come back."""
         known, heads = self._days(), self._heads()
         before = dict(heads)
-        for row in rows:
-            yield from self._to_front(row, known, heads)
+        yield from self._others(rows, known, heads)
         if any(row is not before.get(place) for place, row in heads.items()):
-            self._put(heads)
+            self.pending.put(heads.values())
             self._time_next(heads)
 
     def handleInputRows(self, key, rows, timerValues):
@@ -220,23 +334,21 @@ class _HeldHeads(DaySet):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = timerValues.getCurrentWatermarkInMs()
         known, heads, changed = self._days(), self._heads(), set()
-        for k, day in sorted((p for p, row in heads.items() if row[self.order[0]] <= passed), key=lambda p: p[1]):
+        for k, day in sorted((p for p, row in heads.items() if row[self.ms_at] <= passed), key=lambda p: p[1]):
             days = known.setdefault(k, [])
             yield self._emit(heads.pop((k, day)), **self._flags(day, days))
             days.append(day)
             changed.add(k)
         if changed:
-            self._put(heads)
+            self.pending.put(heads.values())
             self._keep(known, changed, timerValues)
         # the timer that went off is gone by itself
-        due = min((row[self.order[0]] for row in heads.values()), default=None)
+        due = min((row[self.ms_at] for row in heads.values()), default=None)
         if due is not None:
             self.handle.registerTimer(due - 1)
 
 
 class HeldReturning(_HeldHeads, Returning):
-    _to_front = UniqueAndNew._to_front
-
     def __init__(self, keys: list[tuple[str, str]], order: list[str], columns: list[str], row_schema: str,
                  away_days: int):
         _HeldHeads.__init__(self, keys, order, columns, row_schema)
@@ -244,7 +356,7 @@ class HeldReturning(_HeldHeads, Returning):
 
 
 class HeldDailyFirsts(_HeldHeads, DailyFirsts):
-    _to_front = UniqueAndNew._to_front
+    """First row of each new day, with is_new, once the watermark has passed it."""
 
 
 class HeldUniqueAndNew(_HeldHeads, UniqueAndNew):
@@ -264,7 +376,7 @@ class NewFlagRepair(_Bucket):
         self.flag = flag
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getListState("first", f"{self.key_schema}, _first int")
+        self.first = Packed(handle, "first")
 
     def _fixed(self, rows: pd.DataFrame, keys: pd.Series, days: dict[tuple, int]) -> pd.DataFrame:
         first = keys.map(days)
@@ -294,7 +406,7 @@ class NewFlagRepair(_Bucket):
         for frame, keys in fresh:
             yield self._fixed(frame, keys, first)
         if first:
-            self.first.appendList([(*k, day) for k, day in first.items()])
+            self.first.append((*k, day) for k, day in first.items())
 
 
 class LatestVersion(_Bucket):
@@ -313,8 +425,7 @@ class LatestVersion(_Bucket):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         # the newest versions with the time when each is due, and the marks of those emitted
-        self.best = handle.getListState("best", self.row_schema + ", `_due` bigint")
-        self.done = handle.getListState("done", self.key_schema)
+        self.best, self.done = Packed(handle, "best"), Packed(handle, "done")
 
     def _now(self, timerValues) -> int:
         return (timerValues.getCurrentWatermarkInMs() if self.event_time
@@ -322,31 +433,26 @@ class LatestVersion(_Bucket):
 
     def _waiting(self) -> dict[tuple, tuple]:
         """(version, due) of each key, as stored."""
-        places = [self.columns.index(c) for c in self.keys]
-        stored = self.best.get() if self.best.exists() else ()
-        return {tuple(s[p] for p in places): (tuple(s[:-1]), s[-1]) for s in stored}
+        return {self._key(s): (s[:-1], s[-1]) for s in self.best.get()}
 
     def _wait(self, waiting: dict[tuple, tuple]) -> None:
-        self._store(self.best, [(*version, due) for version, due in waiting.values()])
+        self.best.put((*version, due) for version, due in waiting.values())
 
     def handleInputRows(self, key, rows, timerValues):
-        done = set(self._keyed(self.done))
-        waiting = self._waiting()
-        places = [self.columns.index(c) for c in self.order]
+        done, waiting = set(self.done.get()), self._waiting()
         start, timed, touched = self._now(timerValues), min((d for _, d in waiting.values()), default=None), False
         firsts: dict[tuple, int] = {}
-        for row in rows:
-            k = self._key(row)
+        for version in self._tuples(rows, self.columns):
+            k = self._key(version)
             if k in done:
                 continue
             held, touched = waiting.get(k), True
             if held is None or k in firsts:
-                ms = row[self.order[0]]
+                ms = version[self.ms_at]
                 firsts[k] = ms if k not in firsts else min(firsts[k], ms)
-            version = tuple(row[c] for c in self.columns)
             if held is None:
                 waiting[k] = (version, None)
-            elif tuple(version[p] for p in places) >= tuple(held[0][p] for p in places):
+            elif self._place(version) >= self._place(held[0]):
                 waiting[k] = (version, held[1])
         for k, first in firsts.items():
             waiting[k] = (waiting[k][0], (max(first, start) if self.event_time else start) + self.wait_ms)
@@ -365,10 +471,10 @@ class LatestVersion(_Bucket):
         due = [k for k, (_, at) in waiting.items() if at < now or at <= expiredTimerInfo.getExpiryTimeInMs()]
         for k in due:
             version, _ = waiting.pop(k)
-            yield Row(**dict(zip(self.columns, version)))
+            yield self._row(version)
         if due:
             self._wait(waiting)
-            self.done.appendList(due)
+            self.done.append(due)
         if waiting:
             self.handle.registerTimer(min(at for _, at in waiting.values()))
 

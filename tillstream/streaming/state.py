@@ -39,6 +39,40 @@ def _by_bucket(df: DataFrame, keys: list[str], processor, schema: T.StructType,
     return _run(bucketed, ["_bucket"], processor, schema, event_time, time_mode, frames)
 
 
+def _is_cell(kind: T.DataType) -> bool:
+    """The type comes back from its text as it was."""
+    return isinstance(kind, (T.StringType, T.IntegralType, T.DoubleType, T.FloatType, T.DecimalType, T.BooleanType,
+                             T.TimestampType))
+
+
+def _by_rule(df: DataFrame, keys: list[str], rule, added: tuple[str, ...] = (), day: Column | None = None,
+             event_time: str | None = None, time_mode: str | None = None) -> DataFrame:
+    """A rule on buckets of keys, by frames of texts. Rows with a nested column go one by one."""
+    dated = df if day is None else df.withColumn("_day", _days(day))
+    if not all(_is_cell(f.dataType) for f in df.schema.fields):
+        return _by_bucket(dated, keys, rule, _plus(df.schema, *added), event_time, time_mode)
+
+    def text(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        return (F.unix_micros(c) if isinstance(df.schema[name].dataType, T.TimestampType) else c).cast("string")
+
+    def back(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.TimestampType):
+            return (c if f.name == event_time else F.timestamp_micros(c.cast("long"))).alias(f.name)
+        return c.cast(f.dataType).alias(f.name)
+    # the rule's own columns first; the watermarked time stays a time, by which late rows are known
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    packed = dated.select(
+        *[text(c).alias(f"c{n}") for n, c in enumerate(df.columns)], *[F.col("_day").cast("string").alias("d")] * (day is not None),
+        F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("_bucket"), *times)
+    types = [f.dataType.simpleString().split("(")[0] for f in df.schema.fields]
+    out = T.StructType([T.StructField(f.name, f.dataType if f.name == event_time else T.StringType()) for f in df.schema.fields]
+                       + [T.StructField(c, T.LongType()) for c in added])
+    done = _run(packed, ["_bucket"], p.Framed(rule, types, day is not None, event_time), out, event_time, time_mode, frames=True)
+    return done.select(*[back(f) for f in df.schema.fields], *added)
+
+
 def _is_plain(kind: T.DataType) -> bool:
     """The type comes back from a JSON text as it was."""
     if isinstance(kind, T.StructType):
@@ -49,6 +83,13 @@ def _is_plain(kind: T.DataType) -> bool:
         else isinstance(kind, (T.StringType, T.LongType, T.IntegerType, T.BooleanType))
 
 
+def _is_ordered(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_is_ordered(f.dataType) for f in kind.fields)
+    return _is_ordered(kind.elementType) if isinstance(kind, T.ArrayType) \
+        else not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _types(df: DataFrame, keys: list[str]) -> list[tuple[str, str]]:
     return [(k, df.schema[k].dataType.simpleString()) for k in keys]
 
@@ -64,8 +105,7 @@ def _ddl(df: DataFrame) -> str:
 
 def first_per_day(df: DataFrame, keys: list[str], order: list[str], day: Column,
                   event_time: str | None = None) -> DataFrame:
-    return _by_bucket(df.withColumn("_day", _days(day)), keys,
-                      p.FirstPerDay(_types(df, keys), order, df.columns), _plus(df.schema), event_time)
+    return _by_rule(df, keys, p.FirstPerDay(_types(df, keys), order, df.columns), (), day, event_time)
 
 
 def repair_new_flag(df: DataFrame, ms: str, day: Column, key: str, flag: str,
@@ -91,21 +131,21 @@ def daily_and_returning(df: DataFrame, order: list[str], day: Column, key: str,
                         event_time: str | None = None) -> DataFrame:
     rule = p.HeldReturning(_types(df, [key]), order, df.columns, _ddl(df), away_days) if event_time \
         else p.Returning(_types(df, [key]), order, df.columns, away_days)
-    return _by_bucket(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "back_ct", "uu_ct"), event_time)
+    return _by_rule(df, [key], rule, ("back_ct", "uu_ct"), day, event_time)
 
 
 def daily_firsts(df: DataFrame, order: list[str], day: Column, key: str,
                  event_time: str | None = None) -> DataFrame:
     rule = p.HeldDailyFirsts(_types(df, [key]), order, df.columns, _ddl(df)) if event_time \
         else p.DailyFirsts(_types(df, [key]), order, df.columns)
-    return _by_bucket(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "is_new", "is_unique"), event_time)
+    return _by_rule(df, [key], rule, ("is_new", "is_unique"), day, event_time)
 
 
 def unique_and_new(df: DataFrame, order: list[str], day: Column, key: str,
                    event_time: str | None = None) -> DataFrame:
     rule = p.HeldUniqueAndNew(_types(df, [key]), order, df.columns, _ddl(df)) if event_time \
         else p.UniqueAndNew(_types(df, [key]), order, df.columns)
-    return _by_bucket(df.withColumn("_day", _days(day)), [key], rule, _plus(df.schema, "is_unique", "is_new"), event_time)
+    return _by_rule(df, [key], rule, ("is_unique", "is_new"), day, event_time)
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str], wait_ms: int = 2_000,
@@ -120,13 +160,16 @@ def latest_per_key(df: DataFrame, key: str, order: list[str], wait_ms: int = 2_0
     a window may follow in the same query. The column then holds the end of the second.
     """
     if isinstance(event_time, str):
-        others = [c for c in df.columns if c != event_time]
+        # the order first and then the rest: the greatest of it is the newest, and state holds nothing twice
+        fields = [*order, *[c for c in df.columns if c not in (event_time, key, *order)]]
+        rest = [df.schema[c].dataType for c in fields]
+        version = F.struct(*fields)
         newest = df.groupBy(F.window(event_time, "1 second").alias("_second"), key).agg(
-            F.max_by(F.struct(*others), F.struct(*order)).alias("_newest"))
-        return newest.select("_newest.*", F.window_time("_second").alias(event_time))
+            (F.max(version) if all(_is_ordered(t) for t in rest) else F.max_by(version, F.struct(*order))).alias("_newest"))
+        return newest.select(*[F.col(c) if c == key else F.col("_newest")[c].alias(c) for c in df.columns if c != event_time],
+                             F.window_time("_second").alias(event_time))
     processor = p.LatestVersion(_types(df, [key]), order, df.columns, _ddl(df), wait_ms, event_time)
-    return _by_bucket(df, [key], processor, _plus(df.schema), None,
-                      "EventTime" if event_time else "ProcessingTime")
+    return _by_rule(df, [key], processor, time_mode="EventTime" if event_time else "ProcessingTime")
 
 
 def first_per_key(df: DataFrame, key: str) -> DataFrame:
